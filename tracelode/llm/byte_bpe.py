@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelode.llm.common import steps
+from tracelode.llm.common import map_arrow, steps
 
 #: Distinct pieces whose ids a worker keeps; past it the cache starts anew.
 CACHE_PIECES = 600_000
@@ -303,7 +303,7 @@ def encode_texts(
     schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, n_decoded long"
     if keep_ids:
         schema += ", ids array<int>, offsets array<long>"
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    return map_arrow(docs.select(F.col(id_col), F.col(text_col)), run, schema)
 
 
 def decode_ids(encoded: DataFrame, ranks: str, *, id_col: str = "doc_id") -> DataFrame:
@@ -327,4 +327,4 @@ def decode_ids(encoded: DataFrame, ranks: str, *, id_col: str = "doc_id") -> Dat
             )
 
     kind = encoded.schema[id_col].dataType.simpleString()
-    return encoded.select(id_col, "ids", "offsets").mapInArrow(run, f"`{id_col}` {kind}, text string, offsets_fit boolean")
+    return map_arrow(encoded.select(id_col, "ids", "offsets"), run, f"`{id_col}` {kind}, text string, offsets_fit boolean")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 from collections.abc import Iterable, Iterator
 
@@ -19,6 +20,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Puts this package's folder on the path of Python workers that are yet to start.
+
+    It helps where workers run on this machine; on a cluster the package is installed or shipped
+    with ``--py-files``, and the extra entry does no harm.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    held = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in held.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, held]))
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """df.mapInArrow(run, schema) with workers that find this package."""
+    importable(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """`df` written once to the cluster's shared checkpoint folder and read from there on.
 

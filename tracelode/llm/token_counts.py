@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelode.llm.common import steps
+from tracelode.llm.common import map_arrow, steps
 
 #: Before a blank or line feed between two characters that are not white space.
 SAFE = re.compile(r"(?<=\S)(?=[ \n]\S)")
@@ -111,5 +111,5 @@ def token_counts(
         F.col(text_col),
         F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("long").alias("n_bytes"),
     )
-    counted = narrow.mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, n_tokens long")
+    counted = map_arrow(narrow, run, f"`{id_col}` {kind}, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
