@@ -2,5 +2,742 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from tracelode.functions import dose, root_cause
+from tracelode.functions.text import extract, normalize_contents, snake_code, strip_trailing_period
+from tracelode.operators import audit, filenames, ledger, matching, state, textlines
+from tracelode.plans import fixtures, pipelines, sql
+from tracelode.sources import files as inventories
+from tracelode.sources import logs, sinks
+from tracelode.sources.scratch import scratch_dir
+from tracelode.streaming import jobs
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+ANCHOR = "2024-01-02"
+
+
+def query(oracle: str | None = None):
+    """Registers a function under its name."""
+
+    def put(run):
+        QUERIES[run.__name__] = run
+        if oracle is not None:
+            ORACLES[run.__name__] = oracle
+        return run
+
+    return put
+
+
+# Dose-warning logs
+
+
+def _scanned(spark, d, window=fixtures.WINDOW):
+    return logs.scan_dose_logs(fixtures.er_raw(spark, d), *logs.day_window(start=window[0], end=window[1]))
+
+
+def _parsed(spark, d):
+    return dose.parse_dose_warnings(_scanned(spark, d))
+
+
+def _seed(spark, d):
+    return state.latest_wafer_state(pipelines.dose_table(fixtures.er_raw(spark, d), *fixtures.SEED_WINDOW))
+
+
+def _table(spark, d):
+    return pipelines.dose_pipeline(fixtures.er_raw(spark, d), fixtures.WINDOW, fixtures.SEED_WINDOW)
+
+
+@query(sql.raw([], "select * from er_raw"))
+def fixture_er_raw(spark, d):
+    return fixtures.er_raw(spark, d)
+
+
+@query(sql.query([sql.EUV_RAW], "select * from euv_raw"))
+def fixture_euv_raw(spark, d):
+    return fixtures.euv_raw(spark, d)
+
+
+@query(sql.raw([sql.PARSE[0]], "select * from scanned"))
+def scan_raw_window(spark, d):
+    return _scanned(spark, d)
+
+
+@query(sql.query([sql.EUV_RAW, sql.EUV_SCAN], "select * from scanned"))
+def scan_euv_window(spark, d):
+    return logs.scan_root_cause_logs(fixtures.euv_raw(spark, d), *fixtures.WINDOW)
+
+
+@query(sql.raw([sql.scan("scanned", (datetime(2024, 1, 12), datetime(2024, 1, 14)))], "select * from scanned"))
+def scan_day_partition(spark, d):
+    path = scratch_dir(spark, "days")
+    sinks.overwrite_days(fixtures.er_raw(spark, d), path)
+    return logs.scan_dose_logs(spark.read.parquet(path), datetime(2024, 1, 12), datetime(2024, 1, 14))
+
+
+@query(sql.raw([], "select er_index, code, eq_name from er_raw where code = 'LO-0061' and er_index >= 100"))
+def parametrised_select(spark, d):
+    statement = "select er_index, code, eq_name from {logs} where code = :code and er_index >= :least"
+    return logs.select(spark, statement, {"code": "LO-0061", "least": 100}, logs=fixtures.er_raw(spark, d))
+
+
+@query(
+    sql.raw(
+        [],
+        "select er_index, code, case when starts_with(code, 'DW-') then 'DW' when starts_with(code, 'LO-') then 'LO' "
+        "else 'other' end as family from er_raw",
+    )
+)
+def classify_code_family(spark, d):
+    return fixtures.er_raw(spark, d).select("er_index", "code", dose.code_family(F.col("code")).alias("family"))
+
+
+@query(sql.raw(sql.PARSE, "select er_index, exposure_handle, action_handle, de_err, n_slit from parsed"))
+def parse_dose_fields(spark, d):
+    return _parsed(spark, d).select("er_index", "exposure_handle", "action_handle", "de_err", "n_slit")
+
+
+@query(sql.raw(sql.PARSE, "select er_index, wafer_id, wafer_seq from parsed"))
+def parse_wafer_fields(spark, d):
+    return _parsed(spark, d).select("er_index", "wafer_id", "wafer_seq")
+
+
+@query(sql.raw(sql.PARSE, "select * from parsed"))
+def parse_dose_warning(spark, d):
+    return _parsed(spark, d)
+
+
+@query(sql.raw(sql.LAG, "select er_index, eq_name, exposure_handle, previous_handle from lagged"))
+def handle_lag(spark, d):
+    return state.with_previous_handle(_parsed(spark, d)).select("er_index", "eq_name", "exposure_handle", "previous_handle")
+
+
+@query(sql.raw(sql.KEEP, "select * from kept"))
+def drop_test_shots(spark, d):
+    return state.drop_test_shots(_parsed(spark, d))
+
+
+@query(
+    sql.raw(
+        sql.LAG,
+        "select *, exposure_handle - previous_handle as handle_diff from lagged where exposure_handle - previous_handle >= 1000",
+    )
+)
+def test_shots(spark, d):
+    return state.test_shots(_parsed(spark, d))
+
+
+@query(sql.raw([*sql.KEEP, sql.filled("filled", "kept")], "select * from filled"))
+def carry_forward(spark, d):
+    return state.carry_forward(state.drop_test_shots(_parsed(spark, d)))
+
+
+@query(sql.raw([*sql.KEEP, *sql.SEED, sql.filled("filled", "kept", "seed")], "select * from filled"))
+def carry_forward_seeded(spark, d):
+    return state.carry_forward(state.drop_test_shots(_parsed(spark, d)), _seed(spark, d))
+
+
+@query(sql.raw(sql.SEED, "select * from seed"))
+def latest_wafer_state(spark, d):
+    return _seed(spark, d)
+
+
+@query(sql.raw(sql.PIPELINE, "select * from result"))
+def raw_pipeline(spark, d):
+    return _table(spark, d)
+
+
+@query(sql.raw(sql.PIPELINE, "select * from result"))
+def sink_raw_projection(spark, d):
+    path = scratch_dir(spark, "dose")
+    sinks.append_by_day(_table(spark, d), path)
+    return spark.read.parquet(path).select(*dose.PARSED_COLUMNS)
+
+
+@query(
+    sql.raw(
+        [*sql.PARSE, "twice as (select * from parsed union all select * from parsed where er_index % 5 = 0)"],
+        "select distinct * from twice",
+    )
+)
+def dedup_exact_rows(spark, d):
+    rows = _parsed(spark, d)
+    return sinks.distinct_rows(rows.unionByName(rows.where("er_index % 5 = 0")))
+
+
+@query(
+    sql.raw(
+        sql.PARSE,
+        "select er_index, code_occur_time, code from parsed where cast(code_occur_time as date) <> date '2024-01-12' "
+        "or er_index % 2 = 0",
+    )
+)
+def overwrite_partition(spark, d):
+    path = scratch_dir(spark, "overwrite")
+    rows = _parsed(spark, d).select("er_index", "code_occur_time", "code")
+    sinks.overwrite_days(rows, path)
+    sinks.overwrite_days(rows.where("to_date(code_occur_time) = date'2024-01-12' and er_index % 2 = 0"), path)
+    return spark.read.parquet(path).select("er_index", "code_occur_time", "code")
+
+
+@query(sql.raw(sql.PARSE, "select er_index, eq_name, code, contents, exposure_handle, de_err from parsed"))
+def csv_roundtrip(spark, d):
+    path = scratch_dir(spark, "csv")
+    rows = _parsed(spark, d).select("er_index", "eq_name", "code", "contents", "exposure_handle", "de_err")
+    sinks.write_csv(rows, path)
+    return sinks.read_csv(spark, path, rows.schema)
+
+
+@query(
+    sql.raw(
+        sql.PIPELINE, "select cast(code_occur_time as date) as event_date, count(*) as n_rows from result group by all"
+    )
+)
+def rows_per_partition(spark, d):
+    return sinks.rows_per_day(_table(spark, d))
+
+
+@query(
+    sql.raw(
+        sql.PIPELINE,
+        "select (select count(*) from scanned) as fetched, (select count(*) from kept) as parsed, "
+        "(select count(*) from result) as inserted",
+    )
+)
+def log_run_summary(spark, d):
+    parsed = _parsed(spark, d)
+    return audit.run_summary(_scanned(spark, d), state.drop_test_shots(parsed), _table(spark, d))
+
+
+@query(
+    sql.raw(
+        [
+            *sql.PIPELINE,
+            "flow as (select *, lag(exposure_handle) over (partition by eq_name order by code_occur_time, er_date, er_index) as prev "
+            "from result where code like 'DW-%' and exposure_handle is not null)",
+        ],
+        "select eq_name, code, code_occur_time, er_date, er_index, prev as prev_exposure_handle, exposure_handle, "
+        "exposure_handle - prev as exposure_handle_diff from flow where exposure_handle - prev > 1000",
+    )
+)
+def handle_jump_audit(spark, d):
+    return state.handle_jump_audit(_table(spark, d))
+
+
+@query(
+    sql.raw(
+        [*sql.PIPELINE, "there as (select * from result where er_index % 13 <> 0)"],
+        "select r.er_date, r.er_index, r.er_line, r.eq_name, r.code, r.code_occur_time, r.belong, r.type, r.title, "
+        "nullif(regexp_extract(r.contents, 'exposure_handle\\s*[:=]\\s*([0-9]+)', 1), '') as exposure_handle_raw, r.contents "
+        "from scanned r where not exists (select 1 from there p where p.er_date = r.er_date and p.er_index = r.er_index "
+        "and p.er_line = r.er_line and p.eq_name = r.eq_name and p.code = r.code and p.code_occur_time = r.code_occur_time)",
+    )
+)
+def raw_missing_from_parsed(spark, d):
+    there = _table(spark, d).where("er_index % 13 <> 0")
+    return audit.missing_from_parsed(fixtures.er_raw(spark, d), there, *fixtures.WINDOW)
+
+
+@query(
+    sql.raw(
+        [*sql.PARSE, "twice as (select code_occur_time from parsed union all select code_occur_time from parsed where er_index % 11 = 0)"],
+        "select code_occur_time, count(*) as n_rows from twice group by all having count(*) > 1",
+    )
+)
+def key_violations(spark, d):
+    rows = _parsed(spark, d)
+    return audit.repeated_keys(rows.unionByName(rows.where("er_index % 11 = 0")), ["code_occur_time"])
+
+
+@query(
+    sql.raw(
+        [],
+        "select 'eq_name' as column_name, count(*) filter (eq_name is null) as n_nulls from er_raw union all "
+        "select 'contents', count(*) filter (contents is null) from er_raw union all "
+        "select 'code_occur_time', count(*) filter (code_occur_time is null) from er_raw",
+    )
+)
+def null_violations(spark, d):
+    return audit.null_counts(fixtures.er_raw(spark, d), ["eq_name", "contents", "code_occur_time"])
+
+
+# Root-cause logs
+
+
+def _euv(spark, d):
+    return logs.scan_root_cause_logs(fixtures.euv_raw(spark, d), *fixtures.WINDOW)
+
+
+def _causes(spark, d):
+    return root_cause.parse_root_causes(_euv(spark, d))
+
+
+_PARSED_EUV = [*sql.EUV, sql.GATED, sql.CAUSES]
+_KEY = "eq_name, code_occur_time"
+
+
+@query(sql.query(sql.EUV, f"select {_KEY}, t as text from normalized"))
+def normalize_contents_text(spark, d):
+    return _euv(spark, d).select("eq_name", "code_occur_time", normalize_contents(F.coalesce("contents", F.lit(""))).alias("text"))
+
+
+QUERIES["normalize_contents"] = QUERIES.pop("normalize_contents_text")
+ORACLES["normalize_contents"] = ORACLES.pop("normalize_contents_text")
+
+
+@query(sql.query(sql.EUV, f"select {_KEY}, ({sql.GATE}) as passes from normalized"))
+def root_cause_gate(spark, d):
+    text = normalize_contents(F.coalesce("contents", F.lit("")))
+    return _euv(spark, d).select("eq_name", "code_occur_time", text.alias("t")).select(
+        "eq_name", "code_occur_time", root_cause.is_root_cause(F.col("t")).alias("passes")
+    )
+
+
+def _fields(spark, d, rules):
+    text = normalize_contents(F.coalesce("contents", F.lit("")))
+    return _euv(spark, d).select("eq_name", "code_occur_time", text.alias("t")).select("eq_name", "code_occur_time", *extract(F.col("t"), rules))
+
+
+def _fields_sql(rules):
+    return sql.query(sql.EUV, f"select {_KEY}, {', '.join(f'{sql.field(r, "t")} as {r.name}' for r in rules)} from normalized")
+
+
+@query(_fields_sql(root_cause.IDENTITY_RULES))
+def parse_root_cause_identity(spark, d):
+    return _fields(spark, d, root_cause.IDENTITY_RULES)
+
+
+@query(_fields_sql(root_cause.METRIC_RULES))
+def parse_root_cause_metrics(spark, d):
+    return _fields(spark, d, root_cause.METRIC_RULES)
+
+
+@query(_fields_sql(root_cause.INTEGRAL_RULES))
+def parse_integral_metrics(spark, d):
+    return _fields(spark, d, root_cause.INTEGRAL_RULES)
+
+
+@query(sql.query(_PARSED_EUV, f"select {_KEY}, min_dose_error, max_dose_error, dose_error from causes"))
+def dominant_dose_error(spark, d):
+    return _causes(spark, d).select("eq_name", "code_occur_time", "min_dose_error", "max_dose_error", "dose_error")
+
+
+@query(
+    "select event_id, nullif(regexp_replace(regexp_replace(lower(props), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'), '') as code from events"
+)
+def snake_code_of_props(spark, d):
+    return spark.read.parquet(f"{d}/events.parquet").select("event_id", snake_code(F.col("props")).alias("code"))
+
+
+QUERIES["snake_code"] = QUERIES.pop("snake_code_of_props")
+ORACLES["snake_code"] = ORACLES.pop("snake_code_of_props")
+
+
+@query(sql.query([sql.TEXT_FILES], f"select source_file, {sql.strip_trailing_period('left(text, 40)')} as head from text_files"))
+def strip_trailing_period_of_heads(spark, d):
+    return fixtures.text_files(spark, d).select("source_file", strip_trailing_period(F.left("text", F.lit(40))).alias("head"))
+
+
+QUERIES["strip_trailing_period"] = QUERIES.pop("strip_trailing_period_of_heads")
+ORACLES["strip_trailing_period"] = ORACLES.pop("strip_trailing_period_of_heads")
+
+
+@query(_fields_sql([r for r in root_cause.IDENTITY_RULES if r.kind == "time"]))
+def parse_iso_time(spark, d):
+    return _fields(spark, d, tuple(r for r in root_cause.IDENTITY_RULES if r.kind == "time"))
+
+
+@query(sql.query(_PARSED_EUV, f"select {sql.EUV_PARSED} from causes"))
+def parse_root_cause(spark, d):
+    return _causes(spark, d)
+
+
+@query(sql.query(_PARSED_EUV, f"select distinct {sql.EUV_PARSED} from causes"))
+def euv_pipeline(spark, d):
+    return pipelines.root_cause_pipeline(fixtures.euv_raw(spark, d), fixtures.WINDOW)
+
+
+@query(sql.query(_PARSED_EUV, f"select distinct {sql.EUV_PARSED} from causes"))
+def sink_euv_projection(spark, d):
+    path = scratch_dir(spark, "causes")
+    sinks.append_by_day(pipelines.root_cause_pipeline(fixtures.euv_raw(spark, d), fixtures.WINDOW), path)
+    return spark.read.parquet(path).select(*root_cause.PARSED_COLUMNS)
+
+
+# Inspection files
+
+
+def _named(spark, d, kind):
+    return filenames.accepted(fixtures.files(spark, d)).where(F.col("kind") == kind)
+
+
+def _exclusive(spark, d):
+    return matching.match_exclusive(_named(spark, d, "text"), _named(spark, d, "image"))
+
+
+def _outputs(spark, d, every):
+    images = _named(spark, d, "image").where(f"file_id % {every} = 0")
+    return images.select(filenames.output_path(F.col("path")).alias("output_path"))
+
+
+@query(sql.files([], "select file_id, kind, path from files where folder_date = date '2024-01-02'"))
+def file_inventory(spark, d):
+    return fixtures.files(spark, d).where("folder_date = date'2024-01-02'").select("file_id", "kind", "path")
+
+
+@query(sql.files([], "select file_id, kind, path, folder_date from files where folder_date in (date '2024-01-01', date '2024-01-02')"))
+def two_day_window(spark, d):
+    return inventories.in_two_days(fixtures.files(spark, d), ANCHOR).select("file_id", "kind", "path", "folder_date")
+
+
+@query(sql.files([], "select file_id, path, prefix, file_ts from named where ok"))
+def parse_file_names(spark, d):
+    return filenames.accepted(fixtures.files(spark, d)).select("file_id", "path", "prefix", "file_ts")
+
+
+@query(sql.files([], "select file_id, kind, path from named where not ok"))
+def rejected_file_names(spark, d):
+    return filenames.rejected(fixtures.files(spark, d)).select("file_id", "kind", "path")
+
+
+@query(
+    sql.files(
+        [],
+        f"select file_id, case when kind = 'image' then {sql.output('path')} end as output_path, "
+        "case when kind = 'image' then path[7:] else path[2:] end as relative_path from files",
+    )
+)
+def derive_output_paths(spark, d):
+    return fixtures.files(spark, d).select(
+        "file_id",
+        filenames.output_path(F.col("path")).alias("output_path"),
+        filenames.relative_path(F.col("path"), "/RUIP").alias("relative_path"),
+    )
+
+
+@query(
+    sql.files(
+        [sql.FORWARD],
+        "select prefix, folder_date, image_id, image_path, image_ts, text_id, text_path, text_ts, diff_seconds from forward where r = 1",
+    )
+)
+def match_image_to_text(spark, d):
+    return matching.match_image_to_text(_named(spark, d, "image"), _named(spark, d, "text"))
+
+
+@query(
+    sql.files(
+        [sql.BACKWARD],
+        "select prefix, text_id, text_path, text_ts, image_id, image_path, image_ts, diff_seconds from backward where r = 1",
+    )
+)
+def match_text_to_image(spark, d):
+    return matching.match_text_to_image(_named(spark, d, "text"), _named(spark, d, "image"))
+
+
+@query(sql.files([sql.STACK], "select * from exclusive"))
+def match_exclusive(spark, d):
+    return _exclusive(spark, d)
+
+
+@query(
+    sql.files(
+        [sql.STACK],
+        "select file_id, path, prefix, file_ts from images where file_id not in (select image_id from exclusive where image_id is not null)",
+    )
+)
+def unmatched_images(spark, d):
+    return matching.unmatched_images(_named(spark, d, "image"), _exclusive(spark, d)).select("file_id", "path", "prefix", "file_ts")
+
+
+@query(
+    sql.files(
+        [sql.FORWARD, sql.PUBLISHED, sql.PREPARED],
+        f"select image_id, text_id, {sql.output('image_path')} as output_path, {sql.action('image_path')} as action from forward where r = 1",
+    )
+)
+def publish_plan(spark, d):
+    matched = matching.match_image_to_text(_named(spark, d, "image"), _named(spark, d, "text"))
+    plan = filenames.publish_plan(matched, _outputs(spark, d, 5), _outputs(spark, d, 7))
+    return plan.select("image_id", "text_id", "output_path", "action")
+
+
+@query(sql.files([sql.PUBLISHED], f"select file_id, {sql.output('path')} as output_path from images where {sql.output('path')} in (select output_path from published)"))
+def already_published(spark, d):
+    return filenames.already_published(_named(spark, d, "image"), _outputs(spark, d, 5)).select("file_id", "output_path")
+
+
+@query(sql.files([], "select folder_date, count(*) filter (kind = 'text') as texts, count(*) filter (kind = 'image') as images from files group by all"))
+def files_per_day(spark, d):
+    return inventories.files_per_day(fixtures.files(spark, d))
+
+
+@query(sql.files([], "select file_id, path from files where modified < timestamp '2024-01-01 23:30:00'"))
+def stale_files(spark, d):
+    return inventories.stale_files(fixtures.files(spark, d), datetime(2024, 1, 4, 23, 30)).select("file_id", "path")
+
+
+@query(
+    sql.files(
+        [
+            "one as (select path, max(size) as size from files group by path)",
+            "copies as (select path, case when size % 10 = 1 then size + 1 else size end as size from one where size % 10 <> 2)",
+        ],
+        "select a.path, a.size as source_size, b.size as copy_size from one a left join copies b using (path) where a.size is distinct from b.size",
+    )
+)
+def size_mismatches(spark, d):
+    one = fixtures.files(spark, d).groupBy("path").agg(F.max("size").alias("size"))
+    copies = one.where("size % 10 <> 2").selectExpr("path", "case when size % 10 = 1 then size + 1 else size end as size")
+    return inventories.size_mismatches(one, copies)
+
+
+@query(sql.files([], "select file_id, path from files where path not in (select path from files where file_id % 4 = 0)"))
+def unprocessed_files(spark, d):
+    every = fixtures.files(spark, d)
+    return ledger.unprocessed(every, every.where("file_id % 4 = 0")).select("file_id", "path")
+
+
+@query(
+    sql.files(
+        [sql.FORWARD],
+        "select outcome, count(*) as n_files from (select case when not ok then 'error' when file_id in "
+        "(select image_id from forward) then 'processed' else 'skipped' end as outcome from named where kind = 'image') group by all",
+    )
+)
+def file_run_summary(spark, d):
+    return audit.outcome_counts(pipelines.file_outcomes(fixtures.files(spark, d)))
+
+
+# Ledgers
+
+
+def _now():
+    return F.lit(datetime(2024, 2, 1)).cast("timestamp_ntz")
+
+
+def _unique(spark, d):
+    first = F.min_by(F.struct("file_id", "prefix", "file_ts"), "file_id")
+    return _named(spark, d, "image").groupBy("path").agg(first.alias("f")).select(F.col("path").alias("source_file"), "f.*")
+
+
+def _ledger(spark, d):
+    return _unique(spark, d).where("file_id % 3 = 0").select(
+        "source_file",
+        "prefix",
+        F.col("file_ts").alias("image_ts"),
+        F.lit("old.txt").alias("matched_text_file"),
+        F.col("file_ts").alias("matched_text_ts"),
+        F.lit(0).cast("long").alias("matched_diff_seconds"),
+        F.lit(None).cast("string").alias("output_remote_file"),
+        F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz").alias("created_at"),
+        F.lit(None).cast("timestamp_ntz").alias("updated_at"),
+    )
+
+
+def _news(spark, d):
+    return _unique(spark, d).where("file_id % 2 = 0").select(
+        "source_file",
+        "prefix",
+        F.col("file_ts").alias("image_ts"),
+        F.lit("new.txt").alias("matched_text_file"),
+        F.expr("file_ts + interval 60 seconds").alias("matched_text_ts"),
+        F.lit(60).cast("long").alias("matched_diff_seconds"),
+        filenames.output_path(F.col("source_file")).alias("output_remote_file"),
+    )
+
+
+_BOOKS = [sql.UNIQUE, sql.LEDGER, sql.NEWS]
+
+
+def _ledger_sql(select):
+    return sql.files(_BOOKS, select)
+
+
+@query(
+    _ledger_sql(
+        f"select source_file, n.prefix, n.image_ts, n.matched_text_file, n.matched_text_ts, n.matched_diff_seconds, n.output_remote_file, "
+        f"coalesce(l.created_at, {sql.NOW}) as created_at, case when l.source_file is not null then {sql.NOW} end as updated_at "
+        f"from news n left join ledger l using (source_file) union all "
+        f"select {sql.LEDGER_COLUMNS} from ledger where source_file not in (select source_file from news)"
+    )
+)
+def ledger_upsert(spark, d):
+    return ledger.upsert(_ledger(spark, d), _news(spark, d), _now())
+
+
+@query(
+    _ledger_sql(
+        f"select {sql.LEDGER_COLUMNS} from ledger union all select source_file, prefix, image_ts, null, null, null, null, {sql.NOW}, null "
+        "from news where source_file not in (select source_file from ledger)"
+    )
+)
+def ledger_insert_if_absent(spark, d):
+    return ledger.insert_if_absent(_ledger(spark, d), _news(spark, d), _now())
+
+
+@query(
+    _ledger_sql(
+        "select source_file, l.prefix, l.image_ts, case when n.source_file is null then l.matched_text_file else n.matched_text_file end as matched_text_file, "
+        "case when n.source_file is null then l.matched_text_ts else n.matched_text_ts end as matched_text_ts, "
+        "case when n.source_file is null then l.matched_diff_seconds else n.matched_diff_seconds end as matched_diff_seconds, "
+        f"l.output_remote_file, l.created_at, case when n.source_file is null then l.updated_at else {sql.NOW} end as updated_at "
+        "from ledger l left join news n using (source_file)"
+    )
+)
+def ledger_update_match(spark, d):
+    return ledger.update_match(_ledger(spark, d), _news(spark, d), _now())
+
+
+@query(
+    _ledger_sql(
+        "select source_file, l.prefix, l.image_ts, l.matched_text_file, l.matched_text_ts, l.matched_diff_seconds, "
+        "coalesce(n.output_remote_file, l.output_remote_file) as output_remote_file, l.created_at, "
+        f"case when n.source_file is null then l.updated_at else {sql.NOW} end as updated_at from ledger l left join news n using (source_file)"
+    )
+)
+def ledger_finalize(spark, d):
+    return ledger.finalize(_ledger(spark, d), _news(spark, d).select("source_file", "output_remote_file"), _now())
+
+
+@query(_ledger_sql(f"select {sql.LEDGER_COLUMNS} from ledger where source_file not in (select source_file from news)"))
+def ledger_remove_unmatched(spark, d):
+    return ledger.remove(_ledger(spark, d), _news(spark, d))
+
+
+# Text files
+
+
+def _records(spark, d):
+    return textlines.parse_lines(fixtures.text_files(spark, d))
+
+
+_FLAT = "source_file, line_number, record_type, key, value, array_to_string(columns, '|') as columns, text"
+_PAYLOAD = """case record_type
+  when 'key_value' then '{"type":"key_value","line_number":' || line_number || ',"key":' || to_json(key) || ',"value":' || to_json(value) || '}'
+  when 'csv_like' then '{"type":"csv_like","line_number":' || line_number || ',"columns":' || to_json(columns) || '}'
+  else '{"type":"raw","line_number":' || line_number || ',"text":' || to_json(text) || '}' end as payload_json"""
+
+
+@query(sql.text([sql.LINES], f"select {_FLAT} from fields"))
+def parse_text_lines(spark, d):
+    return _records(spark, d).withColumn("columns", F.array_join("columns", "|"))
+
+
+@query(sql.text([sql.LINES], f"select source_file, line_number, record_type, {_PAYLOAD} from fields"))
+def text_record_payload(spark, d):
+    return textlines.with_payload(_records(spark, d))
+
+
+@query(sql.text([sql.LINES], f"select source_file, line_number, record_type, {_PAYLOAD} from fields"))
+def rubi_ledger_rows(spark, d):
+    path = scratch_dir(spark, "records")
+    textlines.with_payload(_records(spark, d)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query(
+    sql.text(
+        [sql.LINES],
+        "select source_file, line_number, record_type, cast(nth as integer) as nth from (select *, row_number() over "
+        "(partition by source_file order by line_number) as nth from fields) where nth <= 3",
+    )
+)
+def text_preview_top3(spark, d):
+    return textlines.preview(_records(spark, d)).select("source_file", "line_number", "record_type", "nth")
+
+
+@query(
+    sql.text(
+        [sql.LINES],
+        "select t.source_file, cast(length(t.text) as integer) as text_length, coalesce(n, 0) as n_records from text_files t left join "
+        "(select source_file, count(*) as n from records group by all) using (source_file)",
+    )
+)
+def text_file_stats(spark, d):
+    return textlines.file_stats(fixtures.text_files(spark, d), _records(spark, d))
+
+
+def _bodies(spark, d):
+    return fixtures.text_files(spark, d).select("source_file", F.encode("text", "UTF-8").alias("content"))
+
+
+@query(sql.text([], "select source_file, text from text_files"))
+def decode_text(spark, d):
+    return inventories.decode_bodies(_bodies(spark, d)).select("source_file", "text")
+
+
+@query(sql.text([sql.LINES], f"select source_file, line_number, record_type, {_PAYLOAD} from fields"))
+def rubi_pipeline(spark, d):
+    return pipelines.text_pipeline(_bodies(spark, d))
+
+
+# Pipelines over files
+
+_IMAGE_RUN = f"""hit as (select u.path as source_file, t.path as matched_text_file, t.file_ts as matched_text_ts,
+  cast(epoch(t.file_ts) - epoch(u.file_ts) as bigint) as matched_diff_seconds,
+  row_number() over (partition by u.path order by t.file_ts, t.path, t.file_id) as r
+  from uniq u join texts t on t.prefix = u.prefix and t.folder_date = u.folder_date and t.file_ts >= u.file_ts
+    and t.file_ts <= u.file_ts + interval 5 minute),
+best as (select *, {sql.action("source_file")} as action from hit where r = 1)"""
+
+
+@query(
+    sql.files(
+        [*_BOOKS[:2], sql.PUBLISHED, sql.PREPARED, _IMAGE_RUN],
+        f"""select u.path as source_file, u.prefix, u.file_ts as image_ts, b.matched_text_file, b.matched_text_ts, b.matched_diff_seconds,
+  case when b.action = 'record' then {sql.output("u.path")} end as output_remote_file,
+  case when l.source_file is null then {sql.NOW} else l.created_at end as created_at, {sql.NOW} as updated_at
+from uniq u join best b on b.source_file = u.path left join ledger l on l.source_file = u.path""",
+    )
+)
+def rupi_pipeline(spark, d):
+    return pipelines.image_pipeline(
+        fixtures.files(spark, d), _ledger(spark, d), _outputs(spark, d, 5), _outputs(spark, d, 7), _now()
+    )
+
+
+@query(
+    sql.files(
+        [sql.STACK, sql.PUBLISHED, sql.PREPARED],
+        f"select text_id, text_path, image_id, image_path, diff_seconds, {sql.output('image_path')} as output_path, "
+        f"case when image_id is null then 'store' else {sql.action('image_path')} end as action from exclusive",
+    ).replace("from named where ok)", "from named where ok and folder_date in (date '2024-01-01', date '2024-01-02'))").replace(
+        "texts as (select * from named where kind = 'text' and ok)",
+        "texts as (select * from named where kind = 'text' and ok and folder_date in (date '2024-01-01', date '2024-01-02'))",
+    )
+)
+def combined_pipeline(spark, d):
+    plan = pipelines.combined_pipeline(fixtures.files(spark, d), ANCHOR, _outputs(spark, d, 5), _outputs(spark, d, 7))
+    return plan.select("text_id", "text_path", "image_id", "image_path", "diff_seconds", "output_path", "action")
+
+
+# Streams, run to the end of their input
+
+
+@query(sql.query(_PARSED_EUV, f"select {sql.EUV_PARSED} from causes"))
+def stream_root_causes(spark, d):
+    source, target = scratch_dir(spark, "stream-in"), scratch_dir(spark, "stream-out")
+    rows = _euv(spark, d)
+    rows.write.parquet(source)
+    jobs.run_once(jobs.root_causes(jobs.read_logs(spark, source, rows.schema)), target, scratch_dir(spark, "stream-state"))
+    return spark.read.parquet(target)
+
+
+@query(sql.raw([*sql.KEEP, *sql.SEED, sql.filled("filled", "kept", "seed")], "select * from filled"))
+def stream_dose_warnings(spark, d):
+    source, target = scratch_dir(spark, "stream-in"), scratch_dir(spark, "stream-out")
+    rows = _scanned(spark, d)
+    # One file for each stretch of days, in order of time.
+    middle = datetime(2024, 1, 15)
+    rows.where(F.col("code_occur_time") < F.lit(middle)).coalesce(1).write.parquet(source)
+    rows.where(F.col("code_occur_time") >= F.lit(middle)).coalesce(1).write.mode("append").parquet(source)
+    seed = scratch_dir(spark, "seed")
+    _seed(spark, d).write.parquet(seed)
+    stream = jobs.dose_warnings(jobs.read_logs(spark, source, rows.schema), spark.read.parquet(seed))
+    jobs.run_once(stream, target, scratch_dir(spark, "stream-state"))
+    return spark.read.parquet(target)
