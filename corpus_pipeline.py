@@ -1,7 +1,60 @@
-"""Corpus pipeline: stages applied one after another to the documents of a folder."""
+"""Corpus pipeline: five stages, each on all that the one before kept.
+
+1. toxicity: documents that the classifier rejects go;
+2. near-duplicates: one document of each SimHash group stays;
+3. decontamination: documents with benchmark passages go;
+4. secrets: credential values but widely copied examples are replaced in the texts;
+5. byte-level BPE: every text becomes token ids, with offsets to decode them.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from tracelode.llm.byte_bpe import encode_texts
+from tracelode.llm.common import cut, table
+from tracelode.llm.decontaminate import decontaminated
+from tracelode.llm.secret_scan import redacted
+from tracelode.llm.simhash_dedup import deduplicated
+from tracelode.llm.toxicity import clean_documents
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return clean_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return deduplicated(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return redacted(docs)
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return encode_texts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("secrets", secret_stage),
+    ("byte_bpe", encoding_stage),
+]
+
+#: Classifier, fingerprints and tokens are beyond SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`, each one's result written before the next reads it."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

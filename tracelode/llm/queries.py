@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from tracelode.llm import oracles
 from tracelode.llm.byte_bpe import encode_texts
 from tracelode.llm.common import table
 from tracelode.llm.decontaminate import contamination
+from tracelode.llm.license_scan import license_scan
 from tracelode.llm.secret_scan import base_spans, joined_spans, secret_scan
 from tracelode.llm.sharding import shard_documents
 from tracelode.llm.simhash_dedup import near_duplicates
@@ -71,6 +73,11 @@ def op7_simhash_dedup(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_license_scan(spark, sf_dir):
+    found = license_scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "license", "families", "n_paragraphs", "n_confirmed", "n_unconfirmed")
+
+
 def op9_decontaminate(spark, sf_dir):
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -90,8 +97,10 @@ QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op6_toxicity": op6_toxicity,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_license_scan": op8_license_scan,
     "op9_decontaminate": op9_decontaminate,
     "op10_url_filter": op10_url_filter,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
