@@ -66,7 +66,9 @@ class FieldRule:
     trim_period: bool = False
 
     def column(self, text: Column) -> Column:
-        found = [self._typed(first_group(text, p)) for p in self.patterns]
+        # A number or time cast from the empty text is null, so only texts need first_group().
+        got = first_group if self.kind == "text" else lambda t, p: F.regexp_extract(t, FLAGS + p, 1)
+        found = [self._typed(got(text, p)) for p in self.patterns]
         if self.minimum is not None:
             found = [F.when(v >= self.minimum, v) for v in found]
         return F.coalesce(*found).alias(self.name)
