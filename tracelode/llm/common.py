@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +56,11 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with `value` worked out once, also where `use` reads it inside a lambda."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def steps(texts: Iterable[str | None], most: int = STEP_CHARS) -> Iterator[list[str]]:
     """Consecutive texts in lists of about `most` characters; null counts as empty text."""
     held: list[str] = []
