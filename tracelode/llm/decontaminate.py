@@ -87,16 +87,40 @@ def contamination(
     each = each.withColumn("start", start).withColumn("len", length)
     each = each.withColumn("h", h)
     bounded = sum(counted.values()) <= max_broadcast
-    met = each.join(F.broadcast(windows) if bounded else windows, F.col("h") == F.col("b_h"), "left")
-    same = F.array_join(F.slice("w", F.greatest("start", F.lit(0)) + 1, F.col("len")), " ") == F.col("b_text")
-    found = met.where((F.col("place") == 0) | (F.col("b_h").isNotNull() & (F.col("b_len") == F.col("len")) & same))
-    hit = F.when(F.col("place") > 0, F.struct("start", (F.col("start") + F.col("len")).alias("stop")))
-    grouped = found.groupBy("doc_id", "text_key").agg(
-        F.max("n_words").alias("n_words"),
-        F.count(F.when(F.col("place") == 0, 1)).alias("copies"),
-        F.collect_set(hit).alias("hits"),
-        F.collect_set("b_items").alias("items"),
-    )
+    here = F.col("h") == F.col("b_h")
+    at, upto = F.col("start"), F.col("start") + F.col("len")
+    if bounded:
+        same = F.array_join(F.slice("w", F.greatest(at, F.lit(0)) + 1, F.col("len")), " ") == F.col("b_text")
+        found = each.join(F.broadcast(windows), here, "left").where(
+            (F.col("place") == 0) | (F.col("b_h").isNotNull() & (F.col("b_len") == F.col("len")) & same)
+        )
+        grouped = found.groupBy("doc_id", "text_key").agg(
+            F.max("n_words").alias("n_words"),
+            F.count(F.when(F.col("place") == 0, 1)).alias("copies"),
+            F.collect_set(F.when(F.col("place") > 0, F.struct("start", upto.alias("stop")))).alias("hits"),
+            F.collect_set("b_items").alias("items"),
+        )
+    else:
+        # Too many windows to broadcast: hashes alone are exchanged, and the words are compared once a
+        # text's few candidates are back with it.
+        narrow = each.where("h is not null").select("doc_id", "text_key", "start", "len", "h").distinct()
+        hit = F.struct("start", upto.alias("stop"), "len", F.col("b_text").alias("text"), F.col("b_items").alias("items"))
+        met = (
+            narrow.join(windows, here & (F.col("len") == F.col("b_len")))
+            .groupBy(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key"))
+            .agg(F.collect_list(hit).alias("c"))
+        )
+        back = base.join(met, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("text_key") == F.col("c_key")), "left")
+        true = F.filter("c", lambda x: F.array_join(F.slice("w", x["start"] + 1, x["len"]), " ") == x["text"])
+        checked = back.withColumn("c", F.coalesce(true, F.filter(F.array(F.lit(None).cast(met.schema["c"].dataType.elementType)), lambda x: x.isNotNull())))
+        grouped = checked.select(
+            "doc_id",
+            "text_key",
+            "n_words",
+            F.lit(1).cast("long").alias("copies"),
+            F.array_distinct(F.transform("c", lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop")))).alias("hits"),
+            F.transform("c", lambda x: x["items"]).alias("items"),
+        )
     # Sorted windows joined into spans: (all before, start and stop of the last).
     spans = F.aggregate(
         F.array_sort("hits"),
