@@ -49,11 +49,13 @@ def append_to_table(rows: DataFrame, table: str, *, analyze: bool = False) -> No
         spark.sql(f"analyze table {table} compute statistics")
 
 
+#: How CSV files spell null; empty text is an empty field in quotes.
+NULL = "\\N"
+
+
 def write_csv(rows: DataFrame, path: str) -> None:
-    """Quoted CSV; null is the empty field, the empty text a quoted one."""
-    rows.write.mode("overwrite").option("header", True).option("escape", '"').option("nullValue", "").option(
-        "emptyValue", '""'
-    ).csv(path)
+    """CSV with quotes doubled, line feeds kept and nulls told from empty texts."""
+    rows.write.mode("overwrite").option("header", True).option("escape", '"').option("nullValue", NULL).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -62,8 +64,7 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
         .option("header", True)
         .option("escape", '"')
         .option("multiLine", True)
-        .option("nullValue", "")
-        .option("emptyValue", '""')
+        .option("nullValue", NULL)
         .csv(path)
     )
 
