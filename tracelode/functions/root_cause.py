@@ -13,7 +13,6 @@ from tracelode.functions.text import (
     INTEGER,
     FieldRule,
     extract,
-    first_group,
     normalize_contents,
     snake_code,
     strip,
@@ -74,6 +73,9 @@ def line_pattern(label: str) -> str:
     return rf"^{re.sub(r'([.<=+-])', r'[\1]', label)}\s*:\s*{DECIMAL}"
 
 
+#: All metric lines at once: label, number.
+ANY_LINE = rf"^({'|'.join(re.sub(r'([.<=+-])', r'[\1]', label) for label in (*METRICS, *INTEGRAL_METRICS))})\s*:\s*{DECIMAL}"
+
 METRIC_RULES = tuple(FieldRule(c, (line_pattern(label),), "decimal") for label, c in METRICS.items())
 INTEGRAL_RULES = tuple(FieldRule(c, (line_pattern(label),), "integral") for label, c in INTEGRAL_METRICS.items())
 
@@ -95,12 +97,8 @@ INTEGER_COLUMNS = {"source_exposure_id": "long", "pulses_euv_lt_0_6dt_tot": "int
 
 def is_root_cause(text: Column) -> Column:
     """Whether normalised contents are a root-cause report."""
-    cause = first_group(text, CAUSE)
-    return (
-        F.coalesce(F.lower(text).contains(GATE_PHRASE), F.lit(False))
-        & text.rlike(FLAGS + CAUSE)
-        & F.coalesce(strip(cause) != "", F.lit(False))
-    )
+    cause = F.regexp_extract(text, FLAGS + CAUSE, 1)
+    return F.coalesce(F.lower(text).contains(GATE_PHRASE) & (strip(cause) != ""), F.lit(False))
 
 
 def dominant_dose_error(least: Column, most: Column) -> Column:
@@ -108,6 +106,18 @@ def dominant_dose_error(least: Column, most: Column) -> Column:
     return F.when(most.isNull() | (F.abs(least) >= F.abs(most)), least).otherwise(most)
 
 
+def with_metrics(rows: DataFrame, text: str) -> DataFrame:
+    """`rows` with all metric columns, from two passes over column `text`: the labels of all metric lines,
+    and their numbers. The first line of a label counts, as if each had been searched by itself."""
+    names = F.transform(F.regexp_extract_all(text, F.lit(FLAGS + ANY_LINE), F.lit(1)), F.lower)
+    found = rows.withColumns({"_names": names, "_numbers": F.regexp_extract_all(text, F.lit(FLAGS + ANY_LINE), F.lit(2))})
+    values = {
+        rule.name: rule.typed(F.get("_numbers", (F.array_position("_names", label) - 1).cast("int")))
+        for rule, label in zip((*METRIC_RULES, *INTEGRAL_RULES), (*METRICS, *INTEGRAL_METRICS), strict=True)
+    }
+    return found.select("*", *[v.alias(n) for n, v in values.items()]).drop("_names", "_numbers")
+
+
 def parse_root_causes(logs: DataFrame) -> DataFrame:
     """Root-cause reports among `logs` with all parsed columns; other rows (and null contents) go.
     The normalised text is worked out once, before the rules."""
@@ -115,8 +125,7 @@ def parse_root_causes(logs: DataFrame) -> DataFrame:
     kept = logs.select(*SOURCE_COLUMNS, normalize_contents(F.coalesce(F.col("contents"), F.lit(""))).alias("_text")).where(
         is_root_cause(text)
     )
-    fields = extract(text, (*IDENTITY_RULES, *METRIC_RULES, *INTEGRAL_RULES))
-    parsed = kept.select(*SOURCE_COLUMNS, *fields)
+    parsed = with_metrics(kept, "_text").select("*", *extract(text, IDENTITY_RULES))
     return parsed.select(
         "*",
         snake_code(F.col("root_cause_message")).alias("root_cause_code"),

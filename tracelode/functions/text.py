@@ -68,12 +68,12 @@ class FieldRule:
     def column(self, text: Column) -> Column:
         # A number or time cast from the empty text is null, so only texts need first_group().
         got = first_group if self.kind == "text" else lambda t, p: F.regexp_extract(t, FLAGS + p, 1)
-        found = [self._typed(got(text, p)) for p in self.patterns]
+        found = [self.typed(got(text, p)) for p in self.patterns]
         if self.minimum is not None:
             found = [F.when(v >= self.minimum, v) for v in found]
         return F.coalesce(*found).alias(self.name)
 
-    def _typed(self, value: Column) -> Column:
+    def typed(self, value: Column) -> Column:
         if self.kind == "text":
             return strip_trailing_period(value) if self.trim_period else F.nullif(strip(value), F.lit(""))
         if self.kind == "time":

@@ -302,6 +302,12 @@ def _fields(spark, d, rules):
     return _euv(spark, d).select("eq_name", "code_occur_time", text.alias("t")).select("eq_name", "code_occur_time", *extract(F.col("t"), rules))
 
 
+def _metrics(spark, d, rules):
+    text = normalize_contents(F.coalesce("contents", F.lit("")))
+    rows = _euv(spark, d).select("eq_name", "code_occur_time", text.alias("t"))
+    return root_cause.with_metrics(rows, "t").select("eq_name", "code_occur_time", *[r.name for r in rules])
+
+
 def _fields_sql(rules):
     return sql.query(sql.EUV, f"select {_KEY}, {', '.join(f'{sql.field(r, "t")} as {r.name}' for r in rules)} from normalized")
 
@@ -313,12 +319,12 @@ def parse_root_cause_identity(spark, d):
 
 @query(_fields_sql(root_cause.METRIC_RULES))
 def parse_root_cause_metrics(spark, d):
-    return _fields(spark, d, root_cause.METRIC_RULES)
+    return _metrics(spark, d, root_cause.METRIC_RULES)
 
 
 @query(_fields_sql(root_cause.INTEGRAL_RULES))
 def parse_integral_metrics(spark, d):
-    return _fields(spark, d, root_cause.INTEGRAL_RULES)
+    return _metrics(spark, d, root_cause.INTEGRAL_RULES)
 
 
 @query(sql.query(_PARSED_EUV, f"select {_KEY}, min_dose_error, max_dose_error, dose_error from causes"))
