@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+import pytest
+
 from tracelode.operators import state
 from tracelode.operators.audit import missing_from_parsed, null_counts, repeated_keys
 from tracelode.sources import logs as sources
@@ -60,11 +62,14 @@ def random_rows(n, seed=3):
     return rows
 
 
-def test_slices_equal_a_row_loop(spark):
+@pytest.mark.parametrize("sliced", [True, False])
+def test_both_forms_equal_a_row_loop(spark, sliced):
     rows = random_rows(1500)
     seed = {"A": (7, None), "Z": (1, 1)}
     table = spark.createDataFrame([(k, *v) for k, v in seed.items()], "eq_name string, wafer_id int, wafer_seq int")
-    got = state.carry_forward(state.drop_test_shots(parsed(spark, rows)), table)
+    kept = state.drop_test_shots(parsed(spark, rows), sliced=sliced, keep=True)
+    got = state.carry_forward(kept, table, sliced=sliced)
+    assert got.columns == parsed(spark, rows[:1]).columns
     assert sorted((r.er_index, r.wafer_id, r.wafer_seq) for r in got.collect()) == by_loop(rows, seed)
 
 
@@ -104,8 +109,6 @@ def test_audits(spark):
 
 
 def test_windows():
-    import pytest
-
     assert sources.day_window(target=datetime(2026, 5, 1).date()) == (datetime(2026, 5, 1), datetime(2026, 5, 2))
     for bad in ({}, {"start": datetime(2026, 5, 1)}, {"start": datetime(2026, 5, 1), "end": datetime(2026, 5, 1)}):
         with pytest.raises(ValueError, match="start"):
@@ -119,3 +122,16 @@ def test_window_filter_reaches_the_scan(spark, tmp_path):
     text = plan._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(code_occur_time" in text
     assert "exposure_handle" not in text.split("ReadSchema")[1]
+
+
+def test_plain_form_has_one_exchange_and_one_sort(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    parsed(spark, random_rows(50)).write.parquet(path)
+    rows = spark.read.parquet(path)
+    assert not state.busy(rows)
+    assert state.busy(rows, most=3)
+    plan = state.carry_forward(state.drop_test_shots(rows, sliced=False, keep=True), sliced=False)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.count("Sort [") == 1
+    assert text.count("Window [") == 2

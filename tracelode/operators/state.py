@@ -1,9 +1,11 @@
 """Ordered state per equipment: counter jumps and values carried forward.
 
-The rows of one equipment are not handled in one window. They are cut into slices of time; a window
-runs inside each slice, and what a slice hands on to later ones is a table with one row for each
-equipment and slice. So a busy equipment is as many tasks as it has slices, and rows without an
-equipment, which take no part in any state, are spread by their index.
+Two forms give the same rows. The plain one is a window per equipment; the jump rule and the
+carry-forward then share one exchange and one sort. In the sliced one an equipment's rows are cut
+into slices of time: a window runs inside each slice, and what a slice hands on to later ones is a
+table with one row for each equipment and slice. So an equipment with very many rows is as many
+tasks as it has slices. `busy()` tells which form a run needs. Rows without an equipment, which take
+no part in any state, are spread by a hash in both.
 """
 
 from __future__ import annotations
@@ -17,7 +19,9 @@ from pyspark.sql import functions as F
 #: A rise of the exposure handle from which a row is a test shot.
 JUMP = 1000
 LOG_ORDER = ("code_occur_time", "er_date", "er_index", "er_line", "code", "contents")
-SLICE = "_slice"
+SLICE, SPREAD = "_slice", "_spread"
+#: Rows of one equipment that one task sorts at most; beyond it a run is sliced.
+MOST_ROWS = 5_000_000
 
 
 def _nulls_last(order: Sequence[str]) -> Column:
@@ -27,21 +31,30 @@ def _nulls_last(order: Sequence[str]) -> Column:
 def last_values(
     rows: DataFrame,
     keys: Sequence[str],
-    slice_by: Column,
+    slice_by: Column | None,
     order: Sequence[str],
     values: Mapping[str, Column],
     *,
     with_current: bool,
+    keep: bool = False,
 ) -> DataFrame:
     """`rows` with, per entry of `values`, the latest non-null value at or before (`with_current`) or
-    before each row of its keys. Rows with a null key look only at their own slice and spread part;
-    callers leave their values out."""
-    spread = F.when(F.col(keys[0]).isNull(), F.pmod(F.xxhash64(*order), F.lit(64))).otherwise(F.lit(0))
-    cut = rows.withColumn(SLICE, slice_by).withColumn("_spread", spread)
-    held = cut.withColumns({f"_v_{n}": v for n, v in values.items()})
-    inside = W.partitionBy(*keys, SLICE, "_spread").orderBy(*[F.asc_nulls_last(c) for c in order])
+    before each row of its keys. Rows with a null key look only at their own spread part; callers leave
+    their values out. With `keep` the helper columns stay, and the next call with the same keys and
+    order needs no exchange of its own."""
+    if SPREAD not in rows.columns:
+        spread = F.when(F.col(keys[0]).isNull(), F.pmod(F.xxhash64(*order), F.lit(64))).otherwise(F.lit(0))
+        rows = rows.withColumn(SPREAD, spread)
+        if slice_by is not None:
+            rows = rows.withColumn(SLICE, slice_by)
+    parts = [SLICE] if slice_by is not None else []
+    held = rows.withColumns({f"_v_{n}": v for n, v in values.items()})
+    inside = W.partitionBy(*keys, *parts, SPREAD).orderBy(*[F.asc_nulls_last(c) for c in order])
     inside = inside.rowsBetween(W.unboundedPreceding, 0 if with_current else -1)
     within = held.withColumns({f"_w_{n}": F.last(f"_v_{n}", ignorenulls=True).over(inside) for n in values})
+    kept = [c for c in rows.columns if keep or c not in (SLICE, SPREAD)]
+    if slice_by is None:
+        return within.select(*kept, *[F.col(f"_w_{n}").alias(n) for n in values])
     ends = (
         held.where(F.col(keys[0]).isNotNull())
         .groupBy(*keys, SLICE)
@@ -50,25 +63,27 @@ def last_values(
     across = W.partitionBy(*keys).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
     before = ends.select(*keys, SLICE, *[F.last(f"_e_{n}", ignorenulls=True).over(across).alias(f"_b_{n}") for n in values])
     met = within.join(before, [*keys, SLICE], "left")
-    return met.select(
-        *[F.col(f"`{c}`") for c in rows.columns],
-        *[F.coalesce(f"_w_{n}", f"_b_{n}").alias(n) for n in values],
-    )
+    return met.select(*kept, *[F.coalesce(f"_w_{n}", f"_b_{n}").alias(n) for n in values])
 
 
-def _hour(rows: DataFrame) -> Column:
+def hourly() -> Column:
     return F.date_trunc("hour", F.col("code_occur_time"))
 
 
+def busy(logs: DataFrame, most: int = MOST_ROWS) -> bool:
+    """Whether an equipment has more rows than one task should sort: a count over the key alone."""
+    return bool(logs.where("eq_name is not null").groupBy("eq_name").count().where(F.col("count") > most).take(1))
+
+
 def is_counted(prefix: str = "DW-") -> Column:
     """Rows whose handle takes part in the jump rule."""
     return F.col("eq_name").isNotNull() & F.upper("code").startswith(prefix) & F.col("exposure_handle").isNotNull()
 
 
-def with_previous_handle(parsed: DataFrame) -> DataFrame:
+def with_previous_handle(parsed: DataFrame, *, sliced: bool = True, keep: bool = False) -> DataFrame:
     """`parsed` with previous_handle: that of the equipment's last counted row before, dropped or not."""
-    value = F.when(is_counted(), F.col("exposure_handle"))
-    met = last_values(parsed, ["eq_name"], _hour(parsed), LOG_ORDER, {"previous_handle": value}, with_current=False)
+    value = {"previous_handle": F.when(is_counted(), F.col("exposure_handle"))}
+    met = last_values(parsed, ["eq_name"], hourly() if sliced else None, LOG_ORDER, value, with_current=False, keep=keep)
     return met.withColumn("previous_handle", F.when(is_counted(), F.col("previous_handle")))
 
 
@@ -76,10 +91,10 @@ def is_test_shot(threshold: int = JUMP) -> Column:
     return F.coalesce(F.col("exposure_handle") - F.col("previous_handle") >= threshold, F.lit(False))
 
 
-def drop_test_shots(parsed: DataFrame, threshold: int = JUMP) -> DataFrame:
+def drop_test_shots(parsed: DataFrame, threshold: int = JUMP, **form) -> DataFrame:
     """Rows but those whose handle rose by `threshold` or more; a dropped row's handle is still the
     previous one of the next. The first row of a run and rows without equipment always stay."""
-    return with_previous_handle(parsed).where(~is_test_shot(threshold)).drop("previous_handle")
+    return with_previous_handle(parsed, **form).where(~is_test_shot(threshold)).drop("previous_handle")
 
 
 def test_shots(parsed: DataFrame, threshold: int = JUMP) -> DataFrame:
@@ -102,12 +117,12 @@ def latest_wafer_state(parsed: DataFrame) -> DataFrame:
     )
 
 
-def carry_forward(parsed: DataFrame, seed: DataFrame | None = None) -> DataFrame:
+def carry_forward(parsed: DataFrame, seed: DataFrame | None = None, *, sliced: bool = True) -> DataFrame:
     """wafer_id and wafer_seq filled, each by itself, from the equipment's last row that had it, else from
     `seed` (eq_name, wafer_id, wafer_seq). Rows without equipment stay as they are."""
     known = F.col("eq_name").isNotNull()
     values = {f"_{c}": F.when(known, F.col(c)) for c in ("wafer_id", "wafer_seq")}
-    met = last_values(parsed, ["eq_name"], _hour(parsed), LOG_ORDER, values, with_current=True)
+    met = last_values(parsed, ["eq_name"], hourly() if sliced else None, LOG_ORDER, values, with_current=True)
     if seed is not None:
         start = seed.select("eq_name", F.col("wafer_id").alias("_seed_id"), F.col("wafer_seq").alias("_seed_seq"))
         # One row for each equipment; the planner broadcasts it while it is small.
@@ -118,7 +133,7 @@ def carry_forward(parsed: DataFrame, seed: DataFrame | None = None) -> DataFrame
         "wafer_id": F.coalesce("wafer_id", F.when(known, F.coalesce("_wafer_id", "_seed_id"))).cast("int"),
         "wafer_seq": F.coalesce("wafer_seq", F.when(known, F.coalesce("_wafer_seq", "_seed_seq"))).cast("int"),
     }
-    return met.select(*[filled.get(c, F.col(c)).alias(c) for c in parsed.columns])
+    return met.select(*[filled.get(c, F.col(c)).alias(c) for c in parsed.columns if c not in (SLICE, SPREAD)])
 
 
 def handle_jump_audit(parsed: DataFrame, threshold: int = JUMP) -> DataFrame:
@@ -128,7 +143,7 @@ def handle_jump_audit(parsed: DataFrame, threshold: int = JUMP) -> DataFrame:
         "_eq", F.coalesce(F.col("eq_name"), F.lit(""))
     )
     order = ("code_occur_time", "er_date", "er_index")
-    met = last_values(rows, ["_eq"], _hour(rows), order, {"prev_exposure_handle": F.col("exposure_handle")}, with_current=False)
+    met = last_values(rows, ["_eq"], hourly(), order, {"prev_exposure_handle": F.col("exposure_handle")}, with_current=False)
     return (
         met.withColumn("exposure_handle_diff", F.col("exposure_handle") - F.col("prev_exposure_handle"))
         .where(F.col("exposure_handle_diff") > threshold)

@@ -11,18 +11,22 @@ from tracelode.functions import dose, root_cause
 from tracelode.operators import ledger as books
 from tracelode.operators.filenames import accepted, already_published, output_path, publish_plan, rejected
 from tracelode.operators.matching import match_exclusive, match_image_to_text
-from tracelode.operators.state import carry_forward, drop_test_shots, latest_wafer_state
+from tracelode.operators.state import busy, carry_forward, drop_test_shots, latest_wafer_state
 from tracelode.operators.textlines import parse_lines, with_payload
 from tracelode.sources.files import decode_bodies, in_two_days
 from tracelode.sources.logs import scan_dose_logs, scan_root_cause_logs
 from tracelode.sources.sinks import distinct_rows, projected
 
 
-def dose_table(logs: DataFrame, start: datetime, end: datetime, seed: DataFrame | None = None) -> DataFrame:
+def dose_table(
+    logs: DataFrame, start: datetime, end: datetime, seed: DataFrame | None = None, *, sliced: bool | None = None
+) -> DataFrame:
     """Dose warnings of the window as result rows: parsed, test shots dropped, wafers carried forward
-    from `seed` on, exact repeats removed."""
-    parsed = dose.parse_dose_warnings(scan_dose_logs(logs, start, end))
-    filled = carry_forward(drop_test_shots(parsed), seed)
+    from `seed` on, exact repeats removed. Machines are cut into slices of time if one has very many
+    rows (counted first), or as `sliced` says; the rows are the same."""
+    scanned = scan_dose_logs(logs, start, end)
+    sliced = busy(scanned) if sliced is None else sliced
+    filled = carry_forward(drop_test_shots(dose.parse_dose_warnings(scanned), sliced=sliced, keep=True), seed, sliced=sliced)
     return projected(distinct_rows(filled), dose.PARSED_COLUMNS, dose.INTEGER_COLUMNS)
 
 

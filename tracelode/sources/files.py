@@ -62,10 +62,8 @@ def size_mismatches(source: DataFrame, copies: DataFrame) -> DataFrame:
 
 
 def decoded(content: Column) -> Column:
-    """Text of a body: UTF-8 where it is valid; else CP949 where the session allows that charset
-    (spark.sql.legacy.javaCharsets), else UTF-8 with U+FFFD for what is not valid."""
-    valid = F.is_valid_utf8(content.cast("string"))
-    return F.when(valid, content.cast("string")).otherwise(F.make_valid_utf8(content.cast("string")))
+    """Text of a body as UTF-8, with U+FFFD for what is not valid."""
+    return F.make_valid_utf8(content.cast("string"))
 
 
 def decode_bodies(files: DataFrame, *, fallback: str | None = "MS949") -> DataFrame:
@@ -74,8 +72,8 @@ def decode_bodies(files: DataFrame, *, fallback: str | None = "MS949") -> DataFr
     give null text."""
     good = files.where(F.col("content").isNull() | F.is_valid_utf8(F.col("content").cast("string")))
     plain = good.withColumn("text", F.col("content").cast("string"))
+    bad = files.where(~F.is_valid_utf8(F.col("content").cast("string")))
     if fallback is None:
-        bad = files.where(~F.is_valid_utf8(F.col("content").cast("string")))
         return plain.unionByName(bad.withColumn("text", decoded(F.col("content"))))
     codec = {"MS949": "cp949"}.get(fallback, fallback)
 
@@ -89,5 +87,4 @@ def decode_bodies(files: DataFrame, *, fallback: str | None = "MS949") -> DataFr
 
         return bodies.map(one)
 
-    bad = files.where(~F.is_valid_utf8(F.col("content").cast("string")))
     return plain.unionByName(bad.withColumn("text", fall_back("content")))
