@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tracelode.llm.common import map_arrow, steps
 
 #: Distinct pieces whose ids a worker keeps; past it the cache starts anew.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 400_000
 #: Pieces longer than this many bytes are merged with a heap and not kept.
 LONG_PIECE = 64
 #: Above every rank: a pair that does not merge.
@@ -260,6 +260,12 @@ def little_endian(ids: array) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
 
+def lists(rows: list[np.ndarray], kind: type) -> pa.ListArray:
+    """Arrow lists of the rows' numbers, without a Python object for each."""
+    ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows).astype(kind)))
+
+
 def encode_texts(
     docs: DataFrame,
     ranks: str,
@@ -293,8 +299,8 @@ def encode_texts(
                 ]
                 names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", "n_decoded"]
                 if keep_ids:
-                    columns.append(pa.array([list(x) for x in encoded], pa.list_(pa.int32())))
-                    columns.append(pa.array([coder.offsets(x) for x in encoded], pa.list_(pa.int64())))
+                    columns.append(lists([np.asarray(x, np.uint32) for x in encoded], np.int32))
+                    columns.append(lists([coder.offsets(x) for x in encoded], np.int64))
                     names += ["ids", "offsets"]
                 start += len(part)
                 yield pa.RecordBatch.from_arrays(columns, names=names)

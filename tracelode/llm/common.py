@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters of text that one Python step works on at a time; one longer text is a step by itself.
-STEP_CHARS = 4_000_000
+STEP_CHARS = 1_000_000
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
