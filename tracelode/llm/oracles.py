@@ -61,3 +61,27 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
   sha256(coalesce(items, '')) as items_sha256,
   coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
 from d left join n using (rid) left join items using (rid)"""
+
+# The checksum by its table of 256 remainders, the slot map by dealing slots one after another.
+SHARDS = """with recursive
+table_ as (select list(list_reduce(list_prepend(n, range(8)), lambda c, j: xor(c >> 1, (c & 1) * 3988292384)) order by n) as t
+  from range(256) r(n)),
+d as (select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents),
+hexed as (select rid, doc_id, text, hex(encode(text)) as h, t from d cross join table_),
+sized as (select rid, doc_id, (length(h) // 2 + 1)::bigint as size,
+  xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i::int + 1, 2))::bigint)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)::bigint as text_crc32,
+  (('0x' || left(md5(coalesce(doc_id::varchar, '')), 8))::bigint % 4096)::int as virtual_slot from hexed),
+loads as (select virtual_slot, sum(size)::bigint as b, count(*) as n, row_number() over (order by sum(size) desc, virtual_slot) as k
+  from sized group by virtual_slot),
+deal as (select 0::bigint as k, -1 as virtual_slot, -1 as shard, list_transform(range(16), lambda x: 0::bigint) as held
+  union all
+  select l.k, l.virtual_slot, list_position(held, list_min(held))::int - 1,
+    list_transform(held, lambda x, i: case when i = list_position(held, list_min(held)) then x + l.b else x end)
+  from deal join loads l on l.k = deal.k + 1),
+placed as (select virtual_slot, shard, coalesce(sum(n) over (partition by shard order by virtual_slot
+  rows between unbounded preceding and 1 preceding), 0)::bigint as before from deal join loads using (virtual_slot))
+select doc_id, size, text_crc32, 'bytes' as law, shard::int as shard,
+  (before + row_number() over (partition by virtual_slot order by doc_id nulls first, text_crc32, size) - 1)::bigint as slot,
+  null::int as grown_shard, virtual_slot, 1 as map_version
+from sized join placed using (virtual_slot)"""

@@ -14,6 +14,7 @@ from tracelode.llm.license_scan import license_scan
 from tracelode.llm.secret_scan import base_spans, joined_spans, secret_scan
 from tracelode.llm.sharding import shard_documents
 from tracelode.llm.simhash_dedup import near_duplicates
+from tracelode.llm.simhash_sql import SIMHASH
 from tracelode.llm.token_counts import token_counts
 from tracelode.llm.topk_search import exact_topk
 from tracelode.llm.toxicity import toxicity
@@ -106,6 +107,8 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op1_secret_scan": oracles.SECRET_SCAN,
     "op2_topk_search": oracles.TOPK_SEARCH,
+    "op3_virtual_slots": oracles.SHARDS,
+    "op7_simhash_dedup": SIMHASH,
     "op9_decontaminate": oracles.DECONTAMINATE,
     "op10_url_filter": url_filter_sql(URL_RULES),
 }
