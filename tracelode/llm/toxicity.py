@@ -222,14 +222,20 @@ def fit(
 ) -> Model:
     """Fits on labelled rows of `labels` (doc_id, toxic) that meet `usable` and have a row in `docs`."""
     sample = word_lists(training_rows(docs, labels, usable=F.lit(True) if usable is None else usable, most=most)).toArrow()
-    rows = sorted(zip(sample.column("toxic").to_pylist(), sample.column("words").to_pylist(), strict=True))
+    held = sample.column("words").combine_chunks()
+    coded = held.flatten().dictionary_encode()
+    # Each distinct word is one Python object, however many rows have it.
+    names, places = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(held.value_lengths().to_numpy(zero_copy_only=False))]).astype(int)
+    lists = [[names[i] for i in places[a:b]] for a, b in zip(ends, ends[1:], strict=False)]
+    rows = sorted(zip(sample.column("toxic").to_pylist(), lists, strict=True))
     return fit_lists([w for _, w in rows], np.array([y for y, _ in rows], np.int64), **options)
 
 
 class Scorer:
     """Scores of whole texts, with a bounded cache of words."""
 
-    def __init__(self, model: Model, most: int = 500_000):
+    def __init__(self, model: Model, most: int = 200_000):
         self.model, self.most, self.known = model, most, {}
 
     def __call__(self, text: str | None) -> float:
