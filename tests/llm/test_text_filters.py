@@ -8,7 +8,6 @@ import re
 import duckdb
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tracelode.llm import license_scan, toxicity
 from tracelode.llm.decontaminate import contamination, decontaminated
