@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tracelode.functions import dose, root_cause
 from tracelode.operators import ledger as books
-from tracelode.operators.filenames import accepted, already_published, output_path, publish_plan, rejected
+from tracelode.operators.filenames import accepted, publish_plan, rejected
 from tracelode.operators.matching import match_exclusive, match_image_to_text
 from tracelode.operators.state import busy, carry_forward, drop_test_shots, latest_wafer_state
 from tracelode.operators.textlines import parse_lines, with_payload
@@ -93,9 +93,3 @@ def file_outcomes(inventory: DataFrame) -> DataFrame:
         .unionByName(images.join(hit, "file_id", "left_anti").select("file_id", F.lit("skipped").alias("outcome")))
         .unionByName(bad)
     )
-
-
-__all__ = [
-    "already_published", "combined_pipeline", "dose_pipeline", "dose_table", "file_outcomes", "image_pipeline",
-    "output_path", "root_cause_pipeline", "text_pipeline",
-]
