@@ -19,14 +19,17 @@ INTEGER = r"([+-]?\d+)"
 DECIMAL = r"([+-]?\d+(?:\.\d+)?)"
 
 #: Characters that count as blank at either end of a text.
-BLANK = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+BLANKS = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 #: Line ends, beyond \n also \r, VT, FF, FS, GS, RS, NEL, LS and PS.
 LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
 
 
 def strip(text: Column) -> Column:
     """`text` without blanks of any kind at both ends."""
-    return F.regexp_replace(text, rf"\A{BLANK}+|{BLANK}+\z", "")
+    return F.trim(text, F.lit(BLANKS))
 
 
 def strip_trailing_period(text: Column) -> Column:
