@@ -38,3 +38,13 @@ def test_query(spark, duck, name):
     want = duck.sql(registry.ORACLES[name]).to_arrow_table()
     assert sorted(got.column_names) == sorted(want.column_names)
     assert rows_of(got) == rows_of(want)
+
+
+def test_trailing_periods_of_whole_texts(spark, tmp_path):
+    texts = ["a" * 39 + ".b", "a" * 60 + " . ", "a" * 45 + "..", ".", None]
+    rows = [(2 * i + 1, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = registry.QUERIES["strip_trailing_period_of_texts"](spark, str(tmp_path)).collect()
+    whole = {r.source_file: r.whole for r in got}
+    want = ["a" * 39 + ".b", "a" * 60, "a" * 45 + ".", None, None]
+    assert whole == {f"/RUBI/{i}.txt": w for (i, _), w in zip(rows, want, strict=True)}

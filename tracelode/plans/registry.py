@@ -352,6 +352,11 @@ QUERIES["strip_trailing_period"] = QUERIES.pop("strip_trailing_period_of_heads")
 ORACLES["strip_trailing_period"] = ORACLES.pop("strip_trailing_period_of_heads")
 
 
+@query(sql.query([sql.TEXT_FILES], f"select source_file, {sql.strip_trailing_period('text')} as whole from text_files"))
+def strip_trailing_period_of_texts(spark, d):
+    return fixtures.text_files(spark, d).select("source_file", strip_trailing_period(F.col("text")).alias("whole"))
+
+
 @query(_fields_sql([r for r in root_cause.IDENTITY_RULES if r.kind == "time"]))
 def parse_iso_time(spark, d):
     return _fields(spark, d, tuple(r for r in root_cause.IDENTITY_RULES if r.kind == "time"))
