@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import textwrap
 
 import duckdb
 import numpy as np
@@ -99,6 +100,25 @@ def test_licences(spark):
     assert license_scan.license_scan(docs.limit(0)).count() == 0
 
 
+def test_wrapped_licences(spark):
+    rnd = random.Random(6)
+    prose = lambda: " ".join(rnd.choice("the of and that this is in on under version work code free mere".split()) for _ in range(30))
+    long_ = {f: max(license_scan.TEMPLATES[f], key=len) for f in ("MIT", "GPL-3.0", "BSD-3-Clause", "Apache-2.0")}
+    rows = [(i, prose() + "\n" + prose(), None, 0) for i in range(200)]
+    for k, (family, notice) in enumerate(long_.items()):
+        for width in (30, 72, 80):
+            wrapped = textwrap.wrap(notice, width)
+            rows.append((1000 + 100 * k + width, "\n".join([prose(), *wrapped, prose()]), family, 1))
+            rows.append((2000 + 100 * k + width, "\n".join([prose(), "", *(" * " + x for x in wrapped), "", prose()]), family, 1))
+    mit = textwrap.wrap(long_["MIT"], 72)
+    rows.append((3000, "\n".join([*mit, *mit, *textwrap.wrap(long_["GPL-3.0"], 72)]), "MIT", 3))
+    rows.append((3001, "\n".join([mit[0], prose(), *mit[2:]]), None, 0))
+    docs = spark.createDataFrame([(a, b) for a, b, _, _ in rows], "doc_id long, text string")
+    got = license_scan.license_scan(docs).collect()
+    assert sorted((r.doc_id, str(r.license), r.n_confirmed) for r in got) == sorted((a, str(c), n) for a, _, c, n in rows)
+    assert next(r.families for r in got if r.doc_id == 3000) == "GPL-3.0,MIT"
+
+
 # Decontamination
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

@@ -1,13 +1,15 @@
 """License scan by a trained paragraph classifier, in DataFrame and SQL functions only.
 
-A paragraph is a line. Its features are its distinct pairs of neighbouring words, hashed. Training rows are
-the templates below, whole and in parts, and a bounded sample of the corpus' own paragraphs: those
-that hold a template are of its family, the others unknown. A multinomial logistic regression gives
+A paragraph is a line, or a run of neighbouring lines over which a notice is wrapped. Its features are its distinct pairs of neighbouring words, hashed. Training rows are
+the templates below, whole and in parts, and a bounded sample of the corpus' own lines: those
+that hold a template, or are a piece of one, are of its family, the others unknown. A multinomial logistic regression gives
 sparse weights (most are zero, and pairs that are common in the sample are no features), so the
 weight table is small and is broadcast. Each paragraph's pairs are looked up in it; sums per family
 give the prediction. The unknown class is calibrated: a family is predicted only above the
 probability that sampled paragraphs held out of training reach wrongly at most at a given rate.
-A prediction counts once a template of the family is found among the paragraph's pairs.
+A prediction counts once a template of the family is found among the paragraph's pairs. Lines that
+do not hold a notice by themselves are then searched for wrapped ones: a template is looked for in
+runs of neighbouring lines, with the pairs across line ends, and the run is judged as a paragraph is.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ MAX_SAMPLE = 4000
 COMMON = 0.02
 #: Share of a template's word pairs that a paragraph must hold to confirm it.
 CONFIRM = 0.8
+#: Pairs that a line must have, at least, to be labelled as a piece of a notice.
+PIECE = 4
 #: Wrongly named held-out paragraphs that the calibration allows.
 FALSE_RATE = 0.001
 
@@ -94,6 +98,11 @@ def _paragraphs(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), r"\r?\n", -1)
 
 
+def _last_word(line: Column) -> Column:
+    """The word before a line's end; one longer than 200 characters is in no template."""
+    return F.regexp_extract(F.right(line, F.lit(200)), r"([\p{L}\p{N}]+)[^\p{L}\p{N}]*$", 1)
+
+
 def labelled_sample(docs: DataFrame, *, text_col: str = "text", most: int = MAX_SAMPLE) -> DataFrame:
     """(line, family): at most `most` distinct paragraphs of the corpus. Half are any paragraphs, half
     such as name a licence by a word that most notices share, so that both classes are there."""
@@ -112,6 +121,16 @@ def labelled_sample(docs: DataFrame, *, text_col: str = "text", most: int = MAX_
         for family, listed in sorted(template_pairs(docs.sparkSession).items())
         for pairs in listed
     ]
+    # Pieces of wrapped notices would teach, as unknown, against the notices' own words.
+    held += [
+        F.when(
+            (F.size("have") >= PIECE)
+            & (F.size(F.array_intersect("have", F.array(*map(F.lit, pairs)))) >= CONFIRM * F.size("have")),
+            family,
+        )
+        for family, listed in sorted(template_pairs(docs.sparkSession).items())
+        for pairs in listed
+    ]
     return tagged.select("line", F.coalesce(*held, F.lit(UNKNOWN)).alias("family"))
 
 
@@ -194,7 +213,8 @@ def train(docs: DataFrame, *, text_col: str = "text", most: int = MAX_SAMPLE, fa
 def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None) -> DataFrame:
     """One row per row of `docs`: doc_id, text_key (MD5), license (the family with most confirmed
     paragraphs, ties by name; null without one), families (confirmed ones, in order), n_paragraphs
-    (lines that are not blank), n_confirmed, n_unconfirmed (predicted, but no template found).
+    (lines that are not blank), n_confirmed (a wrapped notice counts once), n_unconfirmed (lines
+    predicted, but no template found in them or across them).
 
     Null text has no paragraphs; null ids stay; repeated rows each give a row; an empty table gives an
     empty one. Without `model` one is trained on these rows.
@@ -214,34 +234,40 @@ def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     base = docs.select(F.col(id_col).alias("doc_id"), F.md5(text).alias("text_key"), lines.alias("lines")).withColumn(
         "n_paragraphs", F.size("lines")
     )
+    # Each line with the last word of the one before it, for the pair across the line end.
+    tied = F.transform(
+        "lines", lambda x, i: F.struct(x.alias("line"), F.when(i > 0, _last_word(F.get("lines", i - 1))).otherwise("").alias("tail"))
+    )
+    none = F.array(F.struct(F.lit("").alias("line"), F.lit("").alias("tail")))
     # Place 0 stands for the document, so that none is lost; the others for its paragraphs. In the
     # same way pair 0 stands for the paragraph. Outer, though never empty: the plain form adds a
     # filter that splits the text once more.
-    each = base.select(
-        "doc_id", "text_key", "n_paragraphs", F.posexplode_outer(F.concat(F.array(F.lit("")), "lines")).alias("place", "line")
-    ).select("doc_id", "text_key", "n_paragraphs", "place", words(F.col("line")).alias("of"))
+    each = base.select("doc_id", "text_key", "n_paragraphs", F.posexplode_outer(F.concat(none, tied)).alias("place", "at"))
+    each = each.select(
+        "doc_id", "text_key", "n_paragraphs", "place", words(F.col("at.line")).alias("of"), F.lower("at.tail").alias("tail")
+    )
     paired = each.withColumn("last", F.greatest(F.size("of") - 1, F.lit(0))).select(
-        "doc_id", "text_key", "n_paragraphs", "place", "of", F.explode_outer(F.sequence(F.lit(0), F.col("last"))).alias("i")
+        "doc_id", "text_key", "n_paragraphs", "place", "of", "tail", F.explode_outer(F.sequence(F.lit(-1), F.col("last"))).alias("i")
     )
-    h = F.when(F.col("i") > 0, F.xxhash64(F.col("of")[F.col("i") - 1], F.col("of")[F.col("i")]))
-    grams = paired.select("doc_id", "text_key", "n_paragraphs", "place", h.alias("h"))
+    h = F.when(F.col("i") > 0, F.xxhash64(F.get("of", F.col("i") - 1), F.get("of", F.col("i")))).when(
+        (F.col("i") < 0) & (F.col("tail") != ""), F.xxhash64("tail", F.get("of", F.lit(0)))
+    )
+    grams = paired.select("doc_id", "text_key", "n_paragraphs", "place", "i", F.size("of").alias("n_words"), h.alias("h"))
     met = grams.join(F.broadcast(lookup), F.col("h") == F.col("l_h"), "left").where(
-        F.col("l_h").isNotNull() | ((F.col("place") == 0) & F.col("h").isNull())
+        F.col("l_h").isNotNull() | ((F.col("place") == 0) & (F.col("i") == 0))
     )
+    own = F.col("i") > 0
+    weighed = F.col("w").isNotNull()
     per_line = met.groupBy("doc_id", "text_key", "place").agg(
         F.max("n_paragraphs").alias("n_paragraphs"),
+        F.max("n_words").alias("n_words"),
         F.count(F.when(F.col("place") == 0, 1)).alias("copies"),
-        F.collect_set(F.when(F.col("w").isNotNull(), F.struct("h", "w"))).alias("found"),
-        F.collect_set(F.when(F.col("pair"), F.col("h"))).alias("have"),
-    )
-    zeros = F.array_repeat(F.lit(0.0), len(FAMILIES))
-    sums = F.aggregate("found", zeros, lambda a, x: F.zip_with(a, x["w"], lambda p, q: p + q))
-    scored = per_line.withColumn("sums", F.when(F.col("place") > 0, sums).otherwise(zeros)).withColumn(
-        "p", _probabilities(F.col("sums"), model.bias)
+        F.collect_set(F.when(own & weighed, F.struct("h", "w"))).alias("found"),
+        F.collect_set(F.when(own & F.col("pair"), F.col("h"))).alias("have"),
+        F.collect_set(F.when(~own & weighed, F.struct("h", "w"))).alias("found_before"),
+        F.collect_set(F.when(~own & F.col("pair"), F.col("h"))).alias("have_before"),
     )
-    best = F.array_max(F.slice("p", 2, len(FAMILIES)))
-    name = F.element_at(F.array(*map(F.lit, FAMILIES)), F.array_position("p", best).cast("int"))
-    named = scored.withColumn("best", best).withColumn("family", F.when((F.col("place") > 0) & (F.col("best") >= model.threshold), name))
+    named = per_line.withColumn("family", F.when(F.col("place") > 0, _family(F.col("found"), model)))
     matches = [
         (F.col("family") == family)
         & (F.size(F.array_intersect("have", F.array(*map(F.lit, pairs_of)))) >= CONFIRM * len(pairs_of))
@@ -250,27 +276,143 @@ def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     ]
     confirmed = reduce(lambda a, b: a | b, matches)
     judged = named.withColumn("confirmed", F.col("family").isNotNull() & confirmed)
+    loose = (F.col("place") > 0) & ~F.col("confirmed")
+    rest = F.struct(
+        "place",
+        "n_words",
+        F.array_union("found", "found_before").alias("found"),
+        F.array_union("have", "have_before").alias("have"),
+        F.col("family").isNotNull().alias("named"),
+    )
     kinds = judged.groupBy("doc_id", "text_key").agg(
         F.max("n_paragraphs").cast("long").alias("n_paragraphs"),
         F.max("copies").alias("copies"),
-        F.count(F.when(F.col("confirmed"), 1)).alias("n_confirmed"),
-        F.count(F.when(F.col("family").isNotNull() & ~F.col("confirmed"), 1)).alias("n_unconfirmed"),
-        *[F.count(F.when(F.col("confirmed") & (F.col("family") == f), 1)).alias(f"_n_{i}") for i, f in enumerate(FAMILIES[1:])],
+        F.collect_list(F.when(F.col("confirmed"), F.col("family"))).alias("by_line"),
+        F.array_sort(F.collect_list(F.when(loose, rest))).alias("loose"),
     )
-    counts = F.array(*[F.struct((-F.col(f"_n_{i}")).alias("n"), F.lit(f).alias("f")) for i, f in enumerate(FAMILIES[1:])])
-    there = F.filter(counts, lambda x: x["n"] < 0)
-    return kinds.select(
+    # Seldom more than none: templates whose pairs are there, in lines however far apart.
+    there = F.array_distinct(F.flatten(F.col("loose.have")))
+    listed = F.array(
+        *[
+            F.struct(F.lit(family).alias("family"), F.array(*map(F.lit, pairs_of)).alias("pairs"))
+            for family, all_ in template_pairs(spark).items()
+            for pairs_of in all_
+        ]
+    )
+    near = let(there, lambda t: F.filter(listed, lambda x: F.size(F.array_intersect(t, x["pairs"])) >= CONFIRM * F.size(x["pairs"])))
+    kinds = kinds.withColumn("near", near)
+    runs = F.flatten(F.transform("near", lambda x: _runs(F.col("loose"), x)))
+
+    def features(run: Column) -> Column:
+        lines = F.filter("loose", lambda x: x["place"].between(run["first"], run["last"]))
+        return F.array_distinct(F.flatten(F.transform(lines, lambda x: x["found"])))
+
+    # A run is judged by the pairs of its lines; of runs of a family that share lines, one counts.
+    kept = F.array_sort(F.array_distinct(F.filter(runs, lambda run: _family(features(run), model) == run["family"])))
+    no_runs = F.array().cast("array<struct<first:int,last:int,family:string>>")
+    kinds = kinds.withColumn("runs", F.when(F.size("near") > 0, kept).otherwise(no_runs)).drop("near")
+    state = F.struct(F.array().cast("array<string>").alias("names"), F.lit(0).alias("end"))
+
+    def counted(family: Column) -> Column:
+        return F.aggregate(
+            F.filter("runs", lambda r: r["family"] == family),
+            state,
+            lambda a, r: F.struct(
+                F.when(r["first"] > a["end"], F.array_append(a["names"], r["family"])).otherwise(a["names"]).alias("names"),
+                F.greatest(a["end"], r["last"]).alias("end"),
+            ),
+            lambda a: a["names"],
+        )
+
+    by_run = F.flatten(F.transform(F.array_distinct(F.col("runs.family")), counted))
+    open_ = F.filter(
+        "loose",
+        lambda x: x["named"]
+        & ~F.exists("runs", lambda r: x["place"].between(r["first"], r["last"])),
+    )
+    told = kinds.select(
         "doc_id",
         "text_key",
-        F.when(F.col("n_confirmed") > 0, F.array_min(there)["f"]).alias("license"),
-        F.array_join(F.array_sort(F.transform(there, lambda x: x["f"])), ",").alias("families"),
         "n_paragraphs",
-        "n_confirmed",
+        "copies",
+        F.concat("by_line", by_run).alias("all_"),
+        F.size(open_).cast("long").alias("n_unconfirmed"),
+    )
+    counts = F.transform(
+        F.array_distinct("all_"), lambda f: F.named_struct(F.lit("n"), -F.size(F.filter("all_", lambda x: x == f)), F.lit("f"), f)
+    )
+    return told.select(
+        "doc_id",
+        "text_key",
+        F.array_min(counts)["f"].alias("license"),
+        F.array_join(F.array_sort(F.array_distinct("all_")), ",").alias("families"),
+        "n_paragraphs",
+        F.size("all_").cast("long").alias("n_confirmed"),
         "n_unconfirmed",
         F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"),
     ).drop("copy")
 
 
+def _family(found: Column, model: Model) -> Column:
+    """The family that the features in `found` give, null below the threshold."""
+    zeros = F.array_repeat(F.lit(0.0), len(FAMILIES))
+    sums = F.aggregate(found, zeros, lambda a, x: F.zip_with(a, x["w"], lambda p, q: p + q))
+    names = F.array(*map(F.lit, FAMILIES))
+
+    def named(p: Column) -> Column:
+        best = F.array_max(F.slice(p, 2, len(FAMILIES)))
+        return F.when(best >= model.threshold, F.element_at(names, F.array_position(p, best).cast("int")))
+
+    return let(_probabilities(sums, model.bias), named)
+
+
+def _runs(lines: Column, template: Column) -> Column:
+    """(first, last, family) of the shortest runs of neighbouring `lines`, from the top and not
+    overlapping, that hold enough of the template's pairs. Pairs further before a line than the template
+    has words are forgotten, and so is everything where a line without any template's pair lies between."""
+    entry = "array<struct<h:bigint,place:int,at:bigint>>"
+    start = F.struct(
+        F.array().cast("array<struct<first:int,last:int,family:string>>").alias("done"),
+        F.array().cast(entry).alias("got"),
+        F.lit(0).alias("last"),
+        F.lit(0).cast("long").alias("at"),
+    )
+    pairs = template["pairs"]
+
+    def step(a: Column, x: Column) -> Column:
+        near = F.filter(a["got"], lambda g: (x["place"] == a["last"] + 1) & (a["at"] - g["at"] <= F.size(pairs)))
+        end = a["at"] + x["n_words"]
+        new = F.transform(
+            F.array_intersect(x["have"], pairs), lambda h: F.struct(h.alias("h"), x["place"].alias("place"), end.alias("at"))
+        )
+        return let(
+            F.concat(near, new),
+            lambda got: let(
+                F.size(F.array_distinct(F.transform(got, lambda g: g["h"]))) >= CONFIRM * F.size(pairs),
+                lambda full: F.struct(
+                    F.when(
+                        full,
+                        F.array_append(
+                            a["done"],
+                            F.struct(
+                                F.array_min(F.transform(got, lambda g: g["place"])).alias("first"),
+                                x["place"].alias("last"),
+                                template["family"].alias("family"),
+                            ),
+                        ),
+                    )
+                    .otherwise(a["done"])
+                    .alias("done"),
+                    F.when(full, F.array().cast(entry)).otherwise(got).alias("got"),
+                    x["place"].alias("last"),
+                    end.cast("long").alias("at"),
+                ),
+            ),
+        )
+
+    return F.aggregate(lines, start, step, lambda a: a["done"])
+
+
 def template_pairs(spark: SparkSession) -> dict[str, list[list[int]]]:
     """Pair hashes of each family's notices."""
     out: dict[str, list[list[int]]] = {}
