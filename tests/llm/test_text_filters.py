@@ -119,6 +119,22 @@ def test_wrapped_licences(spark):
     assert next(r.families for r in got if r.doc_id == 3000) == "GPL-3.0,MIT"
 
 
+def test_every_family_is_named(spark):
+    rnd = random.Random(7)
+    prose = lambda: " ".join(rnd.choice("the of and that this is in on under version work code free mere".split()) for _ in range(30))
+    rows = [(i, prose() + "\n" + prose(), None) for i in range(200)]
+    rows.append((900, "All rights reserved.\n" + license_scan.TEMPLATES["MIT"][0] + "\nCopyright X. All rights reserved.", "MIT"))
+    rows.append((901, prose() + "\nAll rights are reserved for those", None))
+    for k, (family, notices) in enumerate(license_scan.TEMPLATES.items()):
+        for j, notice in enumerate(notices):
+            rows.append((1000 + 10 * k + j, "\n".join([prose(), notice, prose()]), family))
+            rows.append((2000 + 10 * k + j, "\n".join([prose(), *textwrap.wrap(notice, 72), prose()]), family))
+    got = license_scan.license_scan(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, str(r.license)) for r in got) == sorted((a, str(c)) for a, _, c in rows)
+    assert {"GPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "BSD-2-Clause", "ISC", "CC-BY-4.0", "CC-BY-SA-4.0", license_scan.RESERVED} <= set(license_scan.TEMPLATES)
+    assert max(r.n_confirmed for r in got if r.doc_id >= 1000) == 1
+
+
 # Decontamination
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

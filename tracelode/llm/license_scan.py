@@ -5,17 +5,16 @@ the templates below, whole and in parts, and a bounded sample of the corpus' own
 that hold a template, or are a piece of one, are of its family, the others unknown. A multinomial logistic regression gives
 sparse weights (most are zero, and pairs that are common in the sample are no features), so the
 weight table is small and is broadcast. Each paragraph's pairs are looked up in it; sums per family
-give the prediction. The unknown class is calibrated: a family is predicted only above the
+give the prediction. The unknown class is calibrated: a notice is predicted only above the
 probability that sampled paragraphs held out of training reach wrongly at most at a given rate.
-A prediction counts once a template of the family is found among the paragraph's pairs. Lines that
+A prediction counts once a template is found among the paragraph's pairs, together with those pairs
+that tell it from similar templates of other families; these name the family. Lines that
 do not hold a notice by themselves are then searched for wrapped ones: a template is looked for in
 runs of neighbouring lines, with the pairs across line ends, and the run is judged as a paragraph is.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,7 +66,47 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License 2.0.",
     ),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License",
+    ),
+    "LGPL-2.1": (
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License",
+    ),
+    "LGPL-3.0": (
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License",
+    ),
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License",
+    ),
+    "BSD-2-Clause": (
+        "Licensed under the BSD 2-Clause License.",
+        "Licensed under the Simplified BSD License.",
+    ),
+    "ISC": (
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "CC-BY-4.0": (
+        "Licensed under CC BY 4.0.",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    ),
+    "CC-BY-SA-4.0": (
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ),
+    "all-rights-reserved": ("All rights reserved.",),
 }
+#: No grant: names a text only where no licence does.
+RESERVED = "all-rights-reserved"
 FAMILIES = (UNKNOWN, *TEMPLATES)
 
 
@@ -108,7 +147,7 @@ def labelled_sample(docs: DataFrame, *, text_col: str = "text", most: int = MAX_
     such as name a licence by a word that most notices share, so that both classes are there."""
     lines = docs.select(F.explode_outer(_paragraphs(F.col(text_col))).alias("line")).where("trim(line) <> ''")
     low = F.lower("line")
-    named = low.contains("licen") | low.contains("copyright") | low.contains("permission")
+    named = low.contains("licen") | low.contains("copyright") | low.contains("permission") | low.contains("rights reserved")
     # Hashes alone are made distinct and ranked; as many as the bound says are then sent to the
     # lines, so that no exchange holds texts but theirs.
     hashes = cut(lines.select(F.xxhash64("line").alias("o"), named.alias("named")).distinct())
@@ -116,22 +155,12 @@ def labelled_sample(docs: DataFrame, *, text_col: str = "text", most: int = MAX_
     met = lines.withColumn("o", F.xxhash64("line")).join(F.broadcast(some.select("o").distinct()), "o", "left_semi")
     both = met.groupBy("o").agg(F.min("line").alias("line")).select("line")
     tagged = both.select("line", pair_hashes(words(F.col("line"))).alias("have"))
-    held = [
-        F.when(F.size(F.array_intersect("have", F.array(*map(F.lit, pairs)))) >= CONFIRM * len(pairs), family)
-        for family, listed in sorted(template_pairs(docs.sparkSession).items())
-        for pairs in listed
-    ]
+    notices = templates(docs.sparkSession)
+    whole = F.get(F.filter(notices, lambda x: _holds(F.col("have"), x)), F.lit(0))["family"]
     # Pieces of wrapped notices would teach, as unknown, against the notices' own words.
-    held += [
-        F.when(
-            (F.size("have") >= PIECE)
-            & (F.size(F.array_intersect("have", F.array(*map(F.lit, pairs)))) >= CONFIRM * F.size("have")),
-            family,
-        )
-        for family, listed in sorted(template_pairs(docs.sparkSession).items())
-        for pairs in listed
-    ]
-    return tagged.select("line", F.coalesce(*held, F.lit(UNKNOWN)).alias("family"))
+    shared = lambda x: F.size(F.array_intersect("have", x["pairs"]))
+    piece = F.get(F.filter(notices, lambda x: (F.size("have") >= PIECE) & (shared(x) >= CONFIRM * F.size("have"))), F.lit(0))["family"]
+    return tagged.select("line", F.coalesce(whole, piece, F.lit(UNKNOWN)).alias("family"))
 
 
 class Model:
@@ -156,11 +185,12 @@ def train(docs: DataFrame, *, text_col: str = "text", most: int = MAX_SAMPLE, fa
     """Fits on the templates and a bounded sample of paragraphs of `docs`."""
     spark = docs.sparkSession
     sample = cut(labelled_sample(docs, text_col=text_col, most=most))
-    templates = template_table(spark)
+    notices = template_table(spark)
     # Whole notices and their halves stand for what texts quote of them.
     half = F.ceil(F.size("w") / 2).cast("int")
     parts = F.array(F.col("w"), F.slice("w", 1, half), F.slice("w", F.size("w") - half + 1, half))
-    quoted = templates.where(F.size("w") >= 4).select("family", F.explode(parts).alias("w"))
+    short = F.array(F.col("w"), F.col("w"))
+    quoted = notices.select("family", F.explode(F.when(F.size("w") >= 4, parts).otherwise(short)).alias("w"))
     rows = sample.select("family", words(F.col("line")).alias("w"), (F.pmod(F.xxhash64("line"), F.lit(4)) == 0).alias("held"))
     rows = rows.unionByName(quoted.select("family", "w", F.lit(False).alias("held")))
     rows = cut(rows.select("family", "held", pair_hashes(F.col("w")).alias("g"), F.monotonically_increasing_id().alias("row")))
@@ -199,8 +229,8 @@ def train(docs: DataFrame, *, text_col: str = "text", most: int = MAX_SAMPLE, fa
     weights = [[float(matrix[k][i]) if k < len(bias) else 0.0 for k in range(len(FAMILIES))] for i in range(size)]
     biases = [float(bias[k]) if k < len(bias) else -50.0 for k in range(len(FAMILIES))]
     held = fitted.transform(table.where("held").select("label", "family", array_to_vector("x").alias("features")))
-    best = F.array_max(F.slice(vector_to_array("probability"), 2, len(FAMILIES)))
-    wrong = held.where(F.col("family") == UNKNOWN).select(best.alias("p"))
+    licensed = 1 - F.get(vector_to_array("probability"), F.lit(0))
+    wrong = held.where(F.col("family") == UNKNOWN).select(licensed.alias("p"))
     reached = wrong.agg(F.expr(f"percentile(p, {1 - false_rate})").alias("p")).first()["p"]
     threshold = min(0.95, max(0.5, reached or 0.0))
     made = spark.createDataFrame(
@@ -212,9 +242,9 @@ def train(docs: DataFrame, *, text_col: str = "text", most: int = MAX_SAMPLE, fa
 
 def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None) -> DataFrame:
     """One row per row of `docs`: doc_id, text_key (MD5), license (the family with most confirmed
-    paragraphs, ties by name; null without one), families (confirmed ones, in order), n_paragraphs
-    (lines that are not blank), n_confirmed (a wrapped notice counts once), n_unconfirmed (lines
-    predicted, but no template found in them or across them).
+    notices, ties by name, reserved rights after all licences; null without one), families (confirmed
+    ones, in order), n_paragraphs (lines that are not blank), n_confirmed (a family's notice in a line or
+    wrapped over lines counts once), n_unconfirmed (lines predicted to hold a notice, but of no template).
 
     Null text has no paragraphs; null ids stay; repeated rows each give a row; an empty table gives an
     empty one. Without `model` one is trained on these rows.
@@ -267,39 +297,29 @@ def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         F.collect_set(F.when(~own & weighed, F.struct("h", "w"))).alias("found_before"),
         F.collect_set(F.when(~own & F.col("pair"), F.col("h"))).alias("have_before"),
     )
-    named = per_line.withColumn("family", F.when(F.col("place") > 0, _family(F.col("found"), model)))
-    matches = [
-        (F.col("family") == family)
-        & (F.size(F.array_intersect("have", F.array(*map(F.lit, pairs_of)))) >= CONFIRM * len(pairs_of))
-        for family, listed in template_pairs(spark).items()
-        for pairs_of in listed
-    ]
-    confirmed = reduce(lambda a, b: a | b, matches)
-    judged = named.withColumn("confirmed", F.col("family").isNotNull() & confirmed)
+    notices = templates(spark)
+    named = per_line.withColumn("named", (F.col("place") > 0) & _licensed(F.col("found"), model))
+    matched = F.filter(notices, lambda x: _holds(F.col("have"), x))
+    matched = F.array_distinct(F.transform(matched, lambda x: x["family"]))
+    judged = named.withColumn("matched", F.when(F.col("named"), matched).otherwise(F.array().cast("array<string>")))
+    judged = judged.withColumn("confirmed", F.size("matched") > 0)
     loose = (F.col("place") > 0) & ~F.col("confirmed")
     rest = F.struct(
         "place",
         "n_words",
         F.array_union("found", "found_before").alias("found"),
         F.array_union("have", "have_before").alias("have"),
-        F.col("family").isNotNull().alias("named"),
+        "named",
     )
     kinds = judged.groupBy("doc_id", "text_key").agg(
         F.max("n_paragraphs").cast("long").alias("n_paragraphs"),
         F.max("copies").alias("copies"),
-        F.collect_list(F.when(F.col("confirmed"), F.col("family"))).alias("by_line"),
+        F.flatten(F.collect_list("matched")).alias("by_line"),
         F.array_sort(F.collect_list(F.when(loose, rest))).alias("loose"),
     )
     # Seldom more than none: templates whose pairs are there, in lines however far apart.
     there = F.array_distinct(F.flatten(F.col("loose.have")))
-    listed = F.array(
-        *[
-            F.struct(F.lit(family).alias("family"), F.array(*map(F.lit, pairs_of)).alias("pairs"))
-            for family, all_ in template_pairs(spark).items()
-            for pairs_of in all_
-        ]
-    )
-    near = let(there, lambda t: F.filter(listed, lambda x: F.size(F.array_intersect(t, x["pairs"])) >= CONFIRM * F.size(x["pairs"])))
+    near = let(there, lambda t: F.filter(notices, lambda x: _holds(t, x)))
     kinds = kinds.withColumn("near", near)
     runs = F.flatten(F.transform("near", lambda x: _runs(F.col("loose"), x)))
 
@@ -308,7 +328,7 @@ def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         return F.array_distinct(F.flatten(F.transform(lines, lambda x: x["found"])))
 
     # A run is judged by the pairs of its lines; of runs of a family that share lines, one counts.
-    kept = F.array_sort(F.array_distinct(F.filter(runs, lambda run: _family(features(run), model) == run["family"])))
+    kept = F.array_sort(F.array_distinct(F.filter(runs, lambda run: _licensed(features(run), model))))
     no_runs = F.array().cast("array<struct<first:int,last:int,family:string>>")
     kinds = kinds.withColumn("runs", F.when(F.size("near") > 0, kept).otherwise(no_runs)).drop("near")
     state = F.struct(F.array().cast("array<string>").alias("names"), F.lit(0).alias("end"))
@@ -339,7 +359,7 @@ def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         F.size(open_).cast("long").alias("n_unconfirmed"),
     )
     counts = F.transform(
-        F.array_distinct("all_"), lambda f: F.named_struct(F.lit("n"), -F.size(F.filter("all_", lambda x: x == f)), F.lit("f"), f)
+        F.array_distinct("all_"), lambda f: F.named_struct(F.lit("late"), f == RESERVED, F.lit("n"), -F.size(F.filter("all_", lambda x: x == f)), F.lit("f"), f)
     )
     return told.select(
         "doc_id",
@@ -353,17 +373,20 @@ def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     ).drop("copy")
 
 
-def _family(found: Column, model: Model) -> Column:
-    """The family that the features in `found` give, null below the threshold."""
+def _licensed(found: Column, model: Model) -> Column:
+    """Whether the features in `found` speak for a notice; which one, the templates tell."""
     zeros = F.array_repeat(F.lit(0.0), len(FAMILIES))
     sums = F.aggregate(found, zeros, lambda a, x: F.zip_with(a, x["w"], lambda p, q: p + q))
-    names = F.array(*map(F.lit, FAMILIES))
+    return 1 - F.get(_probabilities(sums, model.bias), F.lit(0)) >= model.threshold
+
 
-    def named(p: Column) -> Column:
-        best = F.array_max(F.slice(p, 2, len(FAMILIES)))
-        return F.when(best >= model.threshold, F.element_at(names, F.array_position(p, best).cast("int")))
+def _holds(have: Column, template: Column) -> Column:
+    """Whether enough of a template's pairs are there, also of those that tell it from its likes."""
 
-    return let(_probabilities(sums, model.bias), named)
+    def enough(pairs: Column) -> Column:
+        return F.size(F.array_intersect(have, pairs)) >= CONFIRM * F.size(pairs)
+
+    return enough(template["pairs"]) & F.forall(template["telling"], enough)
 
 
 def _runs(lines: Column, template: Column) -> Column:
@@ -388,7 +411,7 @@ def _runs(lines: Column, template: Column) -> Column:
         return let(
             F.concat(near, new),
             lambda got: let(
-                F.size(F.array_distinct(F.transform(got, lambda g: g["h"]))) >= CONFIRM * F.size(pairs),
+                let(F.array_distinct(F.transform(got, lambda g: g["h"])), lambda have: _holds(have, template)),
                 lambda full: F.struct(
                     F.when(
                         full,
@@ -419,3 +442,22 @@ def template_pairs(spark: SparkSession) -> dict[str, list[list[int]]]:
     for r in template_table(spark).select("family", "pairs").collect():
         out.setdefault(r["family"], []).append(sorted(r["pairs"]))
     return out
+
+
+def templates(spark: SparkSession) -> Column:
+    """Array of (family, pairs, telling): per template also, for each one of another family that shares
+    half of its pairs, those that the other lacks."""
+    listed = [(f, pairs) for f, all_ in template_pairs(spark).items() for pairs in all_]
+    made = []
+    for family, pairs in listed:
+        likes = [set(o) for f, o in listed if f != family and 2 * len(set(o) & set(pairs)) >= len(pairs)]
+        telling = [sorted(set(pairs) - o) for o in likes if set(pairs) - o]
+        groups = [F.array(*map(F.lit, g)) for g in telling]
+        made.append(
+            F.struct(
+                F.lit(family).alias("family"),
+                F.array(*map(F.lit, pairs)).alias("pairs"),
+                (F.array(*groups) if groups else F.array().cast("array<array<bigint>>")).alias("telling"),
+            )
+        )
+    return F.array(*made)
