@@ -95,3 +95,23 @@ def test_slots_do_not_depend_on_data(spark):
     df = spark.range(100).select(slot_of(F.col("id")).alias("s"))
     assert df.collect() == df.collect()
     assert all(0 <= r.s < 4096 for r in df.collect())
+
+
+def test_null_and_repeated_ids_are_spread(spark):
+    rnd = random.Random(8)
+    rows = [(i, "x" * rnd.randrange(100)) for i in range(3000)]
+    rows += [(None, f"{i} " + "x" * rnd.randrange(100)) for i in range(1500)]
+    rows += [(7, f"{i} " + "x" * rnd.randrange(100)) for i in range(1500)]
+    rows += [(None, None)] * 3500 + [(8, "same")] * 3500
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = shard_documents(df.repartition(3), 16, slots=256).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.size, r.text_crc32) for r in got) == sorted(
+        (i is None, i or 0, len(t or "") + 1, zlib.crc32((t or "").encode())) for i, t in rows
+    )
+    for s in range(16):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+    bytes_of = [sum(r.size for r in got if r.shard == s) for s in range(16)]
+    assert max(bytes_of) - min(bytes_of) <= 0.02 * sum(bytes_of) / 16
+    assert max(sum(r.virtual_slot == s for r in got) for s in range(256)) < 3000
+    again = shard_documents(df.repartition(5), 16, slots=256).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))

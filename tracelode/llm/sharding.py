@@ -1,6 +1,8 @@
 """Sharding by fixed virtual slots.
 
-A record's id is hashed into one of a few thousand slots, for good. Bytes are summed per slot; a
+A record's id is hashed into one of a few thousand slots, for good. Records without an id, and those
+of an id that alone outweighs a mean slot, are spread by id, checksum and, where these are equal too,
+by blocks of equal records. Bytes are summed per slot; a
 versioned map says which shard holds a slot. A first map deals slots by size, largest first, each to
 the lightest shard. Rebalancing edits the map: slots leave shards that are too heavy, the rest stay.
 Only the sums per slot (as many as there are slots) meet on the driver.
@@ -26,6 +28,15 @@ def slot_of(id_col: Column, slots: int = SLOTS) -> Column:
     return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(slots)).cast("int")
 
 
+#: Records equal in id, size and checksum that are kept together in a slot, at most.
+BLOCK = 1000
+
+
+def spread_slot(id_col: Column, text_crc32: Column, block: Column, slots: int = SLOTS) -> Column:
+    """Virtual slot of a record whose id does not tell enough."""
+    return slot_of(F.concat_ws("/", id_col.cast("string"), text_crc32.cast("string"), block.cast("string")), slots)
+
+
 @dataclass
 class SlotMap:
     """Version and shard of every slot; shards are numbered from 0."""
@@ -117,6 +128,32 @@ def slot_loads(rows: DataFrame) -> DataFrame:
     return rows.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
 
 
+def spread(rows: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """`rows` of records() with `copies`, one row for each record, or for a block of equal records where
+    the id is null or alone holds more bytes or records than a mean slot."""
+    all_ = rows.agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).first()
+    # Such ids are at most twice as many as there are slots, and lie in slots as heavy as they.
+    above = (F.col("bytes") > (all_["bytes"] or 0) / slots) | (F.col("n") > all_["n"] / slots)
+    full = slot_loads(rows).where(above & (F.col("n") > 1)).select("virtual_slot")
+    known = rows.where("doc_id is not null").join(F.broadcast(full), "virtual_slot", "left_semi")
+    heavy = known.groupBy("doc_id").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
+    heavy = cut(heavy.where(above & (F.col("n") > 1)).select("doc_id"))
+    single = rows.where("doc_id is not null").join(F.broadcast(heavy), "doc_id", "left_anti").withColumn("copies", F.lit(1).cast("long"))
+    # Equal records are counted before they are exchanged, so a third of a table is one row of each task.
+    loose = rows.where("doc_id is null").unionByName(rows.join(F.broadcast(heavy), "doc_id", "left_semi").select(*rows.columns))
+    equal = loose.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n"))
+    most = min(BLOCK, max(1, all_["n"] // slots))
+    blocks = equal.withColumn("block", F.explode(F.expr(f"sequence(0L, (n - 1) div {most})")))
+    placed = blocks.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        spread_slot(F.col("doc_id"), F.col("text_crc32"), F.col("block"), slots).alias("virtual_slot"),
+        F.least(F.lit(most).cast("long"), F.col("n") - most * F.col("block")).alias("copies"),
+    )
+    return single.select(*placed.columns).unionByName(placed)
+
+
 def shard_documents(
     docs: DataFrame,
     shards: int = 16,
@@ -129,13 +166,14 @@ def shard_documents(
     """One row per row of `docs`: doc_id, size, text_crc32, law (bytes), shard, slot (its place in the
     shard, gapless from 0), grown_shard (null), virtual_slot, map_version.
 
-    Without `slot_map` one is dealt for these rows. Null text counts as empty, null ids share a
-    virtual slot, repeated rows each take a place (in order of doc_id, checksum and size); an empty
+    Without `slot_map` one is dealt for these rows. Null text counts as empty, null and
+    heavy ids are spread, repeated rows each take a place (in order of doc_id, checksum and size); an empty
     table gives an empty one; other columns are ignored.
     """
     spark = docs.sparkSession
-    rows = cut(records(docs, id_col=id_col, text_col=text_col, slots=slots))
-    found = {r["virtual_slot"]: (r["bytes"], r["n"]) for r in slot_loads(rows).collect()}
+    rows = cut(spread(cut(records(docs, id_col=id_col, text_col=text_col, slots=slots)), slots))
+    loads = rows.groupBy("virtual_slot").agg(F.sum(F.col("size") * F.col("copies")).alias("bytes"), F.sum("copies").alias("n"))
+    found = {r["virtual_slot"]: (r["bytes"], r["n"]) for r in loads.collect()}
     made = slot_map or SlotMap.deal({s: b for s, (b, _) in found.items()}, shards, slots)
     placed, filled = [], [0] * made.shards
     for slot, shard in sorted(made.of.items()):
@@ -144,8 +182,10 @@ def shard_documents(
     # As many rows as there are slots, whatever the input.
     where = spark.createDataFrame(placed, "virtual_slot int, shard int, before long")
     inside = W.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
+    earlier = F.coalesce(F.sum("copies").over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     return (
-        rows.withColumn("nth", F.row_number().over(inside))
+        rows.withColumn("earlier", earlier)
+        .withColumn("nth", F.explode(F.sequence(F.col("earlier") + 1, F.col("earlier") + F.col("copies"))))
         .join(F.broadcast(where), "virtual_slot")
         .select(
             "doc_id",
