@@ -71,5 +71,13 @@ def test_redaction_keeps_rows_and_copied_examples(spark):
     assert got[8].text == "x" * 50000 + "passwd=<secret>"
 
 
+def test_redaction_hides_values_that_begin_like_a_copied_one(spark):
+    shared = "0123456789abcdef01234567"
+    rows = [(i, f"see {shared} there", f"s{i}", "en") for i in range(3)]
+    rows += [(10, f"token={shared}-own9Suffix end", "s0", "en")]
+    got = {r.doc_id: r.text for r in s.redacted(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).collect()}
+    assert got == {**{i: f"see {shared} there" for i in range(3)}, 10: "token=<secret> end"}
+
+
 def test_query_hash(spark):
     assert hashlib.sha256(b"").hexdigest() == spark.range(1).select(F.sha2(F.lit(""), 256)).first()[0]

@@ -192,10 +192,10 @@ def redacted(
     column n_chars, if any, follows the text. All rows and columns are kept."""
     found = secret_scan(docs, id_col=id_col, text_col=text_col, **options)
     values = F.filter("spans", lambda s: s["kind"].isin(*KINDS))
-    copied = F.transform(F.filter("spans", lambda s: s["kind"] == "example"), lambda s: s["start"])
+    copied = F.filter("spans", lambda s: s["kind"] == "example")
     hide = F.array_sort(
         F.transform(
-            F.filter(values, lambda s: ~F.array_contains("copied", s["vstart"])),
+            F.filter(values, lambda s: ~F.exists("copied", lambda c: (c["start"] == s["vstart"]) & (c["stop"] == s["stop"]))),
             lambda s: F.struct(s["vstart"].alias("start"), s["stop"].alias("stop")),
         )
     )
