@@ -9,6 +9,7 @@ import textwrap
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tracelode.llm import license_scan, toxicity
 from tracelode.llm.decontaminate import contamination, decontaminated
@@ -80,6 +81,13 @@ def test_held_out_accuracy(spark):
     assert toxicity.toxicity(docs.limit(0), marks).count() == 0
 
 
+def test_a_repeated_id_is_one_training_row(spark):
+    docs = spark.createDataFrame([(1, f"t{i % 2}") for i in range(50)] + [(2, "b"), (3, None)], "doc_id long, text string")
+    marks = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    rows = toxicity.training_rows(docs, marks, usable=F.lit(True), most=(5, 5)).collect()
+    assert sorted((r.doc_id, r.toxic) for r in rows) == [(1, 1), (2, 0), (3, 0)]
+
+
 # Licences
 
 

@@ -5,7 +5,7 @@ sample of labelled rows. Sentences that name a group are swapped: each identity
 another of its kind, and the fit penalises any change of score between the two. A group's name
 thereby carries no weight of its own, however often it stands in toxic sentences.
 
-Fitting takes the sampled rows' word lists to the driver, which the row and word bounds keep small;
+Fitting takes the sampled rows' word lists to the driver, whose rows are bounded, one for each id and label; words of a row are not;
 scoring is one Arrow function over whole texts.
 """
 
@@ -80,14 +80,19 @@ class Model:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, *, usable: Column, most: tuple[int, int]) -> DataFrame:
-    """(doc_id, toxic, text): the sample, at most most[0] toxic rows and most[1] others."""
+    """(doc_id, toxic, text): the sample, at most most[0] toxic rows and most[1] others; of the texts
+    that an id has the one with the least hash."""
     clean = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & usable).select("doc_id", "toxic").distinct()
     order = F.xxhash64("doc_id")
     some = clean.where("toxic = 1").orderBy(order, "doc_id").limit(most[0]).unionByName(
         clean.where("toxic = 0").orderBy(order, "doc_id").limit(most[1])
     )
     # `some` has at most sum(most) narrow rows, so it is sent to the texts and not the texts to it.
-    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
+    met = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
+    text = F.coalesce("text", F.lit(""))
+    return met.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64(text), text.alias("text"))).alias("first")).select(
+        "doc_id", "toxic", "first.text"
+    )
 
 
 def word_lists(rows: DataFrame) -> DataFrame:
