@@ -343,13 +343,13 @@ QUERIES["snake_code"] = QUERIES.pop("snake_code_of_props")
 ORACLES["snake_code"] = ORACLES.pop("snake_code_of_props")
 
 
-@query(sql.query([sql.TEXT_FILES], f"select source_file, {sql.strip_trailing_period('left(text, 40)')} as head from text_files"))
-def strip_trailing_period_of_heads(spark, d):
-    return fixtures.text_files(spark, d).select("source_file", strip_trailing_period(F.left("text", F.lit(40))).alias("head"))
+@query(sql.raw([], f"select er_index, {sql.strip_trailing_period('contents')} as bare from er_raw"))
+def strip_trailing_period_of_messages(spark, d):
+    return fixtures.er_raw(spark, d).select("er_index", strip_trailing_period(F.col("contents")).alias("bare"))
 
 
-QUERIES["strip_trailing_period"] = QUERIES.pop("strip_trailing_period_of_heads")
-ORACLES["strip_trailing_period"] = ORACLES.pop("strip_trailing_period_of_heads")
+QUERIES["strip_trailing_period"] = QUERIES.pop("strip_trailing_period_of_messages")
+ORACLES["strip_trailing_period"] = ORACLES.pop("strip_trailing_period_of_messages")
 
 
 @query(sql.query([sql.TEXT_FILES], f"select source_file, {sql.strip_trailing_period('text')} as whole from text_files"))
