@@ -242,3 +242,36 @@ def test_templates_reject(spark):
     assert got[2].rule is None and got[2].verdict == "block"
     assert got[1000].verdict == "allow" or got[1000].template.startswith("/")
     assert judged_urls(df.limit(0), rules).count() == 0
+
+
+def test_the_rules_of_the_query_reject_unruled_pages(spark):
+    """Judged by other hosts' pages of the same template; a host's own labels come first; names and
+    numerals become wildcards; no depth is cut; similar branches merge and different ones do not."""
+    rnd = random.Random(8)
+    name = lambda: "".join(rnd.choice("abcdefgh") for _ in range(8))
+    urls = []
+    for i in range(60):
+        urls += [f"http://h{i % 5}.example.org/es/{name()}", f"http://h{i % 5}.example.org/fr/{i}", f"http://h{i % 5}.example.org/it/{name()}"]
+        urls += [f"http://new.net/es/{i}", f"http://new.net/fr/{name()}"]
+    # Only the sixth segment tells good from bad.
+    rules = [*URL_RULES, *[r._replace(host="deep.biz", path="/a/b/c/d/" + x, verdict=v) for r in URL_RULES[:1] for x, v in (("e/", "block"), ("f/", "allow"))]]
+    for i in range(40):
+        urls += [f"http://deep.biz/a/b/c/d/e/{i}", f"http://deep.biz/a/b/c/d/f/{i}", f"http://other.biz/a/b/c/d/e/{name()}", f"http://other.biz/a/b/c/d/f/{i}"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r for r in judged_urls(df, rules).collect()}
+    by = lambda start: {got[i].verdict for i, u in enumerate(urls) if u.startswith(start)}
+    assert {r.rule for r in got.values() if r.host in ("new.net", "other.biz")} == {None}
+    assert by("http://new.net/es/") == {"block"} and by("http://new.net/fr/") == {"allow"}
+    assert by("http://other.biz/a/b/c/d/e/") == {"block"} and by("http://other.biz/a/b/c/d/f/") == {"allow"}
+    template = {u.split("/")[2] + "/" + u.split("/")[3]: got[i].template for i, u in enumerate(urls)}
+    assert template["h1.example.org/es"].startswith("/es") and template["h1.example.org/fr"].startswith("/{fr|it}")
+    assert template["new.net/es"] == "/es/*" and template["new.net/fr"] == "/fr/*"
+
+
+def test_a_branch_that_differs_is_not_merged(spark):
+    """Shares 0.1, 0.3 and 0.95 under one parent stay three."""
+    rules = [r._replace(host="mix.biz", path=f"/{k}/{bad}", verdict=v) for r in URL_RULES[:1] for k in "abc" for bad, v in (("x", "block"), ("y", "allow"))]
+    urls = [f"http://mix.biz/{k}/{'x' if i < share else 'y'}{i}" for k, share in (("a", 10), ("b", 30), ("c", 95)) for i in range(100)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    seen = {r.template.split("/")[1] for r in judged_urls(df, rules).collect()}
+    assert seen == {"a", "b", "c"}

@@ -1,11 +1,17 @@
-"""URL filter by a path-template tree, in DataFrame functions only.
-
-Addresses first meet a list of rules. What no rule fits is judged by its host's tree of path
-templates: digits become a wildcard, and where a branch has many children with few pages each, all
-of them become one. Labelled pages (those that a rule decides, or labels given) are counted at each
-node. Siblings whose share of bad pages does not differ from their parent's, or differs to the same
-side, are merged; a node's purity is the merged share, smoothed by its parent's. Pages are rejected
-where the purity of their deepest node reaches a threshold.
+"""URL filter by path-template trees, in DataFrame functions only.
+
+Addresses first meet a list of rules. What no rule fits is judged by path templates. Every host has a
+tree of its own, and one more tree holds the paths of all hosts together. A tree grows segment by
+segment. Where a branch has many children, those that hold a small share of its pages are values of a
+variable segment and become one wildcard, numerals and names alike. Labelled pages (those that a rule
+decides) are counted at each child; children whose shares of bad pages do not differ by a
+two-proportion test are merged and go on as one branch. A branch with few pages is not parted further,
+so a tree ends where its pages do and has no depth of its own.
+
+A template's purity is its share of bad pages, smoothed by that of the branch above. In a host's tree
+the smoothing starts from the purity that the path has in the tree of all hosts: a host without any
+labels is judged by what is known of the same template elsewhere. Pages are rejected where the purity
+reaches a threshold.
 """
 
 from __future__ import annotations
@@ -18,16 +24,20 @@ from pyspark.sql import functions as F
 
 from tracelode.llm.common import LOWER, UPPER, cut
 
-#: Levels of the tree; what lies deeper belongs to the last of them.
-LEVELS = 3
-#: A branch is a variable where it has more children than this, ...
+#: A branch with more children than this has a variable segment: children with less than one part in
+#: so many of its pages become the wildcard. No branch keeps more than so many literal children.
 CHILDREN = 20
-#: ... with fewer pages each than this, on average.
-PAGES_EACH = 5
-#: Weight of the parent's purity, in labelled pages.
+#: A branch with fewer pages is not parted further.
+GROW = 10
+#: Weight of the purity above, in labelled pages.
 PRIOR = 5.0
-#: z value from which a share counts as different.
+#: z value from which two shares count as different.
 DIFFERENT = 1.96
+#: Labelled share of bad pages that counts before any page: so many bad ones of so many.
+START_BAD, START_ALL = 0.5, 2.0
+
+#: Spelling of a wildcard in templates, and of a segment that is one asterisk.
+WILD, ASTERISK = "*", "%2A"
 
 
 class Rule(NamedTuple):
@@ -58,55 +68,125 @@ def matched_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Col
     return text, verdict
 
 
-def template_tree(paths: DataFrame, prior: float) -> DataFrame:
-    """(host, shape, template, purity) of `paths` (host, shape, n, bad, good).
+def _clusters(kids: Column) -> Column:
+    """Array of (name, segs, n, b, g): `kids` (share, seg, n, b, g), at most CHILDREN and the wildcard, in
+    order of their share of bad pages. A labelled child joins the cluster before it unless their shares
+    differ by a two-proportion test; a child without labels stays by itself."""
+    kind = "array<struct<segs:array<string>,n:bigint,b:bigint,g:bigint>>"
 
-    Each level groups by host and template so far, so a large host is combined before it is
-    exchanged, and is joined back by plain exchanges that can be split.
-    """
-    now = cut(
-        paths.select(
-            "host", "shape", "n", "bad", "good", F.split("shape", "/", -1).alias("segs"), F.lit("").alias("t"), F.lit(prior).alias("p")
+    def differ(c: Column, x: Column) -> Column:
+        m, k = c["b"] + c["g"], x["b"] + x["g"]
+        both = (c["b"] + x["b"]) / (m + k)
+        z = F.abs(c["b"] / m - x["b"] / k) / F.sqrt(both * (1 - both) * (1 / m + 1 / k))
+        # No spread at all: both shares are 0, or both are 1.
+        return F.coalesce(F.when((both > 0) & (both < 1), z), F.lit(0.0)) >= DIFFERENT
+
+    def step(a: Column, x: Column) -> Column:
+        alone = F.struct(F.array(x["seg"]).alias("segs"), x["n"].alias("n"), x["b"].alias("b"), x["g"].alias("g"))
+        last = F.element_at(a, -1)
+        joined = F.struct(
+            F.array_append(last["segs"], x["seg"]).alias("segs"),
+            (last["n"] + x["n"]).alias("n"),
+            (last["b"] + x["b"]).alias("b"),
+            (last["g"] + x["g"]).alias("g"),
         )
+        apart = (F.size(a) == 0) | differ(F.get(a, F.size(a) - 1), x)
+        return F.when(apart, F.array_append(a, alone)).otherwise(F.array_append(F.slice(a, 1, F.size(a) - 1), joined))
+
+    labelled = F.array_sort(F.filter(kids, lambda x: x["b"] + x["g"] > 0))
+    bare = F.transform(
+        F.filter(kids, lambda x: x["b"] + x["g"] == 0),
+        lambda x: F.struct(F.array(x["seg"]).alias("segs"), x["n"].alias("n"), x["b"].alias("b"), x["g"].alias("g")),
     )
-    for level in range(LEVELS + 1):
-        if level:
-            rest = F.array_join(F.slice("segs", level + 1, F.size("segs")), "/") if level == LEVELS else F.element_at("segs", level + 1)
-            now = now.withColumn("seg", F.when(F.size("segs") > level, rest))
-            children = now.where("seg is not null").groupBy("host", "t", "seg").agg(F.sum("n").alias("n"))
-            branch = children.groupBy("host", "t").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("pages"))
-            free = cut(
-                branch.select(
-                    "host", "t", ((F.col("many") > CHILDREN) & (F.col("pages") < PAGES_EACH * F.col("many"))).alias("free")
-                )
-            )
-            now = now.join(free.hint("merge"), ["host", "t"], "left").select(
-                "host", "shape", "n", "bad", "good", "segs", "p",
-                F.col("t").alias("above"),
-                F.when(F.col("seg").isNull(), F.col("t"))
-                .when(F.col("free"), F.concat("t", F.lit("/*")))
-                .otherwise(F.concat("t", F.lit("/"), F.col("seg")))
-                .alias("t"),
-            )
-        else:
-            now = now.withColumn("above", F.lit(""))
-        node = now.groupBy("host", "above", "t", "p").agg(F.sum("bad").alias("b"), F.sum("good").alias("g"))
-        known = F.col("b") + F.col("g")
-        off = (F.col("b") - known * F.col("p")) / F.sqrt(known * F.col("p") * (1 - F.col("p")))
-        side = F.when(known == 0, 0).when(off > DIFFERENT, 1).when(off < -DIFFERENT, -1).otherwise(0)
-        sided = cut(node.withColumn("side", side))
-        merged = (
-            sided.groupBy("host", "above", "side")
-            .agg(F.sum("b").alias("mb"), F.sum("g").alias("mg"), F.max("p").alias("p"))
-            .select("host", "above", "side", ((F.col("mb") + PRIOR * F.col("p")) / (F.col("mb") + F.col("mg") + PRIOR)).alias("q"))
+    made = F.concat(F.aggregate(labelled, F.array().cast(kind), step), bare)
+
+    def named(c: Column) -> Column:
+        many = F.concat(F.lit("{"), F.array_join(F.array_sort(c["segs"]), "|"), F.lit("}"))
+        return F.struct(F.when(F.size(c["segs"]) > 1, many).otherwise(c["segs"][0]).alias("name"), c["segs"], c["n"], c["b"], c["g"])
+
+    return F.transform(made, named)
+
+
+def branches(live: DataFrame) -> DataFrame:
+    """(b_tree, b_t, clusters) of every branch of `live` (tree, t, seg, n, b, g): its children, small ones
+    of a variable segment as the wildcard, similar ones merged. All counts are combined before they are
+    exchanged; what is gathered in a row is at most CHILDREN literals and the wildcard."""
+    sums = [F.sum(c).alias(c) for c in ("n", "b", "g")]
+    kids = cut(live.groupBy("tree", "t", "seg").agg(*sums))
+    whole = kids.groupBy(F.col("tree").alias("w_tree"), F.col("t").alias("w_t")).agg(
+        F.count(F.lit(1)).alias("many"), F.sum("n").alias("pages")
+    )
+    met = kids.join(whole.hint("merge"), (F.col("tree") == F.col("w_tree")) & (F.col("t") == F.col("w_t")))
+    small = (F.col("many") > CHILDREN) & (F.col("n") * CHILDREN < F.col("pages"))
+    folded = met.withColumn("seg", F.when(small, F.lit(WILD)).otherwise(F.col("seg"))).groupBy("tree", "t", "seg").agg(*sums)
+    share = ((F.col("b") + 0.5) / (F.col("b") + F.col("g") + 1)).alias("share")
+    gathered = folded.groupBy(F.col("tree").alias("b_tree"), F.col("t").alias("b_t")).agg(
+        F.collect_list(F.struct(share, "seg", "n", "b", "g")).alias("kids")
+    )
+    return gathered.select("b_tree", "b_t", _clusters(F.col("kids")).alias("clusters"))
+
+
+def grown(paths: DataFrame) -> DataFrame:
+    """(tree, path, t, own, above) of every row of `paths` (tree, path, n, b, g): its template, whose purity
+    is own + above * x where x is the purity before any segment. One round for each segment, for as long as
+    branches have pages enough; each round's rows are written before the next."""
+    # Segment 0, before the first slash, stands for the whole tree.
+    segs = F.transform(F.split("path", "/", -1), lambda x: F.when(x == WILD, ASTERISK).otherwise(x))
+    totals = paths.groupBy(F.col("tree").alias("r_tree")).agg(*[F.sum(c).alias(f"r_{c}") for c in ("n", "b", "g")])
+    rooted = paths.join(totals.hint("merge"), F.col("tree") == F.col("r_tree"))
+
+    def smoothed(bad: Column, good: Column, own: Column, above: Column) -> list[Column]:
+        known = bad + good + PRIOR
+        return [((bad + PRIOR * own) / known).alias("own"), (PRIOR * above / known).alias("above")]
+
+    now = cut(
+        rooted.select(
+            "tree", "path", "n", "b", "g", segs.alias("segs"), F.lit("").alias("t"),
+            *smoothed(F.col("r_b"), F.col("r_g"), F.lit(0.0), F.lit(1.0)), F.col("r_n").alias("pages"),
         )
-        purity = cut(sided.join(merged, ["host", "above", "side"]).select("host", "t", "q"))
+    )
+    done, level = None, 0
+    while True:
+        level += 1
+        grows = (F.col("pages") >= GROW) & (F.size("segs") > level)
+        live = now.where(grows)
+        ended = now.where(~grows).select("tree", "path", "t", "own", "above")
+        done = ended if done is None else done.union(ended)
+        if not live.take(1):
+            return done
+        live = live.withColumn("seg", F.get("segs", F.lit(level)))
+        met = live.join(branches(live).hint("merge"), (F.col("tree") == F.col("b_tree")) & (F.col("t") == F.col("b_t")))
+        of = lambda seg: F.get(F.filter("clusters", lambda c: F.array_contains(c["segs"], seg)), F.lit(0))
+        picked = met.withColumn("c", F.coalesce(of(F.col("seg")), of(F.lit(WILD))))
         now = cut(
-            now.drop("p", "above").join(purity.hint("merge"), ["host", "t"]).select(
-                "host", "shape", "n", "bad", "good", "segs", "t", F.col("q").alias("p")
+            picked.select(
+                "tree", "path", "n", "b", "g", "segs", F.concat("t", F.lit("/"), F.col("c.name")).alias("t"),
+                *smoothed(F.col("c.b"), F.col("c.g"), F.col("own"), F.col("above")), F.col("c.n").alias("pages"),
             )
-        )
-    return now.select("host", "shape", F.col("t").alias("template"), F.col("p").alias("purity"))
+        )
+
+
+#: Name of the tree of all hosts; a host's tree has a slash before its name.
+EVERY = ""
+
+
+def template_trees(paths: DataFrame) -> DataFrame:
+    """(t_host, t_path, template, purity) of the distinct `paths` (host, path, n, b, g): of the host's own
+    tree, started from the tree of all hosts. All trees grow in the same rounds."""
+    sums = [F.sum(c).alias(c) for c in ("n", "b", "g")]
+    every = paths.groupBy("path").agg(*sums).select(F.lit(EVERY).alias("tree"), "path", "n", "b", "g")
+    hosts = paths.select(F.concat(F.lit("/"), "host").alias("tree"), "path", "n", "b", "g")
+    bad, good = paths.agg(F.coalesce(F.sum("b"), F.lit(0)), F.coalesce(F.sum("g"), F.lit(0))).first()
+    found = cut(grown(hosts.union(every)))
+    start = F.col("own") + F.col("above") * ((bad + START_BAD) / (bad + good + START_ALL))
+    known = found.where(F.col("tree") == EVERY).select(F.col("path").alias("c_path"), start.alias("c_p"))
+    met = found.where(F.col("tree") != EVERY).join(known.hint("merge"), F.col("path") == F.col("c_path"))
+    return met.select(
+        F.substring("tree", 2, 2**31 - 1).alias("t_host"),
+        F.col("path").alias("t_path"),
+        F.col("t").alias("template"),
+        (F.col("own") + F.col("above") * F.col("c_p")).alias("purity"),
+    )
 
 
 def judged_urls(
@@ -116,26 +196,65 @@ def judged_urls(
 
     Null addresses and those without ``://`` have empty host and path, fit no rule and belong to one
     tree. Without any labelled page nothing is rejected by the trees. Null ids stay; repeated rows
-    each give a row and count each; an empty table gives an empty one.
+    each give a row and count each; an empty table gives an empty one; other columns are ignored. A
+    branch with fewer than GROW pages is not parted, so its pages share a template.
     """
     parts = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     rule, verdict = matched_rule(F.col("host"), F.col("path"), rules)
-    judged = parts.withColumn("rule", rule).withColumn("ruled", verdict).withColumn("shape", F.regexp_replace("path", "[0-9]+", "#"))
+    judged = parts.withColumn("rule", rule).withColumn("ruled", verdict)
     paths = cut(
-        judged.groupBy("host", "shape").agg(
+        judged.groupBy("host", "path").agg(
             F.count(F.lit(1)).alias("n"),
-            F.count(F.when(F.col("ruled") == "block", 1)).alias("bad"),
-            F.count(F.when(F.col("ruled") == "allow", 1)).alias("good"),
+            F.count(F.when(F.col("ruled") == "block", 1)).alias("b"),
+            F.count(F.when(F.col("ruled") == "allow", 1)).alias("g"),
         )
     )
-    bad, good = paths.agg(F.coalesce(F.sum("bad"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0))).first()
-    prior = (bad + 0.5) / (bad + good + 2.0)
-    tree = cut(template_tree(paths, prior).withColumnsRenamed({"host": "t_host", "shape": "t_shape"}))
-    met = judged.join(tree.hint("merge"), (F.col("host") == F.col("t_host")) & (F.col("shape") == F.col("t_shape")))
+    tree = cut(template_trees(paths))
+    met = judged.join(tree.hint("merge"), (F.col("host") == F.col("t_host")) & (F.col("path") == F.col("t_path")))
     own = F.when(F.col("purity") >= reject, "block").otherwise("allow")
     return met.select("page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"), "template")
 
 
+def _tree_sql(name: str, source: str) -> str:
+    """CTE `name` (tree, path, t, p): grown() of `source` (tree, path, n, b, g, start)."""
+    row = "struct(segs varchar[], n hugeint, b hugeint, g hugeint)"
+    z = """abs(c.b / (c.b + c.g) - x.b / (x.b + x.g)) / sqrt(((c.b + x.b) / (c.b + c.g + x.b + x.g)) *
+      (1 - (c.b + x.b) / (c.b + c.g + x.b + x.g)) * (1 / (c.b + c.g) + 1 / (x.b + x.g)))"""
+    alone = "{'segs': x.segs, 'n': x.n, 'b': x.b, 'g': x.g}"
+    joined = "{'segs': list_concat(c.segs, x.segs), 'n': c.n + x.n, 'b': c.b + x.b, 'g': c.g + x.g}"
+    # One list is folded: its first element holds the clusters made so far, each other one a child.
+    empty = f"{{'done': []::{row}[], 'x': null::{row}}}"
+    fold = f"""list_reduce(list_prepend({empty}, list_transform(kids, lambda k: {{'done': []::{row}[], 'x': k}})),
+      lambda a, y: {{'done': case when len(a.done) = 0 or apart(a.done[-1], y.x) then list_append(a.done, {alone.replace("x.", "y.x.")})
+        else list_append(a.done[:len(a.done) - 1], {joined.replace("c.", "a.done[-1].").replace("x.", "y.x.")}) end, 'x': null::{row}}}).done"""
+    test = f"""case when c.b + x.b = 0 or c.g + x.g = 0 then false else {z} >= {DIFFERENT} end"""
+    for var, value in (("c.", "a.done[-1]."), ("x.", "y.x.")):
+        test = test.replace(var, value)
+    fold = fold.replace("apart(a.done[-1], y.x)", f"({test})")
+    return f"""{name} as (
+  select 0 as level, tree, path, n, b, g, list_transform(string_split(path, '/'), lambda s: case when s = '{WILD}' then '{ASTERISK}' else s end) as segs,
+    '' as t, (sum(b) over (partition by tree) + {PRIOR}::double * start) / (sum(b) over (partition by tree) + sum(g) over (partition by tree) + {PRIOR}::double) as p,
+    (sum(n) over (partition by tree))::hugeint as pages
+  from {source}
+  union all (
+  with live as (select *, segs[level + 2] as seg from {name} where pages >= {GROW} and len(segs) > level + 1),
+  kids as (select tree, t, seg, sum(n) as n, sum(b) as b, sum(g) as g from live group by all),
+  whole as (select tree, t, count(*) as many, sum(n) as pages from kids group by all),
+  folded as (select tree, t, case when many > {CHILDREN} and n * {CHILDREN} < pages then '{WILD}' else seg end as seg, sum(n) as n, sum(b) as b, sum(g) as g
+    from kids join whole using (tree, t) group by all),
+  labelled as (select tree, t, list({{'segs': [seg], 'n': n::hugeint, 'b': b::hugeint, 'g': g::hugeint}} order by (b + 0.5::double) / (b + g + 1), seg) as kids
+    from folded where b + g > 0 group by all),
+  made as (select tree, t, unnest({fold}) as c from labelled
+    union all select tree, t, {{'segs': [seg], 'n': n::hugeint, 'b': b::hugeint, 'g': g::hugeint}} from folded where b + g = 0),
+  named as (select tree, t, c, unnest(c.segs) as seg,
+    case when len(c.segs) > 1 then '{{' || array_to_string(list_sort(c.segs), '|') || '}}' else c.segs[1] end as label from made)
+  select live.level + 1, live.tree, live.path, live.n, live.b, live.g, live.segs, live.t || '/' || coalesce(own.label, wild.label),
+    (coalesce(own.c, wild.c).b + {PRIOR}::double * live.p) / (coalesce(own.c, wild.c).b + coalesce(own.c, wild.c).g + {PRIOR}::double), coalesce(own.c, wild.c).n
+  from live left join named own on own.tree = live.tree and own.t = live.t and own.seg = live.seg
+    left join named wild on wild.tree = live.tree and wild.t = live.t and wild.seg = '{WILD}')),
+{name}_end as (select tree, path, arg_max(t, level) as t, arg_max(p, level) as p from {name} group by all)"""
+
+
 def url_filter_sql(rules: Sequence[Rule], reject: float = 0.7) -> str:
     """The same judgement as DuckDB SQL over a view `pages`."""
     order = sorted(rules, key=lambda r: (-len(r.text), r.text))
@@ -145,47 +264,15 @@ def url_filter_sql(rules: Sequence[Rule], reject: float = 0.7) -> str:
 
     text = " ".join(f"when {fits(r)} then '{r.text}'" for r in order)
     verdict = " ".join(f"when {fits(r)} then '{r.verdict}'" for r in order)
-    ctes = [
-        f"""parts as (select page_id,
+    return f"""with recursive parts as (select page_id,
   translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{UPPER}', '{LOWER}') as host,
-  coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path from pages)""",
-        f"""judged as (select *, case {text} end as rule, case {verdict} end as ruled,
-  regexp_replace(path, '[0-9]+', '#', 'g') as shape from parts)""",
-        """paths as (select host, shape, count(*) as n, count(*) filter (ruled = 'block') as bad,
-  count(*) filter (ruled = 'allow') as good from judged group by all)""",
-        """first as (select host, shape, n, bad, good, string_split(shape, '/') as segs, '' as t,
-  (select (sum(bad) + 0.5::double) / (sum(bad) + sum(good) + 2.0::double) from paths) as p from paths)""",
-    ]
-    last = "first"
-    for level in range(LEVELS + 1):
-        if level:
-            rest = f"array_to_string(segs[{level + 1}:], '/')" if level == LEVELS else f"segs[{level + 1}]"
-            ctes += [
-                f"s{level} as (select *, case when len(segs) > {level} then {rest} end as seg from {last})",
-                f"""v{level} as (select host, t, count(*) > {CHILDREN} and sum(n) < {PAGES_EACH} * count(*) as free from
-  (select host, t, seg, sum(n) as n from s{level} where seg is not null group by all) group by host, t)""",
-                f"""w{level} as (select s.host, shape, n, bad, good, segs, p, s.t as above, case when seg is null then s.t
-  when free then s.t || '/*' else s.t || '/' || seg end as t from s{level} s left join v{level} v on s.host = v.host and s.t = v.t)""",
-            ]
-        else:
-            ctes.append(f"w0 as (select *, '' as above from {last})")
-        ctes += [
-            f"n{level} as (select host, above, t, p, sum(bad) as b, sum(good) as g from w{level} group by all)",
-            f"""d{level} as (select *, case when b + g = 0 then 0
-  when (b - (b + g) * p) / sqrt((b + g) * p * (1 - p)) > {DIFFERENT} then 1
-  when (b - (b + g) * p) / sqrt((b + g) * p * (1 - p)) < -{DIFFERENT} then -1 else 0 end as side from n{level})""",
-            f"""m{level} as (select host, above, side, (sum(b) + {PRIOR}::double * max(p)) / (sum(b) + sum(g) + {PRIOR}::double) as q
-  from d{level} group by all)""",
-            f"""u{level} as (select w.host, shape, n, bad, good, segs, w.t, m.q as p from w{level} w
-  join d{level} d on d.host = w.host and d.t = w.t and d.above = w.above
-  join m{level} m on m.host = d.host and m.above = d.above and m.side = d.side)""",
-        ]
-        last = f"u{level}"
-    return (
-        "with "
-        + ",\n".join(ctes)
-        + f"""
-select j.page_id, j.host, j.path, j.rule,
-  coalesce(j.ruled, case when u.p >= {reject} then 'block' else 'allow' end) as verdict, u.t as template
-from judged j join {last} u on j.host = u.host and j.shape = u.shape"""
-    )
+  coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path from pages),
+judged as (select *, case {text} end as rule, case {verdict} end as ruled from parts),
+paths as (select host, path, count(*) as n, count(*) filter (ruled = 'block') as b, count(*) filter (ruled = 'allow') as g from judged group by all),
+every as (select '' as tree, path, sum(n) as n, sum(b) as b, sum(g) as g,
+  (select (sum(b) + {START_BAD}::double) / (sum(b) + sum(g) + {START_ALL}::double) from paths) as start from paths group by path),
+{_tree_sql("common", "every")},
+own as (select host as tree, path, n, b, g, p as start from paths join common_end using (path)),
+{_tree_sql("hosts", "own")}
+select j.page_id, j.host, j.path, j.rule, coalesce(j.ruled, case when h.p >= {reject} then 'block' else 'allow' end) as verdict, h.t as template
+from judged j join hosts_end h on j.host = h.tree and j.path = h.path"""
