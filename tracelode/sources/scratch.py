@@ -8,7 +8,19 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, or the folder that the program set for checkpoints. Where neither is set a
+    local session (as in tests) gets a folder of its own; on a cluster this raises, as no folder of
+    one machine would do."""
+    folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir; a local one only where that is not set, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="tracelode-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder below shared_folder()."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
