@@ -6,6 +6,8 @@ import math
 import random
 import zlib
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tracelode.llm.sharding import SlotMap, shard_documents, slot_of
@@ -38,6 +40,40 @@ def test_search_equals_brute_force(spark):
     assert search(spark, rows, query_block=16) == brute(rows, 3, 5)
 
 
+def test_repeated_candidates_count_each(spark):
+    rnd = random.Random(9)
+    rows = [(i, [rnd.choice([-1.0, 0.5, 1.0]) for _ in range(4)]) for i in range(40)]
+    rows += [(7, rows[7][1])] * 3 + [(11, rows[12][1])]
+    want = []
+    for q in range(0, 40, 5):
+        scores = sorted((-round(1024 * 1024 * sum(x * y for x, y in zip(rows[q][1], v, strict=True))), i) for i, v in rows if i != q)
+        want += [(q, r, i, -s) for r, (s, i) in enumerate(scores[:6], 1)]
+    assert search(spark, rows, k=6) == sorted(want)
+
+
+def test_phase_two_sends_back_few_entries(spark):
+    """Only entries above the uniform threshold leave a task, and every answer has one."""
+    from tracelode.llm import topk_search as t
+
+    rng = np.random.default_rng(3)
+    m = np.floor(1024 * rng.normal(size=(400, 8)) / 3).astype(np.int64)
+    own = t.Queries(np.arange(4), m[:4, :4], np.sqrt((m[:4, 4:] ** 2).sum(1)))
+    total = m[:4] @ m.T
+    total[np.arange(4), np.arange(4)] = t.NONE
+    cutoff = np.sort(total, axis=1)[:, -10]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(400)), pa.array(np.arange(400)), pa.array(np.full(400, 8, np.int32)), pa.array(np.zeros(400, np.int32)),
+         pa.array(m[:, :4].tolist(), pa.list_(pa.int64())), pa.array(np.sqrt((m[:, 4:] ** 2).sum(1)))],
+        names=["rid", "vec_id", "dim", "block", "part", "rest"],
+    )
+    sent = set()
+    for out in t._above(iter([batch]), {(8, 0): own}, dict(enumerate(cutoff.tolist()))):
+        sent |= set(zip(out.column(0).to_pylist(), out.column(2).to_pylist(), strict=True))
+    local = m[:4, :4] @ m[:, :4].T
+    want = {(q, v) for q, v in zip(*np.nonzero((total >= cutoff[:, None]) & (2 * local >= cutoff[:, None])), strict=True)}
+    assert want <= sent and len(sent) < 4 * 400 / 5
+
+
 def test_large_components_stay_exact(spark):
     rows = [(i, [float(2**18 + i), float(-(2**17)), 0.5]) for i in range(20)]
     assert search(spark, rows) == brute(rows, 3, 5)

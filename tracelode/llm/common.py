@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
-import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracelode.sources.scratch import shared_folder
+
 #: Characters of text that one Python step works on at a time; one longer text is a step by itself.
 STEP_CHARS = 1_000_000
 
@@ -39,14 +40,8 @@ def map_arrow(df: DataFrame, run, schema) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """`df` written once to the cluster's shared checkpoint folder and read from there on.
-
-    The folder comes from ``spark.checkpoint.dir``; one of our own is set only where none is,
-    as in tests.
-    """
-    spark = df.sparkSession
-    if not (spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    """`df` written once to the cluster's shared checkpoint folder and read from there on."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
