@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracelode.llm.common import ascii_lower, cut
+from tracelode.llm.common import ascii_lower, cut, wrapped
 
 #: What stands between words once A-Z are lower case.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -161,12 +161,9 @@ def contamination(
 
 
 def decontaminated(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """`docs` without its contaminated rows, all columns and all other rows kept."""
-    bad = (
-        contamination(docs, bench, id_col=id_col, text_col=text_col, **options)
-        .where("contaminated")
-        .select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key"))
-        .distinct()
-    )
-    key = F.md5(F.coalesce(docs[text_col], F.lit("")))
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad_id"]) & (key == bad["_bad_key"]), "left_anti")
+    """`docs` without its contaminated rows; all columns, whatever they are called, and all other rows are
+    kept. Null text is never contaminated; repeated rows go or stay together; without items all stay."""
+    bad = contamination(docs, bench, id_col=id_col, text_col=text_col, **options).where("contaminated")
+    bad = bad.select(F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")).distinct()
+    same = F.col("id").eqNullSafe(F.col("bad_id")) & (F.col("key") == F.col("bad_key"))
+    return wrapped(docs, id_col, text_col).join(bad, same, "left_anti").select("row.*")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tracelode.llm.common import LOWER, UPPER
-from tracelode.llm.secret_scan import KINDS, ORDER, PLACEHOLDER
+from tracelode.llm.secret_scan import KINDS, ORDER, PLACEHOLDER, WIDE_OWNERS, WIDE_REPOS
 
 _SPANS = " union all ".join(
     f"""select rid, doc_id, source, lang, {ORDER.index(kind)} as r, '{kind}' as kind, m.at as start, m.at + length(m.w) as stop,
@@ -18,9 +18,10 @@ where length(v) >= {least}"""
 
 SECRET_SCAN = f"""with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as text, source, lang from documents),
 base as ({_SPANS}),
-stats as (select v, count(distinct coalesce(source, '')) as n_owners from base group by v),
-judged as (select b.*, case when n_owners >= 3 then 'example'
-  when n_owners = 1 and length(v) >= 12 and len(list_distinct(string_split(v, ''))) >= 8 and regexp_matches(v, '[0-9]')
+stats as (select v, count(distinct coalesce(source, '')) as n_owners,
+  count(distinct [coalesce(source, ''), concat_ws('/', source, lang)]) as n_repos from base group by v),
+judged as (select b.*, case when n_owners >= {WIDE_OWNERS} or (n_owners > 1 and n_repos >= {WIDE_REPOS}) then 'example'
+  when n_owners = 1 and n_repos < {WIDE_REPOS} and length(v) >= 12 and len(list_distinct(string_split(v, ''))) >= 8 and regexp_matches(v, '[0-9]')
     and not regexp_matches(v, '{PLACEHOLDER}') then 'live' end as verdict from base b join stats using (v)),
 every as (select rid, r, kind, start, stop from judged union
   select rid, case verdict when 'live' then {ORDER.index("live")} else {ORDER.index("example")} end, verdict, stop - length(v), stop

@@ -2,8 +2,9 @@
 
 Each text is searched for candidate credentials of three kinds; a candidate is kept as its span
 and the hash of its value. Over the whole corpus each hash is counted by rows, distinct
-repositories and distinct owners. A value that several owners hold is a widely copied example; a
-value of one owner that looks random is taken for live. The verdict is added to the document as a
+repositories and distinct owners. A value that several owners hold, or two owners in many
+repositories, is a widely copied example; a value that one owner has in few repositories and that
+looks random is taken for live. The verdict is added to the document as a
 further span over the value itself.
 """
 
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracelode.llm.common import cut
+from tracelode.llm.common import cut, wrapped
 
 
 def _either_case(word: str) -> str:
@@ -30,6 +31,8 @@ KINDS = {
 _FAST = {"access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,}"}
 #: Verdict spans, listed behind the kinds above where they start together.
 VERDICTS = ("live", "example")
+#: Owners, and repositories of more than one owner, from which a value counts as widely copied.
+WIDE_OWNERS, WIDE_REPOS = 3, 4
 ORDER = [*KINDS, *VERDICTS]
 
 _SPAN = "struct<rank:int,start:int,stop:int,vstart:int,hash:string,random:boolean>"
@@ -118,29 +121,32 @@ def secret_scan(
     text_col: str = "text",
     owner: Column | None = None,
     repo: Column | None = None,
-    wide: int = 3,
+    wide: int = WIDE_OWNERS,
+    wide_repos: int = WIDE_REPOS,
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, text_key (MD5 of the text), spans (structs kind, start, stop,
     vstart, n_owners, n_repos in order of start and kind).
 
-    Kinds assign, access and hex are the candidates; `live` (one owner, random-looking) and `example`
-    (`wide` owners or more) are verdict spans over the values, once for each value's place. `owner`
-    and `repo` default to the columns source, and source with lang. Null text counts as empty, null
-    owners as one owner; null ids stay; repeated rows each give a row (and count as one owner); an
+    Kinds assign, access and hex are the candidates; `live` (random-looking, of one owner and fewer than
+    `wide_repos` repositories) and `example` (of `wide` owners or more, or of two or more in `wide_repos`
+    repositories or more) are verdict spans over the values, once for each value's place. `owner`
+    and `repo` default to the columns source, and source with lang; where a column is not there, rows do
+    not differ by it. Null text counts as empty, null owners as one owner; null ids stay; repeated rows each give a row (and count as one owner); an
     empty table gives an empty one.
     """
-    owner = F.col("source") if owner is None else owner
-    repo = F.concat_ws("/", F.col("source"), F.col("lang")) if repo is None else repo
+    named = [F.col(c) for c in ("source", "lang") if c in docs.columns]
+    owner = (F.col("source") if "source" in docs.columns else F.lit("")) if owner is None else owner
+    repo = F.concat_ws("/", owner, *named[-1:]) if repo is None else repo
     found = candidates(docs, id_col=id_col, text_col=text_col, owner=owner, repo=repo)
     stats = cut(ownership(found))
     with_any = found.where(F.size("base") > 0).select("rid", "doc_id", "text_key", F.explode("base").alias("s"))
     judged = with_any.select("rid", "doc_id", "text_key", "s", F.col("s.hash").alias("hash")).join(
         stats.hint("merge"), "hash"
     )
-    verdict = (
-        F.when(F.col("n_owners") >= wide, F.lit("example"))
-        .when((F.col("n_owners") == 1) & F.col("s.random"), F.lit("live"))
-    )
+    # Forks and mirrors of few owners copy too: many repositories of more than one owner are as wide.
+    copied = (F.col("n_owners") >= wide) | ((F.col("n_owners") > 1) & (F.col("n_repos") >= wide_repos))
+    own = (F.col("n_owners") == 1) & (F.col("n_repos") < wide_repos)
+    verdict = F.when(copied, F.lit("example")).when(own & F.col("s.random"), F.lit("live"))
     names = F.array(*map(F.lit, ORDER))
 
     def span(kind: Column, start: Column, rank: Column) -> Column:
@@ -189,7 +195,9 @@ def redacted(
     **options,
 ) -> DataFrame:
     """`docs` with `mark` in place of every credential value that is not a widely copied example; a
-    column n_chars, if any, follows the text. All rows and columns are kept."""
+    column n_chars, if any, follows the text. All rows and columns are kept, whatever they are called;
+    an empty table gives an empty one. Columns source and lang are needed only where neither `owner` nor
+    `repo` is given and they exist (see secret_scan())."""
     found = secret_scan(docs, id_col=id_col, text_col=text_col, **options)
     values = F.filter("spans", lambda s: s["kind"].isin(*KINDS))
     copied = F.filter("spans", lambda s: s["kind"] == "example")
@@ -202,14 +210,13 @@ def redacted(
     found = (
         found.where(F.size("spans") > 0)
         .withColumn("copied", copied)
-        .select(F.col("doc_id").alias("_s_id"), F.col("text_key").alias("_s_key"), hide.alias("_s_hide"))
-        .where(F.size("_s_hide") > 0)
-        .dropDuplicates(["_s_id", "_s_key"])
+        .select(F.col("doc_id").alias("s_id"), F.col("text_key").alias("s_key"), hide.alias("hide"))
+        .where(F.size("hide") > 0)
+        .dropDuplicates(["s_id", "s_key"])
     )
-    dirty = docs.where(has_candidates(F.col(text_col)))
-    key = F.md5(F.coalesce(dirty[text_col], F.lit("")))
-    met = dirty.join(found, dirty[id_col].eqNullSafe(found["_s_id"]) & (key == found["_s_key"]), "left")
-    text = dirty[text_col]
+    dirty = wrapped(docs.where(has_candidates(F.col(text_col))), id_col, text_col)
+    met = dirty.join(found, F.col("id").eqNullSafe(F.col("s_id")) & (F.col("key") == F.col("s_key")), "left")
+    text = F.col("row").getField(text_col)
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(a: Column, s: Column) -> Column:
@@ -220,18 +227,17 @@ def redacted(
             F.when(seen | (s["start"] < a["at"]), a["out"]).otherwise(F.concat(a["out"], before, F.lit(mark))).alias("out"),
         )
 
-    clean = F.aggregate(
-        F.col("_s_hide"), start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text)))
-    )
-    new_text = F.when(F.col("_s_hide").isNull(), text).otherwise(clean)
+    clean = F.aggregate("hide", start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    met = met.withColumn("new", F.when(F.col("hide").isNull(), text).otherwise(clean))
 
     def column(name: str) -> Column:
+        old = F.col("row").getField(name)
         if name == text_col:
-            return new_text.alias(name)
+            return F.col("new").alias(name)
         if name == "n_chars":
             kind = docs.schema[name].dataType
-            return F.when(F.col("_s_hide").isNull(), dirty[name]).otherwise(F.length(new_text).cast(kind)).alias(name)
-        return dirty[name]
+            return F.when(F.col("hide").isNull(), old).otherwise(F.length("new").cast(kind)).alias(name)
+        return old.alias(name)
 
     untouched = docs.where(~has_candidates(F.col(text_col)))
-    return untouched.unionByName(met.select(*[column(c) for c in docs.columns]))
+    return untouched.union(met.select(*[column(c) for c in docs.columns]))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracelode.llm.common import cut, map_arrow
+from tracelode.llm.common import cut, map_arrow, wrapped
 from tracelode.llm.components import connected_components
 
 #: The method's distances: three bits over two segments leave one for the better of them.
@@ -149,20 +149,17 @@ def near_duplicates(
 
 def deduplicated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """`docs` with one row of each near-duplicate group: the one with the smallest doc_id, all columns
-    kept. Of repeated rows of that id in the group one stays; rows of null id stay only if their group
-    has no other (one row of it then)."""
+    kept, whatever they are called. Of repeated rows of that id in the group one stays; rows of null id
+    stay only if their group has no other (one row of it then). Null text counts as empty; an empty table
+    gives an empty one."""
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
     best = (
         found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("component")
-        .agg(
-            F.first("doc_id").alias("_keep_id"),
-            F.min("text_key").alias("_keep_key"),
-            F.count(F.lit(1)).alias("_keep_n"),
-        )
+        .agg(F.first("doc_id").alias("keep_id"), F.min("text_key").alias("keep_key"), F.count(F.lit(1)).alias("n"))
     )
-    key = F.md5(F.coalesce(docs[text_col], F.lit("")))
-    kept = docs.join(best, docs[id_col].eqNullSafe(best["_keep_id"]) & (key == best["_keep_key"]))
-    once = kept.where("_keep_n = 1").select(*[kept[c] for c in docs.columns])
-    more = kept.where("_keep_n > 1").dropDuplicates(["_keep_id", "_keep_key"]).select(*[kept[c] for c in docs.columns])
-    return once.unionByName(more)
+    same = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("key") == F.col("keep_key"))
+    kept = wrapped(docs, id_col, text_col).join(best, same)
+    once = kept.where("n = 1").select("row.*")
+    more = kept.where("n > 1").dropDuplicates(["component"]).select("row.*")
+    return once.union(more)
