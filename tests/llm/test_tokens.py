@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 
 import numpy as np
 import public_tokenizers
@@ -79,19 +80,69 @@ def test_rows_in_every_form(spark, library):
     assert byte_bpe.encode_texts(docs.limit(0), RANKS).count() == 0
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.one_of(ODD, st.sampled_from(["<|endoftext|>", " a<|endoftext|> b", "a b", "x\n y", "x\ny"])), min_size=1, max_size=6))
-def test_counts_equal_the_library(texts):
-    tally = token_counts.counter(JSON)
-    joined = [*texts, " ".join(texts), "".join(texts)]
-    assert tally.count(joined) == [len(e) for e in tally.library.encode_batch(joined, add_special_tokens=False)]
+def plain(path):
+    """Counts by the library alone, text by text."""
+    if path.endswith(".model"):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        return lambda text: len(model.encode(text))
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    return lambda text: len(library.encode(text, add_special_tokens=False))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(ODD, st.sampled_from(["<|endoftext|>", " a<|endoftext|> b", "a b", "x\n y", "x\ny", "Σας Σ"])), min_size=1, max_size=6))
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"])
+@pytest.mark.parametrize("most", [3, 20, 200_000])
+def test_counts_equal_the_library(name, most, texts):
+    path = public_tokenizers.path(name)
+    joined = [*texts, " ".join(texts), "".join(texts), "\n".join(texts)]
+    key = (name, most)
+    if key not in KNOWN:
+        KNOWN[key] = (token_counts.Counter(path, most), plain(path))
+    tally, count = KNOWN[key]
+    assert tally.count([(t, len(t.encode())) for t in joined]) == [count(t) for t in joined]
+
+
+KNOWN: dict = {}
+
+
+def test_only_proven_tokenizers_are_split(tmp_path):
+    """A tokenizer that puts a blank before every piece would count more if it were cut."""
+    with open(JSON, encoding="utf-8") as f:
+        spec = json.load(f)
+    assert token_counts.splits_safely(spec)
+    assert not token_counts.splits_safely(json.load(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8")))
+    others = [
+        {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "use_regex": False, "trim_offsets": True}},
+        {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "use_regex": True, "trim_offsets": True}},
+        {"pre_tokenizer": None},
+        {"normalizer": {"type": "NFKC"}},
+        {"added_tokens": [dict(spec["added_tokens"][0], content="a b")]},
+    ]
+    for change in others:
+        assert not token_counts.splits_safely(spec | change), change
+    path = str(tmp_path / "prefix.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(spec | others[0], f)
+    text = "one two\nthree four " * 5
+    assert token_counts.Counter(path, 8).count([(text, len(text))]) == [plain(path)(text)]
+
+
+def test_long_texts_are_split():
+    text = "some words\nand lines  of text " * 200
+    parts = list(token_counts.pieces(text, 100))
+    assert "".join(parts) == text and len(parts) > 20 and all(100 <= len(p) < 120 for p in parts[:-1])
+    assert list(token_counts.pieces("x" * 1000, 100)) == ["x" * 1000]
 
 
 def test_count_rows(spark):
     docs = frame(spark, ["hello <|endoftext|> world", None, "", "é " * 40000])
     rows = {r.doc_id: r for r in token_counts.token_counts(docs.union(docs.where("doc_id = 1")), JSON).collect()}
-    tally = token_counts.counter(JSON)
-    assert rows[0].n_tokens == len(tally.library.encode("hello <|endoftext|> world", add_special_tokens=False))
+    assert rows[0].n_tokens == plain(JSON)("hello <|endoftext|> world")
     assert (rows[1].n_bytes, rows[1].n_tokens, rows[1].over_limit) == (0, 0, False)
     assert (rows[3].n_bytes, rows[3].over_limit) == (120000, True)
     assert token_counts.token_counts(docs.limit(0), JSON).count() == 0

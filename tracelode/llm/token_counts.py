@@ -1,80 +1,109 @@
 """Token counts: batch encoding in an Arrow function that returns lengths only.
 
-Whole texts are cut at safe boundaries, that is before a blank or a line feed that stands between
-two characters which are not white space: the pre-tokeniser starts a new piece there whatever
-stands around, no merge crosses it and no special token holds it. The pieces of a batch that
-were not met before go to the library in batches of about equal bytes; a text's count is the sum
-over its pieces. Memory is bounded by the step size, the cache size and the longest single text.
+Texts go to the library whole, in batches of about equal bytes. A text longer than a batch is split
+first, at places where the tokenizer starts a new piece whatever stands around; that is done only for
+tokenizers whose file proves such places (see splits_safely()), other long texts are a batch each.
+Memory is bounded by the batch size and the longest single text.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelode.llm.common import map_arrow, steps
+from tracelode.llm.common import map_arrow
 
-#: Before a blank or line feed between two characters that are not white space.
+#: UTF-8 bytes that one call of the library encodes, about; longer texts are split into pieces of it.
+BATCH_BYTES = 200_000
+#: A safe boundary: before a blank or line feed between two characters that are not white space.
 SAFE = re.compile(r"(?<=\S)(?=[ \n]\S)")
-#: Distinct pieces whose counts a worker keeps; past it the cache starts anew.
-CACHE_PIECES = 800_000
-#: Pieces longer than this are counted but not kept.
-CACHE_CHARS = 64
-#: Bytes that one call of the library encodes, about.
-BATCH_BYTES = 1_000_000
+
+
+def splits_safely(spec: dict) -> bool:
+    """Whether a ``tokenizers`` file starts a new piece at every SAFE place: byte-level pre-tokenising by
+    its own pattern and without a blank put in front, nothing normalised, and no added token that
+    holds white space or looks at its neighbours."""
+    pre = spec.get("pre_tokenizer") or {}
+    plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space", True)
+    model = spec.get("model") or {}
+    whole = model.get("type") == "BPE" and not any(model.get(x) for x in ("continuing_subword_prefix", "end_of_word_suffix", "dropout"))
+    added = spec.get("added_tokens") or []
+    alone = not any(re.search(r"\s", t["content"]) or t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added)
+    return bool(plain and whole and alone and not spec.get("normalizer"))
+
+
+def pieces(text: str, most: int) -> Iterator[str]:
+    """`text` in pieces of `most` characters at least, but for the last, cut at safe boundaries."""
+    start = 0
+    while len(text) - start > most:
+        found = SAFE.search(text, start + most)
+        if found is None:
+            break
+        yield text[start : found.start()]
+        start = found.start()
+    yield text[start:]
 
 
 class Counter:
-    """Counts of whole texts by one tokenizer file, with a bounded cache of pieces."""
+    """Counts of whole texts by one tokenizer file: ``.model`` by sentencepiece, others by tokenizers."""
+
+    def __init__(self, path: str, most: int = BATCH_BYTES):
+        self.most = most
+        if path.endswith(".model"):
+            import sentencepiece
 
-    def __init__(self, path: str):
+            model = sentencepiece.SentencePieceProcessor(model_file=path)
+            self.encode, self.splits = lambda texts: map(len, model.encode(texts, num_threads=1)), False
+            return
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.known: dict[str, int] = {}
-
-    def encode(self, pieces: list[str]) -> Iterator[int]:
-        """Counts of `pieces`, in order, from library calls of about BATCH_BYTES each."""
-        batch, size = [], 0
-        for piece in pieces:
-            batch.append(piece)
-            size += 4 * len(piece)
-            if size >= BATCH_BYTES:
-                yield from map(len, self.library.encode_batch_fast(batch, add_special_tokens=False))
-                batch, size = [], 0
+        library = Tokenizer.from_file(path)
+        library.no_truncation()
+        library.no_padding()
+        self.encode = lambda texts: map(len, library.encode_batch_fast(texts, add_special_tokens=False))
+        with open(path, encoding="utf-8") as file:
+            self.splits = splits_safely(json.load(file))
+
+    def count(self, texts: Iterable[tuple[str | None, int]]) -> list[int]:
+        """Counts of (text, bytes) pairs, in order."""
+        counts: list[int] = []
+        batch: list[str] = []
+        owner: list[int] = []
+        size = 0
+
+        def flush() -> None:
+            for i, n in zip(owner, self.encode(batch), strict=True):
+                counts[i] += n
+            batch.clear()
+            owner.clear()
+
+        for text, n_bytes in texts:
+            counts.append(0)
+            for piece in pieces(text or "", self.most) if self.splits and n_bytes > self.most else [text or ""]:
+                # A text that is not split has its own bytes; a piece has four a character at most.
+                held = n_bytes if piece is text else 4 * len(piece)
+                if batch and size + held > self.most:
+                    flush()
+                    size = 0
+                batch.append(piece)
+                owner.append(len(counts) - 1)
+                size += held
         if batch:
-            yield from map(len, self.library.encode_batch_fast(batch, add_special_tokens=False))
-
-    def count(self, texts: list[str]) -> list[int]:
-        if len(self.known) > CACHE_PIECES:
-            self.known = {}
-        cut = [SAFE.split(text) for text in texts]
-        new = set().union(*cut).difference(self.known)
-        once = {}
-        if new:
-            order = list(new)
-            for piece, n in zip(order, self.encode(order), strict=True):
-                (self.known if len(piece) <= CACHE_CHARS else once)[piece] = n
-        if once:
-            both = self.known | once if len(once) > 1000 else None
-            get = both.__getitem__ if both else lambda p: once[p] if p in once else self.known[p]
-        else:
-            get = self.known.__getitem__
-        return [sum(map(get, pieces)) for pieces in cut]
+            flush()
+        return counts
 
 
 @lru_cache(maxsize=2)
 def counter(path: str) -> Counter:
-    """One counter for each Python worker and file, so that tasks share its cache."""
+    """One counter for each Python worker and file."""
     return Counter(path)
 
 
@@ -88,28 +117,25 @@ def token_counts(
 ) -> DataFrame:
     """One row per row of `docs`: id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit).
 
-    `tokenizer` is the path of a ``tokenizers`` file on the workers; it is counted without added
-    special tokens, truncation or padding, special strings in texts as the library's default has
-    them. Null text counts as empty (0 bytes, 0 tokens); null ids stay; repeated rows each give a
-    row; an empty table gives an empty one; other columns are ignored.
+    `tokenizer` is the path of a ``tokenizers`` file, or of a sentencepiece ``.model``, on the workers; it
+    is counted without added special tokens, truncation or padding, special strings in texts as the
+    library's default has them. Null text counts as empty (0 bytes, 0 tokens); null ids stay; repeated
+    rows each give a row; an empty table gives an empty one; other columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = counter(tokenizer)
         for batch in batches:
-            counts: list[int] = []
-            for part in steps(x.as_py() for x in batch.column(1)):
-                counts += tally.count(part)
+            counts = tally.count(zip((x.as_py() for x in batch.column(1)), batch.column(2).to_pylist(), strict=True))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(counts, pa.int64())],
-                names=[id_col, "n_bytes", "n_tokens"],
+                names=["id", "n_bytes", "n_tokens"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
+    text = F.col(f"`{text_col}`")
     narrow = docs.select(
-        F.col(id_col),
-        F.col(text_col),
-        F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("long").alias("n_bytes"),
+        F.col(f"`{id_col}`").alias("id"), text.alias("text"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes")
     )
-    counted = map_arrow(narrow, run, f"`{id_col}` {kind}, n_bytes long, n_tokens long")
-    return counted.withColumn("over_limit", F.col("n_tokens") > limit)
+    counted = map_arrow(narrow, run, f"id {kind}, n_bytes long, n_tokens long")
+    return counted.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
