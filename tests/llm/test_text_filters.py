@@ -51,6 +51,81 @@ def test_swaps_take_the_weight_of_groups():
     assert fair.score(neutral) < free.score(neutral)
 
 
+def test_scores_equal_a_plain_loop_over_the_model():
+    rnd = random.Random(4)
+    words = [f"{a}{b}" for a in ("gut", "schön", "idiot", "muslim", "x") for b in ("", "er", "s", "ly")]
+    model = toxicity.Model({f: rnd.uniform(-2, 2) for w in words for f in toxicity.features(w) if rnd.random() < 0.6}, -0.3)
+    scorer = toxicity.Scorer(model, most=5)
+    for _ in range(200):
+        text = " ".join(rnd.choice(words).upper() if rnd.random() < 0.2 else rnd.choice(words) for _ in range(rnd.randrange(8))) + rnd.choice(["", "!", " 12"])
+        margin = model.bias
+        for w in {"".join(c for c in part) for part in re.findall(r"[^\W\d_]+", text.lower())}:
+            margin += sum(v for f, v in model.weights.items() if f == w or (f[0] == "^" and len(f) - 1 < len(w) and len(f) - 1 in (3, 4, 5, 6) and w.startswith(f[1:])))
+        want = 1 / (1 + np.exp(-margin))
+        assert abs(scorer(text) - want) < 1e-9 and abs(model.score(text) - want) < 1e-9
+
+
+def test_the_fit_reaches_the_least_of_its_loss():
+    """A plain gradient loop over the same loss, penalty and all, finds no better weights."""
+    lists, labels = biased(n=240)
+    sentences = ["muslims", "muslims women", "women"]
+    model = toxicity.fit_lists(lists, labels, sentences, fairness=3.0, lasso=0.0, rounds=3000, least_z=2.5)
+    free = toxicity.fit_lists(lists, labels, sentences, fairness=0.0, lasso=0.0, rounds=3000, least_z=2.5)
+    names = sorted(set(model.weights) | set(free.weights))
+    count = lambda words: np.array([sum(f in toxicity.features(w) for w in words) for f in names], float)
+    x = np.array([count(words) for words in lists])
+    rows, mass = [], []
+    for group in (sentences, toxicity.generated()):
+        made = [(a, b, b in t.split()) for t in group for a in t.split() for b in toxicity.SWAPS[a]]
+        rows += [count([a]) - (0 if there else count([b])) for a, b, there in made]
+        mass += [0.5 / len(made)] * len(made)
+    change, mass = np.array(rows), np.array(mass)
+    weight = np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.5 / (labels == 0).sum())
+
+    def loss(w, b):
+        m = x @ w + b
+        return (weight * (np.logaddexp(0, m) - labels * m)).sum() + 3.0 * (mass * (change @ w) ** 2).sum()
+
+    w, b = np.zeros(len(names)), 0.0
+    for _ in range(20000):
+        e = weight * (1 / (1 + np.exp(-(x @ w + b))) - labels)
+        w -= 0.02 * (x.T @ e + 6.0 * change.T @ (mass * (change @ w)))
+        b -= 0.02 * e.sum()
+    # The model's margins are the fit's up to its calibration: a scale and an offset.
+    ours = np.array([model.weights.get(f, 0.0) for f in names])
+    best = min(loss(g * ours, o) for g in np.linspace(0.2, 3, 141) for o in np.linspace(-6, 6, 121))
+    assert best < loss(w, b) + 0.01
+    assert max(toxicity.gaps(model)) < 0.2 * max(toxicity.gaps(free))
+
+
+def test_generated_sentences_bind_names_that_no_label_has():
+    """A word that begins like a group's name is toxic here; without swaps the name would be too."""
+    rnd = random.Random(5)
+    lists = [sorted({f"w{rnd.randrange(50)}" for _ in range(9)} | ({"transgression", "disablement"} if i % 3 == 0 else set())) for i in range(300)]
+    labels = np.array([int(i % 3 == 0) for i in range(300)])
+    free, fair = (toxicity.fit_lists(lists, labels, fairness=f) for f in (0.0, toxicity.FAIRNESS))
+    text = "my neighbour is transgender"
+    assert free.score(text) - free.score("my neighbour is male") > 0.05
+    assert abs(fair.score(text) - fair.score("my neighbour is male")) < 0.005
+    assert fair.score("transgression disablement") > 0.8
+
+
+def test_every_swap_of_a_labelled_sentence_counts():
+    assert toxicity.named_groups("The Muslims came. Nobody else! gay women and men\nfin") == ["muslims", "gay men women"]
+    found = toxicity.swaps(["gay women"])
+    assert found[("women", "girls", False)] == 1 and found[("gay", "straight", False)] == 1 and ("women", "people", False) in found
+    assert all(b in toxicity.SWAPS[a] for a, b, _ in found)
+
+
+def test_conflicting_labels_and_repeated_ids(spark):
+    docs = spark.createDataFrame([(i, f"idiot w{i % 7}" if i % 2 else f"fine w{i % 7}") for i in range(60)] + [(1, "idiot again")] * 50, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(1, 0), (1, 1), (None, 0)], "doc_id long, toxic int")
+    rows = toxicity.training_rows(docs, marks, usable=F.lit(True), most=(100, 100))
+    assert rows.where("doc_id = 1").count() == 2 and rows.count() == 61
+    assert rows.select("doc_id", "toxic").distinct().count() == 61
+    assert toxicity.toxicity(docs, marks).count() == 110
+
+
 def test_held_out_accuracy(spark):
     rnd = random.Random(3)
     rows, labels = [], []

@@ -1,19 +1,22 @@
 """Toxicity scores by a counterfactual-regularised classifier.
 
 A logistic model over the distinct words of a text and their beginnings is fitted to a bounded
-sample of labelled rows. Sentences that name a group are swapped: each identity term becomes
-another of its kind, and the fit penalises any change of score between the two. A group's name
-thereby carries no weight of its own, however often it stands in toxic sentences.
-
-Fitting takes the sampled rows' word lists to the driver, whose rows are bounded, one for each id and label; words of a row are not;
-scoring is one Arrow function over whole texts.
+sample of labelled rows. Sentences that name a group are swapped: each identity term becomes each
+other one of its kind, and a word for any person, and the fit penalises the change of score between the
+two. Swapped are the labelled rows' own sentences and, so that no name goes unseen, generated ones of
+every term in neutral frames; a name that the labels say nothing of would otherwise be scored by
+the words that begin like it. A group's name thereby carries next to no weight of its own, however often
+it stands in toxic sentences.
+
+Fitting takes the sampled rows' distinct words to the driver; rows are bounded, one for each id and
+label, words of a row are not. Scoring is one Arrow function over whole texts.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,9 +30,10 @@ from tracelode.llm.common import map_arrow
 MAX_TOXIC, MAX_OTHER = 2000, 4000
 #: Lengths of the word beginnings that are features beside the whole word.
 PREFIXES = (3, 4, 5, 6)
-#: Features kept at most, those most unevenly spread over the labels first.
-MAX_FEATURES = 1500
-#: Weight of the counterfactual penalty.
+#: Features are all words and beginnings whose log odds between the labels are so many standard errors
+#: off, which is beyond chance for as many as are looked at.
+LEAST_Z = 4.0
+#: Weight of the counterfactual penalty: of the mean squared change of the log odds over all swaps.
 FAIRNESS = 10.0
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -52,8 +56,22 @@ IDENTITY = {
     "creencia": ("cristianos", "musulmanes", "judíos", "hindúes", "budistas"),
 }
 
-#: term -> the next of its kind
-SWAP = {t: kind[(i + 1) % len(kind)] for kind in IDENTITY.values() for i, t in enumerate(kind)}
+# A word for any person, which terms are swapped for too, and neutral frames around a term.
+ANYONE = {
+    "faith": "person", "faith, plural": "people", "gender": "person", "gender, plural": "people", "orientation": "person",
+    "origin": "person", "origin, plural": "people", "body": "person", "frau, mann": "mensch", "glaube": "menschen",
+    "femme, homme": "personne", "croyance": "gens", "mujer, hombre": "persona", "creencia": "gente",
+}
+FRAMES = (
+    "my neighbour is {}", "we met many {} here", "she said that {} is what they are", "der nachbar ist {}", "wir kennen {}",
+    "mon voisin est {}", "nous connaissons des {}", "mi vecino es {}", "conocemos a {}",
+)
+
+#: term -> what it is swapped for: the others of its kinds, and the words for any person
+SWAPS: dict[str, tuple[str, ...]] = {}
+for _kind, _terms in IDENTITY.items():
+    for _term in _terms:
+        SWAPS[_term] = tuple(dict.fromkeys([*SWAPS.get(_term, ()), *(t for t in _terms if t != _term), ANYONE[_kind]]))
 
 
 def distinct_words(text: str | None) -> set[str]:
@@ -95,53 +113,118 @@ def training_rows(docs: DataFrame, labels: DataFrame, *, usable: Column, most: t
     )
 
 
+SENTENCE = re.compile(r"[.!?\n]+")
+
+
+def named_groups(text: str | None) -> list[str]:
+    """Per sentence of a text that names a group: its identity terms, sorted and joined by a blank."""
+    low = (text or "").lower()
+    return [" ".join(sorted(found)) for part in SENTENCE.split(low) if (found := SWAPS.keys() & set(WORD.findall(part)))]
+
+
 def word_lists(rows: DataFrame) -> DataFrame:
+    """(toxic, words, named): distinct words of each row, and named_groups() of its sentences, each once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = [sorted(distinct_words(x.as_py())) for x in batch.column(1)]
+            named = [sorted(set(named_groups(x.as_py()))) for x in batch.column(1)]
+            kind = pa.list_(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(words, pa.list_(pa.string()))], names=["toxic", "words"]
+                [batch.column(0), pa.array(words, kind), pa.array(named, kind)], names=["toxic", "words", "named"]
             )
 
-    return map_arrow(rows.select(F.col("toxic").cast("int").alias("toxic"), "text"), run, "toxic int, words array<string>")
+    kinds = "toxic int, words array<string>, named array<string>"
+    return map_arrow(rows.select(F.col("toxic").cast("int").alias("toxic"), "text"), run, kinds)
 
 
-def _matrix(lists: list[list[str]], index: dict[str, int]) -> np.ndarray:
-    out = np.zeros((len(lists), len(index)), np.float32)
-    for i, words in enumerate(lists):
-        for word in words:
-            for f in features(word):
-                if (j := index.get(f)) is not None:
-                    out[i, j] += 1
-    return out
+class Features:
+    """Numbers of the features of words."""
 
+    def __init__(self):
+        self.names: list[str] = []
+        self.number: dict[str, int] = {}
+        self.of_word: dict[str, np.ndarray] = {}
 
-def _uneven(lists: list[list[str]], y: np.ndarray, most: int, least_z: float = 2.5) -> list[str]:
-    """Features whose log odds between the labels stand out."""
-    counts: dict[str, list[int]] = {}
-    for words, label in zip(lists, y.tolist(), strict=True):
-        for f in {f for w in words for f in features(w)}:
-            counts.setdefault(f, [0, 0])[label] += 1
-    names = [f for f, (a, b) in counts.items() if a + b >= 3]
-    if not names:
-        return []
-    n = np.array([counts[f] for f in names], float) + 0.5
+    def word(self, word: str) -> np.ndarray:
+        found = self.of_word.get(word)
+        if found is None:
+            ids = []
+            for f in features(word):
+                if f not in self.number:
+                    self.number[f] = len(self.names)
+                    self.names.append(f)
+                ids.append(self.number[f])
+            found = self.of_word[word] = np.array(ids, np.int32)
+        return found
+
+    def words(self, words: list[str]) -> np.ndarray:
+        return np.concatenate([self.word(w) for w in words]) if words else np.zeros(0, np.int32)
+
+
+def _uneven(coded: list[np.ndarray], y: np.ndarray, n_features: int, least_z: float) -> np.ndarray:
+    """Numbers of the features whose log odds between the labels stand out."""
+    n = np.zeros((n_features, 2))
+    for ids, label in zip(coded, y.tolist(), strict=True):
+        n[np.unique(ids), label] += 1
+    often = np.flatnonzero(n.sum(1) >= 3)
+    n = n[often] + 0.5
     rest = np.array([(y == 0).sum(), (y == 1).sum()]) + 1 - n
     z = (np.log(n[:, 1] / rest[:, 1]) - np.log(n[:, 0] / rest[:, 0])) / np.sqrt((1 / n + 1 / rest).sum(1))
-    order = sorted(np.flatnonzero(np.abs(z) >= least_z), key=lambda i: (-abs(z[i]), names[i]))
-    return [names[i] for i in order[:most]]
+    return often[np.abs(z) >= least_z]
+
+
+def _matrix(coded: list[np.ndarray], chosen: np.ndarray, n_features: int) -> np.ndarray:
+    """How often each row of `coded` has each of the chosen features."""
+    column = np.full(n_features, -1, np.int32)
+    column[chosen] = np.arange(len(chosen))
+    out = np.zeros((len(coded), len(chosen)), np.float32)
+    for i, ids in enumerate(coded):
+        cols = column[ids]
+        out[i] = np.bincount(cols[cols >= 0], minlength=len(chosen))
+    return out
+
+
+def swaps(sentences: Iterable[str]) -> dict[tuple[str, str, bool], int]:
+    """(term, other, whether the sentence has the other already) -> number of such swaps in `sentences`,
+    given by their identity terms. In a model of distinct words nothing else of a sentence matters."""
+    out: dict[tuple[str, str, bool], int] = {}
+    for sentence in sentences:
+        terms = sentence.split(" ")
+        for term in terms:
+            for other in SWAPS[term]:
+                key = (term, other, other in terms)
+                out[key] = out.get(key, 0) + 1
+    return out
+
+
+def generated() -> list[str]:
+    """Sentences of every term in every frame."""
+    return [x for frame in FRAMES for term in SWAPS for x in named_groups(frame.format(term))]
+
+
+def gaps(model: Model) -> list[float]:
+    """Changes of score over all swaps in the generated sentences, each without its sign."""
+    out = []
+    for frame in FRAMES:
+        for term, others in SWAPS.items():
+            own = model.score(frame.format(term))
+            out += [abs(own - model.score(frame.format(other))) for other in others]
+    return out
 
 
 def fit_lists(
     lists: list[list[str]],
     y: np.ndarray,
+    sentences: Iterable[str] = (),
     *,
     fairness: float = FAIRNESS,
     lasso: float = 1e-4,
     rounds: int = 300,
-    most: int = MAX_FEATURES,
+    least_z: float = LEAST_Z,
 ) -> Model:
-    """Accelerated proximal gradient on log loss + lasso + fairness * (score change under swaps)^2.
+    """Accelerated proximal gradient on log loss + lasso + fairness * mean squared change under swaps; the
+    swaps of the labelled `sentences` and those of the generated ones have half the weight each.
 
     Without labels of both kinds the model is the smoothed share of toxic rows.
     """
@@ -149,19 +232,30 @@ def fit_lists(
     if len(y) == 0 or y.min() == y.max():
         share = (float(y.sum()) + 1) / (len(y) + 2)
         return Model({}, math.log(share / (1 - share)))
-    names = _uneven(lists, y, most)
+    known = Features()
+    coded = [known.words(words) for words in lists]
+    chosen = _uneven(coded, y, len(known.names), least_z)
+    names = [known.names[i] for i in chosen]
+    x = _matrix(coded, chosen, len(known.names))
+    del coded
+    counts = [c for c in (swaps(sentences), swaps(generated())) if c]
+    mass = {k: sum(c.get(k, 0) / sum(c.values()) for c in counts) / len(counts) for k in {k for c in counts for k in c}}
     index = {f: j for j, f in enumerate(names)}
-    x = _matrix(lists, index)
-    named = [i for i, words in enumerate(lists) if not SWAP.keys().isdisjoint(words)]
-    swapped = [sorted({SWAP.get(w, w) for w in lists[i]}) for i in named]
-    change = x[named] - _matrix(swapped, index) if named else np.zeros((0, len(names)), np.float32)
+    change = np.zeros((len(mass), len(names)), np.float32)
+    for i, (term, other, there) in enumerate(mass):
+        for word, sign in ((term, 1), *(() if there else ((other, -1),))):
+            for f in features(word):
+                if (j := index.get(f)) is not None:
+                    change[i, j] += sign
+    some = np.abs(change).sum(1) > 0
+    heavy = np.array(list(mass.values()), np.float32)[some]
+    change = change[some]
     scale = np.sqrt((x**2).mean(0)) + 1e-6
-    x = x / scale
-    change = change / scale
+    x /= scale
+    change /= scale
     # Each label has half the weight of the loss, so that scores do not follow the sample's shares.
     weight = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum()).astype(np.float32)
     target = y.astype(np.float32)
-    pairs = max(1, len(named))
 
     def power(m: np.ndarray, w: np.ndarray) -> float:
         v = np.ones(m.shape[1], np.float32)
@@ -172,14 +266,14 @@ def fit_lists(
             v /= norm or 1.0
         return norm
 
-    step = 1 / (0.25 * (power(x, weight) + 1) + (2 * fairness * power(change, np.full(len(change), 1 / pairs, np.float32)) if named else 0))
+    step = 1 / (0.25 * (power(x, weight) + 1) + 2 * fairness * power(change, heavy))
     w = np.zeros(len(names), np.float32)
     bias = 0.0
     ahead, ahead_bias, t = w.copy(), bias, 1.0
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ ahead + ahead_bias, -30, 30)))
         error = weight * (p - target)
-        slope = x.T @ error + (2 * fairness / pairs) * (change.T @ (change @ ahead))
+        slope = x.T @ error + 2 * fairness * (change.T @ (heavy * (change @ ahead)))
         new = ahead - step * slope
         new = np.sign(new) * np.maximum(np.abs(new) - step * lasso, 0)
         new_bias = ahead_bias - step * float(error.sum())
@@ -225,7 +319,8 @@ def fit(
     most: tuple[int, int] = (MAX_TOXIC, MAX_OTHER),
     **options,
 ) -> Model:
-    """Fits on labelled rows of `labels` (doc_id, toxic) that meet `usable` and have a row in `docs`."""
+    """Fits on labelled rows of `labels` (doc_id, toxic) that meet `usable` and have a row in `docs`. An id
+    labelled both ways is a row of each label; null ids and labels other than 0 and 1 take no part."""
     sample = word_lists(training_rows(docs, labels, usable=F.lit(True) if usable is None else usable, most=most)).toArrow()
     held = sample.column("words").combine_chunks()
     coded = held.flatten().dictionary_encode()
@@ -234,7 +329,8 @@ def fit(
     ends = np.concatenate([[0], np.cumsum(held.value_lengths().to_numpy(zero_copy_only=False))]).astype(int)
     lists = [[names[i] for i in places[a:b]] for a, b in zip(ends, ends[1:], strict=False)]
     rows = sorted(zip(sample.column("toxic").to_pylist(), lists, strict=True))
-    return fit_lists([w for _, w in rows], np.array([y for y, _ in rows], np.int64), **options)
+    named = [x for row in sample.column("named").to_pylist() for x in row]
+    return fit_lists([w for _, w in rows], np.array([y for y, _ in rows], np.int64), named, **options)
 
 
 class Scorer:
@@ -279,7 +375,7 @@ def toxicity(
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, score (0 to 1), predicted (score >= threshold).
 
-    Only labels of rows outside held_out() are learnt. Null text counts as empty and gets the model's
+    Only labels of rows outside held_out() are learnt, an id labelled both ways as a row of each. Null text counts as empty and gets the model's
     bias; null ids stay and are never learnt; repeated rows each give a row; an empty table gives an
     empty one; without labels every score is 0.5.
     """
