@@ -256,7 +256,7 @@ def contaminated_case(spark):
     return rows, items, docs, spark.createDataFrame(items, "item_id long, text string")
 
 
-@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+@pytest.mark.parametrize("broadcast", [10_000_000, 0])
 def test_contamination(spark, broadcast):
     rows, items, docs, bench = contaminated_case(spark)
     got = contamination(docs, bench, max_broadcast=broadcast).collect()
@@ -270,8 +270,20 @@ def test_contamination(spark, broadcast):
 
 def test_contamination_of_empty_tables(spark):
     _, _, docs, bench = contaminated_case(spark)
-    assert contamination(docs.limit(0), bench).count() == 0
-    assert {r.n_hit for r in contamination(docs, bench.limit(0)).collect()} == {0}
+    for most in (10_000_000, 0):
+        assert contamination(docs.limit(0), bench, max_broadcast=most).count() == 0
+        assert {r.n_hit for r in contamination(docs, bench.limit(0), max_broadcast=most).collect()} == {0}
+
+
+def test_a_window_of_very_many_items_and_a_very_common_word(spark):
+    """Neither the broadcast nor the exchange gathers a window's items; a one-word item is a hot hash."""
+    items = [(f"i{i}", "the") for i in range(300)] + [("z", "one two three")]
+    docs = spark.createDataFrame([(i, "the " * 200 + ("one two three" if i == 3 else "")) for i in range(40)], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    for most in (10_000_000, 0):
+        got = {r.doc_id: r for r in contamination(docs, bench, max_broadcast=most).collect()}
+        assert len(got) == 40 and got[0].n_hit == 200 and got[3].n_hit == 203
+        assert got[0]["items"] == sorted(f"i{i}" for i in range(300)) and got[3].n_items == 301
 
 
 # Addresses

@@ -1,9 +1,14 @@
 """Benchmark decontamination with a broadcast set of normalised test n-grams.
 
 Every benchmark item gives its windows of consecutive words. A window goes to the executors as its
-hash, its words and the items it is of. Training texts are scanned by token window: the window's
+hash, its words and its number. Training texts are scanned by token window: the window's
 hash is looked up, and only where it is found the words themselves are compared. No Python runs;
-a text is split once, and nothing but hits and one row for each document is shuffled.
+a text is split once, and nothing but hits and one row for each document is shuffled. The items
+of a window, however many they are, meet a document once its windows are known.
+
+A benchmark whose windows are more bytes than may be broadcast is looked up in two steps: a bit table of
+bounded size, made of the windows' hashes, is broadcast and drops nearly all windows of the texts;
+those that it lets through meet the benchmark's in an exchange.
 """
 
 from __future__ import annotations
@@ -15,8 +20,12 @@ from tracelode.llm.common import ascii_lower, cut, wrapped
 
 #: What stands between words once A-Z are lower case.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Windows that are broadcast at most (about 200 bytes each); more are looked up by a shuffled join.
-MAX_BROADCAST = 1_000_000
+#: Bytes of windows that are broadcast at most.
+MAX_BROADCAST = 256_000_000
+#: Bytes that a broadcast row takes beside its words.
+ROW_BYTES = 64
+#: Words of 64 bits in the bit table, at most and at least: a table is twice the windows' number in words.
+MOST_BITS, LEAST_BITS = 2**20, 2**10
 
 
 def words(text: Column) -> Column:
@@ -28,9 +37,12 @@ def _window_hash(of: Column, start: Column, width: int) -> Column:
     return F.xxhash64(*[of[start + j] for j in range(width)])
 
 
-def benchmark_windows(bench: DataFrame, width: int = 13, *, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(b_len, b_text, b_h, b_items): one row for each distinct window of the benchmark."""
-    listed = bench.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("item"), words(F.col(text_col)).alias("w"))
+def benchmark_windows(
+    bench: DataFrame, width: int = 13, *, id_col: str = "item_id", text_col: str = "text"
+) -> tuple[DataFrame, DataFrame]:
+    """(b_len, b_text, b_h, b_nth), one numbered row for each distinct window, and (nth, item), a row for each
+    window of an item; items as strings."""
+    listed = bench.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("item"), words(F.col(text_col)).alias("w"))
     sized = listed.withColumn("n", F.size("w")).where("n > 0").withColumn("len", F.least("n", F.lit(width)))
     each = sized.select(
         "item",
@@ -39,9 +51,27 @@ def benchmark_windows(bench: DataFrame, width: int = 13, *, id_col: str = "item_
             F.transform(F.sequence(F.lit(1), F.col("n") - F.col("len") + 1), lambda i: F.slice("w", i, F.col("len")))
         ).alias("window"),
     )
-    return each.groupBy(
-        F.col("len").alias("b_len"), F.array_join("window", " ").alias("b_text"), F.xxhash64("window").alias("b_h")
-    ).agg(F.collect_set("item").alias("b_items"))
+    each = cut(each.select("item", "len", F.array_join("window", " ").alias("text"), F.xxhash64("window").alias("h")).distinct())
+    windows = cut(
+        each.select(F.col("len").alias("b_len"), F.col("text").alias("b_text"), F.col("h").alias("b_h"))
+        .distinct()
+        .withColumn("b_nth", F.monotonically_increasing_id())
+    )
+    same = (F.col("h") == F.col("b_h")) & (F.col("len") == F.col("b_len")) & (F.col("text") == F.col("b_text"))
+    return windows, each.join(windows.hint("merge"), same).select(F.col("b_nth").alias("nth"), "item")
+
+
+def bit_table(hashes: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """(at, bits): the set bits of the hashes `h`, 64 to a row, and the number of rows that a full table has.
+    It is twice `n` rows within bounds, so that few windows pass by chance while `n` is bounded."""
+    size = min(MOST_BITS, max(LEAST_BITS, 2 * n))
+    at = F.pmod("h", F.lit(size).cast("long"))
+    return hashes.groupBy(at.alias("at")).agg(F.bit_or(_bit(F.col("h"))).alias("bits")), size
+
+
+def _bit(h: Column) -> Column:
+    """One of 64 bits, told by the upper bits of a hash."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 58).cast("int"))
 
 
 def contamination(
@@ -62,8 +92,10 @@ def contamination(
     no part. Null text has no words; null ids stay; repeated rows each give a row; empty tables give
     an empty result (no documents) or no hits (no items).
     """
-    windows = cut(benchmark_windows(bench, width))
-    counted = {r["b_len"]: r["n"] for r in windows.groupBy("b_len").agg(F.count(F.lit(1)).alias("n")).collect()}
+    windows, items = benchmark_windows(bench, width)
+    size = F.octet_length("b_text") + ROW_BYTES
+    sums = windows.groupBy("b_len").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")).collect()
+    counted, n_bytes = {r["b_len"]: r["n"] for r in sums}, sum(r["bytes"] for r in sums)
     base = docs.select(
         F.col(id_col).alias("doc_id"),
         F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"),
@@ -86,41 +118,41 @@ def contamination(
         h = F.when(fits, _window_hash(F.col("w"), F.col("start"), n)).otherwise(h)
     each = each.withColumn("start", start).withColumn("len", length)
     each = each.withColumn("h", h)
-    bounded = sum(counted.values()) <= max_broadcast
-    here = F.col("h") == F.col("b_h")
     at, upto = F.col("start"), F.col("start") + F.col("len")
-    if bounded:
-        same = F.array_join(F.slice("w", F.greatest(at, F.lit(0)) + 1, F.col("len")), " ") == F.col("b_text")
-        found = each.join(F.broadcast(windows), here, "left").where(
-            (F.col("place") == 0) | (F.col("b_h").isNotNull() & (F.col("b_len") == F.col("len")) & same)
-        )
-        grouped = found.groupBy("doc_id", "text_key").agg(
-            F.max("n_words").alias("n_words"),
-            F.count(F.when(F.col("place") == 0, 1)).alias("copies"),
-            F.collect_set(F.when(F.col("place") > 0, F.struct("start", upto.alias("stop")))).alias("hits"),
-            F.collect_set("b_items").alias("items"),
+    same_words = F.array_join(F.slice("w", F.greatest(at, F.lit(0)) + 1, F.col("len")), " ")
+    own = F.col("place") == 0
+    if n_bytes <= max_broadcast:
+        found = each.join(F.broadcast(windows), F.col("h") == F.col("b_h"), "left").where(
+            own | (F.col("b_h").isNotNull() & (F.col("b_len") == F.col("len")) & (same_words == F.col("b_text")))
         )
     else:
-        # Too many windows to broadcast: hashes alone are exchanged, and the words are compared once a
-        # text's few candidates are back with it.
-        narrow = each.where("h is not null").select("doc_id", "text_key", "start", "len", "h").distinct()
-        hit = F.struct("start", upto.alias("stop"), "len", F.col("b_text").alias("text"), F.col("b_items").alias("items"))
-        met = (
-            narrow.join(windows, here & (F.col("len") == F.col("b_len")))
-            .groupBy(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key"))
-            .agg(F.collect_list(hit).alias("c"))
-        )
-        back = base.join(met, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("text_key") == F.col("c_key")), "left")
-        true = F.filter("c", lambda x: F.array_join(F.slice("w", x["start"] + 1, x["len"]), " ") == x["text"])
-        checked = back.withColumn("c", F.coalesce(true, F.filter(F.array(F.lit(None).cast(met.schema["c"].dataType.elementType)), lambda x: x.isNotNull())))
-        grouped = checked.select(
-            "doc_id",
-            "text_key",
-            "n_words",
-            F.lit(1).cast("long").alias("copies"),
-            F.array_distinct(F.transform("c", lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop")))).alias("hits"),
-            F.transform("c", lambda x: x["items"]).alias("items"),
-        )
+        table, size = bit_table(windows.select(F.col("b_h").alias("h")), sum(counted.values()))
+        slot = F.pmod("h", F.lit(size).cast("long")) == F.col("at")
+        kept = each.join(F.broadcast(cut(table)), slot, "left").where(own | (F.col("bits").bitwiseAND(_bit(F.col("h"))) != 0))
+        # What is left carries its words, which tell for sure; a text's own row has none.
+        narrow = kept.select("doc_id", "text_key", "n_words", "place", "start", "len", "h", F.when(~own, same_words).alias("words"))
+        narrow = cut(narrow)
+        here = (F.col("h") == F.col("b_h")) & (F.col("len") == F.col("b_len")) & (F.col("words") == F.col("b_text"))
+        hits = narrow.where(~own).distinct().join(windows.hint("merge"), here)
+        wanted = ["doc_id", "text_key", "n_words", "place", "start", "len", "b_nth"]
+        found = hits.select(*wanted).union(narrow.where(own).withColumn("b_nth", F.lit(None).cast("long")).select(*wanted))
+    grouped = found.groupBy("doc_id", "text_key").agg(
+        F.max("n_words").alias("n_words"),
+        F.count(F.when(own, 1)).alias("copies"),
+        F.collect_set(F.when(~own, F.struct("start", upto.alias("stop")))).alias("hits"),
+        F.collect_set(F.when(~own, F.col("b_nth"))).alias("nths"),
+    )
+    grouped = cut(grouped)
+    hit, none = grouped.where(F.size("nths") > 0), grouped.where(F.size("nths") == 0)
+    found_items = (
+        hit.select(F.col("doc_id").alias("i_id"), F.col("text_key").alias("i_key"), F.explode("nths").alias("nth"))
+        .join(items, "nth")
+        .groupBy("i_id", "i_key")
+        .agg(F.collect_set("item").alias("items"))
+    )
+    met = hit.join(found_items, F.col("doc_id").eqNullSafe(F.col("i_id")) & (F.col("text_key") == F.col("i_key")))
+    columns = ["doc_id", "text_key", "n_words", "copies", "hits", "items"]
+    grouped = met.select(*columns).union(none.withColumn("items", F.array().cast("array<string>")).select(*columns))
     # Sorted windows joined into spans: (all before, start and stop of the last).
     spans = F.aggregate(
         F.array_sort("hits"),
@@ -146,7 +178,7 @@ def contamination(
         "n_words",
         "copies",
         spans.alias("spans"),
-        F.array_sort(F.transform(F.array_distinct(F.flatten("items")), lambda x: x.cast("string"))).alias("items"),
+        F.array_sort("items").alias("items"),
     ).select(
         "doc_id",
         "text_key",
