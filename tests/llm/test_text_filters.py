@@ -166,56 +166,111 @@ def test_a_repeated_id_is_one_training_row(spark):
 # Licences
 
 
-def test_licences(spark):
+def prose(rnd, n=30):
+    return " ".join(rnd.choice("the of and that this is in on under version work code free mere river stone".split()) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def licence_model(spark):
     rnd = random.Random(5)
-    prose = lambda: " ".join(rnd.choice("the of and that this is in on under version work code free mere".split()) for _ in range(30))
-    mit, gpl = license_scan.TEMPLATES["MIT"][0], license_scan.TEMPLATES["GPL-3.0"][0]
-    rows = [(i, prose() + "\n" + prose(), None) for i in range(200)]
-    rows += [(1000 + i, prose() + "\n" + mit + " " + prose() + "\n" + prose(), "MIT") for i in range(20)]
-    rows += [(2000 + i, gpl.upper() + "\r\n" + prose(), "GPL-3.0") for i in range(20)]
-    rows += [(3000, None, None), (3001, "", None), (3002, "the licence of this work is under no licence", None), (None, mit, "MIT"), (1000, rows[200][1], "MIT")]
-    rows += [(3003, prose() + " x" * 30000 + "\n" + mit, "MIT"), (3004, "\n".join([mit, gpl, gpl]), "GPL-3.0")]
-    docs = spark.createDataFrame([(a, b, 1) for a, b, _ in rows], "doc_id long, text string, w int")
-    got = license_scan.license_scan(docs).collect()
+    rows = [(i, "\n\n".join(prose(rnd) for _ in range(3))) for i in range(300)]
+    rows += [(1000 + i, prose(rnd) + "\nReleased under the MIT License.\n" + prose(rnd)) for i in range(150)]  # a third of all texts
+    return license_scan.train(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def scanned(spark, model, rows):
+    docs = spark.createDataFrame([(r[0], r[1], 1) for r in rows], "doc_id long, text string, w int")
+    return license_scan.license_scan(docs, model=model).collect()
+
+
+def test_licences(spark, licence_model):
+    rnd = random.Random(6)
+    mit, gpl = "Licensed under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
+    rows = [(i, prose(rnd) + "\n\n" + prose(rnd), None) for i in range(50)]
+    rows += [(1000 + i, prose(rnd) + "\n" + mit + " " + prose(rnd) + "\n" + prose(rnd), "MIT") for i in range(5)]
+    rows += [(2000 + i, gpl.upper() + "\r\n" + prose(rnd), "GPL-3.0") for i in range(5)]
+    rows += [(3000, None, None), (3001, "", None), (3002, "the licence of this work is under no licence", None), (None, mit, "MIT"), (1000, rows[50][1], "MIT")]
+    rows += [(3003, prose(rnd) + " x" * 30000 + "\n" + mit, "MIT"), (3004, "\n \n".join([mit, gpl, mit + "\n"]), "MIT")]
+    got = scanned(spark, licence_model, rows)
     assert sorted((str(r.doc_id), str(r.license)) for r in got) == sorted((str(a), str(c)) for a, _, c in rows)
     both = next(r for r in got if r.doc_id == 3004)
     assert (both.families, both.n_confirmed, both.n_paragraphs) == ("GPL-3.0,MIT", 3, 3)
-    assert license_scan.license_scan(docs.limit(0)).count() == 0
+    assert scanned(spark, licence_model, rows[:1])[0].n_unconfirmed == 0
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert license_scan.license_scan(empty).count() == 0
 
 
-def test_wrapped_licences(spark):
-    rnd = random.Random(6)
-    prose = lambda: " ".join(rnd.choice("the of and that this is in on under version work code free mere".split()) for _ in range(30))
-    long_ = {f: max(license_scan.TEMPLATES[f], key=len) for f in ("MIT", "GPL-3.0", "BSD-3-Clause", "Apache-2.0")}
-    rows = [(i, prose() + "\n" + prose(), None, 0) for i in range(200)]
-    for k, (family, notice) in enumerate(long_.items()):
-        for width in (30, 72, 80):
-            wrapped = textwrap.wrap(notice, width)
-            rows.append((1000 + 100 * k + width, "\n".join([prose(), *wrapped, prose()]), family, 1))
-            rows.append((2000 + 100 * k + width, "\n".join([prose(), "", *(" * " + x for x in wrapped), "", prose()]), family, 1))
-    mit = textwrap.wrap(long_["MIT"], 72)
-    rows.append((3000, "\n".join([*mit, *mit, *textwrap.wrap(long_["GPL-3.0"], 72)]), "MIT", 3))
-    rows.append((3001, "\n".join([mit[0], prose(), *mit[2:]]), None, 0))
-    docs = spark.createDataFrame([(a, b) for a, b, _, _ in rows], "doc_id long, text string")
-    got = license_scan.license_scan(docs).collect()
-    assert sorted((r.doc_id, str(r.license), r.n_confirmed) for r in got) == sorted((a, str(c), n) for a, _, c, n in rows)
-    assert next(r.families for r in got if r.doc_id == 3000) == "GPL-3.0,MIT"
-
-
-def test_every_family_is_named(spark):
+def test_wrapped_tagged_and_paraphrased_notices(spark, licence_model):
+    """None of these texts is a template's."""
     rnd = random.Random(7)
-    prose = lambda: " ".join(rnd.choice("the of and that this is in on under version work code free mere".split()) for _ in range(30))
-    rows = [(i, prose() + "\n" + prose(), None) for i in range(200)]
-    rows.append((900, "All rights reserved.\n" + license_scan.TEMPLATES["MIT"][0] + "\nCopyright X. All rights reserved.", "MIT"))
-    rows.append((901, prose() + "\nAll rights are reserved for those", None))
-    for k, (family, notices) in enumerate(license_scan.TEMPLATES.items()):
-        for j, notice in enumerate(notices):
-            rows.append((1000 + 10 * k + j, "\n".join([prose(), notice, prose()]), family))
-            rows.append((2000 + 10 * k + j, "\n".join([prose(), *textwrap.wrap(notice, 72), prose()]), family))
-    got = license_scan.license_scan(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()
-    assert sorted((r.doc_id, str(r.license)) for r in got) == sorted((a, str(c)) for a, _, c in rows)
-    assert {"GPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "BSD-2-Clause", "ISC", "CC-BY-4.0", "CC-BY-SA-4.0", license_scan.RESERVED} <= set(license_scan.TEMPLATES)
-    assert max(r.n_confirmed for r in got if r.doc_id >= 1000) == 1
+    forms = [("SPDX-License-Identifier: MIT", "MIT"), ("// SPDX-License-Identifier: GPL-2.0", "GPL-2.0")]
+    forms += [("distributed under the MIT license terms", "MIT"), ("You may copy this file under the Apache License 2.0, see LICENSE", "Apache-2.0")]
+    forms += [("this library is published under the GNU Lesser General Public License, version 3", "LGPL-3.0")]
+    rows = [(i, prose(rnd, 40) + "\n" + text + "\n" + prose(rnd, 40), f) for i, (text, f) in enumerate(forms)]
+    for k, (family, all_) in enumerate(license_scan.TEMPLATES.items()):
+        for j, notice in enumerate(all_):
+            for width in (30, 76):
+                wrapped = textwrap.wrap(notice, width)
+                rows.append((1000 + 100 * k + 10 * j + width % 7, "\n".join([prose(rnd), *wrapped, prose(rnd)]), family))
+                rows.append((9000 + 100 * k + 10 * j + width % 7, "\n".join([prose(rnd, 200), "", *(" * " + x for x in wrapped), "", prose(rnd)]), family))
+    for k, (family, names) in enumerate(license_scan.NAMES.items()):
+        rows += [(20000 + 10 * k + j, prose(rnd) + "\nThis text is made available under the " + name + ".\n", family) for j, name in enumerate(names)]
+    got = scanned(spark, licence_model, rows)
+    wrong = {(r.doc_id, str(r.license)) for r in got} ^ {(a, str(c)) for a, _, c in rows}
+    assert not wrong
+    assert {r.n_confirmed for r in got} == {1}
+
+
+def test_a_mention_is_no_notice_and_an_unlike_notice_is_unconfirmed(spark, licence_model):
+    rnd = random.Random(8)
+    rows = [(1, prose(rnd) + "\nwe spoke about the history of the MIT License at the meeting\n" + prose(rnd))]
+    rows += [(2, prose(rnd) + "\nThis software is licensed under the terms of the Public License, distributed under the license terms.\n" + prose(rnd))]
+    got = {r.doc_id: r for r in scanned(spark, licence_model, rows)}
+    assert got[1].license is None and got[1].n_confirmed == 0 and got[1].n_unconfirmed == 0
+    assert got[2].license is None and got[2].n_unconfirmed == 1 and got[2].unconfirmed in license_scan.FAMILIES
+
+
+def test_reserved_rights_name_a_text_only_without_a_licence(spark, licence_model):
+    rows = [(1, "Copyright X. All rights reserved."), (2, "All rights reserved.\n\nReleased under the MIT License.\n\nCopyright Y. All rights reserved.")]
+    rows += [(3, "no rights are kept here, all the rights were given away")]
+    got = {r.doc_id: r for r in scanned(spark, licence_model, rows)}
+    assert (got[1].license, got[2].license, got[3].license) == (license_scan.RESERVED, "MIT", None)
+    assert got[2].families == "MIT," + license_scan.RESERVED and got[2].n_confirmed == 3
+
+
+def test_scan_equals_a_plain_loop(spark, licence_model):
+    """Stretches, odds, comparison and counts by loops over the model's weights and the templates."""
+    rnd = random.Random(9)
+    bits = [t for _, t in license_scan.texts()] + ["under the license", "free software", "general public", "version 2"]
+    rows = [(i, "".join(rnd.choice([prose(rnd, rnd.randrange(1, 90)), rnd.choice(bits)]) + rnd.choice([" ", "\n", "\n\n"]) for _ in range(rnd.randrange(1, 9)))) for i in range(120)]
+    weights = {r.h: np.array(r.w) for r in licence_model.weights.collect()}
+    bias = np.array(licence_model.bias)
+    tests: dict = {}
+    for r in license_scan.template_tests(spark).collect():
+        tests.setdefault((r.template, r.family), {}).setdefault(r.test, (r.need, set()))[1].add(r.h)
+    split = [[[w for w in re.split(r"[\W_]+", p.lower()) if w] for p in re.split(r"\n[ \t\r]*\n\s*", text) if p.strip(" \t\r\n")] for _, text in rows]
+    couples = sorted({(a, b) for doc in split for w in doc for a, b in zip(w, w[1:], strict=False)})
+    hashed = spark.createDataFrame(couples, "a string, b string").select("a", "b", license_scan.pair_hash(F.col("a"), F.col("b")).alias("h"))
+    h_of = {(r.a, r.b): r.h for r in hashed.collect()}
+    got = {r.doc_id: r for r in scanned(spark, licence_model, rows)}
+    for (i, _), doc in zip(rows, split, strict=True):
+        sure, guess = set(), set()
+        for p, w in enumerate(doc, 1):
+            for at in range(len(w) // license_scan.STEP + 1):
+                lo, hi = at * license_scan.STEP, (at + 2) * license_scan.STEP
+                have = {h_of[w[k - 1], w[k]] for k in range(max(lo, 1), min(hi, len(w)))} - {None}
+                if not have & weights.keys():
+                    continue
+                s = bias + sum(weights[h] for h in have & weights.keys())
+                families = {license_scan.FAMILIES[k] for k in range(1, len(s)) if s[k] - s[0] >= licence_model.cut}
+                if families:
+                    guess.add((p, at))
+                for (_, family), each in tests.items():
+                    if family in families and all(len(have & hs) >= need for need, hs in each.values()):
+                        sure.add((family, p, at))
+        firsts = [f for f, p, at in sure if (f, p, at - 1) not in sure]
+        loose = [g for g in guess if not any(g[0] == p and abs(g[1] - at) <= 1 for _, p, at in sure)]
+        assert (got[i].n_paragraphs, got[i].families, got[i].n_confirmed, got[i].n_unconfirmed) == (len(doc), ",".join(sorted(set(firsts))), len(firsts), len(loose)), i
 
 
 # Decontamination

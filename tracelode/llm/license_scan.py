@@ -1,113 +1,163 @@
 """License scan by a trained paragraph classifier, in DataFrame and SQL functions only.
 
-A paragraph is a line, or a run of neighbouring lines over which a notice is wrapped. Its features are its distinct pairs of neighbouring words, hashed. Training rows are
-the templates below, whole and in parts, and a bounded sample of the corpus' own lines: those
-that hold a template, or are a piece of one, are of its family, the others unknown. A multinomial logistic regression gives
-sparse weights (most are zero, and pairs that are common in the sample are no features), so the
-weight table is small and is broadcast. Each paragraph's pairs are looked up in it; sums per family
-give the prediction. The unknown class is calibrated: a notice is predicted only above the
-probability that sampled paragraphs held out of training reach wrongly at most at a given rate.
-A prediction counts once a template is found among the paragraph's pairs, together with those pairs
-that tell it from similar templates of other families; these name the family. Lines that
-do not hold a notice by themselves are then searched for wrapped ones: a template is looked for in
-runs of neighbouring lines, with the pairs across line ends, and the run is judged as a paragraph is.
+A paragraph is what stands between blank lines; line ends and comment marks inside it are no more than
+breaks between words, so a wrapped notice reads like any other. Long paragraphs are judged in
+stretches that overlap by half. Features are pairs of neighbouring words, but for pairs of two stop
+words. A multinomial logistic regression with sparse weights is trained on notices (the templates, whole
+and in halves, and licence names in phrases that grant) and on what is none: a bounded sample of the
+corpus' own stretches, taken as they come, and names in phrases that only mention. The labels of
+the notices come from how the rows are made, not from the comparison below. A family is predicted where
+its odds against the unknown class pass a cut that is calibrated on the rows held out of training.
+
+Each predicted stretch is then compared with the family's templates: one of them must have most of its
+pairs there, and most of those that tell it from similar templates of other families. Predictions
+without such a template are counted and named as unconfirmed. Only pairs that the model or a template
+knows leave the scan; both tables are bounded by the templates and are broadcast.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracelode.llm.common import cut, let
 
-#: Sampled paragraphs that training takes at most, least hash first.
-MAX_SAMPLE = 4000
-#: Pairs in this share of sampled paragraphs or more are no features.
-COMMON = 0.02
-#: Share of a template's word pairs that a paragraph must hold to confirm it.
+#: Stretches of the corpus that training takes at most, and texts that they are taken from; least hash first.
+MAX_SAMPLE, MAX_TEXTS = 4000, 1000
+#: Words from one stretch to the next; a stretch has twice as many, so what is shorter lies whole in one.
+STEP = 60
+#: Share of a template's pairs that a stretch must hold to confirm it.
 CONFIRM = 0.8
-#: Pairs that a line must have, at least, to be labelled as a piece of a notice.
-PIECE = 4
-#: Wrongly named held-out paragraphs that the calibration allows.
-FALSE_RATE = 0.001
+#: Share of stretches with a notice that the calibration assumes.
+RATE = 0.02
+
+#: Weight of the unlabelled sample in the first fit.
+DOUBT = 0.05
 
 UNKNOWN = "unknown"
+#: No grant: names a text only where no licence does.
+RESERVED = "all-rights-reserved"
 
-# Notices by which licences are named or granted.
+# Texts by which licences are granted, each of at most STEP words.
 TEMPLATES = {
     "MIT": (
-        "Released under the MIT License.",
-        "Licensed under the MIT License.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the "
+        "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files (the \"Software\"), to deal in the Software without restriction",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     ),
     "Apache-2.0": (
-        "Licensed under the Apache License, Version 2.0.",
+        "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+        "http://www.apache.org/licenses/LICENSE-2.0",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
         "with the License.",
     ),
-    "GPL-3.0": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-        "License as published by the Free Software Foundation, either version 3 of the License",
-    ),
-    "CC-BY-NC-4.0": (
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-    ),
     "BSD-3-Clause": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met",
-        "Licensed under the BSD 3-Clause License.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission.",
+    ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "Zlib": (
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it "
+        "and redistribute it freely, subject to the following restrictions",
+    ),
+    "BSL-1.0": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+        "accompanying documentation covered by this license (the \"Software\")",
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+        "compile, sell, or distribute this software",
     ),
     "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-        "Licensed under the Mozilla Public License 2.0.",
+    ),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which "
+        "is available at https://www.eclipse.org/legal/epl-2.0/",
     ),
     "GPL-2.0": (
-        "This work is licensed under the GNU General Public License, version 2.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
         "License as published by the Free Software Foundation; either version 2 of the License",
     ),
+    "GPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License",
+    ),
     "LGPL-2.1": (
-        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
         "Public License as published by the Free Software Foundation; either version 2.1 of the License",
     ),
     "LGPL-3.0": (
-        "This work is licensed under the GNU Lesser General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
         "Public License as published by the Free Software Foundation, either version 3 of the License",
     ),
     "AGPL-3.0": (
-        "This work is licensed under the GNU Affero General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
         "Public License as published by the Free Software Foundation, either version 3 of the License",
     ),
-    "BSD-2-Clause": (
-        "Licensed under the BSD 2-Clause License.",
-        "Licensed under the Simplified BSD License.",
-    ),
-    "ISC": (
-        "Licensed under the ISC License.",
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
-        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    ),
-    "CC-BY-4.0": (
-        "Licensed under CC BY 4.0.",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    ),
-    "CC-BY-SA-4.0": (
-        "Licensed under CC BY-SA 4.0.",
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-    ),
-    "all-rights-reserved": ("All rights reserved.",),
+    RESERVED: ("All rights reserved.",),
 }
-#: No grant: names a text only where no licence does.
-RESERVED = "all-rights-reserved"
-FAMILIES = (UNKNOWN, *TEMPLATES)
+# Phrases around reserved rights, for training alone.
+RESERVING = (
+    "All rights reserved.", "Copyright (c) by the authors. All rights reserved.", "All rights reserved by the publisher.",
+    "No part may be reproduced. All rights reserved.", "Copyright 2020, all rights reserved worldwide.",
+)
+# What the licences are called.
+NAMES = {
+    "MIT": ("MIT License", "MIT Licence"),
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "New BSD License"),
+    "ISC": ("ISC License",),
+    "Zlib": ("zlib License",),
+    "BSL-1.0": ("Boost Software License",),
+    "MPL-2.0": ("Mozilla Public License 2.0", "Mozilla Public License, version 2.0"),
+    "EPL-2.0": ("Eclipse Public License 2.0", "Eclipse Public License, version 2.0"),
+    "GPL-2.0": ("GNU General Public License, version 2", "GNU GPL version 2"),
+    "GPL-3.0": ("GNU General Public License, version 3", "GNU GPL version 3"),
+    "LGPL-2.1": ("GNU Lesser General Public License, version 2.1", "GNU LGPL version 2.1"),
+    "LGPL-3.0": ("GNU Lesser General Public License, version 3", "GNU LGPL version 3"),
+    "AGPL-3.0": ("GNU Affero General Public License, version 3", "GNU AGPL version 3"),
+    "CC0-1.0": ("CC0 1.0 Universal", "Creative Commons Zero"),
+    "CC-BY-4.0": ("CC BY 4.0", "Creative Commons Attribution 4.0"),
+    "CC-BY-SA-4.0": ("CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0"),
+    "CC-BY-NC-4.0": ("CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0"),
+}
+# Phrases that grant by name, and phrases that only mention.
+GRANTS = (
+    "Licensed under the {}.", "Released under the {}.", "This work is licensed under the {}.", "Distributed under the terms of the {}.",
+    "This software is distributed under the {} terms.", "Made available under {}.", "You may use this file under the {}.",
+    "Published under {}.", "This project is covered by the {}.", "The code is provided under the {}; see the file LICENSE.",
+    "License: {}", "Licensed under {}.", "Released under {}.", "This work is licensed under {}.", "Distributed under {}.",
+)
+TAGS = (
+    "SPDX-License-Identifier: {}", "SPDX-License-Identifier: {} OR other", "file name SPDX-License-Identifier: {} import",
+)
+MENTIONS = (
+    "we spoke about the {} at the meeting", "an article on the history of the {}", "he compared the {} with other texts",
+    "many people have never read the {}", "the {} was written long ago", "a lecture about {} and its critics",
+)
+# Words of which two in a row say nothing.
+STOP_WORDS = (
+    "a", "all", "an", "and", "any", "are", "as", "at", "be", "by", "can", "do", "for", "from", "has", "have", "he", "if", "in", "is", "it",
+    "its", "may", "no", "not", "of", "on", "one", "or", "s", "she", "such", "t", "that", "the", "their", "there", "they", "this", "to",
+    "was", "we", "were", "will", "with", "you", "your",
+)
+
+FAMILIES = (UNKNOWN, *dict.fromkeys([*TEMPLATES, *NAMES]))
 
 
 def words(text: Column) -> Column:
@@ -115,249 +165,242 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1), "")
 
 
+def pair_hash(a: Column, b: Column) -> Column:
+    """Hash of two neighbouring words, null where both are stop words."""
+    return F.when(~(a.isin(*STOP_WORDS) & b.isin(*STOP_WORDS)), F.xxhash64(a, b))
+
+
 def pair_hashes(of: Column) -> Column:
-    """Hashes of the distinct neighbouring pairs of a word array."""
+    """Hashes of the distinct pairs of a word array."""
+    none = F.array().cast("array<long>")
 
     def pairs(w: Column) -> Column:
-        made = F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.xxhash64(w[i - 1], w[i]))
-        return F.when(F.size(w) > 1, F.array_distinct(made)).otherwise(F.array().cast("array<long>"))
+        made = F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: pair_hash(w[i - 1], w[i]))
+        return F.when(F.size(w) > 1, F.array_compact(F.array_distinct(made))).otherwise(none)
 
     return let(of, pairs)
 
 
-def template_table(spark: SparkSession) -> DataFrame:
-    """(family, template, w, pairs): one row for each notice."""
-    rows = [(f, i, t) for f, ts in TEMPLATES.items() for i, t in enumerate(ts)]
-    return spark.createDataFrame(rows, "family string, nth int, template string").select(
-        "family", "template", words(F.col("template")).alias("w")
-    ).withColumn("pairs", pair_hashes(F.col("w")))
-
-
-def _paragraphs(text: Column) -> Column:
-    return F.split(F.coalesce(text, F.lit("")), r"\r?\n", -1)
+def paragraphs(text: Column) -> Column:
+    """What stands between blank lines, without empty ones."""
+    parts = F.split(F.coalesce(text, F.lit("")), r"\n[ \t\r]*\n\s*", -1)
+    return F.filter(parts, lambda x: F.trim(x, F.lit(" \t\r\n")) != "")
 
 
-def _last_word(line: Column) -> Column:
-    """The word before a line's end; one longer than 200 characters is in no template."""
-    return F.regexp_extract(F.right(line, F.lit(200)), r"([\p{L}\p{N}]+)[^\p{L}\p{N}]*$", 1)
+def texts() -> list[tuple[str, str]]:
+    """(family, text) of every template: those above, the names, and SPDX tags."""
+    out = [(f, t) for f, ts in TEMPLATES.items() for t in ts]
+    out += [(f, n) for f, ns in NAMES.items() for n in ns]
+    return out + [(f, TAGS[0].format(f)) for f in FAMILIES if f not in (UNKNOWN, RESERVED)]
 
 
-def labelled_sample(docs: DataFrame, *, text_col: str = "text", most: int = MAX_SAMPLE) -> DataFrame:
-    """(line, family): at most `most` distinct paragraphs of the corpus. Half are any paragraphs, half
-    such as name a licence by a word that most notices share, so that both classes are there."""
-    lines = docs.select(F.explode_outer(_paragraphs(F.col(text_col))).alias("line")).where("trim(line) <> ''")
-    low = F.lower("line")
-    named = low.contains("licen") | low.contains("copyright") | low.contains("permission") | low.contains("rights reserved")
-    # Hashes alone are made distinct and ranked; as many as the bound says are then sent to the
-    # lines, so that no exchange holds texts but theirs.
-    hashes = cut(lines.select(F.xxhash64("line").alias("o"), named.alias("named")).distinct())
-    some = hashes.where("named").orderBy("o").limit(most // 2).union(hashes.orderBy("o").limit(most // 2))
-    met = lines.withColumn("o", F.xxhash64("line")).join(F.broadcast(some.select("o").distinct()), "o", "left_semi")
-    both = met.groupBy("o").agg(F.min("line").alias("line")).select("line")
-    tagged = both.select("line", pair_hashes(words(F.col("line"))).alias("have"))
-    notices = templates(docs.sparkSession)
-    whole = F.get(F.filter(notices, lambda x: _holds(F.col("have"), x)), F.lit(0))["family"]
-    # Pieces of wrapped notices would teach, as unknown, against the notices' own words.
-    shared = lambda x: F.size(F.array_intersect("have", x["pairs"]))
-    piece = F.get(F.filter(notices, lambda x: (F.size("have") >= PIECE) & (shared(x) >= CONFIRM * F.size("have"))), F.lit(0))["family"]
-    return tagged.select("line", F.coalesce(whole, piece, F.lit(UNKNOWN)).alias("family"))
+def template_tests(spark: SparkSession) -> DataFrame:
+    """(template, family, test, need, n_tests, h): what a stretch must hold for a template. Test 0 are its
+    own pairs; each other test are the pairs that a similar template of another family lacks."""
+    rows = spark.createDataFrame(texts(), "family string, template string").select(
+        "family", pair_hashes(words(F.col("template"))).alias("pairs")
+    )
+    listed = [(r["family"], frozenset(r["pairs"])) for r in rows.collect() if r["pairs"]]
+    out = []
+    for i, (family, pairs) in enumerate(listed):
+        tests = [pairs] + [
+            t for f, o in dict.fromkeys(listed) if f != family and 2 * len(o & pairs) >= len(pairs) and (t := pairs - o)
+        ]
+        tests = list(dict.fromkeys(tests))
+        for k, test in enumerate(tests):
+            out += [(i, family, k, int(-(-CONFIRM * len(test) // 1)), len(tests), h) for h in sorted(test)]
+    return spark.createDataFrame(out, "template int, family string, test int, need int, n_tests int, h long")
+
+
+def sampled_stretches(docs: DataFrame, *, text_col: str = "text", most: int = MAX_SAMPLE, most_texts: int = MAX_TEXTS) -> DataFrame:
+    """(w): at most `most` distinct stretches, as word arrays, of at most `most_texts` distinct texts. Hashes
+    alone are made distinct and ranked; the bound's number of them is sent to the texts."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    some = docs.select(F.xxhash64(text).alias("o")).distinct().orderBy("o").limit(most_texts)
+    met = docs.select(F.xxhash64(text).alias("o"), text.alias("text")).join(F.broadcast(some), "o")
+    each = met.select(F.explode(paragraphs(F.col("text"))).alias("p")).select(words(F.col("p")).alias("w"))
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size("w") - 1) / STEP) - 1).cast("int"))
+    stretches = each.where(F.size("w") > 1).select(F.explode(F.transform(starts, lambda i: F.slice("w", i * STEP + 1, 2 * STEP))).alias("w"))
+    return stretches.withColumn("o", F.xxhash64("w")).dropDuplicates(["o"]).orderBy("o").limit(most).select("w")
 
 
 class Model:
-    """weights: (h, feature, w) with w an array of one weight for each family; bias; threshold."""
-
-    def __init__(self, weights: DataFrame, bias: list[float], threshold: float):
-        self.weights, self.bias, self.threshold = weights, bias, threshold
+    """weights: (h, w) with w an array of one weight for each family; bias by family; cut: the log odds
+    against the unknown class from which a family is predicted."""
 
+    def __init__(self, weights: DataFrame, bias: list[float], cut_: float):
+        self.weights, self.bias, self.cut = weights, bias, cut_
 
-def _probabilities(sums: Column, bias: list[float]) -> Column:
-    scores = F.zip_with(sums, F.array(*map(F.lit, bias)), lambda s, b: s + b)
-    # One over the sum of exp(other - own).
-    return let(
-        scores,
-        lambda all_: F.transform(
-            all_, lambda s: 1 / F.aggregate(all_, F.lit(0.0), lambda a, x: a + F.exp(F.least(x - s, F.lit(700.0))))
-        ),
-    )
 
-
-def train(docs: DataFrame, *, text_col: str = "text", most: int = MAX_SAMPLE, false_rate: float = FALSE_RATE) -> Model:
-    """Fits on the templates and a bounded sample of paragraphs of `docs`."""
+def training_rows(docs: DataFrame, **options) -> DataFrame:
+    """(family, w, own, part): own rows are the corpus'; part 0 is held out of training, a quarter of all rows
+    by their hash."""
     spark = docs.sparkSession
-    sample = cut(labelled_sample(docs, text_col=text_col, most=most))
-    notices = template_table(spark)
-    # Whole notices and their halves stand for what texts quote of them.
+    # A name by itself is no notice.
+    made = [(f, t) for f, t in texts() if t not in NAMES.get(f, ())]
+    made += [(f, g.format(n)) for f, ns in NAMES.items() for n in ns for g in GRANTS]
+    made += [(f, t.format(f)) for f in FAMILIES if f not in (UNKNOWN, RESERVED) for t in TAGS]
+    made += [(RESERVED, t) for t in RESERVING]
+    made += [(UNKNOWN, m.format(n)) for ns in NAMES.values() for n in ns for m in MENTIONS]
+    given = spark.createDataFrame(made, "family string, text string").select("family", words(F.col("text")).alias("w"))
     half = F.ceil(F.size("w") / 2).cast("int")
     parts = F.array(F.col("w"), F.slice("w", 1, half), F.slice("w", F.size("w") - half + 1, half))
-    short = F.array(F.col("w"), F.col("w"))
-    quoted = notices.select("family", F.explode(F.when(F.size("w") >= 4, parts).otherwise(short)).alias("w"))
-    rows = sample.select("family", words(F.col("line")).alias("w"), (F.pmod(F.xxhash64("line"), F.lit(4)) == 0).alias("held"))
-    rows = rows.unionByName(quoted.select("family", "w", F.lit(False).alias("held")))
-    rows = cut(rows.select("family", "held", pair_hashes(F.col("w")).alias("g"), F.monotonically_increasing_id().alias("row")))
-    others = rows.where(F.col("family") == UNKNOWN).count()
-    grams = rows.select("row", "family", F.explode("g").alias("h"))
-    # Features: pairs of rows with a licence that are rare among the others.
-    known = grams.groupBy("h").agg(
-        F.count(F.when(F.col("family") != UNKNOWN, 1)).alias("named"), F.count(F.when(F.col("family") == UNKNOWN, 1)).alias("other")
+    quoted = given.select("family", F.explode(F.when(F.size("w") >= 16, parts).otherwise(F.array("w"))).alias("w"), F.lit(False).alias("own"))
+    rows = quoted.union(sampled_stretches(docs, **options).select(F.lit(UNKNOWN), "w", F.lit(True)))
+    return rows.withColumn("part", F.pmod(F.xxhash64("w"), F.lit(4)))
+
+
+def _fitted(table: DataFrame, own: float = 1.0):
+    """A regression over `table` (family, own, label, features, n) in which every family weighs the same,
+    however many rows it has; the mentions count as a family, and the corpus' stretches as `own` of one."""
+    kind = F.concat(F.col("family"), F.when(F.col("own"), "+").otherwise(""))
+    sums = {r["kind"]: r["n"] for r in table.groupBy(kind.alias("kind")).agg(F.sum("n").alias("n")).collect()}
+    share = F.element_at(F.create_map(*[x for f, n in sums.items() for x in (F.lit(f), F.lit((own if f.endswith("+") else 1.0) / n))]), kind)
+    regression = LogisticRegression(
+        family="multinomial", weightCol="weight", regParam=1e-4, elasticNetParam=0.5, maxIter=80, standardization=False
     )
-    chosen = known.where((F.col("named") >= 2) & (F.col("other") <= COMMON * others)).orderBy(F.desc("named"), "h").limit(2000)
-    features = [r["h"] for r in chosen.select("h").collect()]
-    listed = cut(
-        spark.createDataFrame([(h, i) for i, h in enumerate(features)], "h long, feature int")
+    return regression.fit(table.select("label", "features", (share * F.col("n")).alias("weight")).coalesce(1))
+
+
+def _margin() -> Column:
+    """Log odds of the likeliest family against the unknown class, of a regression's rows."""
+    raw = vector_to_array("rawPrediction")
+    return F.array_max(F.slice(raw, 2, len(FAMILIES))) - F.get(raw, F.lit(0))
+
+
+def train(docs: DataFrame, *, text_col: str = "text", rate: float = RATE, **options) -> Model:
+    """Fits on the templates and a bounded sample of stretches of `docs`, and calibrates on held-out rows.
+
+    The sample is unlabelled and holds notices of its own, maybe the same one in a third of all texts. A
+    first fit takes all of it as unknown, but with little weight; what that fit finds likelier than not
+    to be a notice is left out of the second and of the calibration."""
+    spark = docs.sparkSession
+    rows = training_rows(docs, text_col=text_col, **options)
+    rows = cut(rows.select("family", "own", "part", F.transform(pair_hashes(F.col("w")), lambda h: h.cast("string")).alias("g")))
+    # Features: all pairs of the notices' rows, whose number the templates bound.
+    features = sorted(r["h"] for r in rows.where(F.col("family") != UNKNOWN).select(F.explode("g").alias("h")).distinct().collect())
+    counter = CountVectorizerModel.from_vocabulary(features, inputCol="g", outputCol="features", binary=True)
+    # Rows that are alike in all features are one row of their number's weight.
+    listed = spark.createDataFrame([(h,) for h in features], "h string")
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    numbered = cut(numbered)
+    known = (
+        numbered.select("row", F.explode("g").alias("h")).join(F.broadcast(listed), "h").groupBy("row").agg(F.array_sort(F.collect_set("h")).alias("k"))
     )
-    size = max(len(features), 1)
-    hits = grams.join(F.broadcast(listed), "h").groupBy("row").agg(F.collect_set("feature").alias("f"))
+    merged = numbered.join(known, "row", "left").withColumn("g", F.coalesce("k", F.array().cast("array<string>")))
+    alike = merged.groupBy("family", "own", "part", "g").agg(F.count(F.lit(1)).cast("double").alias("n"))
     label = F.array_position(F.array(*map(F.lit, FAMILIES)), F.col("family")).cast("double") - 1
-    zeros = F.array_repeat(F.lit(0.0), size)
-    table = cut(
-        rows.join(hits, "row", "left").select(
-            "held",
-            "family",
-            label.alias("label"),
-            F.transform(zeros, lambda _, i: F.when(F.array_contains(F.coalesce("f", F.array().cast("array<int>")), i), 1.0).otherwise(0.0)).alias("x"),
-        )
-    )
-    # Every family weighs the same in the fit, however often the sample has it.
-    kinds = {r["family"]: r["n"] for r in table.where("not held").groupBy("family").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = F.element_at(F.create_map(*[x for f, n in kinds.items() for x in (F.lit(f), F.lit(1.0 / n))]), F.col("family"))
-    learnt = table.where("not held").select("label", share.alias("weight"), array_to_vector("x").alias("features")).coalesce(1)
-    fitted = LogisticRegression(
-        family="multinomial", weightCol="weight", regParam=0.002, elasticNetParam=0.5, maxIter=80, standardization=False
-    ).fit(learnt)
-    # Families absent from the fit's label range keep weight zero and a bias that rules them out.
+    table = cut(counter.transform(alike.withColumn("label", label)))
+    first = _fitted(table.where("part <> 0"), DOUBT)
+    left = first.transform(table).where(~F.col("own") | (_margin() <= 0)).select(*table.columns)
+    table = cut(left)
+    fitted = _fitted(table.where("part <> 0"))
     matrix, bias = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
-    weights = [[float(matrix[k][i]) if k < len(bias) else 0.0 for k in range(len(FAMILIES))] for i in range(size)]
-    biases = [float(bias[k]) if k < len(bias) else -50.0 for k in range(len(FAMILIES))]
-    held = fitted.transform(table.where("held").select("label", "family", array_to_vector("x").alias("features")))
-    licensed = 1 - F.get(vector_to_array("probability"), F.lit(0))
-    wrong = held.where(F.col("family") == UNKNOWN).select(licensed.alias("p"))
-    reached = wrong.agg(F.expr(f"percentile(p, {1 - false_rate})").alias("p")).first()["p"]
-    threshold = min(0.95, max(0.5, reached or 0.0))
-    made = spark.createDataFrame(
-        [(h, i, w) for i, (h, w) in enumerate(zip(features, weights, strict=False))],
-        "h long, feature int, w array<double>",
+
+    # Families beyond the last label of the fit have no weights, and a bias that rules them out.
+    def of(values, k: int, none: float) -> float:
+        return float(values[k]) if k < len(values) else none
+
+    weights = [(int(h), [of(matrix[:, i], k, 0.0) for k in range(len(FAMILIES))]) for i, h in enumerate(features)]
+    held = cut(
+        fitted.transform(table.where("part = 0")).select((F.col("family") != UNKNOWN).cast("double").alias("label"), _margin().alias("m"), "n")
     )
-    return Model(cut(made), biases, threshold)
+    n = {r["label"]: r["n"] for r in held.groupBy("label").agg(F.sum("n").alias("n")).collect()}
+    passed = 0.0
+    if len(n) == 2:
+        assumed = F.when(F.col("label") == 1, rate / n[1.0]).otherwise((1 - rate) / n[0.0])
+        scale = LogisticRegression(weightCol="weight", regParam=1e-4).fit(
+            held.select("label", array_to_vector(F.array("m")).alias("features"), (assumed * F.col("n")).alias("weight"))
+        )
+        slope = float(scale.coefficients[0])
+        passed = -float(scale.intercept) / slope if slope > 0 else 0.0
+    table = spark.createDataFrame([(h, w) for h, w in weights if any(w)], "h long, w array<double>")
+    return Model(cut(table), [of(bias, k, -50.0) for k in range(len(FAMILIES))], passed)
+
+
+def predicted(found: Column, model: Model) -> Column:
+    """Families whose odds against the unknown class pass the cut, the likeliest first."""
+    start = F.array(*map(F.lit, model.bias))
+    sums = F.aggregate(found, start, lambda a, x: F.zip_with(a, x["w"], lambda p, q: p + q))
+    names = F.array(*map(F.lit, FAMILIES))
+    over = lambda s: F.transform(s, lambda x, k: F.struct((F.get(s, F.lit(0)) - x).alias("odds"), F.get(names, k).alias("family")))
+    listed = F.filter(let(sums, over), lambda x: (x["family"] != UNKNOWN) & (x["odds"] <= -model.cut))
+    chosen = F.transform(F.array_sort(listed), lambda x: x["family"])
+    return F.when(F.size(found) > 0, chosen).otherwise(F.array().cast("array<string>"))
 
 
 def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None) -> DataFrame:
-    """One row per row of `docs`: doc_id, text_key (MD5), license (the family with most confirmed
-    notices, ties by name, reserved rights after all licences; null without one), families (confirmed
-    ones, in order), n_paragraphs (lines that are not blank), n_confirmed (a family's notice in a line or
-    wrapped over lines counts once), n_unconfirmed (lines predicted to hold a notice, but of no template).
+    """One row per row of `docs`: doc_id, text_key (MD5), license (the family with most confirmed notices, ties
+    by name, reserved rights after all licences; null without one), families (confirmed ones, in order),
+    n_paragraphs, n_confirmed (notices: neighbouring stretches of one family are one), n_unconfirmed
+    (stretches predicted, with no confirmed one of any family in them or beside them), unconfirmed
+    (the likeliest families of those, in order).
 
     Null text has no paragraphs; null ids stay; repeated rows each give a row; an empty table gives an
-    empty one. Without `model` one is trained on these rows.
+    empty one; other columns are ignored. Without `model` one is trained on these rows.
     """
     spark = docs.sparkSession
     model = model or train(docs, text_col=text_col)
-    # Word pairs of templates are looked up beside the features, for the comparison. Both tables are
-    # bounded by the templates and the number of features.
-    pairs = template_table(spark).select(F.explode("pairs").alias("h")).distinct()
+    tests = cut(template_tests(spark))
     lookup = cut(
-        model.weights.select("h", "w").join(pairs.withColumn("pair", F.lit(True)), "h", "full").select(
+        model.weights.join(tests.select("h").distinct().withColumn("pair", F.lit(True)), "h", "full").select(
             F.col("h").alias("l_h"), "w", F.coalesce("pair", F.lit(False)).alias("pair")
         )
     )
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = F.filter(_paragraphs(text), lambda x: F.trim(x) != "")
-    base = docs.select(F.col(id_col).alias("doc_id"), F.md5(text).alias("text_key"), lines.alias("lines")).withColumn(
-        "n_paragraphs", F.size("lines")
-    )
-    # Each line with the last word of the one before it, for the pair across the line end.
-    tied = F.transform(
-        "lines", lambda x, i: F.struct(x.alias("line"), F.when(i > 0, _last_word(F.get("lines", i - 1))).otherwise("").alias("tail"))
-    )
-    none = F.array(F.struct(F.lit("").alias("line"), F.lit("").alias("tail")))
-    # Place 0 stands for the document, so that none is lost; the others for its paragraphs. In the
-    # same way pair 0 stands for the paragraph. Outer, though never empty: the plain form adds a
-    # filter that splits the text once more.
-    each = base.select("doc_id", "text_key", "n_paragraphs", F.posexplode_outer(F.concat(none, tied)).alias("place", "at"))
-    each = each.select(
-        "doc_id", "text_key", "n_paragraphs", "place", words(F.col("at.line")).alias("of"), F.lower("at.tail").alias("tail")
-    )
-    paired = each.withColumn("last", F.greatest(F.size("of") - 1, F.lit(0))).select(
-        "doc_id", "text_key", "n_paragraphs", "place", "of", "tail", F.explode_outer(F.sequence(F.lit(-1), F.col("last"))).alias("i")
-    )
-    h = F.when(F.col("i") > 0, F.xxhash64(F.get("of", F.col("i") - 1), F.get("of", F.col("i")))).when(
-        (F.col("i") < 0) & (F.col("tail") != ""), F.xxhash64("tail", F.get("of", F.lit(0)))
-    )
-    grams = paired.select("doc_id", "text_key", "n_paragraphs", "place", "i", F.size("of").alias("n_words"), h.alias("h"))
-    met = grams.join(F.broadcast(lookup), F.col("h") == F.col("l_h"), "left").where(
-        F.col("l_h").isNotNull() | ((F.col("place") == 0) & (F.col("i") == 0))
-    )
-    own = F.col("i") > 0
-    weighed = F.col("w").isNotNull()
-    per_line = met.groupBy("doc_id", "text_key", "place").agg(
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    base = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.md5(text).alias("text_key"), paragraphs(text).alias("parts"))
+    base = base.withColumn("n_paragraphs", F.size("parts"))
+    # Paragraph 0 stands for the document, so that none is lost. Outer, though never empty: the plain
+    # form adds a filter that splits the text once more.
+    each = base.select("doc_id", "text_key", "n_paragraphs", F.posexplode_outer(F.concat(F.array(F.lit("")), "parts")).alias("para", "part"))
+    each = each.select("doc_id", "text_key", "n_paragraphs", "para", words(F.col("part")).alias("of"))
+    last = F.greatest(F.size("of") - 1, F.lit(0))
+    each = each.select("doc_id", "text_key", "n_paragraphs", "para", "of", F.explode_outer(F.sequence(F.lit(0), last)).alias("i"))
+    h = F.when(F.col("i") > 0, pair_hash(F.get("of", F.col("i") - 1), F.get("of", F.col("i"))))
+    grams = each.select("doc_id", "text_key", "n_paragraphs", "para", "i", h.alias("h"))
+    own = (F.col("para") == 0) & (F.col("i") == 0)
+    met = grams.join(F.broadcast(lookup), F.col("h") == F.col("l_h"), "left").where(F.col("l_h").isNotNull() | own)
+    at = F.floor(F.col("i") / STEP).cast("int")
+    spread = met.withColumn("at", F.explode(F.when(at > 0, F.array(at - 1, at)).otherwise(F.array(at))))
+    stretches = spread.groupBy("doc_id", "text_key", "para", "at").agg(
         F.max("n_paragraphs").alias("n_paragraphs"),
-        F.max("n_words").alias("n_words"),
-        F.count(F.when(F.col("place") == 0, 1)).alias("copies"),
-        F.collect_set(F.when(own & weighed, F.struct("h", "w"))).alias("found"),
-        F.collect_set(F.when(own & F.col("pair"), F.col("h"))).alias("have"),
-        F.collect_set(F.when(~own & weighed, F.struct("h", "w"))).alias("found_before"),
-        F.collect_set(F.when(~own & F.col("pair"), F.col("h"))).alias("have_before"),
+        F.count(F.when(F.col("para") == 0, 1)).alias("copies"),
+        F.collect_set(F.when(F.col("w").isNotNull(), F.struct("h", "w"))).alias("found"),
+        F.collect_set(F.when(F.col("pair"), F.col("h"))).alias("have"),
     )
-    notices = templates(spark)
-    named = per_line.withColumn("named", (F.col("place") > 0) & _licensed(F.col("found"), model))
-    matched = F.filter(notices, lambda x: _holds(F.col("have"), x))
-    matched = F.array_distinct(F.transform(matched, lambda x: x["family"]))
-    judged = named.withColumn("matched", F.when(F.col("named"), matched).otherwise(F.array().cast("array<string>")))
-    judged = judged.withColumn("confirmed", F.size("matched") > 0)
-    loose = (F.col("place") > 0) & ~F.col("confirmed")
-    rest = F.struct(
-        "place",
-        "n_words",
-        F.array_union("found", "found_before").alias("found"),
-        F.array_union("have", "have_before").alias("have"),
-        "named",
+    judged = stretches.withColumn("predicted", predicted(F.col("found"), model)).drop("found")
+    judged = cut(judged.where((F.col("para") == 0) | (F.size("predicted") > 0)))
+    # The comparison: few stretches are left.
+    keys = ["doc_id", "text_key", "para", "at"]
+    asked = judged.where("para > 0").select(*keys, "predicted", F.explode("have").alias("h"))
+    hits = asked.join(F.broadcast(tests), "h").where(F.array_contains("predicted", F.col("family")))
+    test = ["template", "family", "test", "need", "n_tests"]
+    passed = hits.groupBy(*keys, *test).agg(F.count(F.lit(1)).alias("n")).where("n >= need")
+    whole = passed.groupBy(*keys, "template", "family", "n_tests").agg(F.count(F.lit(1)).alias("n")).where("n = n_tests")
+    place = F.struct("para", "at")
+    none = F.lit(None)
+    rows = judged.where("para = 0").select(
+        "doc_id", "text_key", "n_paragraphs", "copies", none.cast("struct<family:string,para:int,at:int>").alias("sure"),
+        none.cast("struct<para:int,at:int,family:string>").alias("guess"),
+    )
+    sure = whole.select(
+        "doc_id", "text_key", none.cast("int"), none.cast("long"), F.struct("family", "para", "at"), none.cast("struct<para:int,at:int,family:string>")
     )
-    kinds = judged.groupBy("doc_id", "text_key").agg(
+    guess = judged.where("para > 0").select(
+        "doc_id", "text_key", none.cast("int"), none.cast("long"), none.cast("struct<family:string,para:int,at:int>"),
+        F.struct("para", "at", F.get("predicted", F.lit(0)).alias("family")),
+    )
+    gathered = rows.union(sure).union(guess).groupBy("doc_id", "text_key").agg(
         F.max("n_paragraphs").cast("long").alias("n_paragraphs"),
         F.max("copies").alias("copies"),
-        F.flatten(F.collect_list("matched")).alias("by_line"),
-        F.array_sort(F.collect_list(F.when(loose, rest))).alias("loose"),
-    )
-    # Seldom more than none: templates whose pairs are there, in lines however far apart.
-    there = F.array_distinct(F.flatten(F.col("loose.have")))
-    near = let(there, lambda t: F.filter(notices, lambda x: _holds(t, x)))
-    kinds = kinds.withColumn("near", near)
-    runs = F.flatten(F.transform("near", lambda x: _runs(F.col("loose"), x)))
-
-    def features(run: Column) -> Column:
-        lines = F.filter("loose", lambda x: x["place"].between(run["first"], run["last"]))
-        return F.array_distinct(F.flatten(F.transform(lines, lambda x: x["found"])))
-
-    # A run is judged by the pairs of its lines; of runs of a family that share lines, one counts.
-    kept = F.array_sort(F.array_distinct(F.filter(runs, lambda run: _licensed(features(run), model))))
-    no_runs = F.array().cast("array<struct<first:int,last:int,family:string>>")
-    kinds = kinds.withColumn("runs", F.when(F.size("near") > 0, kept).otherwise(no_runs)).drop("near")
-    state = F.struct(F.array().cast("array<string>").alias("names"), F.lit(0).alias("end"))
-
-    def counted(family: Column) -> Column:
-        return F.aggregate(
-            F.filter("runs", lambda r: r["family"] == family),
-            state,
-            lambda a, r: F.struct(
-                F.when(r["first"] > a["end"], F.array_append(a["names"], r["family"])).otherwise(a["names"]).alias("names"),
-                F.greatest(a["end"], r["last"]).alias("end"),
-            ),
-            lambda a: a["names"],
-        )
-
-    by_run = F.flatten(F.transform(F.array_distinct(F.col("runs.family")), counted))
-    open_ = F.filter(
-        "loose",
-        lambda x: x["named"]
-        & ~F.exists("runs", lambda r: x["place"].between(r["first"], r["last"])),
-    )
-    told = kinds.select(
-        "doc_id",
-        "text_key",
-        "n_paragraphs",
-        "copies",
-        F.concat("by_line", by_run).alias("all_"),
-        F.size(open_).cast("long").alias("n_unconfirmed"),
+        F.collect_set("sure").alias("sure"),
+        F.collect_set("guess").alias("guess"),
     )
+    # The first stretch of each run of neighbours stands for the notice.
+    before = lambda x: F.struct(x["family"].alias("family"), x["para"].alias("para"), (x["at"] - 1).alias("at"))
+    firsts = F.transform(F.filter("sure", lambda x: ~F.array_contains("sure", before(x))), lambda x: x["family"])
+    near = lambda x: F.exists("sure", lambda s: (s["para"] == x["para"]) & (F.abs(s["at"] - x["at"]) <= 1))
+    told = gathered.withColumns({"all_": firsts, "loose": F.filter("guess", lambda x: ~near(x))})
     counts = F.transform(
         F.array_distinct("all_"), lambda f: F.named_struct(F.lit("late"), f == RESERVED, F.lit("n"), -F.size(F.filter("all_", lambda x: x == f)), F.lit("f"), f)
     )
@@ -368,96 +411,7 @@ def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         F.array_join(F.array_sort(F.array_distinct("all_")), ",").alias("families"),
         "n_paragraphs",
         F.size("all_").cast("long").alias("n_confirmed"),
-        "n_unconfirmed",
+        F.size("loose").cast("long").alias("n_unconfirmed"),
+        F.array_join(F.array_sort(F.array_distinct(F.col("loose.family"))), ",").alias("unconfirmed"),
         F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"),
     ).drop("copy")
-
-
-def _licensed(found: Column, model: Model) -> Column:
-    """Whether the features in `found` speak for a notice; which one, the templates tell."""
-    zeros = F.array_repeat(F.lit(0.0), len(FAMILIES))
-    sums = F.aggregate(found, zeros, lambda a, x: F.zip_with(a, x["w"], lambda p, q: p + q))
-    return 1 - F.get(_probabilities(sums, model.bias), F.lit(0)) >= model.threshold
-
-
-def _holds(have: Column, template: Column) -> Column:
-    """Whether enough of a template's pairs are there, also of those that tell it from its likes."""
-
-    def enough(pairs: Column) -> Column:
-        return F.size(F.array_intersect(have, pairs)) >= CONFIRM * F.size(pairs)
-
-    return enough(template["pairs"]) & F.forall(template["telling"], enough)
-
-
-def _runs(lines: Column, template: Column) -> Column:
-    """(first, last, family) of the shortest runs of neighbouring `lines`, from the top and not
-    overlapping, that hold enough of the template's pairs. Pairs further before a line than the template
-    has words are forgotten, and so is everything where a line without any template's pair lies between."""
-    entry = "array<struct<h:bigint,place:int,at:bigint>>"
-    start = F.struct(
-        F.array().cast("array<struct<first:int,last:int,family:string>>").alias("done"),
-        F.array().cast(entry).alias("got"),
-        F.lit(0).alias("last"),
-        F.lit(0).cast("long").alias("at"),
-    )
-    pairs = template["pairs"]
-
-    def step(a: Column, x: Column) -> Column:
-        near = F.filter(a["got"], lambda g: (x["place"] == a["last"] + 1) & (a["at"] - g["at"] <= F.size(pairs)))
-        end = a["at"] + x["n_words"]
-        new = F.transform(
-            F.array_intersect(x["have"], pairs), lambda h: F.struct(h.alias("h"), x["place"].alias("place"), end.alias("at"))
-        )
-        return let(
-            F.concat(near, new),
-            lambda got: let(
-                let(F.array_distinct(F.transform(got, lambda g: g["h"])), lambda have: _holds(have, template)),
-                lambda full: F.struct(
-                    F.when(
-                        full,
-                        F.array_append(
-                            a["done"],
-                            F.struct(
-                                F.array_min(F.transform(got, lambda g: g["place"])).alias("first"),
-                                x["place"].alias("last"),
-                                template["family"].alias("family"),
-                            ),
-                        ),
-                    )
-                    .otherwise(a["done"])
-                    .alias("done"),
-                    F.when(full, F.array().cast(entry)).otherwise(got).alias("got"),
-                    x["place"].alias("last"),
-                    end.cast("long").alias("at"),
-                ),
-            ),
-        )
-
-    return F.aggregate(lines, start, step, lambda a: a["done"])
-
-
-def template_pairs(spark: SparkSession) -> dict[str, list[list[int]]]:
-    """Pair hashes of each family's notices."""
-    out: dict[str, list[list[int]]] = {}
-    for r in template_table(spark).select("family", "pairs").collect():
-        out.setdefault(r["family"], []).append(sorted(r["pairs"]))
-    return out
-
-
-def templates(spark: SparkSession) -> Column:
-    """Array of (family, pairs, telling): per template also, for each one of another family that shares
-    half of its pairs, those that the other lacks."""
-    listed = [(f, pairs) for f, all_ in template_pairs(spark).items() for pairs in all_]
-    made = []
-    for family, pairs in listed:
-        likes = [set(o) for f, o in listed if f != family and 2 * len(set(o) & set(pairs)) >= len(pairs)]
-        telling = [sorted(set(pairs) - o) for o in likes if set(pairs) - o]
-        groups = [F.array(*map(F.lit, g)) for g in telling]
-        made.append(
-            F.struct(
-                F.lit(family).alias("family"),
-                F.array(*map(F.lit, pairs)).alias("pairs"),
-                (F.array(*groups) if groups else F.array().cast("array<array<bigint>>")).alias("telling"),
-            )
-        )
-    return F.array(*made)

@@ -76,7 +76,7 @@ def op7_simhash_dedup(spark, sf_dir):
 
 def op8_license_scan(spark, sf_dir):
     found = license_scan(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "license", "families", "n_paragraphs", "n_confirmed", "n_unconfirmed")
+    return found.select("doc_id", "license", "families", "n_paragraphs", "n_confirmed", "n_unconfirmed", "unconfirmed")
 
 
 def op9_decontaminate(spark, sf_dir):
