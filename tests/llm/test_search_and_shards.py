@@ -110,7 +110,7 @@ def test_shards(spark):
 
 def test_growth_moves_few_slots(spark, tmp_path):
     loads = {s: 100 + s % 7 for s in range(4096)}
-    first = SlotMap.deal(loads, 16)
+    first = SlotMap.first(16)
     grown = first.rebalance(loads, 17)
     moved = [s for s in first.of if first.of[s] != grown.of[s]]
     assert {grown.of[s] for s in moved} == {16}
@@ -127,6 +127,32 @@ def test_growth_moves_few_slots(spark, tmp_path):
     assert set(fewer.of.values()) == set(range(16))
 
 
+def test_a_shard_without_slots_is_loaded(spark, tmp_path):
+    path = str(tmp_path / "map")
+    SlotMap(5, 3, {0: 0, 1: 1}).save(spark, path)
+    assert SlotMap.load(spark, path).shards == 5
+
+
+def test_a_stored_map_is_edited_and_keeps_its_slots(spark, tmp_path):
+    """The operator reads the latest version, moves what has to move, and stores the next."""
+    rows, df = documents(spark)
+    path = str(tmp_path / "maps")
+    SlotMap.first(16).save(spark, path)
+    one = {r.virtual_slot: r.shard for r in shard_documents(df, 16, maps=path).collect()}
+    second = SlotMap.load(spark, path)
+    assert second.version == 2 and all(second.of[s] == d for s, d in one.items())
+    stay = {r.map_version for r in shard_documents(df, 16, maps=path).collect()}
+    assert stay == {2} and SlotMap.load(spark, path) == second
+    more = shard_documents(df, 17, maps=path).collect()
+    third = SlotMap.load(spark, path)
+    assert {r.map_version for r in more} == {3} and third.shards == 17
+    moved = [s for s in second.of if second.of[s] != third.of[s]]
+    kept = [s for s in one if s not in moved]
+    assert len(moved) < 600 and all(third.of[s] == one[s] for s in kept)
+    bytes_of = [sum(r.size for r in more if r.shard == s) for s in range(17)]
+    assert max(bytes_of) - min(bytes_of) <= 2 * max(r.size for r in more)
+
+
 def test_slots_do_not_depend_on_data(spark):
     df = spark.range(100).select(slot_of(F.col("id")).alias("s"))
     assert df.collect() == df.collect()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tracelode.llm.common import LOWER, UPPER
 from tracelode.llm.secret_scan import KINDS, ORDER, PLACEHOLDER, WIDE_OWNERS, WIDE_REPOS
+from tracelode.llm.sharding import SLACK, SLOTS
 
 _SPANS = " union all ".join(
     f"""select rid, doc_id, source, lang, {ORDER.index(kind)} as r, '{kind}' as kind, m.at as start, m.at + length(m.w) as stop,
@@ -63,8 +64,12 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
   coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
 from d left join n using (rid) left join items using (rid)"""
 
-# The checksum by its table of 256 remainders, the slot map by dealing slots one after another.
-SHARDS = """with recursive
+# The checksum by its table of 256 remainders; the slot map by moving one slot after another.
+_GAP = "list_max(totals) - list_min(totals)"
+_HEAVY = "list_position(totals, list_max(totals)) - 1"
+_FITS = f"""list_filter(range({SLOTS}), lambda s: shard_of[s + 1] = {_HEAVY} and bytes_of[s + 1] > 0 and bytes_of[s + 1] < {_GAP})"""
+_BEST = f"list_min(list_transform({_FITS}, lambda s: [abs(2 * bytes_of[s + 1] - ({_GAP})), s]))[2]"
+SHARDS = f"""with recursive
 table_ as (select list(list_reduce(list_prepend(n, range(8)), lambda c, j: xor(c >> 1, (c & 1) * 3988292384)) order by n) as t
   from range(256) r(n)),
 d as (select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents),
@@ -72,17 +77,24 @@ hexed as (select rid, doc_id, text, hex(encode(text)) as h, t from d cross join
 sized as (select rid, doc_id, (length(h) // 2 + 1)::bigint as size,
   xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i::int + 1, 2))::bigint)),
     lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)::bigint as text_crc32,
-  (('0x' || left(md5(coalesce(doc_id::varchar, '')), 8))::bigint % 4096)::int as virtual_slot from hexed),
-loads as (select virtual_slot, sum(size)::bigint as b, count(*) as n, row_number() over (order by sum(size) desc, virtual_slot) as k
-  from sized group by virtual_slot),
-deal as (select 0::bigint as k, -1 as virtual_slot, -1 as shard, list_transform(range(16), lambda x: 0::bigint) as held
+  (('0x' || left(md5(coalesce(doc_id::varchar, '')), 8))::bigint % {SLOTS})::int as virtual_slot from hexed),
+per_slot as (select s as virtual_slot, coalesce(sum(size), 0)::bigint as b, count(size) as n from range({SLOTS}) r(s)
+  left join sized on virtual_slot = s group by s),
+start_ as (select list(b order by virtual_slot) as bytes_of, list((virtual_slot % 16)::bigint order by virtual_slot) as shard_of from per_slot),
+moves as (select 0 as step, bytes_of, shard_of, list_transform(range(16), lambda k: list_sum(list_transform(range({SLOTS}), lambda s:
+    case when shard_of[s + 1] = k then bytes_of[s + 1] else 0 end))::bigint) as totals, null::bigint as moved, null::bigint as away from start_
   union all
-  select l.k, l.virtual_slot, list_position(held, list_min(held))::int - 1,
-    list_transform(held, lambda x, i: case when i = list_position(held, list_min(held)) then x + l.b else x end)
-  from deal join loads l on l.k = deal.k + 1),
-placed as (select virtual_slot, shard, coalesce(sum(n) over (partition by shard order by virtual_slot
-  rows between unbounded preceding and 1 preceding), 0)::bigint as before from deal join loads using (virtual_slot))
+  select step + 1, bytes_of, list_transform(shard_of, lambda x, i: case when i - 1 = best then light else x end),
+    list_transform(totals, lambda x, i: case when i - 1 = heavy then x - bytes_of[best + 1] when i - 1 = light then x + bytes_of[best + 1] else x end),
+    best, light
+  from (select *, {_HEAVY} as heavy, list_position(totals, list_min(totals)) - 1 as light, {_BEST} as best from moves
+    where greatest(list_max(totals) - list_sum(totals) / 16, list_sum(totals) / 16 - list_min(totals)) > {SLACK}::double * list_sum(totals) / 16)
+  where best is not null),
+last_ as (select shard_of, step from moves order by step desc limit 1),
+placed as (select virtual_slot, shard_of[virtual_slot + 1] as shard, case when step > 0 then 2 else 1 end as map_version, coalesce(sum(n) over (
+  partition by shard_of[virtual_slot + 1] order by virtual_slot rows between unbounded preceding and 1 preceding), 0)::bigint as before
+  from per_slot cross join last_)
 select doc_id, size, text_crc32, 'bytes' as law, shard::int as shard,
   (before + row_number() over (partition by virtual_slot order by doc_id nulls first, text_crc32, size) - 1)::bigint as slot,
-  null::int as grown_shard, virtual_slot, 1 as map_version
+  null::int as grown_shard, virtual_slot, map_version
 from sized join placed using (virtual_slot)"""

@@ -2,15 +2,15 @@
 
 A record's id is hashed into one of a few thousand slots, for good. Records without an id, and those
 of an id that alone outweighs a mean slot, are spread by id, checksum and, where these are equal too,
-by blocks of equal records. Bytes are summed per slot; a
-versioned map says which shard holds a slot. A first map deals slots by size, largest first, each to
-the lightest shard. Rebalancing edits the map: slots leave shards that are too heavy, the rest stay.
+by blocks of equal records. Bytes are summed per slot. A stored, versioned map says which shard holds
+a slot. Its first version deals the slots in turn, before any record is known. Rebalancing reads the
+latest version, moves slots from shards that are too heavy to light ones, leaves all others where
+they are, and stores the result as the next version; more shards than before, or fewer, are the same edit.
 Only the sums per slot (as many as there are slots) meet on the driver.
 """
 
 from __future__ import annotations
 
-import heapq
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,8 +18,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tracelode.llm.common import cut
+from tracelode.sources.scratch import scratch_dir
 
 SLOTS = 4096
+#: Share of the mean that a shard may be off it before slots move.
+SLACK = 0.001
 
 
 def slot_of(id_col: Column, slots: int = SLOTS) -> Column:
@@ -46,15 +49,9 @@ class SlotMap:
     of: dict[int, int] = field(default_factory=dict)
 
     @classmethod
-    def deal(cls, loads: dict[int, int], shards: int, slots: int = SLOTS) -> SlotMap:
-        """Each slot, from the largest on, to the shard with the fewest bytes (lowest number on a tie)."""
-        heap = [(0, s) for s in range(shards)]
-        made = cls(shards)
-        for slot in sorted(range(slots), key=lambda s: (-loads.get(s, 0), s)):
-            total, shard = heapq.heappop(heap)
-            made.of[slot] = shard
-            heapq.heappush(heap, (total + loads.get(slot, 0), shard))
-        return made
+    def first(cls, shards: int, slots: int = SLOTS) -> SlotMap:
+        """Version 1: slots in turn."""
+        return cls(shards, 1, {slot: slot % shards for slot in range(slots)})
 
     def totals(self, loads: dict[int, int]) -> list[int]:
         out = [0] * self.shards
@@ -62,7 +59,7 @@ class SlotMap:
             out[shard] += loads.get(slot, 0)
         return out
 
-    def rebalance(self, loads: dict[int, int], shards: int | None = None, slack: float = 0.01) -> SlotMap:
+    def rebalance(self, loads: dict[int, int], shards: int | None = None, slack: float = SLACK) -> SlotMap:
         """The next version: slots move from the heaviest to the lightest shard while that narrows their
         gap and some shard is off the mean by more than `slack`; all others stay where they are.
         Shards that no longer exist hand out all their slots."""
@@ -94,9 +91,9 @@ class SlotMap:
         return new
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        """(version, slot, shard): as many rows as there are slots."""
-        rows = [(self.version, s, d) for s, d in sorted(self.of.items())]
-        return spark.createDataFrame(rows, "version int, slot int, shard int")
+        """(version, shards, slot, shard): as many rows as there are slots."""
+        rows = [(self.version, self.shards, s, d) for s, d in sorted(self.of.items())]
+        return spark.createDataFrame(rows, "version int, shards int, slot int, shard int")
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Adds this version to the table at `path`."""
@@ -104,12 +101,14 @@ class SlotMap:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, version: int | None = None) -> SlotMap:
-        """A version of the table at `path`, the latest by default."""
+        """A version of the table at `path`, the latest by default; shards without a slot count too."""
         stored = spark.read.parquet(path)
         if version is None:
             version = stored.agg(F.max("version")).first()[0]
-        of = {r["slot"]: r["shard"] for r in stored.where(F.col("version") == version).collect()}
-        return cls(max(of.values()) + 1, version, of)
+        rows = stored.where(F.col("version") == version).collect()
+        if not rows:
+            raise ValueError(f"no version {version} of the slot map at {path}")
+        return cls(rows[0]["shards"], version, {r["slot"]: r["shard"] for r in rows})
 
 
 def records(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
@@ -161,22 +160,35 @@ def shard_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     slots: int = SLOTS,
-    slot_map: SlotMap | None = None,
+    maps: str | None = None,
+    slack: float = SLACK,
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, size, text_crc32, law (bytes), shard, slot (its place in the
     shard, gapless from 0), grown_shard (null), virtual_slot, map_version.
 
-    Without `slot_map` one is dealt for these rows. Null text counts as empty, null and
-    heavy ids are spread, repeated rows each take a place (in order of doc_id, checksum and size); an empty
-    table gives an empty one; other columns are ignored.
+    `maps` is the folder of the stored maps; where it is new, or none is given (then it is a scratch
+    folder), a first version is stored. The latest version is read, edited for these rows' bytes if a
+    shard is off the mean by more than `slack` or their number has changed, and stored as the next.
+    Null text counts as empty, null and heavy ids are spread, repeated rows each take a place (in order of
+    doc_id, checksum and size); an empty table gives an empty one; other columns are ignored.
     """
     spark = docs.sparkSession
     rows = cut(spread(cut(records(docs, id_col=id_col, text_col=text_col, slots=slots)), slots))
-    loads = rows.groupBy("virtual_slot").agg(F.sum(F.col("size") * F.col("copies")).alias("bytes"), F.sum("copies").alias("n"))
-    found = {r["virtual_slot"]: (r["bytes"], r["n"]) for r in loads.collect()}
-    made = slot_map or SlotMap.deal({s: b for s, (b, _) in found.items()}, shards, slots)
-    placed, filled = [], [0] * made.shards
-    for slot, shard in sorted(made.of.items()):
+    sums = rows.groupBy("virtual_slot").agg(F.sum(F.col("size") * F.col("copies")).alias("bytes"), F.sum("copies").alias("n"))
+    found = {r["virtual_slot"]: (r["bytes"], r["n"]) for r in sums.collect()}
+    loads = {s: b for s, (b, _) in found.items()}
+    if maps is None:
+        maps = scratch_dir(spark, "slot-maps")
+        SlotMap.first(shards, slots).save(spark, maps)
+    now = SlotMap.load(spark, maps)
+    if len(now.of) != slots:
+        raise ValueError(f"the stored map has {len(now.of)} slots, not {slots}")
+    edited = now.rebalance(loads, shards, slack)
+    if edited.of != now.of or shards != now.shards:
+        edited.save(spark, maps)
+        now = SlotMap.load(spark, maps)
+    placed, filled = [], [0] * now.shards
+    for slot, shard in sorted(now.of.items()):
         placed.append((slot, shard, filled[shard]))
         filled[shard] += found.get(slot, (0, 0))[1]
     # As many rows as there are slots, whatever the input.
@@ -196,6 +208,6 @@ def shard_documents(
             (F.col("before") + F.col("nth") - 1).alias("slot"),
             F.lit(None).cast("int").alias("grown_shard"),
             "virtual_slot",
-            F.lit(made.version).alias("map_version"),
+            F.lit(now.version).alias("map_version"),
         )
     )

@@ -33,6 +33,8 @@ GROW = 10
 PRIOR = 5.0
 #: z value from which two shares count as different.
 DIFFERENT = 1.96
+#: Tasks that the rows of one branch are dealt over.
+SALTS = 32
 #: Labelled share of bad pages that counts before any page: so many bad ones of so many.
 START_BAD, START_ALL = 0.5, 2.0
 
@@ -107,6 +109,14 @@ def _clusters(kids: Column) -> Column:
     return F.transform(made, named)
 
 
+def _met(rows: DataFrame, few: DataFrame, same: Column, by: str) -> DataFrame:
+    """`rows` joined to `few`, which has one narrow row for a tree or a branch. Rows of a large branch are
+    dealt by `by` over SALTS tasks, and each of `few` goes to all of them."""
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    copies = few.withColumn("f_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(copies.hint("merge"), same & (F.col("salt") == F.col("f_salt"))).drop("salt", "f_salt")
+
+
 def branches(live: DataFrame) -> DataFrame:
     """(b_tree, b_t, clusters) of every branch of `live` (tree, t, seg, n, b, g): its children, small ones
     of a variable segment as the wildcard, similar ones merged. All counts are combined before they are
@@ -116,7 +126,7 @@ def branches(live: DataFrame) -> DataFrame:
     whole = kids.groupBy(F.col("tree").alias("w_tree"), F.col("t").alias("w_t")).agg(
         F.count(F.lit(1)).alias("many"), F.sum("n").alias("pages")
     )
-    met = kids.join(whole.hint("merge"), (F.col("tree") == F.col("w_tree")) & (F.col("t") == F.col("w_t")))
+    met = _met(kids, whole, (F.col("tree") == F.col("w_tree")) & (F.col("t") == F.col("w_t")), "seg")
     small = (F.col("many") > CHILDREN) & (F.col("n") * CHILDREN < F.col("pages"))
     folded = met.withColumn("seg", F.when(small, F.lit(WILD)).otherwise(F.col("seg"))).groupBy("tree", "t", "seg").agg(*sums)
     share = ((F.col("b") + 0.5) / (F.col("b") + F.col("g") + 1)).alias("share")
@@ -133,7 +143,7 @@ def grown(paths: DataFrame) -> DataFrame:
     # Segment 0, before the first slash, stands for the whole tree.
     segs = F.transform(F.split("path", "/", -1), lambda x: F.when(x == WILD, ASTERISK).otherwise(x))
     totals = paths.groupBy(F.col("tree").alias("r_tree")).agg(*[F.sum(c).alias(f"r_{c}") for c in ("n", "b", "g")])
-    rooted = paths.join(totals.hint("merge"), F.col("tree") == F.col("r_tree"))
+    rooted = _met(paths, totals, F.col("tree") == F.col("r_tree"), "path")
 
     def smoothed(bad: Column, good: Column, own: Column, above: Column) -> list[Column]:
         known = bad + good + PRIOR
@@ -155,7 +165,7 @@ def grown(paths: DataFrame) -> DataFrame:
         if not live.take(1):
             return done
         live = live.withColumn("seg", F.get("segs", F.lit(level)))
-        met = live.join(branches(live).hint("merge"), (F.col("tree") == F.col("b_tree")) & (F.col("t") == F.col("b_t")))
+        met = _met(live, branches(live), (F.col("tree") == F.col("b_tree")) & (F.col("t") == F.col("b_t")), "path")
         of = lambda seg: F.get(F.filter("clusters", lambda c: F.array_contains(c["segs"], seg)), F.lit(0))
         picked = met.withColumn("c", F.coalesce(of(F.col("seg")), of(F.lit(WILD))))
         now = cut(
