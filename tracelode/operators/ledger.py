@@ -68,6 +68,23 @@ def remove(ledger: DataFrame, unmatched: DataFrame) -> DataFrame:
     return ledger.join(unmatched.select(KEY), KEY, "left_anti")
 
 
+def apply_run(ledger: DataFrame, run: DataFrame, now: Column | None = None) -> DataFrame:
+    """insert_if_absent(), update_match(), remove() and finalize() of one run in one join. `run` has one row for
+    each source_file: prefix, image_ts, the match fields (all null: no match, the row goes) and
+    output_remote_file (null: none yet)."""
+    fields = ("prefix", "image_ts", *MATCH, "output_remote_file")
+    mine = run.select(KEY, *[F.col(c).alias(f"_n_{c}") for c in fields], F.lit(True).alias("_run"))
+    met = ledger.withColumn("_old", F.lit(True)).join(mine, KEY, "full")
+    kept = met.where(F.col("_run").isNull() | F.col("_n_matched_text_file").isNotNull())
+    known = F.col("_old").isNotNull()
+    new = {c: F.when(known, F.col(c)).otherwise(F.col(f"_n_{c}")) for c in ("prefix", "image_ts")}
+    new |= {c: F.when(F.col("_run"), F.col(f"_n_{c}")).otherwise(F.col(c)) for c in MATCH}
+    new["output_remote_file"] = F.coalesce("_n_output_remote_file", "output_remote_file")
+    new["created_at"] = F.when(known, F.col("created_at")).otherwise(_now(now))
+    new["updated_at"] = F.when(F.col("_run"), _now(now)).otherwise(F.col("updated_at"))
+    return kept.select(KEY, *[new[c].alias(c) for c in COLUMNS if c != KEY])
+
+
 def unprocessed(files: DataFrame, processed: DataFrame) -> DataFrame:
     """Files that no earlier run has consumed."""
     return files.join(processed.select("path"), "path", "left_anti")

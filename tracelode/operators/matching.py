@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tracelode.operators.state import last_values
+from tracelode.operators.state import busy, last_values
+from tracelode.sources.scratch import written
 
 #: Seconds that a match may span, the bound included.
 REACH = 300
@@ -31,8 +32,11 @@ def _side(files: DataFrame, kind: str, keys: list[str]) -> DataFrame:
     )
 
 
-def _nearest(asking: DataFrame, offered: DataFrame, keys: list[str], forward: bool, reach: int) -> DataFrame:
-    """Each asking file with the nearest offered one at or after (`forward`) or at or before it."""
+def _nearest(
+    asking: DataFrame, offered: DataFrame, keys: list[str], forward: bool, reach: int, every: bool = False
+) -> DataFrame:
+    """Each asking file with the nearest offered one at or after (`forward`) or at or before it; with `every`
+    also those that have none within reach, with a null offer `o`."""
     slice_of = (F.col("at") / SLICE_SECONDS).cast("long")
     sign = -1 if forward else 1
     near = F.array_distinct(F.array(slice_of, ((F.col("at") + sign * reach) / SLICE_SECONDS).cast("long")))
@@ -46,15 +50,16 @@ def _nearest(asking: DataFrame, offered: DataFrame, keys: list[str], forward: bo
     order = [time, F.when(F.col("kind") == "offer", 0).otherwise(1), F.desc("path"), F.desc("file_id")]
     window = W.partitionBy(*keys, "slice").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     offer = F.when(F.col("kind") == "offer", F.struct("file_id", "path", "file_ts", "at"))
-    met = both.withColumn("o", F.last(offer, ignorenulls=True).over(window)).where("kind = 'ask' and o is not null")
+    met = both.withColumn("o", F.last(offer, ignorenulls=True).over(window)).where("kind = 'ask'")
     gap = F.col("o.at") - F.col("at") if forward else F.col("at") - F.col("o.at")
-    return met.withColumn("diff_seconds", gap).where(F.col("diff_seconds") <= reach)
+    met = met.withColumn("o", F.when(gap <= reach, F.col("o"))).withColumn("diff_seconds", gap)
+    return met if every else met.where("o is not null")
 
 
-def match_image_to_text(images: DataFrame, texts: DataFrame, reach: int = REACH) -> DataFrame:
+def match_image_to_text(images: DataFrame, texts: DataFrame, reach: int = REACH, *, every: bool = False) -> DataFrame:
     """Per image the nearest text of its prefix and folder, 0 to `reach` seconds later; a text may serve
-    several images, images without one are left out. Ties go to the lowest path, then id."""
-    met = _nearest(images, texts, ["prefix", "folder_date"], True, reach)
+    several images, images without one are left out unless `every`. Ties go to the lowest path, then id."""
+    met = _nearest(images, texts, ["prefix", "folder_date"], True, reach, every)
     return met.select(
         "prefix", "folder_date", F.col("file_id").alias("image_id"), F.col("path").alias("image_path"), F.col("file_ts").alias("image_ts"),
         F.col("o.file_id").alias("text_id"), F.col("o.path").alias("text_path"), F.col("o.file_ts").alias("text_ts"), "diff_seconds",
@@ -70,66 +75,66 @@ def match_text_to_image(texts: DataFrame, images: DataFrame, reach: int = REACH)
     )
 
 
-def match_exclusive(texts: DataFrame, images: DataFrame, reach: int = REACH) -> DataFrame:
+def match_exclusive(texts: DataFrame, images: DataFrame, reach: int = REACH, *, sliced: bool | None = None) -> DataFrame:
     """Texts in order of time each take the nearest image of their prefix that is still free, at most
     `reach` seconds earlier. Every text gives a row, with null image columns where it has none.
 
     Texts of one second go in order of path and id; of images of one second the lowest path is taken
-    first.
+    first. A prefix with very many files is cut into slices of time (counted first), or as `sliced` says.
     """
-    keys = ["prefix"]
-    both = _side(images, "image", keys).unionByName(_side(texts, "text", keys))
+    both = _side(images, "image", ["prefix"]).unionByName(_side(texts, "text", ["prefix"]))
+    sliced = busy(both, key="prefix") if sliced is None else sliced
+    is_image = F.col("kind") == "image"
     # Images before texts of the same second, images falling and texts rising by path and id.
-    rank = F.when(F.col("kind") == "image", 0).otherwise(1)
-    place = W.partitionBy("prefix", "at", "kind").orderBy("path", "file_id")
-    spot = F.row_number().over(place)
-    ordered = both.withColumn("_spot", F.when(F.col("kind") == "image", -spot).otherwise(spot)).withColumn("_rank", rank)
-    slice_of = (F.col("at") / SLICE_SECONDS).cast("long")
-    step = F.when(F.col("kind") == "image", 1).otherwise(-1)
-    sliced = ordered.withColumn("_part", slice_of).withColumn("_step", step)
-    order = ["at", "_rank", "_spot"]
-    inside = W.partitionBy("prefix", "_part").orderBy(*order)
-    summed = (
-        sliced.withColumn("_s", F.sum("_step").over(inside.rowsBetween(W.unboundedPreceding, 0)))
-        .withColumn("_m", F.min("_s").over(inside.rowsBetween(W.unboundedPreceding, 0)))
-        .withColumn("_m_before", F.min("_s").over(inside.rowsBetween(W.unboundedPreceding, -1)))
-    )
-    parts = summed.groupBy("prefix", "_part").agg(F.sum("_step").alias("_total"), F.min("_s").alias("_low"))
-    across = W.partitionBy("prefix").orderBy("_part")
-    earlier = across.rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        parts.withColumn("_base", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
-        .withColumn("_floor", F.coalesce(F.min(F.col("_base") + F.col("_low")).over(earlier), F.lit(0)))
-        .select("prefix", "_part", "_base", "_floor")
+    both = both.withColumns(
+        {
+            "_step": F.when(is_image, 1).otherwise(-1),
+            "_part": (F.col("at") / SLICE_SECONDS).cast("long"),
+            "_ip": F.when(is_image, F.col("path")),
+            "_ii": F.when(is_image, F.col("file_id")),
+        }
     )
-    leveled = (
-        summed.join(offsets, ["prefix", "_part"])
-        .withColumn("_depth", F.col("_base") + F.col("_s"))
-        .withColumn("_ground", F.least(F.lit(0), F.col("_floor"), F.col("_base") + F.col("_m")))
+    order = [F.asc("at"), F.desc("_step"), F.desc("_ip"), F.desc("_ii"), F.asc("path"), F.asc("file_id")]
+    parts = ["_part"] if sliced else []
+    inside = W.partitionBy("prefix", *parts).orderBy(*order)
+    upto, before = inside.rowsBetween(W.unboundedPreceding, 0), inside.rowsBetween(W.unboundedPreceding, -1)
+    summed = (
+        both.withColumn("_s", F.sum("_step").over(upto))
+        .withColumn("_n", F.row_number().over(inside))
+        .withColumn("_m", F.min("_s").over(upto))
+        .withColumn("_m_before", F.min("_s").over(before))
     )
+    if sliced:
+        summed = written(summed)
+        sums = summed.groupBy("prefix", "_part").agg(F.sum("_step").alias("_total"), F.min("_s").alias("_low"))
+        earlier = W.partitionBy("prefix").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+        offsets = (
+            sums.withColumn("_base", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
+            .withColumn("_floor", F.coalesce(F.min(F.col("_base") + F.col("_low")).over(earlier), F.lit(0)))
+            .select("prefix", "_part", "_base", "_floor")
+        )
+        summed = summed.join(offsets, ["prefix", "_part"])
+    else:
+        summed = summed.withColumns({"_base": F.lit(0), "_floor": F.lit(0)})
+    depth = F.col("_base") + F.col("_s")
+    ground = F.least(F.lit(0), F.col("_floor"), F.col("_base") + F.col("_m"))
     # A text that goes below all that was before found the stack empty; it has no level.
     was = F.least(F.lit(0), F.col("_floor"), F.coalesce(F.col("_base") + F.col("_m_before"), F.lit(0)))
-    popped_nothing = (F.col("kind") == "text") & (F.col("_depth") < was)
-    height = F.col("_depth") - F.col("_ground")
-    level = F.when(F.col("kind") == "text", height + 1).otherwise(height)
-    pairing = leveled.where(~popped_nothing).withColumn("_level", level)
-    image = F.struct("file_id", "path", "file_ts", "at")
-    partner = last_values(
-        pairing, ["prefix", "_level"], F.col("_part"), order, {"o": F.struct("kind", image.alias("i"))}, with_current=False
-    )
-    pairs = (
-        partner.where("kind = 'text' and o.kind = 'image'")
-        .withColumn("diff_seconds", F.col("at") - F.col("o.i.at"))
-        .where(F.col("diff_seconds") <= reach)
-        .select(
-            F.col("file_id").alias("text_id"), F.col("path").alias("text_path"), F.col("o.i.file_id").alias("image_id"),
-            F.col("o.i.path").alias("image_path"), F.col("o.i.file_ts").alias("image_ts"), "diff_seconds",
-        )
+    level = F.when(is_image, depth - ground).when(depth >= was, depth - ground + 1)
+    pairing = summed.withColumn("_level", level)
+    entry = F.struct("kind", "file_id", "path", "file_ts", "at")
+    if sliced:
+        # Rows without a level, whose partner is dropped below, have a null key; they are spread.
+        partner = last_values(pairing, ["_level", "prefix"], F.col("_part"), ["_n", "at"], {"o": entry}, with_current=False)
+    else:
+        partner = pairing.withColumn("o", F.lag(entry).over(W.partitionBy("prefix", "_level").orderBy("_n")))
+    gap = F.col("at") - F.col("o.at")
+    taken = F.col("_level").isNotNull() & (F.col("o.kind") == "image") & (gap <= reach)
+    met = partner.where("kind = 'text'").withColumn("o", F.when(taken, F.col("o"))).withColumn("diff_seconds", F.when(taken, gap))
+    return met.select(
+        "prefix", F.col("file_id").alias("text_id"), F.col("path").alias("text_path"), F.col("file_ts").alias("text_ts"),
+        F.col("o.file_id").alias("image_id"), F.col("o.path").alias("image_path"), F.col("o.file_ts").alias("image_ts"), "diff_seconds",
     )
-    named = texts.select("prefix", F.col("file_id").alias("text_id"), F.col("path").alias("text_path"), F.col("file_ts").alias("text_ts"))
-    return named.join(pairs, ["text_id", "text_path"], "left").select(
-        "prefix", "text_id", "text_path", "text_ts", "image_id", "image_path", "image_ts", "diff_seconds"
-    )
 
 
 def unmatched_images(images: DataFrame, matched: DataFrame) -> DataFrame:

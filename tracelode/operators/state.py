@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tracelode.sources.scratch import written
+
 #: A rise of the exposure handle from which a row is a test shot.
 JUMP = 1000
 LOG_ORDER = ("code_occur_time", "er_date", "er_index", "er_line", "code", "contents")
@@ -49,6 +51,9 @@ def last_values(
             rows = rows.withColumn(SLICE, slice_by)
     parts = [SLICE] if slice_by is not None else []
     held = rows.withColumns({f"_v_{n}": v for n, v in values.items()})
+    if slice_by is not None:
+        # Both the windows and the slices' ends read it.
+        held = written(held)
     inside = W.partitionBy(*keys, *parts, SPREAD).orderBy(*[F.asc_nulls_last(c) for c in order])
     inside = inside.rowsBetween(W.unboundedPreceding, 0 if with_current else -1)
     within = held.withColumns({f"_w_{n}": F.last(f"_v_{n}", ignorenulls=True).over(inside) for n in values})
@@ -70,9 +75,9 @@ def hourly() -> Column:
     return F.date_trunc("hour", F.col("code_occur_time"))
 
 
-def busy(logs: DataFrame, most: int = MOST_ROWS) -> bool:
-    """Whether an equipment has more rows than one task should sort: a count over the key alone."""
-    return bool(logs.where("eq_name is not null").groupBy("eq_name").count().where(F.col("count") > most).take(1))
+def busy(rows: DataFrame, most: int = MOST_ROWS, key: str = "eq_name") -> bool:
+    """Whether an equipment (or other key) has more rows than one task should sort: a count over the key alone."""
+    return bool(rows.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > most).take(1))
 
 
 def is_counted(prefix: str = "DW-") -> Column:
@@ -80,8 +85,10 @@ def is_counted(prefix: str = "DW-") -> Column:
     return F.col("eq_name").isNotNull() & F.upper("code").startswith(prefix) & F.col("exposure_handle").isNotNull()
 
 
-def with_previous_handle(parsed: DataFrame, *, sliced: bool = True, keep: bool = False) -> DataFrame:
-    """`parsed` with previous_handle: that of the equipment's last counted row before, dropped or not."""
+def with_previous_handle(parsed: DataFrame, *, sliced: bool | None = None, keep: bool = False) -> DataFrame:
+    """`parsed` with previous_handle: that of the equipment's last counted row before, dropped or not. Rows are
+    sliced if an equipment is busy(), or as `sliced` says; the result is the same."""
+    sliced = busy(parsed) if sliced is None else sliced
     value = {"previous_handle": F.when(is_counted(), F.col("exposure_handle"))}
     met = last_values(parsed, ["eq_name"], hourly() if sliced else None, LOG_ORDER, value, with_current=False, keep=keep)
     return met.withColumn("previous_handle", F.when(is_counted(), F.col("previous_handle")))
@@ -117,9 +124,10 @@ def latest_wafer_state(parsed: DataFrame) -> DataFrame:
     )
 
 
-def carry_forward(parsed: DataFrame, seed: DataFrame | None = None, *, sliced: bool = True) -> DataFrame:
+def carry_forward(parsed: DataFrame, seed: DataFrame | None = None, *, sliced: bool | None = None) -> DataFrame:
     """wafer_id and wafer_seq filled, each by itself, from the equipment's last row that had it, else from
     `seed` (eq_name, wafer_id, wafer_seq). Rows without equipment stay as they are."""
+    sliced = busy(parsed) if sliced is None else sliced
     known = F.col("eq_name").isNotNull()
     values = {f"_{c}": F.when(known, F.col(c)) for c in ("wafer_id", "wafer_seq")}
     met = last_values(parsed, ["eq_name"], hourly() if sliced else None, LOG_ORDER, values, with_current=True)
@@ -143,7 +151,8 @@ def handle_jump_audit(parsed: DataFrame, threshold: int = JUMP) -> DataFrame:
         "_eq", F.coalesce(F.col("eq_name"), F.lit(""))
     )
     order = ("code_occur_time", "er_date", "er_index")
-    met = last_values(rows, ["_eq"], hourly(), order, {"prev_exposure_handle": F.col("exposure_handle")}, with_current=False)
+    slices = hourly() if busy(rows, key="_eq") else None
+    met = last_values(rows, ["_eq"], slices, order, {"prev_exposure_handle": F.col("exposure_handle")}, with_current=False)
     return (
         met.withColumn("exposure_handle_diff", F.col("exposure_handle") - F.col("prev_exposure_handle"))
         .where(F.col("exposure_handle_diff") > threshold)

@@ -54,23 +54,17 @@ def image_pipeline(inventory: DataFrame, ledger: DataFrame, published: DataFrame
     # Paths that several files share are one ledger key; the lowest file stands for it.
     first = F.min_by(F.struct("file_id", "prefix", "file_ts", "folder_date", "kind"), "file_id")
     images = images.groupBy("path").agg(first.alias("f")).select("path", "f.*")
-    plan = publish_plan(match_image_to_text(images, texts), published, prepared)
-    entered = books.insert_if_absent(
-        ledger, images.select(F.col("path").alias("source_file"), "prefix", F.col("file_ts").alias("image_ts")), now
-    )
-    found = plan.select(
+    plan = publish_plan(match_image_to_text(images, texts, every=True), published, prepared)
+    run = plan.select(
         F.col("image_path").alias("source_file"),
+        "prefix",
+        "image_ts",
         F.col("text_path").alias("matched_text_file"),
         F.col("text_ts").alias("matched_text_ts"),
-        F.col("diff_seconds").alias("matched_diff_seconds"),
-        "output_path",
-        "action",
+        F.when(F.col("text_id").isNotNull(), F.col("diff_seconds")).alias("matched_diff_seconds"),
+        F.when((F.col("action") == "record") & F.col("text_id").isNotNull(), F.col("output_path")).alias("output_remote_file"),
     )
-    matched = books.update_match(entered, found, now)
-    lost = images.select(F.col("path").alias("source_file")).join(found.select("source_file"), "source_file", "left_anti")
-    kept = books.remove(matched, lost)
-    done = found.where("action = 'record'").select("source_file", F.col("output_path").alias("output_remote_file"))
-    return books.finalize(kept, done, now)
+    return books.apply_run(ledger, run, now)
 
 
 def combined_pipeline(inventory: DataFrame, anchor: str | date, published: DataFrame, prepared: DataFrame) -> DataFrame:

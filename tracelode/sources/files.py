@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from datetime import date, datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,16 +24,13 @@ def two_days(anchor: str | date) -> tuple[date, date]:
 def list_day_folders(spark: SparkSession, root: str, days: list[date], pattern: str = "*") -> DataFrame:
     """Path, modification time and length of plain files directly inside root/yyyymmdd; folders that are
     not there give no rows. Bodies are not read."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    there = []
-    for day in days:
-        folder = hadoop(f"{root}/{day:%Y%m%d}")
-        if folder.getFileSystem(conf).exists(folder):
-            there.append(folder.toString())
-    if not there:
+    folders = ",".join(sorted({f"{day:%Y%m%d}" for day in days}))
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(f"{root}/{{{folders}}}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], INVENTORY)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(there)
     return files.select("path", "modificationTime", "length")
 
 
@@ -67,19 +65,20 @@ def decoded(content: Column) -> Column:
 
 
 def decode_bodies(files: DataFrame, *, fallback: str | None = "MS949") -> DataFrame:
-    """`files` (source_file, content) with column text. UTF-8 bodies stay in the JVM; only the others
-    go through an Arrow function that tries `fallback` strictly before it puts in U+FFFD. Null bodies
-    give null text."""
-    good = files.where(F.col("content").isNull() | F.is_valid_utf8(F.col("content").cast("string")))
-    plain = good.withColumn("text", F.col("content").cast("string"))
-    bad = files.where(~F.is_valid_utf8(F.col("content").cast("string")))
+    """`files` (source_file, content) with column text, in one pass. UTF-8 bodies stay in the JVM; an Arrow
+    function sees the others alone, and tries `fallback` strictly before it puts in U+FFFD. Null
+    bodies give null text."""
+    body = F.col("content").cast("string")
+    valid = F.is_valid_utf8(body)
     if fallback is None:
-        return plain.unionByName(bad.withColumn("text", decoded(F.col("content"))))
+        return files.withColumn("text", decoded(F.col("content")))
     codec = {"MS949": "cp949"}.get(fallback, fallback)
 
     @F.pandas_udf("string")
     def fall_back(bodies):
-        def one(body: bytes) -> str:
+        def one(body: bytes | None) -> str | None:
+            if body is None:
+                return None
             try:
                 return bytes(body).decode(codec)
             except UnicodeDecodeError:
@@ -87,4 +86,5 @@ def decode_bodies(files: DataFrame, *, fallback: str | None = "MS949") -> DataFr
 
         return bodies.map(one)
 
-    return plain.unionByName(bad.withColumn("text", fall_back("content")))
+    other = fall_back(F.when(~valid, F.col("content")))
+    return files.withColumn("text", F.coalesce(F.when(valid, body), other))

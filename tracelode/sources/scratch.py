@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,6 +21,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def written(rows: DataFrame) -> DataFrame:
+    """`rows` written once to shared_folder() and read from there: for what several branches of a plan read."""
+    shared_folder(rows.sparkSession)
+    return rows.checkpoint(eager=True)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder below shared_folder()."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -26,12 +26,11 @@ def with_day(rows: DataFrame, time: str = "code_occur_time") -> DataFrame:
 
 
 def append_by_day(rows: DataFrame, path: str) -> None:
-    """Adds rows to a table partitioned by day; created_at is set where it is missing."""
+    """Adds rows to a table partitioned by day; created_at is set where it is missing. Each day is as many
+    files as its size asks for: small days are put together and large ones split by the planner."""
     if "created_at" not in rows.columns:
         rows = rows.withColumn("created_at", F.current_timestamp())
-    with_day(rows).repartition("event_date", F.pmod(F.xxhash64("code_occur_time"), F.lit(8))).write.mode("append").partitionBy(
-        "event_date"
-    ).parquet(path)
+    with_day(rows).hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").parquet(path)
 
 
 def overwrite_days(rows: DataFrame, path: str) -> None:
