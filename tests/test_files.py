@@ -38,8 +38,8 @@ def plain(rows):
         yield ("image" if "RUIP" in path else "text", prefix, datetime.strptime(day + time, "%Y%m%d%H%M%S"), path, i)
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_exclusive_match_equals_the_greedy_loop(spark, seed):
+@pytest.mark.parametrize(("seed", "sliced"), [(1, False), (2, True), (3, None)])
+def test_exclusive_match_equals_the_greedy_loop(spark, seed, sliced):
     rows = random_files(500, seed)
     both = list(plain(rows))
     free = {}
@@ -55,8 +55,8 @@ def test_exclusive_match_equals_the_greedy_loop(spark, seed):
                 free[prefix].remove(best)
             want[i] = best and best[2]
     df = named(spark, rows)
-    got = matching.match_exclusive(df.where("kind = 'text'"), df.where("kind = 'image'"))
-    assert {r.text_id: r.image_id for r in got.collect()} == want
+    got = matching.match_exclusive(df.where("kind = 'text'"), df.where("kind = 'image'"), sliced=sliced).collect()
+    assert {r.text_id: r.image_id for r in got} == want and len(got) == len(want)
 
 
 @pytest.mark.parametrize("forward", [True, False])

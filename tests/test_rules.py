@@ -13,8 +13,8 @@ from tracelode.functions import dose, root_cause
 from tracelode.functions.text import normalize_contents, snake_code, strip, strip_trailing_period
 
 SAMPLE = (
-    "system warning: dw-3411 skip the dose evaluation 0.0461075 [%]\nde_err=0.0461075 [%]\nde_warn_lvl=0 [%]\n"
-    "n_slit=44\naction_handle=2625\nexposure_handle:2631\n"
+    "scan 17 of field 4: dose outside its band\nde_err=0.1250000 [%]\nfurther lines follow\n"
+    "n_slit=12\naction_handle=880\nexposure_handle:9041\n"
 )
 
 
@@ -30,10 +30,10 @@ def logs(spark, *rows):
 @pytest.mark.parametrize(
     ("code", "text", "field", "value"),
     [
-        ("DW-3411", SAMPLE, "exposure_handle", 2631),
-        ("DW-3411", SAMPLE, "action_handle", 2625),
-        ("DW-3411", SAMPLE, "de_err", Decimal("0.0461075")),
-        ("DW-3411", SAMPLE, "n_slit", 44),
+        ("DW-3411", SAMPLE, "exposure_handle", 9041),
+        ("DW-3411", SAMPLE, "action_handle", 880),
+        ("DW-3411", SAMPLE, "de_err", Decimal("0.1250000")),
+        ("DW-3411", SAMPLE, "n_slit", 12),
         ("DW-3411", "nothing here", "exposure_handle", None),
         ("DW-3411", None, "de_err", None),
         ("DW-3411", "slot_seq=3", "wafer_seq", 3),
@@ -55,9 +55,9 @@ def test_dose_fields(spark, code, text, field, value):
 
 
 REPORT = (
-    "Dose error detected in file: A_20260614+0900.zip.\\nRoot clause : Low dose margin\\nExposesue I D : 47737"
-    "\\nTime : 2026-06-14T23:50:10.953142+09:00\\nExposure length : 0.2338 [s]\\nMin. dose error : -1.71 [perc]"
-    "\\nMax. dose error : -1.71 [perc]\\nPulses_EUV<0.6DT_tot : 3.0\\nFED pulses : 3.5\\nOn drop MP dlgc=1: 420.3 [mJ]\\nSoftware version :3.0"
+    "Dose error detected in file: lot17_B.tar.\\nRoot clause : Mirror drift (slow)\\nExposesue I D : 5120\\nTime : 2031-02-03T04:05:06.789+09:00"
+    "\\nExposure length : 0.5 [s]\\nMin. dose error : -0.25 [perc]\\nMax. dose error : 0.2 [perc]"
+    "\\nPulses_EUV<0.6DT_tot : 8.0\\nFED pulses : 1.5\\nOn drop MP dlgc=1: 77.5 [mJ]\\nSoftware version :9.1"
 )
 
 
@@ -69,14 +69,14 @@ def causes(spark, *texts):
 
 def test_root_cause_report(spark):
     (row,) = causes(spark, REPORT, "system info: normal message", None, "dose error detected in file: x\nroot cause :  \n").collect()
-    assert row.source_file_name == "A_20260614+0900.zip"
-    assert (row.root_cause_message, row.root_cause_code) == ("Low dose margin", "low_dose_margin")
-    assert row.source_exposure_id == 47737
-    assert row.source_code_occur_time == datetime(2026, 6, 14, 23, 50, 10, 953142)
-    assert row.dose_error == Decimal("-1.7100000")
-    assert (row.pulses_euv_lt_0_6dt_tot, row.fed_pulses) == (3, None)
-    assert row.on_drop_mp_dlgc1 == Decimal("420.3000000")
-    assert row.software_version == "3.0"
+    assert row.source_file_name == "lot17_B.tar"
+    assert (row.root_cause_message, row.root_cause_code) == ("Mirror drift (slow)", "mirror_drift_slow")
+    assert row.source_exposure_id == 5120
+    assert row.source_code_occur_time == datetime(2031, 2, 3, 4, 5, 6, 789000)
+    assert row.dose_error == Decimal("-0.2500000")
+    assert (row.pulses_euv_lt_0_6dt_tot, row.fed_pulses) == (8, None)
+    assert row.on_drop_mp_dlgc1 == Decimal("77.5000000")
+    assert row.software_version == "9.1"
 
 
 def test_rules_agree_with_python_patterns(spark):

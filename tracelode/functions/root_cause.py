@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,13 +66,18 @@ METRICS = {
 INTEGRAL_METRICS = {"pulses_euv<0.6dt_tot": "pulses_euv_lt_0_6dt_tot", "fed pulses": "fed_pulses"}
 
 
-def line_pattern(label: str) -> str:
-    """A metric: its label at the start of a line, a colon, a number; the unit behind is left out."""
-    return rf"^{re.sub(r'([.<=+-])', r'[\1]', label)}\s*:\s*{DECIMAL}"
+def literal(label: str) -> str:
+    """A label as a pattern that Java and RE2 read alike: marks in character classes, nothing escaped by a backslash."""
+    return "".join(f"[{c}]" if c in ".<=+-" else c for c in label)
+
+
+def line_pattern(*labels: str) -> str:
+    """A metric: one of the labels at the start of a line, a colon, a number; the unit behind is left out."""
+    return rf"^{'|'.join(map(literal, labels))}\s*:\s*{DECIMAL}" if len(labels) == 1 else rf"^({'|'.join(map(literal, labels))})\s*:\s*{DECIMAL}"
 
 
 #: All metric lines at once: label, number.
-ANY_LINE = rf"^({'|'.join(re.sub(r'([.<=+-])', r'[\1]', label) for label in (*METRICS, *INTEGRAL_METRICS))})\s*:\s*{DECIMAL}"
+ANY_LINE = line_pattern(*METRICS, *INTEGRAL_METRICS)
 
 METRIC_RULES = tuple(FieldRule(c, (line_pattern(label),), "decimal") for label, c in METRICS.items())
 INTEGRAL_RULES = tuple(FieldRule(c, (line_pattern(label),), "integral") for label, c in INTEGRAL_METRICS.items())
@@ -83,13 +86,16 @@ SOURCE_COLUMNS = (
     "er_line", "eq_name", "er_type", "code", "code_occur_time", "belong", "type", "title", "contents",
     "reason_code", "task", "compile_script",
 )
+# The result table's columns, in its order.
 PARSED_COLUMNS = (
-    *SOURCE_COLUMNS,
-    "source_exposure_id", "source_code_occur_time", "dose_error", "source_file_name", "root_cause_code",
-    "root_cause_message", "exposure_length", "duty_cycle", "min_dose_error", "max_dose_error",
-    *[c for c in METRICS.values() if c not in ("exposure_length", "duty_cycle")][:11],
-    *INTEGRAL_METRICS.values(),
-    *[c for c in METRICS.values() if c not in ("exposure_length", "duty_cycle")][11:],
+    "er_line", "eq_name", "er_type", "code", "code_occur_time", "belong", "type", "title", "contents", "reason_code", "task",
+    "compile_script", "source_exposure_id", "source_code_occur_time", "dose_error", "source_file_name", "root_cause_code",
+    "root_cause_message", "exposure_length", "duty_cycle", "min_dose_error", "max_dose_error", "on_drop_euv_energy",
+    "on_drop_pp_energy", "on_drop_mp_energy", "on_drop_pp_dlgc1", "on_drop_mp_dlgc1", "bi_cell_y_3sigma", "fdsc_y_error",
+    "fdsc_y_3sigma", "max_cross_interval", "xint_3sigma", "euv_3sigma", "pulses_euv_lt_0_6dt_tot", "fed_pulses", "l2dx_maxce",
+    "l2dy_maxce", "sensitivity_at_l2dx_maxce", "sensitivity_at_l2dy_maxce", "dose_margin", "l2dx_qc_etdc_3sigma",
+    "l2dx_qc_etdc_median", "l2dy_qc_etdc_3sigma", "l2dy_qc_etdc_median", "rbdy_peak_frequency_hf", "rbdy_peak_frequency_lf",
+    "rbdy_peak_frequency_mf", "rbdy_peak_power_hf", "rbdy_qc_etdc_3sigma", "rbdy_total_power_lf", "rbdy_total_power_mf",
     "software_version",
 )
 INTEGER_COLUMNS = {"source_exposure_id": "long", "pulses_euv_lt_0_6dt_tot": "int", "fed_pulses": "int"}

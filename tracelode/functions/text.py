@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 #: Case-insensitive, ^ and $ at line ends, only \n ends a line.
 FLAGS = "(?imd)"
-#: Number captures that rules share.
+# Number captures that rules share.
 INTEGER = r"([+-]?\d+)"
 DECIMAL = r"([+-]?\d+(?:\.\d+)?)"
 

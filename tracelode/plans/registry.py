@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import uuid
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -158,6 +159,27 @@ def sink_raw_projection(spark, d):
     return spark.read.parquet(path).select(*dose.PARSED_COLUMNS)
 
 
+@query(
+    sql.raw(
+        [*sql.PARSE, "twice as (select * from parsed union all select * from parsed where er_index % 5 = 0)"],
+        "select er_index, code, exposure_handle, count(*) over () as n_rows from twice",
+    )
+)
+def append_with_statistics(spark, d):
+    """Rows appended to a table in two runs, and their number by the table's own statistics."""
+    rows = _parsed(spark, d)
+    name = f"appended_{uuid.uuid4().hex}"
+    where = scratch_dir(spark, name)
+    spark.createDataFrame([], rows.schema).write.parquet(where)
+    spark.catalog.createTable(name, path=where, source="parquet")
+    sinks.append_to_table(rows, name)
+    sinks.append_to_table(rows.where("er_index % 5 = 0"), name, analyze=True)
+    told = [r["data_type"] for r in spark.sql(f"describe extended {name}").collect() if r["col_name"] == "Statistics"]
+    n = int(told[0].split(",")[-1].split(" rows")[0]) if told else None
+    spark.sql(f"drop table {name}")
+    return spark.read.parquet(where).select("er_index", "code", "exposure_handle", F.lit(n).cast("long").alias("n_rows"))
+
+
 @query(
     sql.raw(
         [*sql.PARSE, "twice as (select * from parsed union all select * from parsed where er_index % 5 = 0)"],
@@ -450,7 +472,7 @@ def match_text_to_image(spark, d):
     return matching.match_text_to_image(_named(spark, d, "text"), _named(spark, d, "image"))
 
 
-@query(sql.files([sql.STACK], "select * from exclusive"))
+@query(sql.GREEDY)
 def match_exclusive(spark, d):
     return _exclusive(spark, d)
 
@@ -682,6 +704,26 @@ def decode_text(spark, d):
     return inventories.decode_bodies(_bodies(spark, d)).select("source_file", "text")
 
 
+# The plain letters of a text with a Korean one behind them, whose two bytes are no UTF-8.
+_OTHER = r"[^\x20-\x7E]"
+
+
+@query(
+    sql.text(
+        [],
+        f"select source_file, case when hash_ % 5 = 0 then regexp_replace(text, '{_OTHER}', '', 'g') || '가' else text end as text from "
+        "(select *, length(text) as hash_ from text_files)",
+    )
+)
+def decode_text_fallback(spark, d):
+    plain = F.regexp_replace("text", _OTHER, "")
+    other = F.concat(F.encode(plain, "UTF-8"), F.unhex(F.lit("B0A1")))
+    bodies = fixtures.text_files(spark, d).select(
+        "source_file", F.when(F.length("text") % 5 == 0, other).otherwise(F.encode("text", "UTF-8")).alias("content")
+    )
+    return inventories.decode_bodies(bodies).select("source_file", "text")
+
+
 @query(sql.text([sql.LINES], f"select source_file, line_number, record_type, {_PAYLOAD} from fields"))
 def rubi_pipeline(spark, d):
     return pipelines.text_pipeline(_bodies(spark, d))
@@ -743,12 +785,28 @@ def stream_root_causes(spark, d):
 def stream_dose_warnings(spark, d):
     source, target = scratch_dir(spark, "stream-in"), scratch_dir(spark, "stream-out")
     rows = _scanned(spark, d)
-    # One file for each stretch of days, in order of time.
-    middle = datetime(2024, 1, 15)
-    rows.where(F.col("code_occur_time") < F.lit(middle)).coalesce(1).write.parquet(source)
-    rows.where(F.col("code_occur_time") >= F.lit(middle)).coalesce(1).write.mode("append").parquet(source)
+    first, last = fixtures.WINDOW
+    days = [(first + timedelta(days=i), first + timedelta(days=i + 1)) for i in range((last - first).days)]
+    jobs.write_logs(rows, source, days)
     seed = scratch_dir(spark, "seed")
     _seed(spark, d).write.parquet(seed)
     stream = jobs.dose_warnings(jobs.read_logs(spark, source, rows.schema), spark.read.parquet(seed))
     jobs.run_once(stream, target, scratch_dir(spark, "stream-state"))
     return spark.read.parquet(target)
+
+
+@query(
+    sql.text(
+        [],
+        "select line, count(*) as n from (select unnest(string_split(text, chr(10))) as line from text_files) where line <> '' group by line",
+    )
+)
+def stream_text_files(spark, d):
+    """Files that come in two runs of one stream; each is read once."""
+    source, target, state_ = (scratch_dir(spark, n) for n in ("texts-in", "texts-out", "texts-state"))
+    texts = fixtures.text_files(spark, d)
+    for part in (0, 1):
+        texts.where(F.pmod(F.xxhash64("source_file"), F.lit(2)) == part).select("text").write.mode("append").text(source)
+        jobs.run_once(jobs.text_bodies(spark, source), target, state_)
+    lines = spark.read.parquet(target).select(F.explode(F.split("text", "\n", -1)).alias("line"))
+    return lines.where("line <> ''").groupBy("line").agg(F.count(F.lit(1)).alias("n"))

@@ -161,6 +161,24 @@ exclusive as (select t.prefix, t.file_id as text_id, t.path as text_path, t.file
   p.diff_seconds from texts t left join pairs p on t.file_id = p.text_id)"""
 
 
+# The exclusive match as a loop: of each prefix one text after another takes the nearest free image.
+GREEDY = f"""with recursive {FILES},
+queue as (select *, row_number() over (partition by prefix order by file_ts, path, file_id) as k from texts),
+near as (select t.prefix, t.k, i.file_id, i.path, i.file_ts,
+  row_number() over (partition by t.prefix, t.k order by i.file_ts desc, i.path, i.file_id) as choice
+  from queue t join images i on i.prefix = t.prefix and i.file_ts <= t.file_ts and i.file_ts >= t.file_ts - interval 5 minute),
+loop as (
+  select prefix, 0::bigint as k, []::bigint[] as used, null::bigint as image_id from queue where k = 1
+  union all
+  (with best as (select l.prefix, arg_min(n.file_id, n.choice) as image_id from loop l join near n on n.prefix = l.prefix and n.k = l.k + 1
+      where not list_contains(l.used, n.file_id) group by l.prefix)
+  select l.prefix, l.k + 1, case when b.image_id is null then l.used else list_append(l.used, b.image_id) end, b.image_id
+  from loop l join queue q on q.prefix = l.prefix and q.k = l.k + 1 left join best b on b.prefix = l.prefix))
+select q.prefix, q.file_id as text_id, q.path as text_path, q.file_ts as text_ts, l.image_id, n.path as image_path, n.file_ts as image_ts,
+  cast(epoch(q.file_ts) - epoch(n.file_ts) as bigint) as diff_seconds
+from queue q join loop l on l.prefix = q.prefix and l.k = q.k left join near n on n.prefix = q.prefix and n.k = q.k and n.file_id = l.image_id"""
+
+
 def output(path: str) -> str:
     return f"'rbi/ruip' || regexp_replace(regexp_extract({path}, '(?i)/ruip(/.*)$', 1), '[.][^./]*$', '') || '.png'"
 

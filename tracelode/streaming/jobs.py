@@ -1,12 +1,15 @@
 """Streaming forms: root causes, dose warnings with keyed state, text files.
 
 The keyed form holds handle and wafer values per equipment across micro-batches. Rows without an
-equipment need no state and pass by it.
+equipment need no state and pass by it. A micro-batch sorts an equipment's rows in memory, so its
+size has to be bounded where the stream is read: write_logs() makes files of a bounded number of rows
+in order of time, and read_logs() takes a given number of files at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -88,7 +91,22 @@ def text_bodies(spark: SparkSession, folder: str, pattern: str = "*.txt") -> Dat
     return decode_bodies(found.select(F.col("path").alias("source_file"), "content")).select("source_file", "text")
 
 
+#: Rows of a file that write_logs() makes, at most.
+FILE_ROWS = 100_000
+
+
+def write_logs(logs: DataFrame, path: str, spans: list[tuple[datetime, datetime]], most: int = FILE_ROWS) -> None:
+    """Adds `logs` to the stream's source folder, one span of time after another, each as files of `most` rows
+    in order of time. Files are read in the order in which they were written, so a span is one
+    writer's; a daily load has a day for its span."""
+    for start, end in spans:
+        rows = logs.where((F.col("code_occur_time") >= F.lit(start)) & (F.col("code_occur_time") < F.lit(end)))
+        ordered = rows.coalesce(1).sortWithinPartitions("code_occur_time")
+        ordered.write.mode("append").option("maxRecordsPerFile", most).parquet(path)
+
+
 def read_logs(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 1) -> DataFrame:
+    """Stream of the files below `path`, at most `files_per_batch` of them in a micro-batch."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
