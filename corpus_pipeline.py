@@ -21,22 +21,29 @@ from tracelode.llm.toxicity import clean_documents
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on `labels`, scores below its threshold. Null and empty texts get
+    the model's bias; an empty table gives an empty one."""
     return clean_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id; null ids stay only where their group
+    has no other."""
     return deduplicated(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without enough words of `benchmark` passages to count as contaminated."""
     return decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with credential values but widely copied examples replaced; n_chars follows the text."""
     return redacted(docs)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents as token ids with offsets, and hashes of the ids and of the text decoded from them."""
     return encode_texts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
@@ -48,7 +55,7 @@ STAGES = [
     ("byte_bpe", encoding_stage),
 ]
 
-#: Classifier, fingerprints and tokens are beyond SQL; tests hold the stages against plain versions.
+#: Classifier, fingerprints and tokens are beyond SQL; tests hold each stage against a plain version.
 ORACLE_SQL = None
 
 
