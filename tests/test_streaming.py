@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.test_rules import REPORT
 from tracelode.functions import dose, root_cause
 from tracelode.operators import state
+from tracelode.plans import pipelines
+from tracelode.sources import logs as sources
 from tracelode.streaming import jobs
 
 LOGS = (
@@ -50,6 +54,38 @@ def test_dose_warnings(spark, tmp_path, cuts):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+@pytest.mark.parametrize("sliced", [True, False, None])
+def test_counts_of_a_run_are_those_of_its_steps(spark, sliced):
+    rows = messages(spark)
+    rows = rows.union(rows.where("er_index % 10 < 3"))
+    window = datetime(2026, 5, 1), datetime(2026, 5, 1, 4)
+    seed = spark.createDataFrame([("E0", 77, None)], "eq_name string, wafer_id int, wafer_seq int")
+    scanned = sources.scan_dose_logs(rows, *window)
+    kept = state.drop_test_shots(dose.parse_dose_warnings(scanned))
+    want = (scanned.count(), kept.count(), pipelines.dose_table(rows, *window, seed).count())
+    assert want[0] > want[1] > want[2]
+    (got,) = pipelines.dose_run_summary(rows, *window, seed, sliced=sliced).collect()
+    assert (got.fetched, got.parsed, got.inserted) == want
+    (none,) = pipelines.dose_run_summary(rows.limit(0), *window, sliced=sliced).collect()
+    assert tuple(none) == (0, 0, 0)
+
+
+def test_tables_of_a_database(spark, tmp_path):
+    """A JDBC table, whole and in parts, through the database that comes with Spark."""
+    spark._jvm.java.lang.System.setProperty("derby.stream.error.file", str(tmp_path / "derby.log"))
+    url, driver = f"jdbc:derby:{tmp_path / 'db'};create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    rows = messages(spark).selectExpr("er_index", "eq_name", "code", "cast(code_occur_time as timestamp) as code_occur_time")
+    rows.coalesce(1).write.format("jdbc").options(url=url, dbtable="logs", driver=driver).save()
+    whole = sources.from_database(spark, url, "logs", driver=driver)
+    parts = sources.from_database(spark, url, "logs", fetch=50, split_by=("er_index", 0, 400, 4), driver=driver)
+    assert parts.rdd.getNumPartitions() == 4
+    want = sorted(map(tuple, rows.collect()), key=str)
+    for read in (whole, parts):
+        assert sorted(map(tuple, read.collect()), key=str) == want
+    some = sources.from_database(spark, url, '(select mod("er_index", 7) as "k", count(*) as "n" from logs group by mod("er_index", 7)) t', driver=driver)
+    assert {r.k: r.n for r in some.collect()} == {i: len(range(i, 400, 7)) for i in range(7)}
+
+
 def test_root_causes(spark, tmp_path):
     kinds = ", ".join(f"{c} {'timestamp_ntz' if c == 'code_occur_time' else 'string'}" for c in root_cause.SOURCE_COLUMNS)
     rows = spark.createDataFrame([("L1", "E", "ER", "C", None, "b", "t", "x", text, "r", "k", None) for text in (REPORT, "other", None)], kinds)

@@ -38,14 +38,16 @@ def null_counts(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.select(F.expr(f"stack({len(columns)}, {', '.join(f"'{c}', `{c}`" for c in columns)}) as (column_name, n_nulls)"))
 
 
-def run_summary(fetched: DataFrame, kept: DataFrame, loaded: DataFrame) -> DataFrame:
-    """(fetched, parsed, inserted) as one row."""
-    parts = [(fetched, "fetched"), (kept, "parsed"), (loaded, "inserted")]
-    each = [
-        df.agg(F.count(F.lit(1)).alias("n")).select(*[(F.col("n") if name == mine else F.lit(0)).cast("long").alias(name) for _, name in parts])
-        for df, mine in parts
-    ]
-    return each[0].unionByName(each[1]).unionByName(each[2]).agg(*[F.sum(name).alias(name) for _, name in parts])
+def run_summary(rows: DataFrame, kept: str, keys: Sequence[str]) -> DataFrame:
+    """(fetched, parsed, inserted) as one row, in one pass over a run's rows: all of them, those that column
+    `kept` marks, and of these the ones that differ in `keys`. Repeats are counted before the exchange."""
+    each = rows.groupBy(F.coalesce(kept, F.lit(False)).alias("_kept"), *keys).agg(F.count(F.lit(1)).alias("_n"))
+    sums = {
+        "fetched": F.sum("_n"),
+        "parsed": F.sum(F.when(F.col("_kept"), F.col("_n"))),
+        "inserted": F.count(F.when(F.col("_kept"), 1)),
+    }
+    return each.agg(*[F.coalesce(n, F.lit(0)).cast("long").alias(name) for name, n in sums.items()])
 
 
 def outcome_counts(outcomes: DataFrame) -> DataFrame:

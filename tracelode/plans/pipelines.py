@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tracelode.functions import dose, root_cause
 from tracelode.operators import ledger as books
+from tracelode.operators.audit import run_summary
 from tracelode.operators.filenames import accepted, publish_plan, rejected
 from tracelode.operators.matching import match_exclusive, match_image_to_text
-from tracelode.operators.state import busy, carry_forward, drop_test_shots, latest_wafer_state
+from tracelode.operators.state import busy, carry_forward, drop_test_shots, is_test_shot, latest_wafer_state, with_previous_handle
 from tracelode.operators.textlines import parse_lines, with_payload
 from tracelode.sources.files import decode_bodies, in_two_days
 from tracelode.sources.logs import scan_dose_logs, scan_root_cause_logs
@@ -35,6 +36,20 @@ def dose_pipeline(logs: DataFrame, window: tuple[datetime, datetime], seed_windo
     return dose_table(logs, *window, seed=latest_wafer_state(dose_table(logs, *seed_window)))
 
 
+def dose_run_summary(
+    logs: DataFrame, start: datetime, end: datetime, seed: DataFrame | None = None, *, sliced: bool | None = None
+) -> DataFrame:
+    """(fetched, parsed, inserted) of a dose_table() run: rows scanned, rows but test shots, rows of the result.
+    Test shots are marked instead of dropped, with no wafer to hand on, so that all three come from one run."""
+    scanned = scan_dose_logs(logs, start, end)
+    sliced = busy(scanned) if sliced is None else sliced
+    marked = with_previous_handle(dose.parse_dose_warnings(scanned), sliced=sliced, keep=True)
+    marked = marked.withColumn("_kept", ~is_test_shot()).drop("previous_handle")
+    marked = marked.withColumns({c: F.when(F.col("_kept"), F.col(c)) for c in ("wafer_id", "wafer_seq")})
+    filled = carry_forward(marked, seed, sliced=sliced)
+    return run_summary(filled, "_kept", [c for c in filled.columns if c not in ("_kept", "created_at")])
+
+
 def root_cause_pipeline(logs: DataFrame, window: tuple[datetime, datetime]) -> DataFrame:
     """Root causes of the window as result rows, exact repeats removed."""
     parsed = root_cause.parse_root_causes(scan_root_cause_logs(logs, *window))

@@ -231,8 +231,7 @@ def rows_per_partition(spark, d):
     )
 )
 def log_run_summary(spark, d):
-    parsed = _parsed(spark, d)
-    return audit.run_summary(_scanned(spark, d), state.drop_test_shots(parsed), _table(spark, d))
+    return pipelines.dose_run_summary(fixtures.er_raw(spark, d), *fixtures.WINDOW, _seed(spark, d))
 
 
 @query(
