@@ -127,6 +127,16 @@ def test_growth_moves_few_slots(spark, tmp_path):
     assert set(fewer.of.values()) == set(range(16))
 
 
+def test_slots_too_large_to_move_change_places():
+    loads = {0: 50, 1: 40, 2: 50, 3: 40}
+    edited = SlotMap.first(2, slots=4).rebalance(loads)
+    assert edited.totals(loads) == [90, 90]
+    # Nothing narrows this gap; a shard within the slack is left alone.
+    assert SlotMap.first(2, slots=2).rebalance({0: 50, 1: 40}).totals({0: 50, 1: 40}) == [50, 40]
+    near = {0: 1001, 1: 1000, 2: 1001, 3: 1000}
+    assert SlotMap.first(2, slots=4).rebalance(near).of == SlotMap.first(2, slots=4).of
+
+
 def test_a_shard_without_slots_is_loaded(spark, tmp_path):
     path = str(tmp_path / "map")
     SlotMap(5, 3, {0: 0, 1: 1}).save(spark, path)

@@ -11,6 +11,7 @@ Only the sums per slot (as many as there are slots) meet on the driver.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,8 @@ from tracelode.sources.scratch import scratch_dir
 SLOTS = 4096
 #: Share of the mean that a shard may be off it before slots move.
 SLACK = 0.001
+#: The same share for exchanges, which move two slots to narrow a gap and so need more reason.
+EXCHANGE_SLACK = 0.01
 
 
 def slot_of(id_col: Column, slots: int = SLOTS) -> Column:
@@ -40,6 +43,22 @@ def spread_slot(id_col: Column, text_crc32: Column, block: Column, slots: int =
     return slot_of(F.concat_ws("/", id_col.cast("string"), text_crc32.cast("string"), block.cast("string")), slots)
 
 
+def _exchange(heavy: list[int], light: list[int], loads: dict[int, int], gap: int) -> tuple[int, int] | None:
+    """Where every slot of the heavy shard is too large to move: the slot of it, and the one of the light shard
+    for it, that narrow `gap` most. None where no exchange narrows it."""
+    by_load = sorted(light, key=lambda s: (loads.get(s, 0), s))
+    sizes = [loads.get(s, 0) for s in by_load]
+    found = []
+    for slot in heavy:
+        load = loads.get(slot, 0)
+        # The best partner is the one below, or the one above, half a gap less.
+        at = bisect_left(sizes, load - gap / 2)
+        found += [
+            (abs(2 * (load - sizes[i]) - gap), slot, by_load[i]) for i in (at - 1, at) if 0 <= i < len(sizes) and 0 < load - sizes[i] < gap
+        ]
+    return min(found)[1:] if found else None
+
+
 @dataclass
 class SlotMap:
     """Version and shard of every slot; shards are numbered from 0."""
@@ -61,7 +80,9 @@ class SlotMap:
 
     def rebalance(self, loads: dict[int, int], shards: int | None = None, slack: float = SLACK) -> SlotMap:
         """The next version: slots move from the heaviest to the lightest shard while that narrows their
-        gap and some shard is off the mean by more than `slack`; all others stay where they are.
+        gap and some shard is off the mean by more than `slack`; where all are too large to move and a
+        shard is off by more than EXCHANGE_SLACK, one changes places with a smaller one. All others stay
+        where they are.
         Shards that no longer exist hand out all their slots."""
         shards = shards or self.shards
         new = SlotMap(shards, self.version + 1, {s: d for s, d in self.of.items() if d < shards})
@@ -77,17 +98,22 @@ class SlotMap:
         for _ in range(len(new.of)):
             heavy, light = totals.index(max(totals)), totals.index(min(totals))
             gap = totals[heavy] - totals[light]
-            if max(totals[heavy] - mean, mean - totals[light]) <= slack * mean:
+            off = max(totals[heavy] - mean, mean - totals[light])
+            if off <= slack * mean:
                 break
             fits = [s for s in held[heavy] if 0 < loads.get(s, 0) < gap]
-            if not fits:
+            if fits:
+                moves = [(min(fits, key=lambda s: (abs(2 * loads[s] - gap), s)), heavy, light)]
+            elif off > max(slack, EXCHANGE_SLACK) * mean and (pair := _exchange(held[heavy], held[light], loads, gap)):
+                moves = [(pair[0], heavy, light), (pair[1], light, heavy)]
+            else:
                 break
-            slot = min(fits, key=lambda s: (abs(2 * loads[s] - gap), s))
-            held[heavy].remove(slot)
-            held[light].append(slot)
-            new.of[slot] = light
-            totals[heavy] -= loads[slot]
-            totals[light] += loads[slot]
+            for slot, here, there in moves:
+                held[here].remove(slot)
+                held[there].append(slot)
+                new.of[slot] = there
+                totals[here] -= loads.get(slot, 0)
+                totals[there] += loads.get(slot, 0)
         return new
 
     def frame(self, spark: SparkSession) -> DataFrame:
