@@ -31,5 +31,5 @@ def test_query(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert [n.split("_")[0] for n in queries.QUERIES if n.startswith("op")] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES if n.startswith("op")] == [f"op{i}" for i in range(1, 14)]
     assert "pipeline" in queries.QUERIES

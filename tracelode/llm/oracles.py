@@ -98,3 +98,73 @@ select doc_id, size, text_crc32, 'bytes' as law, shard::int as shard,
   (before + row_number() over (partition by virtual_slot order by doc_id nulls first, text_crc32, size) - 1)::bigint as slot,
   null::int as grown_shard, virtual_slot, map_version
 from sized join placed using (virtual_slot)"""
+
+# Vector codes by comparing every part with every entry, one round after another.
+_PARTS, _ENTRIES, _ROUNDS = 4, 256, 4
+
+
+def _assigned(k: int) -> str:
+    apart = "list_sum(list_transform(range(1, len(p.x) + 1), lambda i: (p.x[i] - c.x[i]) * (p.x[i] - c.x[i])))::bigint"
+    return f"""near{k} as materialized (select rid, part, min([coalesce(d, 0), entry]) as best
+  from (select rid, p.part, entry, {apart} as d from p join c{k} c on p.part = c.part) group by rid, part)"""
+
+
+def _moved(k: int) -> str:
+    return f"""c{k + 1} as materialized (select c.part, c.entry, coalesce(m.x, c.x) as x from c{k} c left join
+  (select part, entry, list((s - ((s % n) + n) % n) // n order by i)::bigint[] as x
+   from (select p.part, best[2] as entry, i, sum(x[i])::hugeint as s, count(*) as n
+     from p join near{k} using (rid, part), range(1, 1 + (select max(len(x)) from p)) r(i) group by all) group by part, entry) m
+  on m.part = c.part and m.entry = c.entry)"""
+
+
+VECTOR_CODES = f"""with v as (select row_number() over (order by vec_id nulls last) as rid, vec_id, label,
+    list_transform(embedding, lambda x: floor(x::double * 1024)::bigint) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+size_ as (select (max(len(v)) + {_PARTS - 1}) // {_PARTS} as m from v),
+p as materialized (select rid, k as part, list_resize(v, {_PARTS} * m, 0)[k * m + 1:(k + 1) * m] as x from v, size_, range({_PARTS}) r(k)),
+c0 as materialized (select part, rid - 1 as entry, x from p where rid <= {_ENTRIES}),
+{", ".join(f"{_assigned(k)}, {_moved(k)}" for k in range(_ROUNDS))}, {_assigned(_ROUNDS)},
+coded as (select rid, string_agg(lpad(to_hex(best[2]), 2, '0'), '' order by part) as code, sum(best[1])::bigint as error from near{_ROUNDS} group by rid),
+books as (select sha256(string_agg(y::varchar, ',' order by part, entry, i)) as codebooks_sha256
+  from (select part, entry, unnest(x) as y, unnest(range(1, len(x) + 1)) as i from c{_ROUNDS})),
+sums as (select label, sum(error)::bigint as label_error from coded join v using (rid) group by label)
+select vec_id, lower(code) as code, error, label_error, codebooks_sha256
+from v join coded using (rid) join sums on sums.label is not distinct from v.label cross join books"""
+
+# Checksums of the distinct words by the table of 256 remainders.
+_WORDS = f"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{_BREAK}'), lambda w: w <> '')"
+IMPORTANCE = f"""with
+table_ as (select list(list_reduce(list_prepend(n, range(8)), lambda c, j: xor(c >> 1, (c & 1) * 3988292384)) order by n) as t
+  from range(256) r(n)),
+d as materialized (select row_number() over () as rid, doc_id, {_WORDS} as w from documents),
+b as materialized (select {_WORDS} as w from benchmark),
+dw as materialized (select rid, unnest(w) as word from d), bw as materialized (select unnest(w) as word from b),
+hexed as (select word, hex(encode(word)) as h, t from (select word from dw union select word from bw) cross join table_),
+hashed as materialized (select word, xor(list_reduce(list_prepend(4294967295::bigint,
+    list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i::int + 1, 2))::bigint)),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295)::bigint % 10000 as bucket from hexed),
+s as (select bucket, count(*) as s from dw join hashed using (word) group by bucket),
+t as (select bucket, count(*) as t from bw join hashed using (word) group by bucket),
+gain as (select bucket, floor(1000 * ln((coalesce(t, 0)::double + 1) * ((select count(*) from dw)::double + 10000)
+    / ((s::double + 1) * ((select count(*) from bw)::double + 10000))))::bigint as gain from s left join t using (bucket)),
+weighed as (select rid, sum(gain)::bigint as weight from dw join hashed using (word) join gain using (bucket) group by rid),
+scored as (select doc_id, len(w)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+  (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('2024:' || coalesce(doc_id::varchar, '')), 8))::bigint + 0.5::double)
+    / 4294967296::double))))::bigint as score from d left join weighed using (rid)),
+placed as (select *, case when n_features >= 20 then row_number() over (partition by n_features >= 20 order by score desc, doc_id nulls last, n_features) end as place from scored)
+select doc_id, n_features, weight, score, case when place <= 10 * (select count(*) from scored where n_features >= 20) // 100 then place end as rank from placed"""
+
+# All pairs of distinct sets that share a shingle, counted.
+JACCARD = f"""with recursive
+d as materialized (select row_number() over () as rid, doc_id,
+  list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w from documents),
+sets as materialized (select rid, doc_id, list_sort(list_distinct(case when len(w) >= 4 then list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+  when len(w) > 0 then [array_to_string(w, ' ')] else [] end)) as x from d),
+one as materialized (select row_number() over () as k, x, min(doc_id) as least from sets where len(x) > 0 group by x),
+each_ as materialized (select k, len(x) as n, unnest(x) as s from one),
+links as materialized (select a.k as u, b.k as v from each_ a join each_ b on a.s = b.s and a.k <> b.k
+  and 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n) group by a.k, b.k, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach as (select k as u, k as v from one union select r.u, l.v from reach r join links l on r.v = l.u),
+named as (select u, min(least) as component_id from reach join one on v = k group by u)
+select doc_id, len(sets.x)::bigint as n_shingles, case when len(sets.x) = 0 then doc_id else component_id end as component_id
+from sets left join one on sets.x = one.x left join named on u = k"""

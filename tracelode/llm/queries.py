@@ -10,6 +10,8 @@ from tracelode.llm import oracles
 from tracelode.llm.byte_bpe import encode_texts
 from tracelode.llm.common import table
 from tracelode.llm.decontaminate import contamination
+from tracelode.llm.importance_resampling import importance_resampling
+from tracelode.llm.jaccard_join import jaccard_components
 from tracelode.llm.license_scan import license_scan
 from tracelode.llm.secret_scan import base_spans, joined_spans, secret_scan
 from tracelode.llm.sharding import shard_documents
@@ -19,6 +21,7 @@ from tracelode.llm.token_counts import token_counts
 from tracelode.llm.topk_search import exact_topk
 from tracelode.llm.toxicity import toxicity
 from tracelode.llm.url_filter import Rule, judged_urls, url_filter_sql
+from tracelode.llm.vector_codes import vector_codes
 
 URL_RULES = [
     Rule("org", "/", "allow"),
@@ -90,6 +93,18 @@ def op10_url_filter(spark, sf_dir):
     return judged_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_vector_codes(spark, sf_dir):
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op12_importance_resampling(spark, sf_dir):
+    return importance_resampling(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_jaccard_join(spark, sf_dir):
+    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_topk_search": op2_topk_search,
@@ -101,6 +116,9 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_decontaminate": op9_decontaminate,
     "op10_url_filter": op10_url_filter,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_jaccard_join": op13_jaccard_join,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -111,4 +129,7 @@ ORACLES: dict[str, str] = {
     "op7_simhash_dedup": SIMHASH,
     "op9_decontaminate": oracles.DECONTAMINATE,
     "op10_url_filter": url_filter_sql(URL_RULES),
+    "op11_vector_codes": oracles.VECTOR_CODES,
+    "op12_importance_resampling": oracles.IMPORTANCE,
+    "op13_jaccard_join": oracles.JACCARD,
 }
