@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructType
 
 from tracelode.llm.common import cut, map_arrow
 from tracelode.llm.crc_prefix import run_crcs, running
@@ -81,8 +82,10 @@ def features(
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     narrow = docs.select(F.col(f"`{text_col}`").cast("binary").alias("_text"), *[c.alias(n) for n, c in carried.items()])
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[1:])
-    return map_arrow(narrow, run, ", ".join(filter(None, [kinds, "n_words long, n_features long, buckets binary"])))
+    schema = StructType(narrow.schema.fields[1:])
+    for name, kind in (("n_words", LongType()), ("n_features", LongType()), ("buckets", BinaryType())):
+        schema = schema.add(name, kind)
+    return map_arrow(narrow, run, schema)
 
 
 def _numbers(column: pa.Array, buckets: int) -> np.ndarray:
@@ -128,8 +131,7 @@ def _weighed(found: DataFrame, gain: np.ndarray, kept: Sequence[str]) -> DataFra
             columns = [*batch.columns[: len(kept) + 2], pa.array(weight, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, "n_words", "n_features", "weight"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema.fields[:-1])
-    return map_arrow(found, run, f"{fields}, weight long")
+    return map_arrow(found, run, StructType(found.schema.fields[:-1]).add("weight", LongType()))
 
 
 def noise(id_: Column, seed: int = SEED) -> Column:
