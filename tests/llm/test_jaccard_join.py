@@ -66,7 +66,7 @@ SIZES = {
     "small leaves": {"leaf": 4, "pivots": 2},
     "blocks": {"leaf": 3, "pivots": 50},
     "by weight": {"leaf_shingles": 200, "pivots": 3},
-    "sets by exchange": {"few_sets": 0, "leaf": 10},
+    "by exchange": {"few": 0, "leaf": 10},
     "one bucket of counts": {"counts": 1, "leaf": 12, "pivots": 4},
 }
 
@@ -86,17 +86,14 @@ def test_other_widths_and_limits(spark, width, percent):
     assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=str) == plain(docs, width, percent)
 
 
-def test_long_texts_are_read_piece_by_piece(monkeypatch):
-    text = " ".join(f"w{i % 50}" for i in range(500)) + "\t" + "x" * 90
-    whole = jj.shingle_set(text.encode())
-    monkeypatch.setattr(jj, "PIECE", 23)
-    assert (jj.shingle_set(text.encode()) == whole).all() and len(whole) == len(shingles(text))
-
-
-def test_window_is_least_that_holds():
-    for n in range(1, 60):
-        # A set that links with one of n shingles shares at least 85 % of them.
-        assert jj.window(n) == n - (85 * n + 99) // 100 + 1
+@pytest.mark.parametrize("piece", [5, 23, 64])
+def test_long_texts_are_read_piece_by_piece(monkeypatch, piece):
+    texts = [" ".join(f"w{i % 50}" for i in range(500)) + "\t" + "x" * 90, "", "y" * 200, None, "a  b c D e" + " " * 70, " " * 64, "x" * 64 + " z"]
+    texts = [t if t is None else t.encode() for t in texts]
+    whole = list(jj.shingle_sets(texts))
+    monkeypatch.setattr(jj, "PIECE", piece)
+    assert [x.tolist() for x in jj.shingle_sets(texts)] == [x.tolist() for x in whole]
+    assert [len(x) for x in whole] == [len(shingles(t.decode() if t else t)) for t in texts]
 
 
 def test_empty_table(spark):

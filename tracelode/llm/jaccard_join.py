@@ -5,12 +5,12 @@ other are far from, they are about as far from: within r. The join uses that thr
 
 - *Shingles as pivots.* Documents without common shingles are all at distance one, where no document
   tells them apart as a pivot. The first pivots are therefore single shingles. A document's window are its
-  first shingles in one order of all shingles, rare ones first: as many as a document within r cannot all lack. So
-  documents within r meet at one of these shingles at least.
-- *Documents as pivots.* Of the documents that meet at a shingle, the one whose shingles are most common
+  first shingles in one order of all shingles, rare ones first: so many that a document within r cannot lack all but
+  a few of them. Documents within r meet at several of these shingles; two that meet at fewer are no pair.
+- *Documents as pivots.* Where four documents or more meet at a shingle, the one whose shingles are most common
   is the pivot and the others are its region, whatever shingle brought them. All of a region
   are compared with the pivot. Groups of near copies have such a pivot in their middle, and links to it
-  join them without a look at their pairs.
+  join them without a look at their pairs. Two or three that meet are compared with each other.
 - *Regions.* Only pairs that no link has joined yet are left. A small region is joined in one task, where
   the distances from the pivot rule out pairs that differ by more than r. A large one gets pivots of its own,
   its documents go to the nearest (a Voronoi region) and to all within 2 r of that (the window), and so on. Where
@@ -24,7 +24,8 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,70 +39,128 @@ WIDTH = 4
 #: Two sets link when PERCENT of their union, or more, is common.
 PERCENT = 85
 #: Entries of the table of counts; it only orders shingles, so any size gives the same links.
-COUNTS = 1 << 20
+COUNTS = 1 << 22
 #: Entries of the table that are one row when tasks' tables are added up.
-CHUNK = 1 << 16
+CHUNK = 1 << 18
 #: Documents, and shingles of all of them, in a region that one task joins.
 LEAF, LEAF_SHINGLES = 128, 4_000_000
 #: Pivots of a region that is larger, about.
 PIVOTS = 16
-#: Rows of ids that are broadcast to pick sets; more are joined by an exchange.
-FEW_SETS = 2_000_000
+#: Shingles that a window holds beyond those it needs, so that documents that link meet at one more for each.
+MORE = 3
+#: Rows of two numbers, or of a checksum, that are broadcast; more are joined by an exchange.
+FEW = 500_000
 #: Bits of a document's key that number it; those above rank it as a pivot.
 NUMBER_BITS = 53
 
-BLANKS = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
-#: Bytes of a text whose words are objects at a time.
-PIECE = 1_000_000
-#: Odd multipliers that mix the words of a shingle; any large ones would do.
+#: Bytes to themselves, A-Z lowered and the blanks between words to one of them.
+PLAIN = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
+#: Bytes of text that are worked on at a time; words go on from one piece of a text to the next.
+PIECE = 500_000
+#: Odd multipliers that mix bytes to words and words to shingles; any large ones would do.
 ODD = [np.uint64(5**k % 2**64) for k in (27, 25, 23)]
-
-
-class _Words(dict):
-    """Hashes of words, kept for a bounded number of them."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) > 500_000:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
-
-
-def _word_hashes(text: bytes, known: _Words) -> np.ndarray:
-    text = text.lower().translate(BLANKS)
-    out, start = [np.empty(0, np.uint64)], 0
-    while start < len(text):
-        stop = start + PIECE
-        if stop < len(text):
-            at = text.rfind(b" ", start, stop)
-            stop = at if at > start else text.find(b" ", stop)
-            stop = len(text) if stop < 0 else stop
-        words = text[start:stop].split()
-        out.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
-        start = stop
-    return np.concatenate(out)
-
-
-def shingle_set(text: bytes | None, known: _Words | None = None, width: int = WIDTH) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's shingles; a text of fewer words is one shingle, none has none."""
-    words = _word_hashes(text or b"", _Words() if known is None else known)
-    if not len(words):
-        return words
+BASE = 5**21 % 2**64
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ values >> np.uint64(32)) * ODD[1]
+    return values ^ values >> np.uint64(29)
+
+
+@lru_cache(maxsize=4)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of BASE and of its inverse, modulo 2^64."""
+    out = []
+    for base in (BASE, pow(BASE, -1, 2**64)):
+        each = np.full(n, base, np.uint64)
+        each[0] = 1
+        out.append(np.cumprod(each, dtype=np.uint64))
+    return out[0], out[1]
+
+
+@lru_cache(maxsize=1)
+def _byte_values() -> np.ndarray:
+    return _mixed(_mixed(np.arange(1, 257, dtype=np.uint64) * ODD[0]))
+
+
+def _words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(value, start, stop) of each word of a text in PLAIN bytes. A word's value is a polynomial in its bytes, taken
+    from running sums over the text."""
+    held = np.frombuffer(text, np.uint8)
+    power, inverse = _powers(1 << max(len(text), 1).bit_length())
+    inside = np.zeros(len(text) + 2, np.int8)
+    inside[1:-1] = held != 32
+    turns = np.diff(inside)
+    start, stop = np.flatnonzero(turns == 1), np.flatnonzero(turns == -1)
+    sums = np.zeros(len(text) + 1, np.uint64)
+    np.cumsum(_byte_values()[held] * power[: len(text)], out=sums[1:])
+    return (sums[stop] - sums[start]) * inverse[start], start, stop
+
+
+def _long_words(text: bytes) -> np.ndarray:
+    """Values of the words of a long text, piece by piece."""
+    values, at = [np.empty(0, np.uint64)], 0
+    open_, length = None, 0
+    while at < len(text):
+        piece = text[at : at + PIECE]
+        value, start, stop = _words(piece)
+        if open_ is not None and len(start) and start[0] == 0:
+            # The last word of the piece before goes on.
+            value[0] = np.uint64((int(open_) + pow(BASE, length, 2**64) * int(value[0])) % 2**64)
+            length += int(stop[0])
+        else:
+            values += [np.array([open_], np.uint64)] if open_ is not None else []
+            length = 0
+        open_ = None
+        if len(stop) and stop[-1] == len(piece):
+            length = length if len(stop) == 1 and start[0] == 0 and length else int(stop[-1] - start[-1])
+            open_, value = value[-1], value[:-1]
+        values.append(value)
+        at += PIECE
+    values += [np.array([open_], np.uint64)] if open_ is not None else []
+    return np.concatenate(values)
+
+
+def _shingles(words: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the runs of `width` words, or of all where there are fewer."""
     n = min(width, len(words))
-    with np.errstate(over="ignore"):
-        mixed = np.full(len(words) - n + 1, n, np.uint64)
-        for i in range(n):
-            mixed = mixed * ODD[0] + words[i : len(words) - n + 1 + i] * ODD[2]
-        mixed = (mixed ^ mixed >> np.uint64(32)) * ODD[1]
-        mixed ^= mixed >> np.uint64(29)
-    return np.unique(mixed)
+    out = np.full(len(words) - n + 1 if n else 0, n, np.uint64)
+    for i in range(n):
+        out = out * ODD[0] + words[i : len(words) - n + 1 + i] * ODD[2]
+    return _mixed(out)
+
+
+def shingle_sets(texts: Iterable[bytes | None], width: int = WIDTH) -> Iterator[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's shingles; a text of fewer words is one shingle, none has none."""
+    held: list[bytes] = []
+
+    def done() -> Iterator[np.ndarray]:
+        value, start, _ = _words(b" ".join(held))
+        value = _mixed(value)
+        first = np.cumsum([0, *[len(x) + 1 for x in held[:-1]]])
+        edges = [*np.searchsorted(start, first).tolist(), len(start)]
+        for i in range(len(held)):
+            yield np.unique(_shingles(value[edges[i] : edges[i + 1]], width))
+        held.clear()
+
+    size = 0
+    for text in texts:
+        text = (text or b"").translate(PLAIN)
+        if held and size + len(text) > PIECE:
+            yield from done()
+            size = 0
+        if len(text) > PIECE:
+            yield np.unique(_shingles(_mixed(_long_words(text)), width))
+        else:
+            held.append(text)
+            size += len(text) + 1
+    if held:
+        yield from done()
 
 
 def window(n: int, percent: int = PERCENT) -> int:
-    """How many of a set's first shingles hold one of any set that links with it."""
-    return n - -(-percent * n // 100) + 1
+    """How many of a set's first shingles hold 1 + MORE of any set that links with it, or all that both have."""
+    return min(n, n - -(-percent * n // 100) + 1 + MORE)
 
 
 def common(a: np.ndarray, b: np.ndarray) -> int:
@@ -114,9 +173,8 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    known = _Words()
     for batch in batches:
-        yield batch, [shingle_set(x.as_py(), known, width) for x in batch.column(0)]
+        yield batch, list(shingle_sets((x.as_py() for x in batch.column(0)), width))
 
 
 def _digest(shingles: np.ndarray) -> str:
@@ -142,33 +200,34 @@ def _level_table(tables: DataFrame, size: int) -> np.ndarray:
     # As many rows as the table has chunks, whatever the input.
     for r in map_arrow(tables.repartition(chunks, "chunk"), run, "chunk int, counts binary").collect():
         counts[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] += np.frombuffer(r["counts"], np.int64)
-    return np.log2(counts[:size] + 1.0)
+    return np.log2(counts[:size] + 1.0).astype(np.float32)
 
 
 def _outlines(texts: DataFrame, width: int, size: int) -> tuple[DataFrame, np.ndarray]:
-    """((doc_id, digest, n) of each row of `texts` (text, doc_id), logarithms of the counts of all their shingles)."""
+    """((doc_id, text_key, digest, n) of each row of `texts` (text, doc_id, text_key), logarithms of the counts of all
+    their shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(-(-size // CHUNK) * CHUNK, np.int64)
-        names = ["doc_id", "digest", "n", "chunk", "counts"]
+        names = ["doc_id", "text_key", "digest", "n", "chunk", "counts"]
         kind = None
         for batch, sets in _sets(batches, width):
             for each in sets:
                 np.add.at(counts, (each % np.uint64(size)).astype(np.int64), 1)
             kind, n = batch.column(1).type, len(sets)
-            columns = [batch.column(1), pa.array(map(_digest, sets), pa.string()), pa.array(map(len, sets), pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
+            columns = [*batch.columns[1:], pa.array(map(_digest, sets), pa.string()), pa.array(map(len, sets), pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=names)
         if kind is not None:
             parts = [(c, x) for c, x in enumerate(counts.reshape(-1, CHUNK)) if x.any()]
             n = len(parts)
             blobs = pa.array([zlib.compress(x.tobytes(), 1) for _, x in parts], pa.binary())
-            columns = [pa.nulls(n, kind), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()), pa.array([c for c, _ in parts], pa.int32()), blobs]
+            columns = [pa.nulls(n, kind), pa.nulls(n, pa.string()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()), pa.array([c for c, _ in parts], pa.int32()), blobs]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = dict(texts.dtypes)["doc_id"]
-    both = cut(map_arrow(texts, run, f"doc_id {kind}, digest string, n long, chunk int, counts binary"))
+    both = cut(map_arrow(texts, run, f"doc_id {kind}, text_key string, digest string, n long, chunk int, counts binary"))
     levels = _level_table(both.where("chunk is not null").select("chunk", "counts"), size)
-    return both.where("chunk is null").select("doc_id", "digest", "n"), levels
+    return both.where("chunk is null").select("doc_id", "text_key", "digest", "n"), levels
 
 
 def _representatives(texts: DataFrame, levels: np.ndarray, width: int, percent: int) -> DataFrame:
@@ -192,33 +251,49 @@ def _representatives(texts: DataFrame, levels: np.ndarray, width: int, percent:
             yield pa.RecordBatch.from_arrays(columns, names=["digest", "n", "rank", "first"])
 
     each = map_arrow(texts.select("text"), run, "digest string, n long, rank long, first array<long>")
-    one = cut(each.groupBy("digest").agg(*[F.first(c).alias(c) for c in ("n", "rank", "first")]))
+    one = each.groupBy("digest").agg(*[F.first(c).alias(c) for c in ("n", "rank", "first")])
     key = F.shiftleft("rank", NUMBER_BITS) + F.monotonically_increasing_id()
     return cut(one.select("digest", "n", key.alias("key"), "first"))
 
 
-def _regions(reps: DataFrame) -> DataFrame:
-    """(region, x): the pivot of each shingle at which documents meet, and all others that meet there."""
+def _meetings(reps: DataFrame, percent: int, few: int) -> tuple[DataFrame, DataFrame]:
+    """(region, x) of the shingles at which four documents or more meet: the pivot, and all others that meet
+    there; and (region, x), one way round, of other documents that meet often enough to link."""
     cells = reps.select(F.explode("first").alias("s"), "key")
-    pivots = cells.groupBy("s").agg(F.min("key").alias("region"), F.max("key").alias("last")).where("region <> last").select("s", "region")
-    met = cells.join(pivots.hint("merge"), "s").where("key <> region")
-    return cut(met.select("region", F.col("key").alias("x")).distinct())
-
-
-def _needed_sets(texts: DataFrame, reps: DataFrame, keys: DataFrame, width: int, few: int) -> DataFrame:
-    """(x, n, shingles): the sets of the documents whose keys are asked for, as bytes."""
-    asked = cut(reps.select("digest", F.col("key").alias("x"), "n").join(keys.select(F.col("k").alias("x")).distinct(), "x", "left_semi"))
+    # The extremes and the exclusive or tell all members of up to three.
+    met = cells.groupBy("s").agg(F.min("key").alias("a"), F.max("key").alias("b"), F.bit_xor("key").alias("all"), F.count(F.lit(1)).alias("n"))
+    met = cut(met.where("n > 1"))
+    pivots = met.where("n > 3").select("s", F.col("a").alias("region"))
+    pivots = F.broadcast(pivots) if pivots.count() <= few else pivots.hint("merge")
+    regions = cells.join(pivots, "s").where("key <> region").select("region", F.col("key").alias("x")).distinct()
+    third = F.col("all").bitwiseXOR(F.col("a")).bitwiseXOR(F.col("b"))
+    pair = lambda u, v: F.struct(F.least(u, v).alias("region"), F.greatest(u, v).alias("x"))
+    a, b = F.col("a"), F.col("b")
+    pairs = F.when(F.col("n") == 2, F.array(pair(a, b))).when(F.col("n") == 3, F.array(pair(a, b), pair(a, third), pair(b, third)))
+    often = met.where("n <= 3").select(F.explode(pairs).alias("p")).groupBy("p.region", "p.x").agg(F.count(F.lit(1)).alias("times"))
+    size = lambda c: reps.select(F.col("key").alias(c), F.col("n").alias(f"n_{c}"))
+    need = F.least(F.lit(1 + MORE), F.ceil(F.lit(percent / 100) * F.greatest("n_region", "n_x")))
+    # Sets of few shingles link by fewer than MORE can tell.
+    some = often.where(F.col("times") >= 1 + MORE).select("region", "x")
+    rest = often.where(F.col("times") <= MORE).join(size("x").where(F.col("n_x") <= 4 * (1 + MORE)), "x").join(size("region"), "region")
+    return cut(regions), cut(some.union(rest.where(F.col("times") >= need).select("region", "x")))
+
+
+def _needed_sets(texts: DataFrame, rows: DataFrame, reps: DataFrame, keys: DataFrame, width: int, few: int) -> DataFrame:
+    """(x, n, shingles): the sets of the documents whose keys are asked for, as bytes. One text of each is read."""
+    one = rows.groupBy("digest").agg(F.min("text_key").alias("text_key"))
+    asked = reps.select("digest", F.col("key").alias("x"), "n").join(keys.select(F.col("k").alias("x")).distinct(), "x", "left_semi")
+    asked = cut(asked.join(one, "digest").select("text_key", "x", "n"))
+    sent = F.broadcast(asked) if asked.count() <= few else asked.hint("merge")
+    # Copies are told apart by nothing that is read here, so the first of them does.
+    found = texts.join(sent, "text_key").groupBy("x").agg(F.first("n").alias("n"), F.first("text").alias("text")).select("text", "x", "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _sets(batches, width):
-            columns = [pa.array(map(_digest, sets), pa.string()), pa.array([x.tobytes() for x in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["digest", "shingles"])
+            columns = [*batch.columns[1:], pa.array([x.tobytes() for x in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["x", "n", "shingles"])
 
-    found = map_arrow(texts.select("text"), run, "digest string, shingles binary")
-    ids = asked.select("digest")
-    found = found.join(F.broadcast(ids) if asked.count() <= few else ids, "digest", "left_semi")
-    found = found.groupBy("digest").agg(F.first("shingles").alias("shingles"))
-    return cut(found.join(asked, "digest").select("x", "n", "shingles"))
+    return cut(map_arrow(found, run, "x long, n long, shingles binary"))
 
 
 def _array(binary: pa.Scalar) -> np.ndarray:
@@ -309,7 +384,7 @@ def _leaf_links(leaves: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _split(large: DataFrame, sets: DataFrame, level: int, pivots: int, percent: int) -> DataFrame:
     """One row for each document of `large` (region, x, n, size, label, ..) and pivot of its own region that it
-    goes to, with the distance `far`; `u`, `v` where the two link. Pivots go nowhere, as all are compared with them."""
+    goes to, with the distance `far`, and whether the two link. Pivots are compared with all and go nowhere (not `stays`)."""
     lot = F.pmod(F.xxhash64("x", F.lit(level)), F.col("size"))
     least = large.groupBy("region").agg(F.min(F.xxhash64("x", F.lit(level))).alias("least"))
     drawn = large.join(least, "region").where((lot < pivots) | (F.xxhash64("x", F.lit(level)) == F.col("least"))).select("region", "x")
@@ -321,26 +396,27 @@ def _split(large: DataFrame, sets: DataFrame, level: int, pivots: int, percent:
             rows = []
             for r in batch.to_pylist():
                 mine = np.frombuffer(r["shingles"], np.uint64)
-                if any(p["x"] == r["x"] for p in r["pivots"]):
-                    continue
+                stays = all(p["x"] != r["x"] for p in r["pivots"])
                 far = []
                 for p in r["pivots"]:
+                    if p["x"] == r["x"]:
+                        continue
                     other = np.frombuffer(p["shingles"], np.uint64)
                     both = common(mine, other)
                     link = 100 * both >= percent * (len(mine) + len(other) - both)
                     far.append((1 - both / (len(mine) + len(other) - both), p["x"], link))
-                most = min(far)[0] + 2 * (100 - percent) / 100 + 1e-9
+                most = min(far, default=(0,))[0] + 2 * (100 - percent) / 100 + 1e-9
                 rows += [
-                    {"parent": r["region"], "x": r["x"], "n": r["n"], "label": r["label"], "size": r["size"], "pivot": x, "far": d, "link": link}
+                    {"parent": r["region"], "x": r["x"], "n": r["n"], "label": r["label"], "size": r["size"], "pivot": x, "far": d, "link": link, "stays": stays}
                     for d, x, link in far
-                    if d <= most
+                    if (stays and d <= most) or link
                 ]
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     names = ("parent", "x", "n", "label", "size", "pivot")
-    schema = pa.schema([*[(c, pa.int64()) for c in names], ("far", pa.float64()), ("link", pa.bool_())])
+    schema = pa.schema([*[(c, pa.int64()) for c in names], ("far", pa.float64()), ("link", pa.bool_()), ("stays", pa.bool_())])
     columns = met.select("region", "x", "n", "label", "size", "shingles", "pivots")
-    return cut(map_arrow(columns, run, "parent long, x long, n long, label long, size long, pivot long, far double, link boolean"))
+    return cut(map_arrow(columns, run, "parent long, x long, n long, label long, size long, pivot long, far double, link boolean, stays boolean"))
 
 
 def _in_blocks(rows: DataFrame, leaf: int, shingles: int) -> DataFrame:
@@ -354,6 +430,7 @@ def _in_blocks(rows: DataFrame, leaf: int, shingles: int) -> DataFrame:
 
 def links(
     texts: DataFrame,
+    rows: DataFrame,
     reps: DataFrame,
     *,
     width: int = WIDTH,
@@ -361,18 +438,20 @@ def links(
     leaf: int = LEAF,
     leaf_shingles: int = LEAF_SHINGLES,
     pivots: int = PIVOTS,
-    few_sets: int = FEW_SETS,
+    few: int = FEW,
 ) -> DataFrame:
     """(u, v): pairs of keys of _representatives() that link, enough of them that components are those of
-    all links. `texts` has the same documents' text."""
-    regions = _regions(reps)
-    keys = regions.select(F.col("x").alias("k")).union(regions.select(F.col("region").alias("k")))
-    sets = _needed_sets(texts, reps, keys, width, few_sets)
-    measured = _to_pivots(regions, sets)
+    all links. `texts` and `rows` are those that _outlines() takes and gives."""
+    regions, pairs = _meetings(reps, percent, few)
+    both = regions.union(pairs).distinct()
+    keys = both.select(F.col("x").alias("k")).union(both.select(F.col("region").alias("k")))
+    sets = _needed_sets(texts, rows, reps, keys, width, few)
+    measured = _to_pivots(both, sets)
     similar = _similar(F.col("inter"), F.col("n"), F.col("n_pivot"), percent)
     found = cut(measured.where(similar).select(F.col("x").alias("u"), F.col("region").alias("v")))
     far = 1 - F.col("inter") / (F.col("n") + F.col("n_pivot") - F.col("inter"))
-    left = cut(_labelled(measured.select("region", "x", "n", far.alias("far")), found))
+    members = measured.join(regions.hint("merge"), ["region", "x"], "left_semi")
+    left = cut(_labelled(members.select("region", "x", "n", far.alias("far")), found))
     level = 0
     while True:
         small = (F.col("size") <= leaf) & (F.col("weight") <= leaf_shingles)
@@ -383,7 +462,7 @@ def links(
             level += 1
             split = _split(large, sets, level, pivots, percent)
             # Regions that windows copy more than they part are cut into blocks instead.
-            grown = split.groupBy("parent").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size")).where(F.col("n") > 1.5 * F.col("size"))
+            grown = split.where("stays").groupBy("parent").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size")).where(F.col("n") > 1.5 * F.col("size"))
             stuck = cut(grown.select("parent"))
             hard = large.join(stuck.select(F.col("parent").alias("region")).hint("merge"), "region", "left_semi")
             ready.append(_in_blocks(hard, leaf, leaf_shingles))
@@ -395,7 +474,7 @@ def links(
         if split is None:
             return found
         found = cut(found.union(split.where("link").select(F.col("x").alias("u"), F.col("pivot").alias("v"))))
-        parted = split.join(stuck.hint("merge"), "parent", "left_anti")
+        parted = split.where("stays").join(stuck.hint("merge"), "parent", "left_anti")
         left = cut(_labelled(parted.select(F.xxhash64("parent", "pivot").alias("region"), "x", "n", "far"), found))
 
 
@@ -411,10 +490,11 @@ def jaccard_components(
     """
     if not 0 < percent <= 100:
         raise ValueError(f"{percent} percent")
-    texts = docs.select(F.col(f"`{text_col}`").cast("binary").alias("text"), F.col(f"`{id_col}`").alias("doc_id"))
+    text = F.col(f"`{text_col}`").cast("binary")
+    texts = docs.select(text.alias("text"), F.col(f"`{id_col}`").alias("doc_id"), F.md5(F.coalesce(text, F.lit(b""))).alias("text_key"))
     rows, levels = _outlines(texts, width, counts)
     reps = _representatives(texts, levels, width, percent)
-    roots = cut(connected_components(links(texts, reps, width=width, percent=percent, **sizes)))
+    roots = cut(connected_components(links(texts, rows, reps, width=width, percent=percent, **sizes)))
     rooted = reps.select("digest", "key").join(roots.hint("merge"), F.col("key") == F.col("node"), "left")
     least = rows.groupBy("digest").agg(F.min("doc_id").alias("least"))
     named = cut(rooted.select("digest", F.coalesce("root", "key").alias("root")).join(least, "digest"))
