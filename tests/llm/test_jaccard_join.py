@@ -63,9 +63,9 @@ def corpus(seed, size=160):
 
 SIZES = {
     "plain": {},
-    "small leaves": {"leaf": 4, "pivots": 2},
-    "blocks": {"leaf": 3, "pivots": 50},
-    "by weight": {"leaf_shingles": 200, "pivots": 3},
+    "small leaves": {"leaf": 4, "pivots": 2, "crowd": 3},
+    "blocks": {"leaf": 3, "pivots": 50, "crowd": 3},
+    "by weight": {"leaf_shingles": 200, "pivots": 3, "crowd": 5},
     "by exchange": {"few": 0, "leaf": 10},
     "one bucket of counts": {"counts": 1, "leaf": 12, "pivots": 4},
 }

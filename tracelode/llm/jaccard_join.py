@@ -7,10 +7,11 @@ other are far from, they are about as far from: within r. The join uses that thr
   tells them apart as a pivot. The first pivots are therefore single shingles. A document's window are its
   first shingles in one order of all shingles, rare ones first: so many that a document within r cannot lack all but
   a few of them. Documents within r meet at several of these shingles; two that meet at fewer are no pair.
-- *Documents as pivots.* Where four documents or more meet at a shingle, the one whose shingles are most common
+- *Documents as pivots.* Where more than CROWD documents meet at a shingle, the one whose shingles are most common
   is the pivot and the others are its region, whatever shingle brought them. All of a region
   are compared with the pivot. Groups of near copies have such a pivot in their middle, and links to it
-  join them without a look at their pairs. Two or three that meet are compared with each other.
+  join them without a look at their pairs. Where fewer meet, they are compared with each other
+  if they meet often enough.
 - *Regions.* Only pairs that no link has joined yet are left. A small region is joined in one task, where
   the distances from the pivot rule out pairs that differ by more than r. A large one gets pivots of its own,
   its documents go to the nearest (a Voronoi region) and to all within 2 r of that (the window), and so on. Where
@@ -47,7 +48,9 @@ LEAF, LEAF_SHINGLES = 128, 4_000_000
 #: Pivots of a region that is larger, about.
 PIVOTS = 16
 #: Shingles that a window holds beyond those it needs, so that documents that link meet at one more for each.
-MORE = 3
+MORE = 7
+#: Documents at one shingle whose pairs are counted; where more meet, one is the pivot of all.
+CROWD = 16
 #: Rows of two numbers, or of a checksum, that are broadcast; more are joined by an exchange.
 FEW = 500_000
 #: Bits of a document's key that number it; those above rank it as a pivot.
@@ -256,26 +259,34 @@ def _representatives(texts: DataFrame, levels: np.ndarray, width: int, percent:
     return cut(one.select("digest", "n", key.alias("key"), "first"))
 
 
-def _meetings(reps: DataFrame, percent: int, few: int) -> tuple[DataFrame, DataFrame]:
-    """(region, x) of the shingles at which four documents or more meet: the pivot, and all others that meet
+def _meetings(reps: DataFrame, percent: int, crowd: int, few: int) -> tuple[DataFrame, DataFrame]:
+    """(region, x) of the shingles at which more than `crowd` documents meet: the pivot, and all others that meet
     there; and (region, x), one way round, of other documents that meet often enough to link."""
     cells = reps.select(F.explode("first").alias("s"), "key")
     # The extremes and the exclusive or tell all members of up to three.
     met = cells.groupBy("s").agg(F.min("key").alias("a"), F.max("key").alias("b"), F.bit_xor("key").alias("all"), F.count(F.lit(1)).alias("n"))
     met = cut(met.where("n > 1"))
-    pivots = met.where("n > 3").select("s", F.col("a").alias("region"))
-    pivots = F.broadcast(pivots) if pivots.count() <= few else pivots.hint("merge")
-    regions = cells.join(pivots, "s").where("key <> region").select("region", F.col("key").alias("x")).distinct()
-    third = F.col("all").bitwiseXOR(F.col("a")).bitwiseXOR(F.col("b"))
+    several = met.where("n > 3").select("s", F.col("a").alias("region"), "n")
+    several = F.broadcast(several) if several.count() <= few else several.hint("merge")
+    several = cut(cells.join(several, "s"))
+    regions = several.where((F.col("n") > crowd) & (F.col("key") != F.col("region"))).select("region", F.col("key").alias("x")).distinct()
     pair = lambda u, v: F.struct(F.least(u, v).alias("region"), F.greatest(u, v).alias("x"))
     a, b = F.col("a"), F.col("b")
-    pairs = F.when(F.col("n") == 2, F.array(pair(a, b))).when(F.col("n") == 3, F.array(pair(a, b), pair(a, third), pair(b, third)))
-    often = met.where("n <= 3").select(F.explode(pairs).alias("p")).groupBy("p.region", "p.x").agg(F.count(F.lit(1)).alias("times"))
+    third = F.col("all").bitwiseXOR(a).bitwiseXOR(b)
+    two = F.when(F.col("n") == 2, F.array(pair(a, b))).when(F.col("n") == 3, F.array(pair(a, b), pair(a, third), pair(b, third)))
+    # At most `crowd` keys each.
+    listed = several.where(F.col("n") <= crowd).groupBy("s").agg(F.collect_list("key").alias("keys"))
+    more = F.expr("flatten(transform(keys, u -> transform(filter(keys, v -> v > u), v -> struct(u as region, v as x))))")
+    pairs = met.where("n <= 3").select(F.explode(two).alias("p")).union(listed.select(F.explode(more).alias("p")))
+    often = cut(pairs.groupBy("p.region", "p.x").agg(F.count(F.lit(1)).alias("times")).where("times > 0"))
     size = lambda c: reps.select(F.col("key").alias(c), F.col("n").alias(f"n_{c}"))
-    need = F.least(F.lit(1 + MORE), F.ceil(F.lit(percent / 100) * F.greatest("n_region", "n_x")))
-    # Sets of few shingles link by fewer than MORE can tell.
+    # What sets have in common that link: of few shingles fewer than 1 + MORE.
+    need = F.least(F.lit(1 + MORE).cast("long"), F.expr(f"({percent} * greatest(n_region, n_x) + 99) div 100"))
     some = often.where(F.col("times") >= 1 + MORE).select("region", "x")
-    rest = often.where(F.col("times") <= MORE).join(size("x").where(F.col("n_x") <= 4 * (1 + MORE)), "x").join(size("region"), "region")
+    tiny = reps.where(F.col("n") <= 1 + MORE).select(F.col("key").alias("x"), F.col("n").alias("n_x"))
+    rest = often.where(F.col("times") <= MORE)
+    rest = rest.join(tiny, "x").unionByName(rest.join(tiny.select(F.col("x").alias("region"), "n_x"), "region"))
+    rest = rest.select("region", "x", "times").distinct().join(size("x"), "x").join(size("region"), "region")
     return cut(regions), cut(some.union(rest.where(F.col("times") >= need).select("region", "x")))
 
 
@@ -438,11 +449,12 @@ def links(
     leaf: int = LEAF,
     leaf_shingles: int = LEAF_SHINGLES,
     pivots: int = PIVOTS,
+    crowd: int = CROWD,
     few: int = FEW,
 ) -> DataFrame:
     """(u, v): pairs of keys of _representatives() that link, enough of them that components are those of
     all links. `texts` and `rows` are those that _outlines() takes and gives."""
-    regions, pairs = _meetings(reps, percent, few)
+    regions, pairs = _meetings(reps, percent, crowd, few)
     both = regions.union(pairs).distinct()
     keys = both.select(F.col("x").alias("k")).union(both.select(F.col("region").alias("k")))
     sets = _needed_sets(texts, rows, reps, keys, width, few)
