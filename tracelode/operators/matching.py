@@ -75,13 +75,10 @@ def match_text_to_image(texts: DataFrame, images: DataFrame, reach: int = REACH)
     )
 
 
-def match_exclusive(texts: DataFrame, images: DataFrame, reach: int = REACH, *, sliced: bool | None = None) -> DataFrame:
-    """Texts in order of time each take the nearest image of their prefix that is still free, at most
-    `reach` seconds earlier. Every text gives a row, with null image columns where it has none.
-
-    Texts of one second go in order of path and id; of images of one second the lowest path is taken
-    first. A prefix with very many files is cut into slices of time (counted first), or as `sliced` says.
-    """
+def stacked(texts: DataFrame, images: DataFrame, *, sliced: bool | None = None) -> DataFrame:
+    """Both kinds as one sequence for each prefix, images being put on a stack and texts taking from it: `_level` is null
+    for a text that found it empty, `o` what stands before a row at its level (of a text with a level, what it took). A
+    prefix with very many files is cut into slices of time (counted first), or as `sliced` says."""
     both = _side(images, "image", ["prefix"]).unionByName(_side(texts, "text", ["prefix"]))
     sliced = busy(both, key="prefix") if sliced is None else sliced
     is_image = F.col("kind") == "image"
@@ -128,15 +125,32 @@ def match_exclusive(texts: DataFrame, images: DataFrame, reach: int = REACH, *,
         partner = last_values(pairing, ["_level", "prefix"], F.col("_part"), ["_n", "at"], {"o": entry}, with_current=False)
     else:
         partner = pairing.withColumn("o", F.lag(entry).over(W.partitionBy("prefix", "_level").orderBy("_n")))
+    return partner
+
+
+def matched(pairs: DataFrame, reach: int = REACH) -> DataFrame:
+    """Texts (prefix, file_id, path, file_ts, at, o) with the image `o` that they took where it is near enough."""
     gap = F.col("at") - F.col("o.at")
-    taken = F.col("_level").isNotNull() & (F.col("o.kind") == "image") & (gap <= reach)
-    met = partner.where("kind = 'text'").withColumn("o", F.when(taken, F.col("o"))).withColumn("diff_seconds", F.when(taken, gap))
+    near = F.coalesce(gap <= reach, F.lit(False))
+    met = pairs.withColumn("o", F.when(near, F.col("o"))).withColumn("diff_seconds", F.when(near, gap))
     return met.select(
         "prefix", F.col("file_id").alias("text_id"), F.col("path").alias("text_path"), F.col("file_ts").alias("text_ts"),
         F.col("o.file_id").alias("image_id"), F.col("o.path").alias("image_path"), F.col("o.file_ts").alias("image_ts"), "diff_seconds",
     )
 
 
+def match_exclusive(texts: DataFrame, images: DataFrame, reach: int = REACH, *, sliced: bool | None = None) -> DataFrame:
+    """Texts in order of time each take the nearest image of their prefix that is still free, at most
+    `reach` seconds earlier. Every text gives a row, with null image columns where it has none.
+
+    Texts of one second go in order of path and id; of images of one second the lowest path is taken
+    first. A prefix with very many files is cut into slices of time (counted first), or as `sliced` says.
+    """
+    taken = F.col("_level").isNotNull() & (F.col("o.kind") == "image")
+    rows = stacked(texts, images, sliced=sliced).where("kind = 'text'")
+    return matched(rows.withColumn("o", F.when(taken, F.col("o"))), reach)
+
+
 def unmatched_images(images: DataFrame, matched: DataFrame) -> DataFrame:
     """Images that no text took."""
     taken = matched.where("image_id is not null").select(F.col("image_id").alias("file_id"), F.col("image_path").alias("path"))

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from tracelode.functions import dose, root_cause
 from tracelode.operators import ledger as books
 from tracelode.operators.audit import run_summary
+from tracelode.operators.carried import FREE, match_run, nothing_free
 from tracelode.operators.filenames import accepted, publish_plan, rejected
+from tracelode.operators.ledger_table import LedgerTable
 from tracelode.operators.matching import match_exclusive, match_image_to_text
 from tracelode.operators.state import busy, carry_forward, drop_test_shots, is_test_shot, latest_wafer_state, with_previous_handle
 from tracelode.operators.textlines import parse_lines, with_payload
 from tracelode.sources.files import decode_bodies, in_two_days
 from tracelode.sources.logs import scan_dose_logs, scan_root_cause_logs
+from tracelode.sources.scratch import is_written
 from tracelode.sources.sinks import distinct_rows, projected
 
 
@@ -61,16 +64,16 @@ def text_pipeline(bodies: DataFrame) -> DataFrame:
     return with_payload(parse_lines(decode_bodies(bodies).select("source_file", "text")))
 
 
-def image_pipeline(inventory: DataFrame, ledger: DataFrame, published: DataFrame, prepared: DataFrame, now) -> DataFrame:
-    """The ledger after an image-driven run: images entered, matched with a text of their folder or
-    removed, and completed where their output is there already."""
+def image_run(inventory: DataFrame, published: DataFrame, prepared: DataFrame) -> DataFrame:
+    """What an image-driven run brings to the ledger, for apply_run(): each image with the text of its folder that it
+    is matched with, if any, and its output where that is there already."""
     named = accepted(inventory)
     images, texts = named.where("kind = 'image'"), named.where("kind = 'text'")
     # Paths that several files share are one ledger key; the lowest file stands for it.
     first = F.min_by(F.struct("file_id", "prefix", "file_ts", "folder_date", "kind"), "file_id")
     images = images.groupBy("path").agg(first.alias("f")).select("path", "f.*")
     plan = publish_plan(match_image_to_text(images, texts, every=True), published, prepared)
-    run = plan.select(
+    return plan.select(
         F.col("image_path").alias("source_file"),
         "prefix",
         "image_ts",
@@ -79,7 +82,34 @@ def image_pipeline(inventory: DataFrame, ledger: DataFrame, published: DataFrame
         F.when(F.col("text_id").isNotNull(), F.col("diff_seconds")).alias("matched_diff_seconds"),
         F.when((F.col("action") == "record") & F.col("text_id").isNotNull(), F.col("output_path")).alias("output_remote_file"),
     )
-    return books.apply_run(ledger, run, now)
+
+
+def image_pipeline(inventory: DataFrame, ledger: DataFrame, published: DataFrame, prepared: DataFrame, now) -> DataFrame:
+    """The ledger after an image-driven run: images entered, matched with a text of their folder or
+    removed, and completed where their output is there already."""
+    return books.apply_run(ledger, image_run(inventory, published, prepared), now)
+
+
+def image_run_on_table(inventory: DataFrame, table: LedgerTable, published: DataFrame, prepared: DataFrame, now) -> list[int]:
+    """image_pipeline() on a stored ledger: only the buckets of the run's images are read and written."""
+    return table.apply(books.apply_run, image_run(inventory, published, prepared), now)
+
+
+def matches_by_runs(files: DataFrame, cuts: list[datetime], folder: str) -> DataFrame:
+    """The exclusive match of named files (accepted()), one run after another: a run for each two neighbours of `cuts`. Each
+    reads the files of its own stretch and the images that the run before left free, and stores its pairs and what it
+    leaves free below `folder`. A run that was stored is not done again."""
+    spark = files.sparkSession
+    texts, images = files.where("kind = 'text'"), files.where("kind = 'image'")
+    free = nothing_free(spark)
+    for since, until in zip(cuts, cuts[1:], strict=False):
+        here = f"{folder}/until={until:%Y%m%dT%H%M%S}"
+        if not is_written(spark, f"{here}/free"):
+            pairs, left = match_run(texts, images, free, since, until)
+            pairs.write.mode("overwrite").parquet(f"{here}/pairs")
+            left.write.mode("overwrite").parquet(f"{here}/free")
+        free = spark.read.schema(FREE).parquet(f"{here}/free")
+    return spark.read.parquet(*[f"{folder}/until={until:%Y%m%dT%H%M%S}/pairs" for until in cuts[1:]])
 
 
 def combined_pipeline(inventory: DataFrame, anchor: str | date, published: DataFrame, prepared: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tracelode.functions import dose, root_cause
 from tracelode.functions.text import extract, normalize_contents, snake_code, strip_trailing_period
 from tracelode.operators import audit, filenames, ledger, matching, state, textlines
+from tracelode.operators.ledger_table import LedgerTable
 from tracelode.plans import fixtures, pipelines, sql
 from tracelode.sources import files as inventories
 from tracelode.sources import logs, sinks
@@ -22,13 +23,13 @@ ORACLES: dict[str, str] = {}
 ANCHOR = "2024-01-02"
 
 
-def query(oracle: str | None = None):
-    """Registers a function under its name."""
+def query(oracle: str | None = None, name: str | None = None):
+    """Registers a function under `name`, or its own."""
 
     def put(run):
-        QUERIES[run.__name__] = run
+        QUERIES[name or run.__name__] = run
         if oracle is not None:
-            ORACLES[run.__name__] = oracle
+            ORACLES[name or run.__name__] = oracle
         return run
 
     return put
@@ -301,15 +302,11 @@ _PARSED_EUV = [*sql.EUV, sql.GATED, sql.CAUSES]
 _KEY = "eq_name, code_occur_time"
 
 
-@query(sql.query(sql.EUV, f"select {_KEY}, t as text from normalized"))
+@query(sql.query(sql.EUV, f"select {_KEY}, t as text from normalized"), "normalize_contents")
 def normalize_contents_text(spark, d):
     return _euv(spark, d).select("eq_name", "code_occur_time", normalize_contents(F.coalesce("contents", F.lit(""))).alias("text"))
 
 
-QUERIES["normalize_contents"] = QUERIES.pop("normalize_contents_text")
-ORACLES["normalize_contents"] = ORACLES.pop("normalize_contents_text")
-
-
 @query(sql.query(sql.EUV, f"select {_KEY}, ({sql.GATE}) as passes from normalized"))
 def root_cause_gate(spark, d):
     text = normalize_contents(F.coalesce("contents", F.lit("")))
@@ -354,25 +351,18 @@ def dominant_dose_error(spark, d):
 
 
 @query(
-    "select event_id, nullif(regexp_replace(regexp_replace(lower(props), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'), '') as code from events"
+    "select event_id, nullif(regexp_replace(regexp_replace(lower(props), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'), '') as code from events",
+    "snake_code",
 )
 def snake_code_of_props(spark, d):
     return spark.read.parquet(f"{d}/events.parquet").select("event_id", snake_code(F.col("props")).alias("code"))
 
 
-QUERIES["snake_code"] = QUERIES.pop("snake_code_of_props")
-ORACLES["snake_code"] = ORACLES.pop("snake_code_of_props")
-
-
-@query(sql.raw([], f"select er_index, {sql.strip_trailing_period('contents')} as bare from er_raw"))
+@query(sql.raw([], f"select er_index, {sql.strip_trailing_period('contents')} as bare from er_raw"), "strip_trailing_period")
 def strip_trailing_period_of_messages(spark, d):
     return fixtures.er_raw(spark, d).select("er_index", strip_trailing_period(F.col("contents")).alias("bare"))
 
 
-QUERIES["strip_trailing_period"] = QUERIES.pop("strip_trailing_period_of_messages")
-ORACLES["strip_trailing_period"] = ORACLES.pop("strip_trailing_period_of_messages")
-
-
 @query(sql.query([sql.TEXT_FILES], f"select source_file, {sql.strip_trailing_period('text')} as whole from text_files"))
 def strip_trailing_period_of_texts(spark, d):
     return fixtures.text_files(spark, d).select("source_file", strip_trailing_period(F.col("text")).alias("whole"))
@@ -476,6 +466,17 @@ def match_exclusive(spark, d):
     return _exclusive(spark, d)
 
 
+@query(sql.GREEDY)
+def match_exclusive_by_runs(spark, d):
+    """The exclusive match in daily runs, each over its own files and what the one before left."""
+    named = filenames.accepted(fixtures.files(spark, d))
+    ends = named.agg(F.to_date(F.min("file_ts")).alias("first"), F.to_date(F.max("file_ts")).alias("last")).first()
+    if ends["first"] is None:
+        return _exclusive(spark, d)
+    days = [datetime.combine(ends["first"], datetime.min.time()) + timedelta(days=i) for i in range((ends["last"] - ends["first"]).days + 2)]
+    return pipelines.matches_by_runs(named, days, scratch_dir(spark, "match-runs"))
+
+
 @query(
     sql.files(
         [sql.STACK],
@@ -641,6 +642,24 @@ def ledger_remove_unmatched(spark, d):
     return ledger.remove(_ledger(spark, d), _news(spark, d))
 
 
+@query(
+    _ledger_sql(
+        f"select * from (select source_file, n.prefix, n.image_ts, n.matched_text_file, n.matched_text_ts, n.matched_diff_seconds, n.output_remote_file, "
+        f"coalesce(l.created_at, {sql.NOW}) as created_at, case when l.source_file is not null then {sql.NOW} end as updated_at "
+        f"from news n left join ledger l using (source_file) where source_file in (select path from uniq where file_id % 10 = 0) union all "
+        f"select {sql.LEDGER_COLUMNS} from ledger where source_file not in (select path from uniq where file_id % 10 = 0)) "
+        "where source_file not in (select path from uniq where file_id % 15 = 0)"
+    )
+)
+def ledger_touched_buckets(spark, d):
+    """A stored ledger after two runs, each of which reads and writes only the buckets of its own keys."""
+    book = LedgerTable.create(_ledger(spark, d), scratch_dir(spark, "ledger"), 64)
+    some = _unique(spark, d).select("source_file", "file_id")
+    book.apply(ledger.upsert, _news(spark, d).join(some.where("file_id % 10 = 0"), "source_file", "left_semi"), _now())
+    book.apply(ledger.remove, some.where("file_id % 15 = 0").select("source_file"))
+    return book.read()
+
+
 # Text files
 
 

@@ -30,3 +30,9 @@ def written(rows: DataFrame) -> DataFrame:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder below shared_folder()."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a job has committed its files in the folder at `path`."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
