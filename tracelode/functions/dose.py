@@ -63,9 +63,9 @@ def code_family(code: Column) -> Column:
     return F.when(code.startswith("DW-"), "DW").when(code.startswith("LO-"), "LO").otherwise("other")
 
 
-def parse_dose_warnings(logs: DataFrame) -> DataFrame:
-    """Source columns as they are, and the six fields: all for DW codes, wafer fields for LO codes.
-    Null contents count as empty; a message without a field gives null there."""
+def parse_dose_warnings(logs: DataFrame, *carried: str) -> DataFrame:
+    """Source columns (and those `carried` along) as they are, and the six fields: all for DW codes, wafer fields for
+    LO codes. Null contents count as empty; a message without a field gives null there."""
     text = F.coalesce(F.col("contents"), F.lit(""))
     family = code_family(F.col("code"))
 
@@ -77,4 +77,5 @@ def parse_dose_warnings(logs: DataFrame) -> DataFrame:
         *only(HANDLE_RULES, "DW"),
         *only(WAFER_RULES, "DW", "LO"),
         *only(ERROR_RULES, "DW"),
+        *carried,
     )

@@ -15,7 +15,7 @@ from tracelode.plans import fixtures, pipelines, sql
 from tracelode.sources import files as inventories
 from tracelode.sources import logs, sinks
 from tracelode.sources.scratch import scratch_dir
-from tracelode.streaming import jobs
+from tracelode.streaming import ingest, jobs
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -802,14 +802,16 @@ def stream_root_causes(spark, d):
 @query(sql.raw([*sql.KEEP, *sql.SEED, sql.filled("filled", "kept", "seed")], "select * from filled"))
 def stream_dose_warnings(spark, d):
     source, target = scratch_dir(spark, "stream-in"), scratch_dir(spark, "stream-out")
-    rows = _scanned(spark, d)
-    first, last = fixtures.WINDOW
-    days = [(first + timedelta(days=i), first + timedelta(days=i + 1)) for i in range((last - first).days)]
-    jobs.write_logs(rows, source, days)
-    seed = scratch_dir(spark, "seed")
+    rows, (first, last) = _scanned(spark, d), fixtures.WINDOW
+    half = first + (last - first) / 2
+    seed, checkpoint = scratch_dir(spark, "seed"), scratch_dir(spark, "stream-state")
     _seed(spark, d).write.parquet(seed)
-    stream = jobs.dose_warnings(jobs.read_logs(spark, source, rows.schema), spark.read.parquet(seed))
-    jobs.run_once(stream, target, scratch_dir(spark, "stream-state"))
+    loads = [rows.where(F.col("code_occur_time") < F.lit(half)), rows.where(F.col("code_occur_time") >= F.lit(half))]
+    # A load spans half the window, and so much later ones of its rows may come first.
+    for load in [*loads, jobs.closing(spark, rows.schema, last + (last - first))]:
+        jobs.write_logs(load, source)
+        logs_ = jobs.read_logs(spark, source, rows.schema, files_per_batch=8)
+        jobs.run_once(jobs.dose_warnings(logs_, spark.read.parquet(seed), delay="5 days"), target, checkpoint)
     return spark.read.parquet(target)
 
 
@@ -828,3 +830,20 @@ def stream_text_files(spark, d):
         jobs.run_once(jobs.text_bodies(spark, source), target, state_)
     lines = spark.read.parquet(target).select(F.explode(F.split("text", "\n", -1)).alias("line"))
     return lines.where("line <> ''").groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    sql.text(
+        [],
+        "select line, count(*) as n from (select unnest(string_split(text, chr(10))) as line from text_files) where line <> '' group by line",
+    )
+)
+def ingest_two_runs(spark, d):
+    """Files of two runs, each micro-batch taken in exactly once and noted in a ledger."""
+    source, target, state_ = (scratch_dir(spark, n) for n in ("ingest-in", "ingest-out", "ingest-state"))
+    texts = fixtures.text_files(spark, d)
+    lines = lambda bodies: bodies.select(F.explode(F.split("text", "\n", -1)).alias("line")).where("line <> ''")
+    for part in (0, 1):
+        texts.where(F.pmod(F.xxhash64("source_file"), F.lit(2)) == part).select("text").write.mode("append").text(source)
+        ingest.ingest_once(jobs.text_bodies(spark, source, files_per_batch=4), target, state_, lines)
+    return ingest.rows(spark, target).groupBy("line").agg(F.count(F.lit(1)).alias("n"))
