@@ -11,7 +11,7 @@ from tracelode.llm.common import cut
 NAMES = (
     "row id key bad_id bad_key keep_id keep_key n component hide s_id s_key new copied _keep_id _keep_key _keep_n _s_hide _s_id _s_key "
     "_bad_id _bad_key rid owner repo base hash spans fp text_key component_id w n_words place h items score predicted held_out toxic words"
-).split()
+).split() + ["x.y", "a b", "tick`ed"]
 WORDS = "once upon a time there was some text with words that make a window of thirteen words or more".split()
 
 
@@ -46,7 +46,7 @@ def test_clashing_columns(spark):
     out = stages(spark, docs)
     for name, got in out.items():
         assert got.columns == docs.columns, name
-        assert {r[n] for r in got.select(*NAMES).collect() for n in NAMES} == {7}
+        assert {r[n] for r in got.select(*[f"`{n.replace('`', '``')}`" for n in NAMES]).collect() for n in NAMES} == {7}
     ids = {name: sorted(str(r.doc_id) for r in got.select("doc_id").collect()) for name, got in out.items()}
     assert ids["near"] == ["1", "3", "5", "6", "None"]
     assert ids["bench"] == ["1", "2", "3", "4", "5", "5", "None"]

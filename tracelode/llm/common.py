@@ -45,12 +45,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def named(column: str) -> Column:
+    """A column by its name, whatever the name holds."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def wrapped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(row, id, key): each row of `docs` as one struct, with its id and its text's MD5 (null counts as
     empty text). Joins on these meet no column of `docs`, whatever its columns are called."""
-    every = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    every = F.struct(*map(named, docs.columns))
     return docs.select(
-        every.alias("row"), F.col(f"`{id_col}`").alias("id"), F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("key")
+        every.alias("row"), named(id_col).alias("id"), F.md5(F.coalesce(named(text_col), F.lit(""))).alias("key")
     )
 
 

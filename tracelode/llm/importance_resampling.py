@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructType
 
-from tracelode.llm.common import cut, map_arrow
+from tracelode.llm.common import cut, map_arrow, named
 from tracelode.llm.crc_prefix import run_crcs, running
 
 BUCKETS = 10_000
@@ -81,7 +81,7 @@ def features(
             columns = [*batch.columns[1:], pa.array(words, pa.int64()), pa.array(sizes, pa.int64()), pa.array(found, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    narrow = docs.select(F.col(f"`{text_col}`").cast("binary").alias("_text"), *[c.alias(n) for n, c in carried.items()])
+    narrow = docs.select(named(text_col).cast("binary").alias("_text"), *[c.alias(n) for n, c in carried.items()])
     schema = StructType(narrow.schema.fields[1:])
     for name, kind in (("n_words", LongType()), ("n_features", LongType()), ("buckets", BinaryType())):
         schema = schema.add(name, kind)
@@ -187,9 +187,9 @@ def importance_resampling(
     """
     if not 1 <= runs[0] <= runs[1]:
         raise ValueError(f"lengths of n-grams from {runs[0]} to {runs[1]}")
-    carried = {"doc_id": F.col(f"`{id_col}`")}
+    carried = {"doc_id": named(id_col)}
     if whole_rows:
-        carried["row"] = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        carried["row"] = F.struct(*map(named, docs.columns))
     found = cut(features(docs, carried, text_col=text_col, runs=runs, buckets=buckets))
     wanted = features(target, {}, text_col=target_col, runs=runs, buckets=buckets)
     gain = gains(bucket_counts(found, buckets), bucket_counts(wanted, buckets))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracelode.llm.common import cut, map_arrow
+from tracelode.llm.common import cut, map_arrow, named
 from tracelode.llm.components import connected_components
 
 WIDTH = 4
@@ -332,13 +332,13 @@ def _similar(inter: Column, a: Column, b: Column, percent: int) -> Column:
 def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
     """`members` (region, x, ..) of regions that links have not joined whole, with their label."""
     roots = cut(connected_components(links))
-    named = cut(
+    found = cut(
         members.join(roots.hint("merge"), F.col("x") == F.col("node"), "left").select(*members.columns, F.coalesce("root", "x").alias("label"))
     )
-    open_ = named.groupBy("region").agg(
+    open_ = found.groupBy("region").agg(
         F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight")
     )
-    return named.join(open_.where("a <> b").select("region", "size", "weight").hint("merge"), "region")
+    return found.join(open_.where("a <> b").select("region", "size", "weight").hint("merge"), "region")
 
 
 def _candidates(label: np.ndarray, n: np.ndarray, far: np.ndarray, block: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -502,15 +502,15 @@ def jaccard_components(
     """
     if not 0 < percent <= 100:
         raise ValueError(f"{percent} percent")
-    text = F.col(f"`{text_col}`").cast("binary")
-    texts = docs.select(text.alias("text"), F.col(f"`{id_col}`").alias("doc_id"), F.md5(F.coalesce(text, F.lit(b""))).alias("text_key"))
+    text = named(text_col).cast("binary")
+    texts = docs.select(text.alias("text"), named(id_col).alias("doc_id"), F.md5(F.coalesce(text, F.lit(b""))).alias("text_key"))
     rows, levels = _outlines(texts, width, counts)
     reps = _representatives(texts, levels, width, percent)
     roots = cut(connected_components(links(texts, rows, reps, width=width, percent=percent, **sizes)))
     rooted = reps.select("digest", "key").join(roots.hint("merge"), F.col("key") == F.col("node"), "left")
     least = rows.groupBy("digest").agg(F.min("doc_id").alias("least"))
-    named = cut(rooted.select("digest", F.coalesce("root", "key").alias("root")).join(least, "digest"))
-    best = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = cut(named.join(best.hint("merge"), "root").select("digest", "component_id"))
-    met = rows.where("n > 0").join(named.hint("merge"), "digest").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "digest")
+    grouped = cut(rooted.select("digest", F.coalesce("root", "key").alias("root")).join(least, "digest"))
+    best = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
+    grouped = cut(grouped.join(best.hint("merge"), "root").select("digest", "component_id"))
+    met = rows.where("n > 0").join(grouped.hint("merge"), "digest").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "digest")
     return met.union(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "digest"))

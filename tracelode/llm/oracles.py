@@ -64,11 +64,16 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
   coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
 from d left join n using (rid) left join items using (rid)"""
 
-# The checksum by its table of 256 remainders; the slot map by moving one slot after another.
+# The checksum by its table of 256 remainders; the slot map by moving one slot after another, or exchanging two.
+# Null ids and ids heavier than a mean slot, which the operator spreads, are not stated here.
 _GAP = "list_max(totals) - list_min(totals)"
 _HEAVY = "list_position(totals, list_max(totals)) - 1"
 _FITS = f"""list_filter(range({SLOTS}), lambda s: shard_of[s + 1] = {_HEAVY} and bytes_of[s + 1] > 0 and bytes_of[s + 1] < {_GAP})"""
 _BEST = f"list_min(list_transform({_FITS}, lambda s: [abs(2 * bytes_of[s + 1] - ({_GAP})), s]))[2]"
+_APART = "(bytes_of[s + 1] - bytes_of[l + 1])"
+_PAIR = f"""list_min(flatten(list_transform(list_filter(range({SLOTS}), lambda s: shard_of[s + 1] = heavy and bytes_of[s + 1] > 0), lambda s:
+  list_transform(list_filter(range({SLOTS}), lambda l: shard_of[l + 1] = light and {_APART} > 0 and {_APART} < gap),
+    lambda l: [abs(2 * {_APART} - gap), s, l]))))"""
 SHARDS = f"""with recursive
 table_ as (select list(list_reduce(list_prepend(n, range(8)), lambda c, j: xor(c >> 1, (c & 1) * 3988292384)) order by n) as t
   from range(256) r(n)),
@@ -84,12 +89,14 @@ start_ as (select list(b order by virtual_slot) as bytes_of, list((virtual_slot
 moves as (select 0 as step, bytes_of, shard_of, list_transform(range(16), lambda k: list_sum(list_transform(range({SLOTS}), lambda s:
     case when shard_of[s + 1] = k then bytes_of[s + 1] else 0 end))::bigint) as totals, null::bigint as moved, null::bigint as away from start_
   union all
-  select step + 1, bytes_of, list_transform(shard_of, lambda x, i: case when i - 1 = best then light else x end),
-    list_transform(totals, lambda x, i: case when i - 1 = heavy then x - bytes_of[best + 1] when i - 1 = light then x + bytes_of[best + 1] else x end),
-    best, light
-  from (select *, {_HEAVY} as heavy, list_position(totals, list_min(totals)) - 1 as light, {_BEST} as best from moves
-    where greatest(list_max(totals) - list_sum(totals) / 16, list_sum(totals) / 16 - list_min(totals)) > {SLACK}::double * list_sum(totals) / 16)
-  where best is not null),
+  select step + 1, bytes_of, list_transform(shard_of, lambda x, i: case when i - 1 = away then light when i - 1 = back then heavy else x end),
+    list_transform(totals, lambda x, i: case when i - 1 = heavy then x - net when i - 1 = light then x + net else x end), away, light
+  from (select *, bytes_of[away + 1] - coalesce(bytes_of[back + 1], 0) as net
+    from (select * exclude (moved, away), coalesce(best, pair[2]) as away, pair[3] as back
+      from (select *, case when best is null then {_PAIR} end as pair
+        from (select *, {_HEAVY} as heavy, list_position(totals, list_min(totals)) - 1 as light, {_GAP} as gap, {_BEST} as best from moves
+          where step < {SLOTS} and greatest(list_max(totals) - list_sum(totals) / 16, list_sum(totals) / 16 - list_min(totals)) > {SLACK}::double * list_sum(totals) / 16))))
+  where away is not null),
 last_ as (select shard_of, step from moves order by step desc limit 1),
 placed as (select virtual_slot, shard_of[virtual_slot + 1] as shard, case when step > 0 then 2 else 1 end as map_version, coalesce(sum(n) over (
   partition by shard_of[virtual_slot + 1] order by virtual_slot rows between unbounded preceding and 1 preceding), 0)::bigint as before

@@ -2,7 +2,7 @@
 
 A record's id is hashed into one of a few thousand slots, for good. Records without an id, and those
 of an id that alone outweighs a mean slot, are spread by id, checksum and, where these are equal too,
-by blocks of equal records. Bytes are summed per slot. A stored, versioned map says which shard holds
+by blocks of equal records; as that depends on the table, such records can change slots when it grows. Bytes are summed per slot. A stored, versioned map says which shard holds
 a slot. Its first version deals the slots in turn, before any record is known. Rebalancing reads the
 latest version, moves slots from shards that are too heavy to light ones, leaves all others where
 they are, and stores the result as the next version; more shards than before, or fewer, are the same edit.
@@ -24,8 +24,6 @@ from tracelode.sources.scratch import scratch_dir
 SLOTS = 4096
 #: Share of the mean that a shard may be off it before slots move.
 SLACK = 0.001
-#: The same share for exchanges, which move two slots to narrow a gap and so need more reason.
-EXCHANGE_SLACK = 0.01
 
 
 def slot_of(id_col: Column, slots: int = SLOTS) -> Column:
@@ -51,11 +49,10 @@ def _exchange(heavy: list[int], light: list[int], loads: dict[int, int], gap: in
     found = []
     for slot in heavy:
         load = loads.get(slot, 0)
-        # The best partner is the one below, or the one above, half a gap less.
+        # The best partner is the one below, or the one above, half a gap less; of equal ones the first.
         at = bisect_left(sizes, load - gap / 2)
-        found += [
-            (abs(2 * (load - sizes[i]) - gap), slot, by_load[i]) for i in (at - 1, at) if 0 <= i < len(sizes) and 0 < load - sizes[i] < gap
-        ]
+        near = [at] if at == 0 else [bisect_left(sizes, sizes[at - 1]), at]
+        found += [(abs(2 * (load - sizes[i]) - gap), slot, by_load[i]) for i in near if i < len(sizes) and 0 < load - sizes[i] < gap]
     return min(found)[1:] if found else None
 
 
@@ -80,9 +77,8 @@ class SlotMap:
 
     def rebalance(self, loads: dict[int, int], shards: int | None = None, slack: float = SLACK) -> SlotMap:
         """The next version: slots move from the heaviest to the lightest shard while that narrows their
-        gap and some shard is off the mean by more than `slack`; where all are too large to move and a
-        shard is off by more than EXCHANGE_SLACK, one changes places with a smaller one. All others stay
-        where they are.
+        gap and some shard is off the mean by more than `slack`; where all are too large to move, one changes
+        places with a smaller one. All others stay where they are.
         Shards that no longer exist hand out all their slots."""
         shards = shards or self.shards
         new = SlotMap(shards, self.version + 1, {s: d for s, d in self.of.items() if d < shards})
@@ -104,7 +100,7 @@ class SlotMap:
             fits = [s for s in held[heavy] if 0 < loads.get(s, 0) < gap]
             if fits:
                 moves = [(min(fits, key=lambda s: (abs(2 * loads[s] - gap), s)), heavy, light)]
-            elif off > max(slack, EXCHANGE_SLACK) * mean and (pair := _exchange(held[heavy], held[light], loads, gap)):
+            elif pair := _exchange(held[heavy], held[light], loads, gap):
                 moves = [(pair[0], heavy, light), (pair[1], light, heavy)]
             else:
                 break

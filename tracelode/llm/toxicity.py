@@ -392,7 +392,9 @@ def toxicity(
 def clean_documents(
     docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
-    """`docs` without the rows whose score reaches `threshold`; one pass over the texts, all columns kept."""
+    """`docs` without the rows whose score reaches `threshold`; one pass over the texts, all columns kept, whatever they
+    are called. Null and empty texts get the model's bias; null ids stay and are never learnt; repeated rows are each judged;
+    an empty table gives an empty one; without labels all rows stay, as 0.5 is below the usual threshold."""
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     model = fit(named, labels, usable=~held_out(F.col("doc_id")), **options)
     at = docs.columns.index(text_col)
@@ -402,4 +404,6 @@ def clean_documents(
         for batch in batches:
             yield batch.filter(pa.array([scorer(x.as_py()) < threshold for x in batch.column(at)], pa.bool_()))
 
-    return map_arrow(docs, run, docs.schema)
+    # Numbers for names on the way, as names may hold dots.
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return map_arrow(numbered, run, numbered.schema).toDF(*docs.columns)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelode.llm.common import cut, map_arrow
+from tracelode.llm.common import cut, map_arrow, named
 
 PARTS = 4
 ENTRIES = 256
@@ -121,11 +121,11 @@ class Codebooks:
 
 def usable(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str | None = "label", scale: int = SCALE) -> DataFrame:
     """(vec_id, label, v) of the rows that take part, v as longs; what no long holds counts as the largest or smallest."""
-    vec = F.col(f"`{vec_col}`")
+    vec = named(vec_col)
     whole = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    label = F.col(f"`{label_col}`") if label_col in vectors.columns else F.lit(None).cast("int")
+    label = named(label_col) if label_col in vectors.columns else F.lit(None).cast("int")
     return vectors.where(vec.isNotNull() & whole).select(
-        F.col(f"`{id_col}`").alias("vec_id"), label.alias("label"), F.transform(vec, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v")
+        named(id_col).alias("vec_id"), label.alias("label"), F.transform(vec, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v")
     )
 
 
