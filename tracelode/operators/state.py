@@ -76,7 +76,8 @@ def hourly() -> Column:
 
 
 def busy(rows: DataFrame, most: int = MOST_ROWS, key: str = "eq_name") -> bool:
-    """Whether an equipment (or other key) has more rows than one task should sort: a count over the key alone."""
+    """Whether an equipment (or other key) has more rows than one task should sort: a count over the key alone. It runs
+    at once, so it is asked of a scan, where it reads one column, and handed to all that follows as `sliced`."""
     return bool(rows.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > most).take(1))
 
 
@@ -104,10 +105,10 @@ def drop_test_shots(parsed: DataFrame, threshold: int = JUMP, **form) -> DataFra
     return with_previous_handle(parsed, **form).where(~is_test_shot(threshold)).drop("previous_handle")
 
 
-def test_shots(parsed: DataFrame, threshold: int = JUMP) -> DataFrame:
+def test_shots(parsed: DataFrame, threshold: int = JUMP, **form) -> DataFrame:
     """The rows that drop_test_shots() leaves out, with previous handle and difference."""
     return (
-        with_previous_handle(parsed)
+        with_previous_handle(parsed, **form)
         .where(is_test_shot(threshold))
         .withColumn("handle_diff", F.col("exposure_handle") - F.col("previous_handle"))
     )
@@ -144,14 +145,15 @@ def carry_forward(parsed: DataFrame, seed: DataFrame | None = None, *, sliced: b
     return met.select(*[filled.get(c, F.col(c)).alias(c) for c in parsed.columns if c not in (SLICE, SPREAD)])
 
 
-def handle_jump_audit(parsed: DataFrame, threshold: int = JUMP) -> DataFrame:
+def handle_jump_audit(parsed: DataFrame, threshold: int = JUMP, *, sliced: bool | None = None) -> DataFrame:
     """Rises of more than `threshold` between an equipment's consecutive DW rows with a handle; rows
     without equipment are one group of their own."""
     rows = parsed.where(F.col("code").like("DW-%") & F.col("exposure_handle").isNotNull()).withColumn(
         "_eq", F.coalesce(F.col("eq_name"), F.lit(""))
     )
     order = ("code_occur_time", "er_date", "er_index")
-    slices = hourly() if busy(rows, key="_eq") else None
+    sliced = busy(rows, key="_eq") if sliced is None else sliced
+    slices = hourly() if sliced else None
     met = last_values(rows, ["_eq"], slices, order, {"prev_exposure_handle": F.col("exposure_handle")}, with_current=False)
     return (
         met.withColumn("exposure_handle_diff", F.col("exposure_handle") - F.col("prev_exposure_handle"))

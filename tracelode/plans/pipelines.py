@@ -34,9 +34,13 @@ def dose_table(
     return projected(distinct_rows(filled), dose.PARSED_COLUMNS, dose.INTEGER_COLUMNS)
 
 
-def dose_pipeline(logs: DataFrame, window: tuple[datetime, datetime], seed_window: tuple[datetime, datetime]) -> DataFrame:
-    """dose_table() of `window`, seeded by the latest state of `seed_window`."""
-    return dose_table(logs, *window, seed=latest_wafer_state(dose_table(logs, *seed_window)))
+def dose_pipeline(
+    logs: DataFrame, window: tuple[datetime, datetime], seed_window: tuple[datetime, datetime], *, sliced: bool | None = None
+) -> DataFrame:
+    """dose_table() of `window`, seeded by the latest state of `seed_window`; both are counted as one."""
+    if sliced is None:
+        sliced = busy(scan_dose_logs(logs, min(window[0], seed_window[0]), max(window[1], seed_window[1])))
+    return dose_table(logs, *window, seed=latest_wafer_state(dose_table(logs, *seed_window, sliced=sliced)), sliced=sliced)
 
 
 def dose_run_summary(

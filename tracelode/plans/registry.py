@@ -46,12 +46,17 @@ def _parsed(spark, d):
     return dose.parse_dose_warnings(_scanned(spark, d))
 
 
-def _seed(spark, d):
-    return state.latest_wafer_state(pipelines.dose_table(fixtures.er_raw(spark, d), *fixtures.SEED_WINDOW))
+def _busy(spark, d):
+    """The one count of a query, over the scan of both windows."""
+    return state.busy(_scanned(spark, d, (fixtures.SEED_WINDOW[0], fixtures.WINDOW[1])))
 
 
-def _table(spark, d):
-    return pipelines.dose_pipeline(fixtures.er_raw(spark, d), fixtures.WINDOW, fixtures.SEED_WINDOW)
+def _seed(spark, d, sliced=None):
+    return state.latest_wafer_state(pipelines.dose_table(fixtures.er_raw(spark, d), *fixtures.SEED_WINDOW, sliced=sliced))
+
+
+def _table(spark, d, sliced=None):
+    return pipelines.dose_pipeline(fixtures.er_raw(spark, d), fixtures.WINDOW, fixtures.SEED_WINDOW, sliced=sliced)
 
 
 @query(sql.raw([], "select * from er_raw"))
@@ -115,12 +120,12 @@ def parse_dose_warning(spark, d):
 
 @query(sql.raw(sql.LAG, "select er_index, eq_name, exposure_handle, previous_handle from lagged"))
 def handle_lag(spark, d):
-    return state.with_previous_handle(_parsed(spark, d)).select("er_index", "eq_name", "exposure_handle", "previous_handle")
+    return state.with_previous_handle(_parsed(spark, d), sliced=_busy(spark, d)).select("er_index", "eq_name", "exposure_handle", "previous_handle")
 
 
 @query(sql.raw(sql.KEEP, "select * from kept"))
 def drop_test_shots(spark, d):
-    return state.drop_test_shots(_parsed(spark, d))
+    return state.drop_test_shots(_parsed(spark, d), sliced=_busy(spark, d))
 
 
 @query(
@@ -130,17 +135,20 @@ def drop_test_shots(spark, d):
     )
 )
 def test_shots(spark, d):
-    return state.test_shots(_parsed(spark, d))
+    return state.test_shots(_parsed(spark, d), sliced=_busy(spark, d))
 
 
 @query(sql.raw([*sql.KEEP, sql.filled("filled", "kept")], "select * from filled"))
 def carry_forward(spark, d):
-    return state.carry_forward(state.drop_test_shots(_parsed(spark, d)))
+    sliced = _busy(spark, d)
+    return state.carry_forward(state.drop_test_shots(_parsed(spark, d), sliced=sliced, keep=True), sliced=sliced)
 
 
 @query(sql.raw([*sql.KEEP, *sql.SEED, sql.filled("filled", "kept", "seed")], "select * from filled"))
 def carry_forward_seeded(spark, d):
-    return state.carry_forward(state.drop_test_shots(_parsed(spark, d)), _seed(spark, d))
+    sliced = _busy(spark, d)
+    kept = state.drop_test_shots(_parsed(spark, d), sliced=sliced, keep=True)
+    return state.carry_forward(kept, _seed(spark, d, sliced), sliced=sliced)
 
 
 @query(sql.raw(sql.SEED, "select * from seed"))
@@ -232,7 +240,8 @@ def rows_per_partition(spark, d):
     )
 )
 def log_run_summary(spark, d):
-    return pipelines.dose_run_summary(fixtures.er_raw(spark, d), *fixtures.WINDOW, _seed(spark, d))
+    sliced = _busy(spark, d)
+    return pipelines.dose_run_summary(fixtures.er_raw(spark, d), *fixtures.WINDOW, _seed(spark, d, sliced), sliced=sliced)
 
 
 @query(
@@ -247,7 +256,8 @@ def log_run_summary(spark, d):
     )
 )
 def handle_jump_audit(spark, d):
-    return state.handle_jump_audit(_table(spark, d))
+    sliced = _busy(spark, d)
+    return state.handle_jump_audit(_table(spark, d, sliced), sliced=sliced)
 
 
 @query(
@@ -264,6 +274,24 @@ def raw_missing_from_parsed(spark, d):
     return audit.missing_from_parsed(fixtures.er_raw(spark, d), there, *fixtures.WINDOW)
 
 
+_FAULTS = "er_index % 13 <> 0 or eq_name <> 'EQ3' or cast(code_occur_time as date) <> date '2024-01-12'"
+
+
+@query(
+    sql.raw(
+        [*sql.PIPELINE, f"there as (select * from result where {_FAULTS})"],
+        "select r.er_date, r.er_index, r.er_line, r.eq_name, r.code, r.code_occur_time, r.belong, r.type, r.title, "
+        "nullif(regexp_extract(r.contents, 'exposure_handle\\s*[:=]\\s*([0-9]+)', 1), '') as exposure_handle_raw, r.contents "
+        "from scanned r where not exists (select 1 from there p where p.er_date = r.er_date and p.er_index = r.er_index "
+        "and p.er_line = r.er_line and p.eq_name = r.eq_name and p.code = r.code and p.code_occur_time = r.code_occur_time)",
+    )
+)
+def raw_missing_reconciled(spark, d):
+    """The audit by counts and checksums for each day and machine; only groups that differ are joined."""
+    there = _table(spark, d).where(_FAULTS)
+    return audit.missing_by_groups(fixtures.er_raw(spark, d), there, *fixtures.WINDOW)
+
+
 @query(
     sql.raw(
         [*sql.PARSE, "twice as (select code_occur_time from parsed union all select code_occur_time from parsed where er_index % 11 = 0)"],
