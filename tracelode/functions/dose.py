@@ -79,3 +79,15 @@ def parse_dose_warnings(logs: DataFrame, *carried: str) -> DataFrame:
         *only(ERROR_RULES, "DW"),
         *carried,
     )
+
+
+def unfit_values(code: Column, contents: Column) -> Column:
+    """How many numbers of a message do not fit their columns and so are null there."""
+    family = code_family(code)
+
+    def of(rules, *families):
+        return [F.when(family.isin(*families) & r.unfit(contents), 1).otherwise(0) for r in rules]
+
+    every = [*of(HANDLE_RULES, "DW"), *of(WAFER_RULES, "DW", "LO"), *of(ERROR_RULES, "DW")]
+    # Shorter numbers fit every column.
+    return F.when(contents.rlike(r"\d{6}"), sum(every, F.lit(0))).otherwise(0)

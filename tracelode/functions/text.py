@@ -76,6 +76,11 @@ class FieldRule:
             found = [F.when(v >= self.minimum, v) for v in found]
         return F.coalesce(*found).alias(self.name)
 
+    def unfit(self, text: Column) -> Column:
+        """Whether a pattern finds a number that its type does not hold, so that it is null."""
+        found = [F.regexp_extract(text, FLAGS + p, 1) for p in self.patterns]
+        return any_of([(v != "") & self.typed(v).isNull() for v in found])
+
     def typed(self, value: Column) -> Column:
         if self.kind == "text":
             return strip_trailing_period(value) if self.trim_period else F.nullif(strip(value), F.lit(""))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tracelode.functions import dose, root_cause
@@ -19,7 +19,7 @@ from tracelode.operators.textlines import parse_lines, with_payload
 from tracelode.sources.files import decode_bodies, in_two_days
 from tracelode.sources.logs import scan_dose_logs, scan_root_cause_logs
 from tracelode.sources.scratch import is_written
-from tracelode.sources.sinks import distinct_rows, projected
+from tracelode.sources.sinks import append_by_day, distinct_rows, projected
 
 
 def dose_table(
@@ -57,6 +57,26 @@ def dose_run_summary(
     return run_summary(filled, "_kept", [c for c in filled.columns if c not in ("_kept", "created_at")])
 
 
+def dose_load(
+    logs: DataFrame, path: str, start: datetime, end: datetime, seed: DataFrame | None = None, *, sliced: bool | None = None
+) -> dict[str, int]:
+    """Appends dose_table() to the table at `path` and tells what the writing pass itself saw: rows `fetched`, rows `parsed`
+    (all but test shots), rows `inserted`, and `nulled`, the numbers of fetched messages that no column holds. Nothing is read
+    or counted a second time. Tasks that are run again after a lost executor can be seen twice; the table is right then too."""
+    seen, kept, done = Observation(), Observation(), Observation()
+    scanned = scan_dose_logs(logs, start, end)
+    sliced = busy(scanned) if sliced is None else sliced
+    one = F.count(F.lit(1))
+    unfit = F.coalesce(F.sum(dose.unfit_values(F.col("code"), F.col("contents"))), F.lit(0)).cast("long")
+    parsed = dose.parse_dose_warnings(scanned.observe(seen, one.alias("fetched"), unfit.alias("nulled")))
+    left = drop_test_shots(parsed, sliced=sliced, keep=True).observe(kept, one.alias("parsed"))
+    rows = projected(distinct_rows(carry_forward(left, seed, sliced=sliced)), dose.PARSED_COLUMNS, dose.INTEGER_COLUMNS)
+    append_by_day(rows.observe(done, one.alias("inserted")), path)
+    # Of an empty scan the steps behind it are never run, so they saw nothing; of any other the first row stays.
+    counts = {"fetched": 0, "nulled": 0, "parsed": 0, "inserted": 0} | seen.get
+    return counts | kept.get | done.get if counts["fetched"] else counts
+
+
 def root_cause_pipeline(logs: DataFrame, window: tuple[datetime, datetime]) -> DataFrame:
     """Root causes of the window as result rows, exact repeats removed."""
     parsed = root_cause.parse_root_causes(scan_root_cause_logs(logs, *window))

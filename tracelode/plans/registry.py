@@ -244,6 +244,22 @@ def log_run_summary(spark, d):
     return pipelines.dose_run_summary(fixtures.er_raw(spark, d), *fixtures.WINDOW, _seed(spark, d, sliced), sliced=sliced)
 
 
+@query(
+    sql.raw(
+        sql.PIPELINE,
+        "select (select count(*) from scanned) as fetched, (select count(*) from kept) as parsed, "
+        f"(select count(*) from result) as inserted, (select coalesce(sum({sql.unfit_values('code', 'contents')}), 0)::bigint from scanned) as nulled",
+    ).replace("n_slit=' ||", "n_slit=99999999' ||")
+)
+def load_with_counts(spark, d):
+    """What a load saw while it wrote, of messages some of whose numbers are too long for their column."""
+    longer = F.replace("contents", F.lit("n_slit="), F.lit("n_slit=99999999"))
+    logs_ = fixtures.er_raw(spark, d).withColumn("contents", longer)
+    seed, sliced = _seed(spark, d), _busy(spark, d)
+    counts = pipelines.dose_load(logs_, scratch_dir(spark, "load"), *fixtures.WINDOW, seed, sliced=sliced)
+    return spark.createDataFrame([counts], "fetched long, parsed long, inserted long, nulled long")
+
+
 @query(
     sql.raw(
         [

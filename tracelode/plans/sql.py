@@ -65,6 +65,18 @@ def parse(name: str, source: str) -> str:
     return f"{name} as (select {SOURCE}, {', '.join(columns)} from {source})"
 
 
+def unfit_values(code: str, text: str) -> str:
+    """Numbers of a message whose type does not hold them."""
+    dw, both = f"starts_with({code}, 'DW-')", f"(starts_with({code}, 'DW-') or starts_with({code}, 'LO-'))"
+
+    def one(rule: FieldRule, families: str) -> str:
+        found = " or ".join(f"({group(text, p)} is not null and {typed(rule, group(text, p))} is null)" for p in rule.patterns)
+        return f"case when {families} and ({found}) then 1 else 0 end"
+
+    every = [*[one(r, dw) for r in (*dose.HANDLE_RULES, *dose.ERROR_RULES)], *[one(r, both) for r in dose.WAFER_RULES]]
+    return " + ".join(every)
+
+
 COUNTED = "(eq_name is not null and starts_with(upper(code), 'DW-') and exposure_handle is not null)"
 
 
