@@ -72,9 +72,11 @@ def dose_load(
     left = drop_test_shots(parsed, sliced=sliced, keep=True).observe(kept, one.alias("parsed"))
     rows = projected(distinct_rows(carry_forward(left, seed, sliced=sliced)), dose.PARSED_COLUMNS, dose.INTEGER_COLUMNS)
     append_by_day(rows.observe(done, one.alias("inserted")), path)
-    # Of an empty scan the steps behind it are never run, so they saw nothing; of any other the first row stays.
-    counts = {"fetched": 0, "nulled": 0, "parsed": 0, "inserted": 0} | seen.get
-    return counts | kept.get | done.get if counts["fetched"] else counts
+    counts = {"fetched": 0, "nulled": 0, "parsed": 0, "inserted": 0}
+    for each in (seen, kept, done):
+        # The planner takes steps out once it finds their input empty; they saw nothing, and have no row to tell it.
+        counts |= each.get if each._jo.getRow().length() else {}
+    return counts
 
 
 def root_cause_pipeline(logs: DataFrame, window: tuple[datetime, datetime]) -> DataFrame:
