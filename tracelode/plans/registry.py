@@ -14,6 +14,7 @@ from tracelode.operators.ledger_table import LedgerTable
 from tracelode.plans import fixtures, pipelines, sql
 from tracelode.sources import files as inventories
 from tracelode.sources import logs, sinks
+from tracelode.sources.day_folders import day_folders
 from tracelode.sources.scratch import scratch_dir
 from tracelode.streaming import ingest, jobs
 
@@ -455,6 +456,32 @@ def file_inventory(spark, d):
     return fixtures.files(spark, d).where("folder_date = date'2024-01-02'").select("file_id", "kind", "path")
 
 
+def _laid_out(files, root):
+    """Empty files at the paths of an inventory, each written by a task; gives their number."""
+
+    def write(batches):
+        from pyarrow import fs
+
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                system, base = fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
+                system.create_dir(f"{base}{path}".rsplit("/", 1)[0], recursive=True)
+                system.open_output_stream(f"{base}{path}").close()
+            yield batch
+
+    return files.select("path").distinct().mapInArrow(write, "path string").count()
+
+
+@query(sql.files([], "select distinct kind, path from files where folder_date = date '2024-01-02'"))
+def file_listing(spark, d):
+    """A day's files laid out in folders and listed from there, a folder for each task."""
+    root = scratch_dir(spark, "folders")
+    _laid_out(fixtures.files(spark, d).where("folder_date = date'2024-01-02'"), root)
+    kinds = {"text": "RUBI", "image": "RUIP"}
+    found = [day_folders(spark, f"{root}/{folder}", list(inventories.two_days(ANCHOR))).withColumn("kind", F.lit(kind)) for kind, folder in kinds.items()]
+    return found[0].union(found[1]).select("kind", F.substring("path", len(root) + 1, 4000).alias("path"))
+
+
 @query(sql.files([], "select file_id, kind, path, folder_date from files where folder_date in (date '2024-01-01', date '2024-01-02')"))
 def two_day_window(spark, d):
     return inventories.in_two_days(fixtures.files(spark, d), ANCHOR).select("file_id", "kind", "path", "folder_date")
