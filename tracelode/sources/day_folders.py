@@ -11,6 +11,8 @@ from fnmatch import fnmatchcase
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tracelode.sources.workers import importable
+
 NAME = "day_folders"
 SCHEMA = "folder_date date, path string, name string, modified timestamp, length long"
 
@@ -87,6 +89,7 @@ class DayFolders(DataSource):
 
 def day_folders(spark: SparkSession, root: str, days: list[date] | None = None, pattern: str = "*") -> DataFrame:
     """(folder_date, path, name, modified, length) of the files in the day folders below `root`."""
+    importable(spark)
     spark.dataSource.register(DayFolders)
     reader = spark.read.format(NAME).option("root", root).option("pattern", pattern)
     if days is not None:

@@ -21,6 +21,7 @@ from pyspark.sql.types import StructType
 from tracelode.functions import dose, root_cause
 from tracelode.operators.state import JUMP, LOG_ORDER
 from tracelode.sources.files import decode_bodies
+from tracelode.sources.workers import importable
 
 #: Time of a row as the watermark needs it, and how long rows may come after later ones.
 EVENT_TIME, DELAY = "event_time", "1 day"
@@ -124,6 +125,7 @@ def dose_warnings(logs: DataFrame, seed: DataFrame | None = None, threshold: int
     wafer_id, wafer_seq) fills what no earlier row of the stream gives. Rows that come later than that are not taken
     in; run_once() raises where there were any. Rows without an equipment or a time have no place in any order and pass by.
     """
+    importable(logs.sparkSession)
     timed = logs.withColumn(EVENT_TIME, F.col("code_occur_time").cast("timestamp")).withWatermark(EVENT_TIME, delay)
     parsed = dose.parse_dose_warnings(timed.where(F.col("code").isin(*dose.TARGET_CODES, CLOSING)), EVENT_TIME)
     columns = [c for c in parsed.columns if c != EVENT_TIME]
