@@ -13,7 +13,7 @@ from tracelode.operators import audit, filenames, ledger, matching, state, textl
 from tracelode.operators.ledger_table import LedgerTable
 from tracelode.plans import fixtures, pipelines, sql
 from tracelode.sources import files as inventories
-from tracelode.sources import logs, sinks
+from tracelode.sources import database, logs, sinks
 from tracelode.sources.day_folders import day_folders
 from tracelode.sources.scratch import scratch_dir
 from tracelode.streaming import ingest, jobs
@@ -190,6 +190,41 @@ def append_with_statistics(spark, d):
     return spark.read.parquet(where).select("er_index", "code", "exposure_handle", F.lit(n).cast("long").alias("n_rows"))
 
 
+@query(
+    sql.raw(
+        [*sql.PARSE, "twice as (select * from parsed union all select * from parsed where hour(code_occur_time) < 6)"],
+        "select cast(code_occur_time as date) as event_date, count(*) as n_rows from twice where code_occur_time is not null group by all",
+    )
+)
+def append_with_partition_statistics(spark, d):
+    """Days of a partitioned table, appended to in two runs, with their rows by the catalog's statistics."""
+    rows = sinks.with_day(_parsed(spark, d))
+    name = f"by_day_{uuid.uuid4().hex}"
+    where = scratch_dir(spark, name)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    spark.sql(f"create table {name} ({columns}) using parquet partitioned by (event_date) location '{where}'")
+    days = {*sinks.append_days_to_table(rows, name), *sinks.append_days_to_table(rows.where(F.hour("code_occur_time") < 6), name)}
+    found = sinks.rows_by_statistics(spark, name, "event_date", sorted(days))
+    spark.sql(f"drop table {name}")
+    return spark.createDataFrame(sorted(found.items()), "event_date date, n_rows long")
+
+
+@query(sql.raw(sql.PARSE, "select er_index, eq_name, code, code_occur_time, contents, exposure_handle, de_err from parsed"))
+def database_load(spark, d):
+    """Rows loaded into a database under one load id, twice, and read back. The address is the setting `tracelode.jdbc.url`; a local
+    session without it takes the database in memory that comes with Spark, which other machines could not reach."""
+    url = spark.conf.get("tracelode.jdbc.url", "")
+    if not url:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set tracelode.jdbc.url to a database that all executors reach")
+        url = "jdbc:derby:memory:loads;create=true"
+    rows = _parsed(spark, d).select("er_index", "eq_name", "code", "code_occur_time", "contents", "exposure_handle", "de_err")
+    load = uuid.uuid4().hex
+    for _ in range(2):
+        database.load_table(rows, url, f"er_raw_{load}", load)
+    return logs.from_database(spark, url, database.quoted(f"er_raw_{load}"), preferTimestampNTZ=True)
+
+
 @query(
     sql.raw(
         [*sql.PARSE, "twice as (select * from parsed union all select * from parsed where er_index % 5 = 0)"],

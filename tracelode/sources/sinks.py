@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -48,6 +48,36 @@ def append_to_table(rows: DataFrame, table: str, *, analyze: bool = False) -> No
         spark.sql(f"analyze table {table} compute statistics")
 
 
+def append_days_to_table(rows: DataFrame, table: str, *, day: str = "event_date", columns: Sequence[str] = ()) -> list:
+    """Adds rows to a table that must exist and is partitioned by the date column `day`, and refreshes statistics of the
+    days that the writing pass itself saw, in order returned; files of other days are not read. The planner's own
+    estimates (``spark.sql.cbo.enabled``) rest on the number of rows and the spread of days in the whole table, which come
+    from the files' footers alone; `columns` names further columns to gather, for which their data are read.
+
+    Columns are taken by name. Rows of no day are added, but have no statistics of their own."""
+    spark = rows.sparkSession
+    if not spark.catalog.tableExists(table):
+        raise ValueError(f"no table {table}")
+    seen = Observation()
+    listed = rows.select(*[f"`{c}`" for c in spark.table(table).columns])
+    listed.observe(seen, F.array_sort(F.collect_set(day)).alias("days")).hint("rebalance", day).write.mode("append").insertInto(table)
+    days = seen.get.get("days", []) if seen._jo.getRow().length() else []
+    for one in days:
+        spark.sql(f"analyze table {table} partition ({day} = date'{one}') compute statistics")
+    spark.sql(f"analyze table {table} compute statistics for columns {', '.join(f'`{c}`' for c in dict.fromkeys([day, *columns]))}")
+    return days
+
+
+def rows_by_statistics(spark: SparkSession, table: str, day: str, days: Sequence) -> dict:
+    """Rows of each of the days as the catalog's statistics tell, without those that it knows nothing of."""
+    found = {}
+    for one in days:
+        told = spark.sql(f"describe extended {table} partition ({day} = date'{one}')").where("col_name = 'Partition Statistics'").collect()
+        if told and "rows" in told[0]["data_type"]:
+            found[one] = int(told[0]["data_type"].split(",")[-1].split(" rows")[0])
+    return found
+
+
 #: How CSV files spell null; empty text is an empty field in quotes.
 NULL = "\\N"
 
