@@ -31,8 +31,8 @@ MAX_TOXIC, MAX_OTHER = 2000, 4000
 #: Lengths of the word beginnings that are features beside the whole word.
 PREFIXES = (3, 4, 5, 6)
 #: Features are all words and beginnings whose log odds between the labels are so many standard errors
-#: off, which is beyond chance for as many as are looked at.
-LEAST_Z = 4.0
+#: off. Some of them are so by chance; those get little weight, while a higher value loses the rare words of small samples.
+LEAST_Z = 2.5
 #: Weight of the counterfactual penalty: of the mean squared change of the log odds over all swaps.
 FAIRNESS = 10.0
 
