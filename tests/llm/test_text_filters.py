@@ -208,6 +208,7 @@ def test_wrapped_tagged_and_paraphrased_notices(spark, licence_model):
     forms += [("this library is published under the GNU Lesser General Public License, version 3", "LGPL-3.0")]
     rows = [(i, prose(rnd, 40) + "\n" + text + "\n" + prose(rnd, 40), f) for i, (text, f) in enumerate(forms)]
     for k, (family, all_) in enumerate(license_scan.TEMPLATES.items()):
+        family = "BSD-2-Clause" if family == license_scan.BSD_OPENING else family
         for j, notice in enumerate(all_):
             for width in (30, 76):
                 wrapped = textwrap.wrap(notice, width)
@@ -221,6 +222,37 @@ def test_wrapped_tagged_and_paraphrased_notices(spark, licence_model):
     assert {r.n_confirmed for r in got} == {1}
 
 
+OPENING, CLAUSE = license_scan.TEMPLATES[license_scan.BSD_OPENING][0], license_scan.TEMPLATES["BSD-3-Clause"][0]
+HARD = [
+    (OPENING + ":\n1. Redistributions of source code must retain the above copyright notice.", "BSD-2-Clause"),
+    (OPENING + "\n\n" + CLAUSE, "BSD-3-Clause"),
+    (CLAUSE + "\n\nriver\n\n" + OPENING, "BSD-3-Clause"),
+    ("Licensed under the GNU General Public License v3.0", "GPL-3.0"),
+    ("This is released under GPLv3.", "GPL-3.0"),
+    ("distributed under the terms of the LGPL v2.1", "LGPL-2.1"),
+    ("SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0"),
+    ("SPDX-License-Identifier: Artistic-2.0", "Artistic-2.0"),
+    ("This Font Software is licensed under the SIL Open Font License, Version 1.1.\nThis license is copied below", "OFL-1.1"),
+    ("It is free to use under the terms of the Mozilla Public License v2.0", "MPL-2.0"),
+    ("licensed under Apache License v2.0, see NOTICE", "Apache-2.0"),
+    ("Not licensed under the MIT License.", None),
+    ("we do not use code which is licensed under the Apache License, Version 2.0", None),
+    ("This program is never released under the GNU General Public License, version 3", None),
+    ("The tool isn't distributed under the terms of the MIT License", None),
+    ("The files are no longer licensed under the ISC License", None),
+    ("Not licensed under the MIT License. Released under the ISC License.", "ISC"),
+    ("it is not easy\nReleased under the MIT License", "MIT"),
+    ("SPDX-License-Identifier: LPPL-1.3c", None),
+]
+
+
+def test_versions_denials_and_what_tells_bsd_licences_apart(spark, licence_model):
+    got = {r.doc_id: r for r in scanned(spark, licence_model, [(i, t) for i, (t, _) in enumerate(HARD)])}
+    assert [got[i].license for i in range(len(HARD))] == [w for _, w in HARD]
+    # Openings and clause are one licence, whose notices are counted as they stand.
+    assert (got[1].families, got[1].n_confirmed, got[0].families, got[0].n_confirmed) == ("BSD-3-Clause", 2, "BSD-2-Clause", 1)
+
+
 def test_a_mention_is_no_notice_and_an_unlike_notice_is_unconfirmed(spark, licence_model):
     rnd = random.Random(8)
     rows = [(1, prose(rnd) + "\nwe spoke about the history of the MIT License at the meeting\n" + prose(rnd))]
@@ -248,7 +280,8 @@ def test_scan_equals_a_plain_loop(spark, licence_model):
     tests: dict = {}
     for r in license_scan.template_tests(spark).collect():
         tests.setdefault((r.template, r.family), {}).setdefault(r.test, (r.need, set()))[1].add(r.h)
-    split = [[[w for w in re.split(r"[\W_]+", p.lower()) if w] for p in re.split(r"\n[ \t\r]*\n\s*", text) if p.strip(" \t\r\n")] for _, text in rows]
+    plain = lambda p: re.sub(license_scan.VERSION, " v ", re.sub(license_scan.DENIAL, " ", p.lower()))
+    split = [[[w for w in re.split(r"[\W_]+", plain(p)) if w] for p in re.split(r"\n[ \t\r]*\n\s*", text) if p.strip(" \t\r\n")] for _, text in rows]
     couples = sorted({(a, b) for doc in split for w in doc for a, b in zip(w, w[1:], strict=False)})
     hashed = spark.createDataFrame(couples, "a string, b string").select("a", "b", license_scan.pair_hash(F.col("a"), F.col("b")).alias("h"))
     h_of = {(r.a, r.b): r.h for r in hashed.collect()}
@@ -268,6 +301,8 @@ def test_scan_equals_a_plain_loop(spark, licence_model):
                 for (_, family), each in tests.items():
                     if family in families and all(len(have & hs) >= need for need, hs in each.values()):
                         sure.add((family, p, at))
+        three = any(f == "BSD-3-Clause" for f, _, _ in sure)
+        sure = {(("BSD-3-Clause" if three else "BSD-2-Clause") if f == license_scan.BSD_OPENING else f, p, at) for f, p, at in sure}
         firsts = [f for f, p, at in sure if (f, p, at - 1) not in sure]
         loose = [g for g in guess if not any(g[0] == p and abs(g[1] - at) <= 1 for _, p, at in sure)]
         assert (got[i].n_paragraphs, got[i].families, got[i].n_confirmed, got[i].n_unconfirmed) == (len(doc), ",".join(sorted(set(firsts))), len(firsts), len(loose)), i

@@ -3,9 +3,10 @@
 A paragraph is what stands between blank lines; line ends and comment marks inside it are no more than
 breaks between words, so a wrapped notice reads like any other. Long paragraphs are judged in
 stretches that overlap by half. Features are pairs of neighbouring words, but for pairs of two stop
-words. A multinomial logistic regression with sparse weights is trained on notices (the templates, whole
+words; versions are written one way first. A multinomial logistic regression with sparse weights is trained on notices (the templates, whole
 and in halves, and licence names in phrases that grant) and on what is none: a bounded sample of the
-corpus' own stretches, taken as they come, and names in phrases that only mention. The labels of
+corpus' own stretches, taken as they come, names in phrases that only mention. A clause that denies a grant is
+left out before all this. The labels of
 the notices come from how the rows are made, not from the comparison below. A family is predicted where
 its odds against the unknown class pass a cut that is calibrated on the rows held out of training.
 
@@ -31,7 +32,7 @@ MAX_SAMPLE, MAX_TEXTS = 4000, 1000
 STEP = 60
 #: Share of a template's pairs that a stretch must hold to confirm it.
 CONFIRM = 0.8
-#: Share of stretches with a notice that the calibration assumes.
+#: Share of stretches with a notice that the calibration assumes, and of those that only mention one.
 RATE = 0.02
 
 #: Weight of the unlabelled sample in the first fit.
@@ -40,6 +41,9 @@ DOUBT = 0.05
 UNKNOWN = "unknown"
 #: No grant: names a text only where no licence does.
 RESERVED = "all-rights-reserved"
+#: What both BSD licences open with, as a class of its own until the whole document is known: with the third clause
+#: anywhere in it the opening is BSD-3-Clause, else BSD-2-Clause.
+BSD_OPENING, BSD_TWO, BSD_THREE = "BSD opening", "BSD-2-Clause", "BSD-3-Clause"
 
 # Texts by which licences are granted, each of at most STEP words.
 TEMPLATES = {
@@ -57,9 +61,11 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
         "with the License.",
     ),
-    "BSD-3-Clause": (
+    BSD_OPENING: (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met",
+    ),
+    BSD_THREE: (
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
         "derived from this software without specific prior written permission.",
     ),
@@ -108,6 +114,11 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
         "Public License as published by the Free Software Foundation, either version 3 of the License",
     ),
+    "OFL-1.1": (
+        "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of the Font Software, to use, study, copy, merge, "
+        "embed, modify, redistribute, and sell modified and unmodified copies of the Font Software",
+    ),
     RESERVED: ("All rights reserved.",),
 }
 # Phrases around reserved rights, for training alone.
@@ -126,17 +137,26 @@ NAMES = {
     "BSL-1.0": ("Boost Software License",),
     "MPL-2.0": ("Mozilla Public License 2.0", "Mozilla Public License, version 2.0"),
     "EPL-2.0": ("Eclipse Public License 2.0", "Eclipse Public License, version 2.0"),
-    "GPL-2.0": ("GNU General Public License, version 2", "GNU GPL version 2"),
-    "GPL-3.0": ("GNU General Public License, version 3", "GNU GPL version 3"),
-    "LGPL-2.1": ("GNU Lesser General Public License, version 2.1", "GNU LGPL version 2.1"),
-    "LGPL-3.0": ("GNU Lesser General Public License, version 3", "GNU LGPL version 3"),
-    "AGPL-3.0": ("GNU Affero General Public License, version 3", "GNU AGPL version 3"),
     "CC0-1.0": ("CC0 1.0 Universal", "Creative Commons Zero"),
     "CC-BY-4.0": ("CC BY 4.0", "Creative Commons Attribution 4.0"),
     "CC-BY-SA-4.0": ("CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0"),
     "CC-BY-NC-4.0": ("CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0"),
+    "OFL-1.1": ("SIL Open Font License, version 1.1", "SIL Open Font License 1.1", "SIL OFL 1.1"),
+    "Artistic-2.0": ("Artistic License 2.0", "Artistic License, version 2.0"),
+    "EUPL-1.2": ("European Union Public Licence 1.2", "European Union Public Licence, version 1.2"),
+    "CDDL-1.0": ("Common Development and Distribution License 1.0", "Common Development and Distribution License, version 1.0"),
 }
-# Phrases that grant by name, and phrases that only mention.
+# The licences of the GNU project by short name, long name and versions.
+GNU = (("GPL", "General", ("2", "3")), ("LGPL", "Lesser General", ("2.1", "3")), ("AGPL", "Affero General", ("3",)))
+for _short, _long, _versions in GNU:
+    for _version in _versions:
+        NAMES[f"{_short}-{_version}" if "." in _version else f"{_short}-{_version}.0"] = tuple(
+            f"{name}{between}{_version}"
+            for name in (f"GNU {_long} Public License", f"GNU {_short}", _short)
+            for between in (", version ", " ")
+        )
+# Phrases that grant by name; tags of licences that have no
+# class here; phrases that only mention.
 GRANTS = (
     "Licensed under the {}.", "Released under the {}.", "This work is licensed under the {}.", "Distributed under the terms of the {}.",
     "This software is distributed under the {} terms.", "Made available under {}.", "You may use this file under the {}.",
@@ -146,7 +166,10 @@ GRANTS = (
 TAGS = (
     "SPDX-License-Identifier: {}", "SPDX-License-Identifier: {} OR other", "file name SPDX-License-Identifier: {} import",
 )
+OTHER_TAGS = ("Beerware", "NTP", "Ruby", "PSF-2.0", "Zend-2.0", "W3C", "OpenSSL", "Vim", "AFL-3.0", "OSL-3.0", "MS-PL", "LPPL-1.3c")
 MENTIONS = (
+    "the {} forbids this", "our lawyer explained the {} to us",
+    "unlike the {} this text says nothing", "see the article about the {}", "what the {} means in court", "the {} and other licences",
     "we spoke about the {} at the meeting", "an article on the history of the {}", "he compared the {} with other texts",
     "many people have never read the {}", "the {} was written long ago", "a lecture about {} and its critics",
 )
@@ -160,9 +183,26 @@ STOP_WORDS = (
 FAMILIES = (UNKNOWN, *dict.fromkeys([*TEMPLATES, *NAMES]))
 
 
+#: The ways to write a version: "version 3", "v. 3", "v3", and "GPLv3", whose last letter but the v is of the name.
+VERSION = r"\bversion\b|(?:\b|(?<=[a-z]))v\.?[ \t]*(?=[0-9])"
+
+
+#: A clause of one line that denies a grant: with what it names, as far as the next stop.
+DENIAL = (
+    r"\b(?:not|never|nothing|none|neither|cannot|no longer|[a-z]+n['’]t)\b[^.;:\n]{0,60}?"
+    r"\b(?:licen[sc]ed|released|distributed|published|provided|available|covered)\s+(?:under|by)\b[^.;]{0,60}"
+)
+
+
 def words(text: Column) -> Column:
-    """Lower-case runs of letters and digits."""
-    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1), "")
+    """Lower-case runs of letters and digits, without clauses of denial; versions are written one way: a v, then the number."""
+    plain = F.regexp_replace(F.regexp_replace(F.lower(text), DENIAL, " "), VERSION, " v ")
+    return F.array_remove(F.split(plain, r"[^\p{L}\p{N}]+", -1), "")
+
+
+def tagged() -> list[str]:
+    """Families that have an SPDX name."""
+    return [f for f in FAMILIES if f not in (UNKNOWN, RESERVED, BSD_OPENING)]
 
 
 def pair_hash(a: Column, b: Column) -> Column:
@@ -191,7 +231,7 @@ def texts() -> list[tuple[str, str]]:
     """(family, text) of every template: those above, the names, and SPDX tags."""
     out = [(f, t) for f, ts in TEMPLATES.items() for t in ts]
     out += [(f, n) for f, ns in NAMES.items() for n in ns]
-    return out + [(f, TAGS[0].format(f)) for f in FAMILIES if f not in (UNKNOWN, RESERVED)]
+    return out + [(f, TAGS[0].format(f)) for f in tagged()]
 
 
 def template_tests(spark: SparkSession) -> DataFrame:
@@ -239,9 +279,10 @@ def training_rows(docs: DataFrame, **options) -> DataFrame:
     # A name by itself is no notice.
     made = [(f, t) for f, t in texts() if t not in NAMES.get(f, ())]
     made += [(f, g.format(n)) for f, ns in NAMES.items() for n in ns for g in GRANTS]
-    made += [(f, t.format(f)) for f in FAMILIES if f not in (UNKNOWN, RESERVED) for t in TAGS]
+    made += [(f, t.format(f)) for f in tagged() for t in TAGS]
     made += [(RESERVED, t) for t in RESERVING]
     made += [(UNKNOWN, m.format(n)) for ns in NAMES.values() for n in ns for m in MENTIONS]
+    made += [(UNKNOWN, TAGS[0].format(t)) for t in OTHER_TAGS]
     given = spark.createDataFrame(made, "family string, text string").select("family", words(F.col("text")).alias("w"))
     half = F.ceil(F.size("w") / 2).cast("int")
     parts = F.array(F.col("w"), F.slice("w", 1, half), F.slice("w", F.size("w") - half + 1, half))
@@ -303,12 +344,14 @@ def train(docs: DataFrame, *, text_col: str = "text", rate: float = RATE, **opti
 
     weights = [(int(h), [of(matrix[:, i], k, 0.0) for k in range(len(FAMILIES))]) for i, h in enumerate(features)]
     held = cut(
-        fitted.transform(table.where("part = 0")).select((F.col("family") != UNKNOWN).cast("double").alias("label"), _margin().alias("m"), "n")
+        fitted.transform(table.where("part = 0")).select((F.col("family") != UNKNOWN).cast("double").alias("label"), "own", _margin().alias("m"), "n")
     )
-    n = {r["label"]: r["n"] for r in held.groupBy("label").agg(F.sum("n").alias("n")).collect()}
+    n = {(r["label"], r["own"]): r["n"] for r in held.groupBy("label", "own").agg(F.sum("n").alias("n")).collect()}
     passed = 0.0
-    if len(n) == 2:
-        assumed = F.when(F.col("label") == 1, rate / n[1.0]).otherwise((1 - rate) / n[0.0])
+    if (1.0, False) in n and len(n) > 1:
+        # Made rows are as many as there are phrases: what mentions or denies a licence is taken to be as rare as a notice.
+        assumed = F.when(F.col("label") == 1, rate / n[1.0, False]).when(F.col("own"), (1 - 2 * rate) / n.get((0.0, True), 1.0))
+        assumed = assumed.otherwise(rate / n.get((0.0, False), 1.0))
         scale = LogisticRegression(weightCol="weight", regParam=1e-4).fit(
             held.select("label", array_to_vector(F.array("m")).alias("features"), (assumed * F.col("n")).alias("weight"))
         )
@@ -396,6 +439,13 @@ def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         F.collect_set("sure").alias("sure"),
         F.collect_set("guess").alias("guess"),
     )
+    # The opening of a BSD licence takes its name from the whole document.
+    opening = F.when(F.exists("sure", lambda x: x["family"] == BSD_THREE), BSD_THREE).otherwise(BSD_TWO)
+    called = lambda x: F.when(x["family"] == BSD_OPENING, opening).otherwise(x["family"]).alias("family")
+    gathered = gathered.withColumns({
+        "sure": F.array_distinct(F.transform("sure", lambda x: F.struct(called(x), x["para"].alias("para"), x["at"].alias("at")))),
+        "guess": F.transform("guess", lambda x: F.struct(x["para"].alias("para"), x["at"].alias("at"), called(x))),
+    })
     # The first stretch of each run of neighbours stands for the notice.
     before = lambda x: F.struct(x["family"].alias("family"), x["para"].alias("para"), (x["at"] - 1).alias("at"))
     firsts = F.transform(F.filter("sure", lambda x: ~F.array_contains("sure", before(x))), lambda x: x["family"])
