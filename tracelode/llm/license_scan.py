@@ -196,7 +196,11 @@ DENIAL = (
 
 def words(text: Column) -> Column:
     """Lower-case runs of letters and digits, without clauses of denial; versions are written one way: a v, then the number."""
-    plain = F.regexp_replace(F.regexp_replace(F.lower(text), DENIAL, " "), VERSION, " v ")
+    low = F.lower(text)
+    # What the patterns cannot do without is looked for first, as few texts have it.
+    denies = F.contains(low, F.lit("under")) | F.contains(low, F.lit("by"))
+    told = F.when(denies & low.rlike("licen[sc]ed|released|distributed|published|provided|available|covered"), F.regexp_replace(low, DENIAL, " ")).otherwise(low)
+    plain = F.when(F.contains(low, F.lit("version")) | low.rlike(r"v\.?[ \t]*[0-9]"), F.regexp_replace(told, VERSION, " v ")).otherwise(told)
     return F.array_remove(F.split(plain, r"[^\p{L}\p{N}]+", -1), "")
 
 
