@@ -16,7 +16,7 @@ from tracelode.sources import files as inventories
 from tracelode.sources import database, logs, sinks
 from tracelode.sources.day_folders import day_folders
 from tracelode.sources.scratch import scratch_dir
-from tracelode.streaming import ingest, jobs
+from tracelode.streaming import ingest, jobs, matches
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -953,3 +953,33 @@ def ingest_two_runs(spark, d):
         texts.where(F.pmod(F.xxhash64("source_file"), F.lit(2)) == part).select("text").write.mode("append").text(source)
         ingest.ingest_once(jobs.text_bodies(spark, source, files_per_batch=4), target, state_, lines)
     return ingest.rows(spark, target).groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _stream_match(spark, d, match, asking: str, offered: str):
+    """`match` over two streams of files, which come in two loads."""
+    sides = [_named(spark, d, kind) for kind in (asking, offered)]
+    first, last = sides[0].unionByName(sides[1]).agg(F.min("file_ts"), F.max("file_ts")).first()
+    target, checkpoint = scratch_dir(spark, "match-out"), scratch_dir(spark, "match-state")
+    sources = [scratch_dir(spark, "match-in") for _ in sides]
+    half = first + (last - first) / 2
+    # Files of a load come in any order, so the delay is what a load spans.
+    delay = f"{int((last - half).total_seconds()) + 1} seconds"
+    for before in (True, False):
+        for side, source in zip(sides, sources, strict=True):
+            load = side.where((F.col("file_ts") < F.lit(half)) == before).select("prefix", "folder_date", "file_id", "path", "file_ts")
+            jobs.write_logs(load, source, time="file_ts")
+            if not before:
+                matches.closing_files(spark, load.schema, last + (last - first) + timedelta(days=1)).write.mode("append").parquet(source)
+        streams = [jobs.read_logs(spark, source, load.schema, files_per_batch=8) for source in sources]
+        jobs.run_once(match(*streams, delay=delay), target, checkpoint)
+    return spark.read.parquet(target)
+
+
+@query(ORACLES["match_image_to_text"])
+def stream_image_to_text(spark, d):
+    return _stream_match(spark, d, matches.match_image_to_text, "image", "text")
+
+
+@query(ORACLES["match_text_to_image"])
+def stream_text_to_image(spark, d):
+    return _stream_match(spark, d, matches.match_text_to_image, "text", "image")

@@ -170,10 +170,10 @@ def text_bodies(
 FILE_ROWS = 100_000
 
 
-def write_logs(logs: DataFrame, path: str, most: int = FILE_ROWS) -> None:
-    """Adds `logs` to the stream's source folder: ranges of time, each as files of at most `most` rows in order of time. A
+def write_logs(logs: DataFrame, path: str, most: int = FILE_ROWS, *, time: str = "code_occur_time") -> None:
+    """Adds `logs` to the stream's source folder: ranges of `time`, each as files of at most `most` rows in order of time. A
     range is a task, so the files of a load come in any order; a reader's delay has to cover what one load spans."""
-    ranges = logs.repartitionByRange("code_occur_time").sortWithinPartitions("code_occur_time")
+    ranges = logs.repartitionByRange(time).sortWithinPartitions(time)
     ranges.write.mode("append").option("maxRecordsPerFile", most).parquet(path)
 
 
