@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import random
 import re
-from datetime import datetime
+from datetime import datetime, timezone
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tracelode.functions import dose, root_cause
-from tracelode.functions.text import normalize_contents, snake_code, strip, strip_trailing_period
+from tracelode.functions.text import extract, normalize_contents, snake_code, strip, strip_trailing_period
 
 SAMPLE = (
     "scan 17 of field 4: dose outside its band\nde_err=0.1250000 [%]\nfurther lines follow\n"
@@ -62,9 +63,13 @@ REPORT = (
 
 
 def causes(spark, *texts):
-    rows = [("L1", "EQ1", "ER", "C", datetime(2026, 1, 1), "b", "t", "title", x, "r", "k", None) for x in texts]
+    return causes_frame(spark, *texts)
+
+
+def causes_frame(spark, *texts, **options):
+    rows = [("L1", "EQ1", "ER", "C", datetime(2026, 1, 1), "b", "t", str(i), x, "r", "k", None) for i, x in enumerate(texts)]
     kinds = ", ".join(f"{c} {'timestamp_ntz' if c == 'code_occur_time' else 'string'}" for c in root_cause.SOURCE_COLUMNS)
-    return root_cause.parse_root_causes(spark.createDataFrame(rows, kinds))
+    return root_cause.parse_root_causes(spark.createDataFrame(rows, kinds), **options)
 
 
 def test_root_cause_report(spark):
@@ -90,6 +95,40 @@ def test_rules_agree_with_python_patterns(spark):
         assert got[r.name] == (found[1] if found else ""), r.name
 
 
+def test_one_pass_equals_each_rule_by_itself(spark):
+    """Random reports: labels at the start of lines, inside them and next to each other, empty, repeated, with odd values."""
+    draw = random.Random(5)
+    labels = ["Dose error detected in file", "Root cause", "root  Clause", "Exposure ID", "Exposesue I D", "Time", "TIME", "Min. dose error", "Max.dose error",
+              "Software version", *root_cause.METRICS, *root_cause.INTEGRAL_METRICS, "Sensitivity", "overtime"]
+    values = ["5", "-0.25 [perc]", "+3.0", "1e-5", "n/a", "", "  ", ".", "x.tar.", "8.5.", "99999999999999999999", "2031-02-03t04:05:06z", "a: b", "Time: 7", "\r5"]
+    texts = []
+    for _ in range(600):
+        parts = []
+        for _ in range(draw.randrange(12)):
+            parts.append(draw.choice([draw.choice(labels), draw.choice(labels).upper(), draw.choice(values)]))
+            parts.append(draw.choice([":", " : ", ": ", "\t:\n", " "]))
+            parts.append(draw.choice(values))
+            parts.append(draw.choice(["\n", "\n", "\n", "\n ", "\r\n", " ", "\n\n", ""]))
+        texts.append(("".join(parts),))
+    rows = spark.createDataFrame([*texts, (None,), ("",)], "t string")
+    # Python knows no year beyond 9999.
+    shown = lambda df: df.withColumn("source_code_occur_time", F.col("source_code_occur_time").cast("string"))
+    got = shown(root_cause.with_fields(rows, "t"))
+    want = shown(rows.select("t", *extract(F.col("t"), root_cause.RULES)))
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert want.where("root_cause_message is not null").count() > 50 and want.where("fed_pulses is not null").count() > 5
+
+
+def test_instants(spark):
+    times = ["2031-02-03T04:05:06.5+09:00", "2031-02-03t04:05:06z", "2031-02-03T04:05:06", "2031-02-03", "soon", "2031-02-31T00:00:00Z"]
+    texts = [f"dose error detected in file: x\nRoot cause: y\nTime: {t}" for t in times]
+    got = {r.title: r for r in causes_frame(spark, *texts, instants=True).withColumn("us", F.unix_micros("source_code_occur_instant")).collect()}
+    at = lambda *a: int(datetime(*a, tzinfo=timezone.utc).timestamp() * 1_000_000)
+    assert [got[str(i)].us for i in range(6)] == [at(2031, 2, 2, 19, 5, 6) + 500_000, at(2031, 2, 3, 4, 5, 6), None, None, None, None]
+    assert got["0"].source_code_occur_time == datetime(2031, 2, 3, 4, 5, 6, 500_000)
+
+
 def test_dominant_value(spark):
     rows = [(Decimal("-2"), Decimal("1")), (Decimal("-1"), Decimal("1")), (Decimal("-1"), Decimal("3")), (None, Decimal("1")), (Decimal("1"), None), (None, None)]
     df = spark.createDataFrame(rows, "a decimal(12,7), b decimal(12,7)")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,6 @@ from tracelode.functions.text import (
     FLAGS,
     INTEGER,
     FieldRule,
-    extract,
     normalize_contents,
     snake_code,
     strip,
@@ -66,18 +67,10 @@ METRICS = {
 INTEGRAL_METRICS = {"pulses_euv<0.6dt_tot": "pulses_euv_lt_0_6dt_tot", "fed pulses": "fed_pulses"}
 
 
-def literal(label: str) -> str:
-    """A label as a pattern that Java and RE2 read alike: marks in character classes, nothing escaped by a backslash."""
-    return "".join(f"[{c}]" if c in ".<=+-" else c for c in label)
-
-
-def line_pattern(*labels: str) -> str:
-    """A metric: one of the labels at the start of a line, a colon, a number; the unit behind is left out."""
-    return rf"^{'|'.join(map(literal, labels))}\s*:\s*{DECIMAL}" if len(labels) == 1 else rf"^({'|'.join(map(literal, labels))})\s*:\s*{DECIMAL}"
-
+def line_pattern(label: str) -> str:
+    """A metric: the label at the start of a line, a colon, a number; the unit behind is left out."""
+    return rf"^{re.escape(label)}\s*:\s*{DECIMAL}"
 
-#: All metric lines at once: label, number.
-ANY_LINE = line_pattern(*METRICS, *INTEGRAL_METRICS)
 
 METRIC_RULES = tuple(FieldRule(c, (line_pattern(label),), "decimal") for label, c in METRICS.items())
 INTEGRAL_RULES = tuple(FieldRule(c, (line_pattern(label),), "integral") for label, c in INTEGRAL_METRICS.items())
@@ -112,28 +105,79 @@ def dominant_dose_error(least: Column, most: Column) -> Column:
     return F.when(most.isNull() | (F.abs(least) >= F.abs(most)), least).otherwise(most)
 
 
-def with_metrics(rows: DataFrame, text: str) -> DataFrame:
-    """`rows` with all metric columns, from two passes over column `text`: the labels of all metric lines,
-    and their numbers. The first line of a label counts, as if each had been searched by itself."""
-    names = F.transform(F.regexp_extract_all(text, F.lit(FLAGS + ANY_LINE), F.lit(1)), F.lower)
-    found = rows.withColumns({"_names": names, "_numbers": F.regexp_extract_all(text, F.lit(FLAGS + ANY_LINE), F.lit(2))})
-    values = {
-        rule.name: rule.typed(F.get("_numbers", (F.array_position("_names", label) - 1).cast("int")))
-        for rule, label in zip((*METRIC_RULES, *INTEGRAL_RULES), (*METRICS, *INTEGRAL_METRICS), strict=True)
-    }
-    return found.select("*", *[v.alias(n) for n, v in values.items()]).drop("_names", "_numbers")
+RULES = (*IDENTITY_RULES, *METRIC_RULES, *INTEGRAL_RULES)
+#: What may stand behind a label's colon for a field of a kind; all others are numbers.
+_VALUES = {"text": ".+", "time": r"[^\s]+"}
+_NUMBER = r"[+-]?\d+(?:\.\d+)?"
+_BLANK = " \t\n\x0b\f\r"
+#: Labels of identity fields as they are written, blanks left out; the second is the first misspelt.
+_WRITTEN = {
+    "source_file_name": ("doseerrordetectedinfile",),
+    "source_exposure_id": ("exposureid", "exposesueid"),
+    "source_code_occur_time": ("time",),
+    "root_cause_message": ("rootcause", "rootclause"),
+    "min_dose_error": ("min.doseerror",),
+    "max_dose_error": ("max.doseerror",),
+    "software_version": ("softwareversion",),
+}
+_LABELS = {
+    **{name: written[0] for name, written in _WRITTEN.items()},
+    **{column: label.replace(" ", "") for label, column in (METRICS | INTEGRAL_METRICS).items()},
+}
+
+
+def _entry_pattern() -> str:
+    """Every place where a label with a value that fits its kind starts; the entry is looked at and not taken, so that one
+    entry's text hides no other."""
+    labels: dict[str, list[str]] = {}
+    for rule in RULES:
+        label = rule.patterns[0].split(r"\s*:\s*")[0]
+        labels.setdefault(_VALUES.get(rule.kind, _NUMBER), []).append(label)
+    return "(?=(" + "|".join(rf"(?:{'|'.join(found)})\s*:\s*{value}" for value, found in labels.items()) + "))"
+
+
+ENTRY = _entry_pattern()
+
+
+def with_fields(rows: DataFrame, text: str, rules: tuple[FieldRule, ...] = RULES, *, instants: bool = False) -> DataFrame:
+    """`rows` with the columns of `rules`, from one pass over column `text`. The pass gives the report's entries, labels
+    with their values; a rule then looks at the first entry of its label, as if it had searched the whole text by
+    itself. An empty label takes the next line's text. With `instants` also source_code_occur_instant."""
+    entries = rows.withColumn("_entries", F.regexp_extract_all(text, F.lit(FLAGS + ENTRY), F.lit(1)))
+
+    def label(entry: Column) -> Column:
+        name = F.translate(F.lower(F.split_part(entry, F.lit(":"), F.lit(1))), _BLANK, "")
+        for right, *others in _WRITTEN.values():
+            for other in others:
+                name = F.when(name == other, right).otherwise(name)
+        return name
+
+    named = entries.withColumn("_names", F.transform("_entries", label))
+    of = lambda name: F.get("_entries", (F.array_position("_names", _LABELS[name]) - 1).cast("int"))
+    found = [rule.column(of(rule.name)) for rule in rules]
+    if instants:
+        found.append(instant(of("source_code_occur_time")).alias("source_code_occur_instant"))
+    return named.select("*", *found).drop("_entries", "_names")
+
+
+def instant(text: Column) -> Column:
+    """The instant of the first time entry of `text`; null where it has no offset, as it is then not known."""
+    (rule,) = (r for r in IDENTITY_RULES if r.kind == "time")
+    value = F.upper(F.regexp_extract(text, FLAGS + rule.patterns[0], 1))
+    return F.when(value.rlike(r":\d\d(\.\d+)?(Z|[+-]\d\d:\d\d)\z"), value).try_cast("timestamp")
 
 
-def parse_root_causes(logs: DataFrame) -> DataFrame:
+def parse_root_causes(logs: DataFrame, *, instants: bool = False) -> DataFrame:
     """Root-cause reports among `logs` with all parsed columns; other rows (and null contents) go.
-    The normalised text is worked out once, before the rules."""
+    The normalised text is worked out once, before the rules. Times are wall-clock times as the table has them; with
+    `instants` a further column source_code_occur_instant keeps their offset."""
     text = F.col("_text")
     kept = logs.select(*SOURCE_COLUMNS, normalize_contents(F.coalesce(F.col("contents"), F.lit(""))).alias("_text")).where(
         is_root_cause(text)
     )
-    parsed = with_metrics(kept, "_text").select("*", *extract(text, IDENTITY_RULES))
+    parsed = with_fields(kept, "_text", instants=instants)
     return parsed.select(
         "*",
         snake_code(F.col("root_cause_message")).alias("root_cause_code"),
         dominant_dose_error(F.col("min_dose_error"), F.col("max_dose_error")).alias("dose_error"),
-    ).select(*PARSED_COLUMNS)
+    ).select(*PARSED_COLUMNS, *["source_code_occur_instant"] * instants)

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from tracelode.functions import dose, root_cause
-from tracelode.functions.text import extract, normalize_contents, snake_code, strip_trailing_period
+from tracelode.functions.text import normalize_contents, snake_code, strip_trailing_period
 from tracelode.operators import audit, filenames, ledger, matching, state, textlines
 from tracelode.operators.ledger_table import LedgerTable
 from tracelode.plans import fixtures, pipelines, sql
@@ -396,14 +396,9 @@ def root_cause_gate(spark, d):
 
 
 def _fields(spark, d, rules):
-    text = normalize_contents(F.coalesce("contents", F.lit("")))
-    return _euv(spark, d).select("eq_name", "code_occur_time", text.alias("t")).select("eq_name", "code_occur_time", *extract(F.col("t"), rules))
-
-
-def _metrics(spark, d, rules):
     text = normalize_contents(F.coalesce("contents", F.lit("")))
     rows = _euv(spark, d).select("eq_name", "code_occur_time", text.alias("t"))
-    return root_cause.with_metrics(rows, "t").select("eq_name", "code_occur_time", *[r.name for r in rules])
+    return root_cause.with_fields(rows, "t", rules).drop("t")
 
 
 def _fields_sql(rules):
@@ -417,12 +412,12 @@ def parse_root_cause_identity(spark, d):
 
 @query(_fields_sql(root_cause.METRIC_RULES))
 def parse_root_cause_metrics(spark, d):
-    return _metrics(spark, d, root_cause.METRIC_RULES)
+    return _fields(spark, d, root_cause.METRIC_RULES)
 
 
 @query(_fields_sql(root_cause.INTEGRAL_RULES))
 def parse_integral_metrics(spark, d):
-    return _metrics(spark, d, root_cause.INTEGRAL_RULES)
+    return _fields(spark, d, root_cause.INTEGRAL_RULES)
 
 
 @query(sql.query(_PARSED_EUV, f"select {_KEY}, min_dose_error, max_dose_error, dose_error from causes"))
@@ -453,6 +448,22 @@ def parse_iso_time(spark, d):
     return _fields(spark, d, tuple(r for r in root_cause.IDENTITY_RULES if r.kind == "time"))
 
 
+(_TIME,) = (r for r in root_cause.IDENTITY_RULES if r.kind == "time")
+
+
+@query(
+    sql.query(
+        [*sql.EUV, sql.GATED],
+        f"select {_KEY}, {sql.field(_TIME, 't')} as source_code_occur_time, "
+        f"epoch_us(try_cast(upper({sql.group('t', _TIME.patterns[0])}) as timestamptz)) as instant_us from gated",
+    )
+)
+def parse_iso_instant(spark, d):
+    """Wall-clock time and instant (microseconds since 1970, UTC) of the reports' times."""
+    causes = root_cause.parse_root_causes(_euv(spark, d), instants=True)
+    return causes.select("eq_name", "code_occur_time", "source_code_occur_time", F.unix_micros("source_code_occur_instant").alias("instant_us"))
+
+
 @query(sql.query(_PARSED_EUV, f"select {sql.EUV_PARSED} from causes"))
 def parse_root_cause(spark, d):
     return _causes(spark, d)
