@@ -128,12 +128,14 @@ _LABELS = {
 
 def _entry_pattern() -> str:
     """Every place where a label with a value that fits its kind starts; the entry is looked at and not taken, so that one
-    entry's text hides no other."""
-    labels: dict[str, list[str]] = {}
+    entry's text hides no other. Where a label may start is asked once for all of them."""
+    starts: dict[str, dict[str, list[str]]] = {}
     for rule in RULES:
         label = rule.patterns[0].split(r"\s*:\s*")[0]
-        labels.setdefault(_VALUES.get(rule.kind, _NUMBER), []).append(label)
-    return "(?=(" + "|".join(rf"(?:{'|'.join(found)})\s*:\s*{value}" for value, found in labels.items()) + "))"
+        start = "^" if label[0] == "^" else r"\b"
+        starts.setdefault(start, {}).setdefault(_VALUES.get(rule.kind, _NUMBER), []).append(label.removeprefix(start))
+    entry = lambda found: "|".join(rf"(?:{'|'.join(labels)})\s*:\s*{value}" for value, labels in found.items())
+    return "(?=(" + "|".join(f"{start}(?:{entry(found)})" for start, found in starts.items()) + "))"
 
 
 ENTRY = _entry_pattern()
@@ -149,7 +151,7 @@ def with_fields(rows: DataFrame, text: str, rules: tuple[FieldRule, ...] = RULES
         name = F.translate(F.lower(F.split_part(entry, F.lit(":"), F.lit(1))), _BLANK, "")
         for right, *others in _WRITTEN.values():
             for other in others:
-                name = F.when(name == other, right).otherwise(name)
+                name = F.replace(name, F.lit(other), F.lit(right))
         return name
 
     named = entries.withColumn("_names", F.transform("_entries", label))
