@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
-from tracelode.operators import filenames
+from tracelode.operators import filenames, matching
 from tracelode.plans import fixtures, registry
 
 SMALL = "/root/testdata/sf0.001"
@@ -16,3 +17,14 @@ def test_texts_are_made_and_filtered_behind_the_exchange(spark, made):
     plan = made(spark)._jdf.queryExecution().optimizedPlan().toString()
     above, scan = plan.split("RepartitionByExpression")
     assert "regexp" in above and "regexp" not in scan
+
+
+def test_prefixes_of_many_files_are_sliced(spark, monkeypatch):
+    named = filenames.accepted(fixtures.files(spark, SMALL))
+    sides = [named.where(F.col("kind") == kind) for kind in ("text", "image")]
+    plain = matching.match_exclusive(*sides, sliced=False)
+    asked = []
+    monkeypatch.setattr(matching, "busy", lambda rows, most, key: asked.append(most) or True)
+    sliced = matching.match_exclusive(*sides)
+    assert asked == [matching.MOST_FILES] and matching.MOST_FILES <= 1_000_000
+    assert sliced.exceptAll(plain).count() == 0 and plain.exceptAll(sliced).count() == 0

@@ -18,6 +18,8 @@ from tracelode.sources.scratch import written
 
 #: Seconds that a match may span, the bound included.
 REACH = 300
+#: Files of one prefix that one task sorts at most; beyond it the exclusive match is sliced.
+MOST_FILES = 500_000
 #: Seconds in a slice; any value from REACH on gives the same result.
 SLICE_SECONDS = 3600
 
@@ -80,7 +82,7 @@ def stacked(texts: DataFrame, images: DataFrame, *, sliced: bool | None = None)
     for a text that found it empty, `o` what stands before a row at its level (of a text with a level, what it took). A
     prefix with very many files is cut into slices of time (counted first), or as `sliced` says."""
     both = _side(images, "image", ["prefix"]).unionByName(_side(texts, "text", ["prefix"]))
-    sliced = busy(both, key="prefix") if sliced is None else sliced
+    sliced = busy(both, MOST_FILES, "prefix") if sliced is None else sliced
     is_image = F.col("kind") == "image"
     # Images before texts of the same second, images falling and texts rising by path and id.
     both = both.withColumns(
