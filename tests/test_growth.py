@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tracelode.operators import filenames, matching
 from tracelode.plans import fixtures, registry
+from tracelode.streaming import jobs
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -28,3 +29,14 @@ def test_prefixes_of_many_files_are_sliced(spark, monkeypatch):
     sliced = matching.match_exclusive(*sides)
     assert asked == [matching.MOST_FILES] and matching.MOST_FILES <= 1_000_000
     assert sliced.exceptAll(plain).count() == 0 and plain.exceptAll(sliced).count() == 0
+
+
+def test_a_stream_of_many_files_is_few_batches(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(100).repartition(25).write.parquet(source)
+    schema = spark.range(1).schema
+    for options, batches in (({"bytes_per_batch": registry.BATCH}, 1), ({"files_per_batch": 5}, 5)):
+        out = f"{target}{batches}"
+        jobs.run_once(jobs.read_logs(spark, source, schema, **options), out, f"{out}-state")
+        assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(100))
+        assert len(list((tmp_path / f"out{batches}-state" / "commits").glob("[0-9]*"))) == batches
