@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,3 +42,12 @@ def test_a_stream_of_many_files_is_few_batches(spark, tmp_path):
         jobs.run_once(jobs.read_logs(spark, source, schema, **options), out, f"{out}-state")
         assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(100))
         assert len(list((tmp_path / f"out{batches}-state" / "commits").glob("[0-9]*"))) == batches
+
+
+@pytest.mark.parametrize("days", [1, 2, 8, 9, 49, 3000])
+def test_runs_of_a_history_are_whole_days_and_few(days):
+    first = date(2024, 1, 1)
+    cuts = registry.run_cuts(first, first + timedelta(days=days - 1))
+    start = datetime(2024, 1, 1)
+    assert (cuts[0], cuts[-1]) == (start, start + timedelta(days=days)) and len(cuts) - 1 <= registry.MOST_RUNS
+    assert all(a < b and b == datetime.combine(b.date(), datetime.min.time()) for a, b in zip(cuts, cuts[1:], strict=False))
