@@ -98,3 +98,13 @@ def test_long_texts_are_read_piece_by_piece(monkeypatch, piece):
 
 def test_empty_table(spark):
     assert jj.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_rows_of_asked_keys_are_near(spark, few):
+    rows = spark.range(200_000).selectExpr("id as x", "cast(id as string) as name")
+    keys = spark.range(0, 200_000, 1000)
+    for column, asked in (("x", keys), ("name", keys.selectExpr("cast(id as string) as k"))):
+        near = jj._near(rows, column, asked, few)
+        assert near.columns == rows.columns and near.where("x % 1000 = 0").count() == 200 and near.count() < 3000
+    assert jj._near(rows, "x", keys.limit(0), few).count() == 0

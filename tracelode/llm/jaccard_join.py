@@ -51,8 +51,12 @@ PIVOTS = 16
 MORE = 7
 #: Documents at one shingle whose pairs are counted; where more meet, one is the pivot of all.
 CROWD = 16
-#: Rows of two numbers, or of a checksum, that are broadcast; more are joined by an exchange.
-FEW = 500_000
+#: Keys for which a table of bits (_near()) has SPARE bits each; for more it stays as large, and lets more rows through.
+FEW, SPARE = 1 << 22, 16
+#: Bits in one row of such a table.
+MAP = 1 << 15
+#: Shingles at which most documents meet, at most, that are broadcast.
+HEAVY = 2_000
 #: Bits of a document's key that number it; those above rank it as a pivot.
 NUMBER_BITS = 53
 
@@ -259,6 +263,20 @@ def _representatives(texts: DataFrame, levels: np.ndarray, width: int, percent:
     return cut(one.select("digest", "n", key.alias("key"), "first"))
 
 
+def _near(rows: DataFrame, column: str, keys: DataFrame, few: int) -> DataFrame:
+    """`rows` without most of those whose `column` is not in `keys` (one column; read twice), so that the join that follows exchanges
+    hardly more than it needs. The keys' hashes are bits of a table of bounded size, rows of MAP bits, that is broadcast."""
+    bits = MAP
+    while bits < SPARE * min(keys.count(), few):
+        bits *= 2
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    place = keys.select(at(keys.columns[0]).alias("_at"))
+    maps = place.groupBy(F.expr(f"_at div {MAP}").alias("_map")).agg(F.bitmap_construct_agg(F.col("_at") % MAP).alias("_bits"))
+    met = rows.withColumn("_at", at(column)).withColumn("_map", F.expr(f"_at div {MAP}")).join(F.broadcast(maps), "_map")
+    byte = F.conv(F.hex(F.col("_bits").substr(F.expr(f"cast(_at % {MAP} div 8 as int) + 1"), F.lit(1))), 16, 10).cast("long")
+    return met.where(F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1).select(*rows.columns)
+
+
 def _meetings(reps: DataFrame, percent: int, crowd: int, few: int) -> tuple[DataFrame, DataFrame]:
     """(region, x) of the shingles at which more than `crowd` documents meet: the pivot, and all others that meet
     there; and (region, x), one way round, of other documents that meet often enough to link."""
@@ -267,8 +285,12 @@ def _meetings(reps: DataFrame, percent: int, crowd: int, few: int) -> tuple[Data
     met = cells.groupBy("s").agg(F.min("key").alias("a"), F.max("key").alias("b"), F.bit_xor("key").alias("all"), F.count(F.lit(1)).alias("n"))
     met = cut(met.where("n > 1"))
     several = met.where("n > 3").select("s", F.col("a").alias("region"), "n")
-    several = F.broadcast(several) if several.count() <= few else several.hint("merge")
-    several = cut(cells.join(several, "s"))
+    # At most HEAVY shingles have more than that, and no group of the others is large.
+    most = (several.agg(F.sum("n")).first()[0] or 0) // HEAVY
+    heavy, light = several.where(F.col("n") > most), several.where(F.col("n") <= most)
+    several = cut(
+        cells.join(F.broadcast(heavy), "s").union(_near(cells, "s", light.select("s"), few).join(light.hint("merge"), "s"))
+    )
     regions = several.where((F.col("n") > crowd) & (F.col("key") != F.col("region"))).select("region", F.col("key").alias("x")).distinct()
     pair = lambda u, v: F.struct(F.least(u, v).alias("region"), F.greatest(u, v).alias("x"))
     a, b = F.col("a"), F.col("b")
@@ -290,31 +312,35 @@ def _meetings(reps: DataFrame, percent: int, crowd: int, few: int) -> tuple[Data
     return cut(regions), cut(some.union(rest.where(F.col("times") >= need).select("region", "x")))
 
 
-def _needed_sets(texts: DataFrame, rows: DataFrame, reps: DataFrame, keys: DataFrame, width: int, few: int) -> DataFrame:
-    """(x, n, shingles): the sets of the documents whose keys are asked for, as bytes. One text of each is read."""
+def _needed_sets(texts: DataFrame, rows: DataFrame, reps: DataFrame, pairs: DataFrame, width: int, few: int) -> DataFrame:
+    """(x, n, regions, shingles): the sets of the documents in `pairs` (region, x), as bytes, with the regions that they are
+    the x of. One text of each is read."""
     one = rows.groupBy("digest").agg(F.min("text_key").alias("text_key"))
-    asked = reps.select("digest", F.col("key").alias("x"), "n").join(keys.select(F.col("k").alias("x")).distinct(), "x", "left_semi")
-    asked = cut(asked.join(one, "digest").select("text_key", "x", "n"))
-    sent = F.broadcast(asked) if asked.count() <= few else asked.hint("merge")
+    # As many for a document as its window has shingles and these have others to be paired with.
+    keys = pairs.select("x", "region").union(pairs.select(F.col("region").alias("x"), F.lit(None).cast("long")))
+    asked = reps.select("digest", F.col("key").alias("x"), "n").join(keys.groupBy("x").agg(F.collect_list("region").alias("regions")), "x")
+    asked = cut(asked.join(one, "digest").select("text_key", "x", "n", "regions"))
     # Copies are told apart by nothing that is read here, so the first of them does.
-    found = texts.join(sent, "text_key").groupBy("x").agg(F.first("n").alias("n"), F.first("text").alias("text")).select("text", "x", "n")
+    found = _near(texts.select("text_key", "text"), "text_key", asked.select("text_key"), few)
+    found = found.groupBy("text_key").agg(F.first("text").alias("text")).join(asked.hint("merge"), "text_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _sets(batches, width):
             columns = [*batch.columns[1:], pa.array([x.tobytes() for x in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["x", "n", "shingles"])
+            yield pa.RecordBatch.from_arrays(columns, names=["x", "n", "regions", "shingles"])
 
-    return cut(map_arrow(found, run, "x long, n long, shingles binary"))
+    return cut(map_arrow(found.select("text", "x", "n", "regions"), run, "x long, n long, regions array<long>, shingles binary"))
 
 
 def _array(binary: pa.Scalar) -> np.ndarray:
     return np.frombuffer(binary.as_py(), np.uint64)
 
 
-def _to_pivots(regions: DataFrame, sets: DataFrame) -> DataFrame:
-    """`regions` with n, n_pivot and inter: the sizes of the document, of the pivot and of what they share."""
-    mine = regions.join(sets, "x")
-    theirs = sets.select(F.col("x").alias("region"), F.col("n").alias("n_pivot"), F.col("shingles").alias("of_pivot"))
+def _to_pivots(pairs: DataFrame, sets: DataFrame, few: int) -> DataFrame:
+    """`pairs` (region, x) with n, n_pivot and inter: the sizes of the document, of the pivot and of what they share."""
+    mine = sets.select(F.explode("regions").alias("region"), "x", "n", "shingles")
+    theirs = _near(sets, "x", pairs.select("region").distinct(), few)
+    theirs = theirs.select(F.col("x").alias("region"), F.col("n").alias("n_pivot"), F.col("shingles").alias("of_pivot"))
     met = mine.join(theirs.hint("merge"), "region").select("region", "x", "n", "n_pivot", "shingles", "of_pivot")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,7 +382,7 @@ def _candidates(label: np.ndarray, n: np.ndarray, far: np.ndarray, block: np.nda
 LEAF_ROW = "region long, x long, n long, far double, label long, block long"
 
 
-def _leaf_links(leaves: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _leaf_links(leaves: DataFrame, sets: DataFrame, percent: int, few: int) -> DataFrame:
     """Links (u, v) of all pairs inside groups of bounded size; `leaves` is LEAF_ROW."""
 
     def columns(table: pa.Table) -> list[np.ndarray]:
@@ -389,18 +415,19 @@ def _leaf_links(leaves: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     asked = cut(leaves.groupBy("region", "block_pair").applyInArrow(narrow, LEAF_ROW + ", block_pair long"))
-    whole = asked.join(sets.select("x", "shingles"), "x")
+    whole = asked.join(_near(sets.select("x", "shingles"), "x", asked.select("x"), few), "x")
     return cut(whole.groupBy("region", "block_pair").applyInArrow(linked, "u long, v long"))
 
 
-def _split(large: DataFrame, sets: DataFrame, level: int, pivots: int, percent: int) -> DataFrame:
+def _split(large: DataFrame, sets: DataFrame, level: int, pivots: int, percent: int, few: int) -> DataFrame:
     """One row for each document of `large` (region, x, n, size, label, ..) and pivot of its own region that it
     goes to, with the distance `far`, and whether the two link. Pivots are compared with all and go nowhere (not `stays`)."""
     lot = F.pmod(F.xxhash64("x", F.lit(level)), F.col("size"))
     least = large.groupBy("region").agg(F.min(F.xxhash64("x", F.lit(level))).alias("least"))
     drawn = large.join(least, "region").where((lot < pivots) | (F.xxhash64("x", F.lit(level)) == F.col("least"))).select("region", "x")
+    sets = _near(sets.select("x", "shingles"), "x", large.select("x"), few)
     packed = drawn.join(sets, "x").groupBy("region").agg(F.collect_list(F.struct("x", "shingles")).alias("pivots"))
-    met = large.select("region", "x", "n", "label", "size").join(sets.select("x", "shingles"), "x").join(packed.hint("merge"), "region")
+    met = large.select("region", "x", "n", "label", "size").join(sets, "x").join(packed.hint("merge"), "region")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -455,10 +482,9 @@ def links(
     """(u, v): pairs of keys of _representatives() that link, enough of them that components are those of
     all links. `texts` and `rows` are those that _outlines() takes and gives."""
     regions, pairs = _meetings(reps, percent, crowd, few)
-    both = regions.union(pairs).distinct()
-    keys = both.select(F.col("x").alias("k")).union(both.select(F.col("region").alias("k")))
-    sets = _needed_sets(texts, rows, reps, keys, width, few)
-    measured = _to_pivots(both, sets)
+    both = cut(regions.union(pairs).distinct())
+    sets = _needed_sets(texts, rows, reps, both, width, few)
+    measured = _to_pivots(both, sets, few)
     similar = _similar(F.col("inter"), F.col("n"), F.col("n_pivot"), percent)
     found = cut(measured.where(similar).select(F.col("x").alias("u"), F.col("region").alias("v")))
     far = 1 - F.col("inter") / (F.col("n") + F.col("n_pivot") - F.col("inter"))
@@ -472,7 +498,7 @@ def links(
         split = None
         if large.take(1):
             level += 1
-            split = _split(large, sets, level, pivots, percent)
+            split = _split(large, sets, level, pivots, percent, few)
             # Regions that windows copy more than they part are cut into blocks instead.
             grown = split.where("stays").groupBy("parent").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size")).where(F.col("n") > 1.5 * F.col("size"))
             stuck = cut(grown.select("parent"))
@@ -482,7 +508,7 @@ def links(
         leaves = ready[0].select(*columns)
         for more in ready[1:]:
             leaves = leaves.union(more.select(*columns))
-        found = found.union(_leaf_links(leaves, sets, percent))
+        found = found.union(_leaf_links(leaves, sets, percent, few))
         if split is None:
             return found
         found = cut(found.union(split.where("link").select(F.col("x").alias("u"), F.col("pivot").alias("v"))))
