@@ -22,6 +22,12 @@ def test_texts_are_made_and_filtered_behind_the_exchange(spark, made):
     assert "regexp" in above and "regexp" not in scan
 
 
+def test_a_report_is_made_once(spark):
+    """The gate reads it several times, and labels are looked up in one step, not once for each column."""
+    plan = registry.QUERIES["parse_root_cause"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Software version : ") == 1 and plan.count("array_position") == 1
+
+
 def test_prefixes_of_many_files_are_sliced(spark, monkeypatch):
     named = filenames.accepted(fixtures.files(spark, SMALL))
     sides = [named.where(F.col("kind") == kind) for kind in ("text", "image")]
