@@ -108,3 +108,30 @@ def test_rows_of_asked_keys_are_near(spark, few):
         near = jj._near(rows, column, asked, few)
         assert near.columns == rows.columns and near.where("x % 1000 = 0").count() == 200 and near.count() < 3000
     assert jj._near(rows, "x", keys.limit(0), few).count() == 0
+
+
+def test_sets_with_few_shingles_in_common(spark):
+    """Links of less than eight shingles in common, of sets of more than eight."""
+    docs = [(1, "a b c d e f g h i"), (2, "a b c d e f g x y"), (3, "p q r s t u v w"), (4, "p q r s k l m n")]
+    got = jj.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string"), width=1, percent=50)
+    assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect())) == plain(docs, 1, 50) == [(1, 9, 1), (2, 9, 1), (3, 8, 3), (4, 8, 4)]
+
+
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_keys_are_counted_once(spark, few):
+    keys, counted = spark.range(50_000), []
+
+    class Counted(type(keys)):
+        def count(self):
+            counted.append(1)
+            return super().count()
+
+    keys = Counted(keys._jdf, spark)
+    assert jj._near(spark.range(60_000).toDF("x"), "x", keys, few).count() >= 50_000 and counted == [1]
+
+
+def test_levels_are_logarithms_of_counts(spark):
+    texts = spark.createDataFrame([(b"a a a a b", 1, "k"), (b"a a a a", 2, "l"), (None, 3, "m")], "text binary, doc_id long, text_key string")
+    rows, levels = jj._outlines(texts.repartition(3), 4, 1 << 10)
+    assert levels.dtype == "float32" and len(levels) == 1 << 10 and sorted(levels[levels > 0].tolist()) == pytest.approx([1.0, 1.5849625])
+    assert sorted(r["n"] for r in rows.collect()) == [0, 1, 2]

@@ -189,7 +189,7 @@ def _digest(shingles: np.ndarray) -> str:
 
 
 def _level_table(tables: DataFrame, size: int) -> np.ndarray:
-    """Logarithms of the counts that tasks' tables (chunk, counts) add up to."""
+    """Logarithms of the counts that tasks' tables (chunk, counts) add up to. They reach the driver packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -198,16 +198,15 @@ def _level_table(tables: DataFrame, size: int) -> np.ndarray:
                 found = np.frombuffer(zlib.decompress(counts.as_py()), np.int64)
                 sums[chunk] = sums[chunk] + found if chunk in sums else found
         kept = sorted(sums)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(kept, pa.int32()), pa.array([sums[c].tobytes() for c in kept], pa.binary())], names=["chunk", "counts"]
-        )
+        packed = [zlib.compress(np.log2(sums[c] + 1.0).astype(np.float32).tobytes(), 1) for c in kept]
+        yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int32()), pa.array(packed, pa.binary())], names=["chunk", "levels"])
 
     chunks = -(-size // CHUNK)
-    counts = np.zeros(chunks * CHUNK, np.int64)
+    levels = np.zeros(chunks * CHUNK, np.float32)
     # As many rows as the table has chunks, whatever the input.
-    for r in map_arrow(tables.repartition(chunks, "chunk"), run, "chunk int, counts binary").collect():
-        counts[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] += np.frombuffer(r["counts"], np.int64)
-    return np.log2(counts[:size] + 1.0).astype(np.float32)
+    for r in map_arrow(tables.repartition(chunks, "chunk"), run, "chunk int, levels binary").collect():
+        levels[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(r["levels"]), np.float32)
+    return levels[:size]
 
 
 def _outlines(texts: DataFrame, width: int, size: int) -> tuple[DataFrame, np.ndarray]:
@@ -266,8 +265,8 @@ def _representatives(texts: DataFrame, levels: np.ndarray, width: int, percent:
 def _near(rows: DataFrame, column: str, keys: DataFrame, few: int) -> DataFrame:
     """`rows` without most of those whose `column` is not in `keys` (one column; read twice), so that the join that follows exchanges
     hardly more than it needs. The keys' hashes are bits of a table of bounded size, rows of MAP bits, that is broadcast."""
-    bits = MAP
-    while bits < SPARE * min(keys.count(), few):
+    bits, wanted = MAP, SPARE * min(keys.count(), few)
+    while bits < wanted:
         bits *= 2
     at = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
     place = keys.select(at(keys.columns[0]).alias("_at"))
@@ -301,15 +300,13 @@ def _meetings(reps: DataFrame, percent: int, crowd: int, few: int) -> tuple[Data
     more = F.expr("flatten(transform(keys, u -> transform(filter(keys, v -> v > u), v -> struct(u as region, v as x))))")
     pairs = met.where("n <= 3").select(F.explode(two).alias("p")).union(listed.select(F.explode(more).alias("p")))
     often = cut(pairs.groupBy("p.region", "p.x").agg(F.count(F.lit(1)).alias("times")).where("times > 0"))
-    size = lambda c: reps.select(F.col("key").alias(c), F.col("n").alias(f"n_{c}"))
-    # What sets have in common that link: of few shingles fewer than 1 + MORE.
-    need = F.least(F.lit(1 + MORE).cast("long"), F.expr(f"({percent} * greatest(n_region, n_x) + 99) div 100"))
     some = often.where(F.col("times") >= 1 + MORE).select("region", "x")
-    tiny = reps.where(F.col("n") <= 1 + MORE).select(F.col("key").alias("x"), F.col("n").alias("n_x"))
-    rest = often.where(F.col("times") <= MORE)
-    rest = rest.join(tiny, "x").unionByName(rest.join(tiny.select(F.col("x").alias("region"), "n_x"), "region"))
-    rest = rest.select("region", "x", "times").distinct().join(size("x"), "x").join(size("region"), "region")
-    return cut(regions), cut(some.union(rest.where(F.col("times") >= need).select("region", "x")))
+    # Sets that link with fewer than 1 + MORE shingles in common have no more than this in their union, and windows that hold all.
+    tiny = reps.where(F.col("n") <= 100 * MORE // percent)
+    size = lambda c: tiny.select(F.col("key").alias(c), F.col("n").alias(f"n_{c}"))
+    need = F.expr(f"({percent} * greatest(n_region, n_x) + 99) div 100")
+    rest = often.where(F.col("times") <= MORE).join(size("x"), "x").join(size("region"), "region")
+    return cut(regions), some.union(rest.where(F.col("times") >= need).select("region", "x"))
 
 
 def _needed_sets(texts: DataFrame, rows: DataFrame, reps: DataFrame, pairs: DataFrame, width: int, few: int) -> DataFrame:
@@ -355,9 +352,8 @@ def _similar(inter: Column, a: Column, b: Column, percent: int) -> Column:
     return 100 * inter >= percent * (a + b - inter)
 
 
-def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """`members` (region, x, ..) of regions that links have not joined whole, with their label."""
-    roots = cut(connected_components(links))
+def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """`members` (region, x, ..) of regions that links have not joined whole, with their label: the root of connected_components()."""
     found = cut(
         members.join(roots.hint("merge"), F.col("x") == F.col("node"), "left").select(*members.columns, F.coalesce("root", "x").alias("label"))
     )
@@ -416,7 +412,7 @@ def _leaf_links(leaves: DataFrame, sets: DataFrame, percent: int, few: int) -> D
 
     asked = cut(leaves.groupBy("region", "block_pair").applyInArrow(narrow, LEAF_ROW + ", block_pair long"))
     whole = asked.join(_near(sets.select("x", "shingles"), "x", asked.select("x"), few), "x")
-    return cut(whole.groupBy("region", "block_pair").applyInArrow(linked, "u long, v long"))
+    return whole.groupBy("region", "block_pair").applyInArrow(linked, "u long, v long")
 
 
 def _split(large: DataFrame, sets: DataFrame, level: int, pivots: int, percent: int, few: int) -> DataFrame:
@@ -486,10 +482,10 @@ def links(
     sets = _needed_sets(texts, rows, reps, both, width, few)
     measured = _to_pivots(both, sets, few)
     similar = _similar(F.col("inter"), F.col("n"), F.col("n_pivot"), percent)
-    found = cut(measured.where(similar).select(F.col("x").alias("u"), F.col("region").alias("v")))
+    roots = connected_components(measured.where(similar).select(F.col("x").alias("u"), F.col("region").alias("v")))
     far = 1 - F.col("inter") / (F.col("n") + F.col("n_pivot") - F.col("inter"))
     members = measured.join(regions.hint("merge"), ["region", "x"], "left_semi")
-    left = cut(_labelled(members.select("region", "x", "n", far.alias("far")), found))
+    left = cut(_labelled(members.select("region", "x", "n", far.alias("far")), roots))
     level = 0
     while True:
         small = (F.col("size") <= leaf) & (F.col("weight") <= leaf_shingles)
@@ -508,12 +504,13 @@ def links(
         leaves = ready[0].select(*columns)
         for more in ready[1:]:
             leaves = leaves.union(more.select(*columns))
-        found = found.union(_leaf_links(leaves, sets, percent, few))
+        # Roots stand for the links that they come from.
+        found = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(_leaf_links(leaves, sets, percent, few))
         if split is None:
             return found
-        found = cut(found.union(split.where("link").select(F.col("x").alias("u"), F.col("pivot").alias("v"))))
+        roots = connected_components(found.union(split.where("link").select(F.col("x").alias("u"), F.col("pivot").alias("v"))))
         parted = split.where("stays").join(stuck.hint("merge"), "parent", "left_anti")
-        left = cut(_labelled(parted.select(F.xxhash64("parent", "pivot").alias("region"), "x", "n", "far"), found))
+        left = cut(_labelled(parted.select(F.xxhash64("parent", "pivot").alias("region"), "x", "n", "far"), roots))
 
 
 def jaccard_components(
@@ -532,11 +529,11 @@ def jaccard_components(
     texts = docs.select(text.alias("text"), named(id_col).alias("doc_id"), F.md5(F.coalesce(text, F.lit(b""))).alias("text_key"))
     rows, levels = _outlines(texts, width, counts)
     reps = _representatives(texts, levels, width, percent)
-    roots = cut(connected_components(links(texts, rows, reps, width=width, percent=percent, **sizes)))
+    roots = connected_components(links(texts, rows, reps, width=width, percent=percent, **sizes))
     rooted = reps.select("digest", "key").join(roots.hint("merge"), F.col("key") == F.col("node"), "left")
     least = rows.groupBy("digest").agg(F.min("doc_id").alias("least"))
     grouped = cut(rooted.select("digest", F.coalesce("root", "key").alias("root")).join(least, "digest"))
     best = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    grouped = cut(grouped.join(best.hint("merge"), "root").select("digest", "component_id"))
+    grouped = grouped.join(best.hint("merge"), "root").select("digest", "component_id")
     met = rows.where("n > 0").join(grouped.hint("merge"), "digest").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "digest")
     return met.union(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "digest"))
