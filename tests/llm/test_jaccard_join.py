@@ -135,3 +135,79 @@ def test_levels_are_logarithms_of_counts(spark):
     rows, levels = jj._outlines(texts.repartition(3), 4, 1 << 10)
     assert levels.dtype == "float32" and len(levels) == 1 << 10 and sorted(levels[levels > 0].tolist()) == pytest.approx([1.0, 1.5849625])
     assert sorted(r["n"] for r in rows.collect()) == [0, 1, 2]
+
+
+def reps_of(spark, texts, counts=jj.COUNTS, percent=85):
+    table = spark.createDataFrame([(t.encode(), i, str(i)) for i, t in enumerate(texts)], "text binary, doc_id long, text_key string").repartition(3)
+    rows, levels = jj._outlines(table, 4, counts)
+    return table, rows, jj._representatives(table, levels, 4, percent)
+
+
+def test_windows_hold_rare_shingles_of_a_crowded_table_of_counts(spark):
+    """Entries hold about 120 shingles of others each; those of a passage, 30 more, must not pass for rare ones."""
+    passage = " ".join(f"p{i}" for i in range(30))
+    texts = [" ".join(f"d{d}w{i}" for i in range(230)) + " " + passage for d in range(30)]
+    shared = set(next(jj.shingle_sets([passage.encode()])).view("int64").tolist())
+    _, _, reps = reps_of(spark, texts, counts=64)
+    windows = [r["first"] for r in reps.collect()]
+    assert len(windows) == 30 and {len(w) for w in windows} == {jj.window(257)}
+    assert sum(len(shared & set(w)) for w in windows) < 30
+
+
+def test_pairs_that_meet_too_rarely_are_no_pairs(spark):
+    """Two long texts with thirteen shingles of 1997 in common, in both windows, and two near copies."""
+    some = [" ".join(f"d{d}w{i}" for i in range(1000)) + " " + " ".join(f"c{i}" for i in range(16)) + " " + " ".join(f"d{d}v{i}" for i in range(984)) for d in range(2)]
+    near = [" ".join(f"n{i}" for i in range(400)) + tail for tail in ("", " and a tail")]
+    table, rows, reps = reps_of(spark, [*some, *near])
+    # The shared ones come first, so that they are in both windows.
+    shared = next(jj.shingle_sets([" ".join(f"c{i}" for i in range(16)).encode()])).view("int64").tolist()
+    first = F.array_union(F.array_intersect("first", F.array(*map(F.lit, shared))), "first")
+    reps = reps.withColumn("first", F.when(F.col("n") > 1000, F.slice(F.array_union(F.array(*map(F.lit, shared)), first), 1, jj.window(1997))).otherwise(F.col("first")))
+    _, pairs = jj._meetings(reps, 85, jj.CROWD, jj.FEW)
+    sizes = {r["key"]: r["n"] for r in reps.collect()}
+    assert [sorted((sizes[r["region"]], sizes[r["x"]])) for r in pairs.collect()] == [[397, 400]]
+
+
+def test_no_link_is_lost_by_how_often_windows_meet(spark):
+    some = random.Random(5)
+    rows = []
+    for percent in (50, 85, 100):
+        for _ in range(3000):
+            both, a, b = some.randrange(1, 120), some.randrange(0, 25), some.randrange(0, 25)
+            order = some.sample(range(10**6), both + a + b)
+            x, y = sorted(order[: both + a]), sorted(order[:both] + order[both + a :])
+            times = len({*x[: jj.window(len(x), percent)]} & {*y[: jj.window(len(y), percent)]})
+            rows.append((percent, len(x), len(y), times, 100 * both >= percent * (both + a + b)))
+    for percent in (50, 85, 100):
+        table = spark.createDataFrame([r[1:] for r in rows if r[0] == percent], "n_region long, n_x long, times long, links boolean")
+        kept = table.where(jj._may_link(percent))
+        assert kept.where("links").count() == table.where("links").count() > 0
+        assert percent == 50 or kept.where("not links").count() < table.where("not links").count()
+
+
+def test_meetings_are_counted_as_by_plain_rows(spark):
+    some = random.Random(7)
+    rows = [(k * 1001, some.sample(range(-300, 300), some.randrange(0, 40))) for k in range(500)]
+    reps = spark.createDataFrame(rows, "key long, first array<long>").repartition(3)
+    cells = {}
+    for key, first in rows:
+        for s in first:
+            cells.setdefault(s, []).append(key)
+    got = {r["s"]: (r["a"], r["b"], r["all"], r["n"]) for r in jj._met(reps).collect()}
+    want = {}
+    for s, keys in cells.items():
+        every = 0
+        for key in keys:
+            every ^= key
+        want[s] = (min(keys), max(keys), every, len(keys))
+    assert got == want and jj._met(reps.limit(0)).count() == 0
+
+
+def test_one_copy_of_a_text_is_asked_for(spark, monkeypatch):
+    """A thousand copies of each of two near texts: the exchange of texts takes hardly more than one of each."""
+    texts = [" ".join(f"n{i}" for i in range(400)) + tail for tail in ("", " and a tail")]
+    docs = spark.createDataFrame([(t, 2 * i + k) for i in range(1000) for k, t in enumerate(texts)], "text string, doc_id long").repartition(4)
+    near, passed = jj._near, []
+    monkeypatch.setattr(jj, "_near", lambda rows, column, keys, few: [out := near(rows, column, keys, few), passed.append(out.count()) if "text" in rows.columns else None][0])
+    got = jj.jaccard_components(docs).groupBy("component_id").count().collect()
+    assert [tuple(r) for r in got] == [(0, 2000)] and len(passed) == 1 and passed[0] < 40

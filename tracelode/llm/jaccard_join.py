@@ -51,12 +51,14 @@ PIVOTS = 16
 MORE = 7
 #: Documents at one shingle whose pairs are counted; where more meet, one is the pivot of all.
 CROWD = 16
-#: Keys for which a table of bits (_near()) has SPARE bits each; for more it stays as large, and lets more rows through.
-FEW, SPARE = 1 << 22, 16
+#: Keys for which a table of bits (_near()) has LEAST bits each; fewer have up to SPARE, for more it stays as large and lets more rows through.
+FEW, LEAST, SPARE = 1 << 22, 16, 64
 #: Bits in one row of such a table.
 MAP = 1 << 15
 #: Shingles at which most documents meet, at most, that are broadcast.
 HEAVY = 2_000
+#: Rows of windows' shingles, about, that one task groups.
+CELLS = 500_000
 #: Bits of a document's key that number it; those above rank it as a pivot.
 NUMBER_BITS = 53
 
@@ -250,8 +252,9 @@ def _representatives(texts: DataFrame, levels: np.ndarray, width: int, percent:
             for each in sets:
                 level = table[(each % np.uint64(len(table))).astype(np.int64)]
                 rank.append(1023 - int(1023 * level.mean() / top))
-                # Equally common shingles go by hash; whole levels, so that near counts do not decide.
-                order = np.lexsort((each, level.astype(np.int64)))[: window(len(each), percent)]
+                # The counts themselves decide: an entry holds more of other shingles the larger the table of documents, and steps as
+                # wide as the count would then take ever more common shingles for rare ones. Equal counts go by hash, as sets are sorted.
+                order = np.argsort(level, kind="stable")[: window(len(each), percent)]
                 first.append(each[order].view(np.int64))
             columns = [pa.array(map(_digest, sets), pa.string()), pa.array(map(len, sets), pa.int64()), pa.array(rank, pa.int64()), pa.array(first, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["digest", "n", "rank", "first"])
@@ -265,7 +268,7 @@ def _representatives(texts: DataFrame, levels: np.ndarray, width: int, percent:
 def _near(rows: DataFrame, column: str, keys: DataFrame, few: int) -> DataFrame:
     """`rows` without most of those whose `column` is not in `keys` (one column; read twice), so that the join that follows exchanges
     hardly more than it needs. The keys' hashes are bits of a table of bounded size, rows of MAP bits, that is broadcast."""
-    bits, wanted = MAP, SPARE * min(keys.count(), few)
+    bits, wanted = MAP, min(SPARE * keys.count(), LEAST * few)
     while bits < wanted:
         bits *= 2
     at = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
@@ -276,13 +279,40 @@ def _near(rows: DataFrame, column: str, keys: DataFrame, few: int) -> DataFrame:
     return met.where(F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1).select(*rows.columns)
 
 
+def _met(reps: DataFrame) -> DataFrame:
+    """(s, a, b, all, n) of each shingle of a window: the extremes and the exclusive or of the keys of the documents that meet at it,
+    which tell all of up to three, and their number. Rows are combined batch by batch before they are exchanged; most are of one document
+    then, and say nothing twice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = np.repeat(batch.column(0).to_numpy(), np.diff(batch.column(1).offsets.to_numpy()))
+            s = batch.column(1).flatten().to_numpy()
+            order = np.argsort(s)
+            s, key = s[order], key[order]
+            at = np.flatnonzero(np.append(True, s[1:] != s[:-1])[: len(s)])
+            if len(at):
+                sums = [f.reduceat(key, at) for f in (np.minimum, np.maximum, np.bitwise_xor)]
+                made = [s[at], *sums, np.diff(np.append(at, len(s)))]
+                # Rows of one document side by side are packed best.
+                order = np.argsort(made[1], kind="stable")
+                s, a, *rest = [x[order] for x in made]
+                columns = [pa.array(s), pa.array(a), *[pa.array(x, mask=rest[-1] == 1) for x in rest]]
+                yield pa.RecordBatch.from_arrays(columns, names=["s", "a", "b", "all", "n"])
+
+    # So many tasks that the groups of each stay in memory, whatever the input.
+    tasks = (reps.agg(F.sum(F.size("first"))).first()[0] or 0) // CELLS + 1
+    parts = map_arrow(reps.select("key", "first"), run, "s long, a long, b long, all long, n long")
+    parts = parts.repartition(max(tasks, reps.sparkSession.sparkContext.defaultParallelism), "s")
+    b, every, n = F.coalesce("b", "a"), F.coalesce("all", "a"), F.coalesce("n", F.lit(1))
+    return parts.groupBy("s").agg(F.min("a").alias("a"), F.max(b).alias("b"), F.bit_xor(every).alias("all"), F.sum(n).alias("n"))
+
+
 def _meetings(reps: DataFrame, percent: int, crowd: int, few: int) -> tuple[DataFrame, DataFrame]:
     """(region, x) of the shingles at which more than `crowd` documents meet: the pivot, and all others that meet
     there; and (region, x), one way round, of other documents that meet often enough to link."""
     cells = reps.select(F.explode("first").alias("s"), "key")
-    # The extremes and the exclusive or tell all members of up to three.
-    met = cells.groupBy("s").agg(F.min("key").alias("a"), F.max("key").alias("b"), F.bit_xor("key").alias("all"), F.count(F.lit(1)).alias("n"))
-    met = cut(met.where("n > 1"))
+    met = cut(_met(reps).where("n > 1"))
     several = met.where("n > 3").select("s", F.col("a").alias("region"), "n")
     # At most HEAVY shingles have more than that, and no group of the others is large.
     most = (several.agg(F.sum("n")).first()[0] or 0) // HEAVY
@@ -300,26 +330,35 @@ def _meetings(reps: DataFrame, percent: int, crowd: int, few: int) -> tuple[Data
     more = F.expr("flatten(transform(keys, u -> transform(filter(keys, v -> v > u), v -> struct(u as region, v as x))))")
     pairs = met.where("n <= 3").select(F.explode(two).alias("p")).union(listed.select(F.explode(more).alias("p")))
     often = cut(pairs.groupBy("p.region", "p.x").agg(F.count(F.lit(1)).alias("times")).where("times > 0"))
-    some = often.where(F.col("times") >= 1 + MORE).select("region", "x")
     # Sets that link with fewer than 1 + MORE shingles in common have no more than this in their union, and windows that hold all.
     tiny = reps.where(F.col("n") <= 100 * MORE // percent)
-    size = lambda c: tiny.select(F.col("key").alias(c), F.col("n").alias(f"n_{c}"))
-    need = F.expr(f"({percent} * greatest(n_region, n_x) + 99) div 100")
-    rest = often.where(F.col("times") <= MORE).join(size("x"), "x").join(size("region"), "region")
-    return cut(regions), some.union(rest.where(F.col("times") >= need).select("region", "x"))
+    size = lambda of, c: of.select(F.col("key").alias(c), F.col("n").alias(f"n_{c}"))
+    sized = lambda rows, of: rows.join(size(of, "x"), "x").join(size(of, "region"), "region")
+    some = sized(often.where(F.col("times") >= 1 + MORE), reps).union(sized(often.where(F.col("times") <= MORE), tiny))
+    return cut(regions), some.where(_may_link(percent)).select("region", "x")
+
+
+def _may_link(percent: int) -> Column:
+    """Whether sets of n_region and n_x shingles can link if `times` of them are in both windows. Of the two windows, the one that ends first
+    in the order holds no shingle of the other set that the other window lacks; so at most `times` of its own are in
+    common, and all that its set has beyond. That is most for the larger set."""
+    least = F.expr(f"({percent} * (n_region + n_x) + {99 + percent}) div {100 + percent}")
+    beyond = F.expr(f"greatest((({percent} * greatest(n_region, n_x) + 99) div 100) - {1 + MORE}, 0)")
+    return (F.least("n_region", "n_x") >= least) & (F.col("times") + beyond >= least)
 
 
 def _needed_sets(texts: DataFrame, rows: DataFrame, reps: DataFrame, pairs: DataFrame, width: int, few: int) -> DataFrame:
     """(x, n, regions, shingles): the sets of the documents in `pairs` (region, x), as bytes, with the regions that they are
     the x of. One text of each is read."""
-    one = rows.groupBy("digest").agg(F.min("text_key").alias("text_key"))
+    copy = F.xxhash64("text_key", "doc_id").alias("copy")
+    one = rows.select("digest", "text_key", copy).groupBy("digest").agg(F.min(F.struct("text_key", "copy")).alias("one")).select("digest", "one.*")
     # As many for a document as its window has shingles and these have others to be paired with.
     keys = pairs.select("x", "region").union(pairs.select(F.col("region").alias("x"), F.lit(None).cast("long")))
     asked = reps.select("digest", F.col("key").alias("x"), "n").join(keys.groupBy("x").agg(F.collect_list("region").alias("regions")), "x")
-    asked = cut(asked.join(one, "digest").select("text_key", "x", "n", "regions"))
-    # Copies are told apart by nothing that is read here, so the first of them does.
-    found = _near(texts.select("text_key", "text"), "text_key", asked.select("text_key"), few)
-    found = found.groupBy("text_key").agg(F.first("text").alias("text")).join(asked.hint("merge"), "text_key")
+    asked = cut(asked.join(one, "digest").select("text_key", "copy", "x", "n", "regions"))
+    # Of a text's copies hardly more than one is exchanged; where more are, the first of them does.
+    found = _near(texts.select("text_key", "text", copy), "copy", asked.select("copy"), few)
+    found = found.groupBy("text_key").agg(F.first("text").alias("text")).join(asked.drop("copy").hint("merge"), "text_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _sets(batches, width):
